@@ -239,3 +239,96 @@ def q_null_counts(spark, sf):
 @register("duplicate_rows")
 def q_duplicate_rows(spark, sf):
     return explore.duplicate_rows(table(spark, sf, "documents"), ["source", "text"])
+
+
+# ---------------------------------------------------------------- vectors and quality
+
+from ..operators import quality, retrieve  # noqa: E402
+from ..operators import similarity as sim  # noqa: E402
+
+QUERY_VEC_ID = 0
+PAIR_THRESHOLD = 0.4
+KNN_K = 10
+SPLIT_K = 6
+
+
+def _emb(spark, sf):
+    return table(spark, sf, "embeddings")
+
+
+@register("cluster_ids")
+def q_cluster_ids(spark, sf):
+    return quality.cluster_ids(_emb(spark, sf), "label")
+
+
+@register("cluster_sizes")
+def q_cluster_sizes(spark, sf):
+    return quality.cluster_sizes(_emb(spark, sf), "label", SPLIT_K)
+
+
+@register("cluster_centroids")
+def q_cluster_centroids(spark, sf):
+    c = quality.centroids(_emb(spark, sf), "label", "embedding")
+    return c.select("label", "dim", F.round("mean", DIGITS).alias("mean"))
+
+
+@register("unit_vectors")
+def q_unit_vectors(spark, sf):
+    u = sim.unit_vectors(_emb(spark, sf), "vec_id", "embedding")
+    return u.select("vec_id", F.transform("unit", lambda x: F.round(x, DIGITS)).alias("unit"))
+
+
+@register("cosine_topk")
+def q_cosine_topk(spark, sf):
+    e = _emb(spark, sf)
+    q = sim.vector_of(e, "vec_id", "embedding", QUERY_VEC_ID)
+    return sim.cosine_topk(e.select("vec_id", "embedding"), "vec_id", "embedding", q, 10).select("vec_id", "similarity")
+
+
+@register("pairwise_similarity")
+def q_pairwise_similarity(spark, sf):
+    return sim.pairwise_similarity(_emb(spark, sf), "vec_id", "embedding", PAIR_THRESHOLD)
+
+
+@register("knn_graph")
+def q_knn_graph(spark, sf):
+    return sim.knn_graph(_emb(spark, sf), "vec_id", "embedding", KNN_K)
+
+
+@register("assign_nearest")
+def q_assign_nearest(spark, sf):
+    e = _emb(spark, sf)
+    labels, centers = quality.collect_centroids(quality.centroids(e, "label", "embedding"), "label")
+    out = quality.assign_nearest(e, "vec_id", "embedding", labels, centers)
+    return out.select("vec_id", "nearest", F.round("distance", DIGITS).alias("distance"))
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    s = quality.silhouette(_emb(spark, sf), "vec_id", "embedding", "label")
+    return s.select(F.round("silhouette", DIGITS).alias("silhouette"))
+
+
+@register("silhouette_sq")
+def q_silhouette_sq(spark, sf):
+    s = quality.silhouette_sq(_emb(spark, sf), "vec_id", "embedding", "label")
+    return s.select(F.round("silhouette_sq", DIGITS).alias("silhouette_sq"))
+
+
+@register("calinski_harabasz")
+def q_calinski_harabasz(spark, sf):
+    s = quality.calinski_harabasz(_emb(spark, sf), "label", "embedding")
+    return s.select(F.round("calinski_harabasz", DIGITS).alias("calinski_harabasz"))
+
+
+def _vector_corpus(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "source")
+    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "embedding")
+    return d.join(e, "doc_id")
+
+
+@register("retrieve_coarse")
+def q_retrieve_coarse(spark, sf):
+    q = sim.vector_of(_emb(spark, sf), "vec_id", "embedding", QUERY_VEC_ID)
+    out = retrieve.coarse(_vector_corpus(spark, sf), "doc_id", "embedding", q)
+    return out.select("doc_id", "source", "coarse_similarity")

@@ -185,3 +185,114 @@ SQL["null_counts"] = " UNION ALL ".join(
 SQL["duplicate_rows"] = """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (SELECT count(*) AS n FROM documents GROUP BY source, text)
 """
+
+# ---------------------------------------------------------------- vectors and quality
+
+EV = """ev AS (
+  SELECT vec_id AS id, label, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
+         CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings)"""
+
+SQL["cluster_ids"] = "SELECT DISTINCT label FROM embeddings WHERE label IS NOT NULL"
+
+SQL["cluster_sizes"] = """
+SELECT label, count(*) AS size, count(*) >= 6 AS can_split FROM embeddings WHERE label IS NOT NULL GROUP BY label
+"""
+
+SQL["cluster_centroids"] = f"WITH {EV} SELECT label, dim, round(avg(x), 6) AS mean FROM ev WHERE label IS NOT NULL GROUP BY label, dim"
+
+SQL["unit_vectors"] = """
+SELECT vec_id, CASE WHEN nrm = 0 OR nrm IS NULL THEN NULL
+                    ELSE list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) / nrm, 6)) END AS unit
+FROM (SELECT vec_id, embedding,
+             sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm
+      FROM embeddings)
+"""
+
+COSINE_TO_0 = f"""{EV},
+q AS (SELECT dim, x AS qx FROM ev WHERE id = 0),
+s AS (SELECT e.id, sum(e.x * q.qx) / (sqrt(sum(e.x * e.x)) * sqrt(sum(q.qx * q.qx))) AS sim
+      FROM ev e JOIN q ON e.dim = q.dim GROUP BY e.id)"""
+
+SQL["cosine_topk"] = f"""
+WITH {COSINE_TO_0}
+SELECT id AS vec_id, round(sim, 6) AS similarity FROM s WHERE sim IS NOT NULL ORDER BY similarity DESC, vec_id LIMIT 10
+"""
+
+SQL["retrieve_coarse"] = f"""
+WITH {COSINE_TO_0}
+SELECT d.doc_id, d.source, round(s.sim, 6) AS coarse_similarity
+FROM s JOIN documents d ON d.doc_id = s.id WHERE s.sim IS NOT NULL
+ORDER BY coarse_similarity DESC, d.doc_id LIMIT 500
+"""
+
+SQL["pairwise_similarity"] = f"""
+WITH {EV},
+s AS (SELECT a.id AS id_a, b.id AS id_b,
+             round(sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))), 6) AS similarity
+      FROM ev a JOIN ev b ON a.dim = b.dim AND a.id < b.id GROUP BY a.id, b.id)
+SELECT id_a, id_b, similarity FROM s WHERE similarity >= 0.4
+"""
+
+PAIR_DIST = f"""{EV},
+pd AS (SELECT a.id AS src, b.id AS dst, sqrt(sum((a.x - b.x) * (a.x - b.x))) AS dist
+       FROM ev a JOIN ev b ON a.dim = b.dim GROUP BY a.id, b.id)"""
+
+SQL["knn_graph"] = f"""
+WITH {PAIR_DIST},
+r AS (SELECT src, dst FROM (
+        SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY round(dist, 8), dst) AS rn FROM pd)
+      WHERE rn <= 10),
+u AS (SELECT src, dst, 0.5 AS w FROM r UNION ALL SELECT dst AS src, src AS dst, 0.5 AS w FROM r)
+SELECT src, dst, CAST(sum(w) AS DOUBLE) AS weight FROM u GROUP BY src, dst
+"""
+
+SQL["assign_nearest"] = f"""
+WITH {EV},
+cent AS (SELECT label, dim, avg(x) AS m FROM ev WHERE label IS NOT NULL GROUP BY label, dim),
+d AS (SELECT e.id, c.label AS c, round(sqrt(sum((e.x - c.m) * (e.x - c.m))), 8) AS distance
+      FROM ev e JOIN cent c ON e.dim = c.dim GROUP BY e.id, c.label)
+SELECT id AS vec_id, CAST(c AS INTEGER) AS nearest, round(distance, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, c) AS rn FROM d) WHERE rn = 1
+"""
+
+SQL["silhouette"] = f"""
+WITH {PAIR_DIST},
+lab AS (SELECT vec_id AS id, label FROM embeddings WHERE label IS NOT NULL),
+sums AS (SELECT p.src AS id, li.label, lj.label AS other_label, sum(p.dist) AS sum_dist, count(*) AS n
+         FROM pd p JOIN lab li ON p.src = li.id JOIN lab lj ON p.dst = lj.id GROUP BY 1, 2, 3),
+own AS (SELECT id, n AS n_own, CASE WHEN n > 1 THEN sum_dist / (n - 1) END AS a FROM sums WHERE label = other_label),
+oth AS (SELECT id, min(sum_dist / n) AS b FROM sums WHERE label <> other_label GROUP BY id),
+per AS (SELECT CASE WHEN o.n_own <= 1 OR t.b IS NULL THEN 0.0 ELSE (t.b - o.a) / greatest(o.a, t.b) END AS s
+        FROM own o LEFT JOIN oth t ON o.id = t.id)
+SELECT round(avg(s), 6) AS silhouette FROM per
+"""
+
+CLUSTER_SUMS = f"""{EV},
+cs AS (SELECT label, count(DISTINCT id) AS n, sum(x * x) AS sq FROM ev WHERE label IS NOT NULL GROUP BY label),
+fs AS (SELECT label, dim, sum(x) AS vsum FROM ev WHERE label IS NOT NULL GROUP BY label, dim)"""
+
+SQL["silhouette_sq"] = f"""
+WITH {CLUSTER_SUMS},
+xn AS (SELECT id, label, sum(x * x) AS xn FROM ev WHERE label IS NOT NULL GROUP BY id, label),
+dots AS (SELECT e.id, f.label AS c, sum(e.x * f.vsum) AS dot FROM ev e JOIN fs f ON e.dim = f.dim
+         WHERE e.label IS NOT NULL GROUP BY e.id, f.label),
+dd AS (SELECT x.id, x.label, d.c, cs.n AS nc, x.xn + cs.sq / cs.n - 2 * d.dot / cs.n AS d
+       FROM xn x JOIN dots d ON x.id = d.id JOIN cs ON cs.label = d.c),
+own AS (SELECT id, nc AS n_own, d * nc / greatest(nc - 1, 1) AS a FROM dd WHERE label = c),
+oth AS (SELECT id, min(d) AS b FROM dd WHERE label <> c GROUP BY id),
+per AS (SELECT CASE WHEN o.n_own <= 1 OR t.b IS NULL THEN 0.0
+                    WHEN o.a < t.b THEN 1 - o.a / t.b WHEN o.a > t.b THEN t.b / o.a - 1 ELSE 0.0 END AS s
+        FROM own o LEFT JOIN oth t ON o.id = t.id)
+SELECT round(avg(s), 6) AS silhouette_sq FROM per
+"""
+
+SQL["calinski_harabasz"] = f"""
+WITH {CLUSTER_SUMS},
+v AS (SELECT f.label, f.dim, f.vsum, c.n FROM fs f JOIN cs c ON f.label = c.label),
+g AS (SELECT dim, sum(vsum) AS g, sum(n) AS n_tot, count(*) AS k_tot FROM v GROUP BY dim),
+t AS (SELECT sum(v.vsum * v.vsum / v.n) AS fn, sum(v.n * pow(v.vsum / v.n - g.g / g.n_tot, 2)) AS between_ss,
+             max(g.n_tot) AS n_tot, max(g.k_tot) AS k_tot FROM v JOIN g ON v.dim = g.dim),
+sq AS (SELECT sum(sq) AS sq FROM cs)
+SELECT round((t.between_ss / (t.k_tot - 1)) / ((sq.sq - t.fn) / (t.n_tot - t.k_tot)), 6) AS calinski_harabasz FROM t, sq
+"""
