@@ -30,10 +30,18 @@ def norm(a: str | Column) -> Column:
     return F.sqrt(_sum(F.transform(_c(a), lambda x: x.cast("double") * x.cast("double"))))
 
 
+def scale(a: str | Column, divisor: Column) -> Column:
+    """``x / divisor`` element-wise. The divisor is passed in as an array
+    argument: a column referenced *inside* a lambda is re-evaluated for
+    every element, which would make a norm cost O(dim^2) per row."""
+    arr = _c(a)
+    return F.zip_with(arr, F.array_repeat(divisor, F.size(arr)), lambda x, d: x.cast("double") / d)
+
+
 def normalize(a: str | Column) -> Column:
     """``x / ||x||``; a zero vector gives NULL (never NaN, which would win a top-k)."""
     n = F.nullif(norm(a), F.lit(0.0))
-    return F.when(n.isNull(), F.lit(None)).otherwise(F.transform(_c(a), lambda x: x.cast("double") / n))
+    return F.when(n.isNull(), F.lit(None)).otherwise(scale(a, n))
 
 
 def cosine(a: str | Column, b: str | Column) -> Column:

@@ -332,3 +332,137 @@ def q_retrieve_coarse(spark, sf):
     q = sim.vector_of(_emb(spark, sf), "vec_id", "embedding", QUERY_VEC_ID)
     out = retrieve.coarse(_vector_corpus(spark, sf), "doc_id", "embedding", q)
     return out.select("doc_id", "source", "coarse_similarity")
+
+
+# ---------------------------------------------------------------- keywords and tree
+
+from ..operators import keywords as kwd  # noqa: E402
+from ..operators import tree  # noqa: E402
+
+LEVELS = ["level_1", "level_2", "level_3"]
+
+
+def leveled_docs(spark, sf):
+    """Documents with a three-level path: level_1 = the given vector label,
+    level_2 = doc_id % 3, level_3 = doc_id % 2 (stand-ins for cluster labels)."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), F.col("label").alias("level_1"))
+    return d.join(e, "doc_id").select(
+        "doc_id",
+        "source",
+        "text",
+        "level_1",
+        F.pmod("doc_id", F.lit(3)).cast("int").alias("level_2"),
+        F.pmod("doc_id", F.lit(2)).cast("int").alias("level_3"),
+    )
+
+
+@register("group_keywords")
+def q_group_keywords(spark, sf):
+    return kwd.group_keywords(leveled_docs(spark, sf), "doc_id", "text", "level_1", 5)
+
+
+@register("level_keywords")
+def q_level_keywords(spark, sf):
+    out = kwd.level_keywords(leveled_docs(spark, sf), "doc_id", "text", LEVELS, 10)
+    return out.select("doc_id", *LEVELS, *[f"{c}_keywords" for c in LEVELS])
+
+
+@register("level1_report")
+def q_level1_report(spark, sf):
+    return kwd.level1_report(leveled_docs(spark, sf), "doc_id", "text", "level_1", 10)
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf):
+    return tree.tree_nodes(leveled_docs(spark, sf), "doc_id", "text", "source", LEVELS)
+
+
+@register("tree_edges")
+def q_tree_edges(spark, sf):
+    return tree.tree_edges(leveled_docs(spark, sf), "doc_id", LEVELS)
+
+
+# ---------------------------------------------------------------- embeddings and text retrieval
+
+from ..operators import embed  # noqa: E402
+
+QUESTION_ID = 0
+
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+def _context(spark, sf):
+    d = _docs(spark, sf)
+    return d, embed.context_stats(embed.sample_corpus(d, "doc_id"), "doc_id", "text")
+
+
+def _round_vec(c: str):
+    return F.transform(c, lambda x: F.round(x, DIGITS)).alias(c)
+
+
+@register("hashed_embedding")
+def q_hashed_embedding(spark, sf):
+    h = embed.hashed_embedding(_docs(spark, sf), "doc_id", "text")
+    return h.select(F.col("id").alias("doc_id"), "bucket", F.round("w", DIGITS).alias("w"))
+
+
+@register("sample_corpus")
+def q_sample_corpus(spark, sf):
+    return embed.sample_corpus(_docs(spark, sf), "doc_id").select("doc_id")
+
+
+@register("context_stats")
+def q_context_stats(spark, sf):
+    d, ctx = _context(spark, sf)
+    m = embed.context_mean_frame(embed.sample_corpus(d, "doc_id"), "doc_id", "text", ctx)
+    return m.select("bucket", F.round("mean", DIGITS).alias("mean"))
+
+
+@register("context_embedding")
+def q_context_embedding(spark, sf):
+    d, ctx = _context(spark, sf)
+    return embed.context_embedding(d, "doc_id", "text", ctx).select("doc_id", _round_vec("vec"))
+
+
+@register("keyphrases")
+def q_keyphrases(spark, sf):
+    return embed.keyphrases(_docs(spark, sf), "doc_id", "text")
+
+
+def _index(spark, sf):
+    d, ctx = _context(spark, sf)
+    return embed.index_table(d, "doc_id", "text", ["source"], ctx), ctx
+
+
+@register("index_table")
+def q_index_table(spark, sf):
+    idx, _ = _index(spark, sf)
+    return idx.select("doc_id", "source", "keywords", _round_vec("doc_vec"), _round_vec("kw_vec"))
+
+
+def _question_vectors(spark, sf, ctx):
+    """The question (benchmark item 0) through both encoders: two bounded vectors."""
+    q = table(spark, sf, "benchmark").filter(F.col("item_id") == QUESTION_ID).select(F.col("item_id").alias("qid"), "text")
+    fine_q = embed.context_embedding(q, "qid", "text", ctx).head(1)
+    coarse_q = embed.densify(embed.hashed_embedding(q, "qid", "text")).head(1)
+    zero = [0.0] * embed.DIM
+    return (coarse_q[0]["vec"] if coarse_q else zero), (fine_q[0]["vec"] if fine_q else zero)
+
+
+@register("retrieve_fine")
+def q_retrieve_fine(spark, sf):
+    idx, ctx = _index(spark, sf)
+    _, q_fine = _question_vectors(spark, sf, ctx)
+    out = retrieve.fine(idx.select("doc_id", "source", "doc_vec"), "doc_id", "doc_vec", q_fine)
+    return out.select("doc_id", "source", "similarity")
+
+
+@register("retrieve_two_stage")
+def q_retrieve_two_stage(spark, sf):
+    idx, ctx = _index(spark, sf)
+    q_coarse, q_fine = _question_vectors(spark, sf, ctx)
+    out = retrieve.two_stage(idx.select("doc_id", "source", "kw_vec", "doc_vec"), "doc_id", "kw_vec", "doc_vec", q_coarse, q_fine)
+    return out.select("doc_id", "source", "coarse_similarity", "similarity")

@@ -296,3 +296,199 @@ t AS (SELECT sum(v.vsum * v.vsum / v.n) AS fn, sum(v.n * pow(v.vsum / v.n - g.g
 sq AS (SELECT sum(sq) AS sq FROM cs)
 SELECT round((t.between_ss / (t.k_tot - 1)) / ((sq.sq - t.fn) / (t.n_tot - t.k_tot)), 6) AS calinski_harabasz FROM t, sq
 """
+
+# ---------------------------------------------------------------- keywords and tree
+
+from ..functions.stopwords import KEYWORD_STOP_WORDS  # noqa: E402
+
+LEVELED = rf"""
+kstop(term) AS (VALUES {sql_values(KEYWORD_STOP_WORDS)}),
+base AS (
+  SELECT d.doc_id AS id, d.source AS professor, d.text, e.label AS l1,
+         CAST(d.doc_id % 3 AS INTEGER) AS l2, CAST(d.doc_id % 2 AS INTEGER) AS l3
+  FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id),
+terms AS (
+  SELECT id, term, count(*) AS tf FROM (
+    SELECT id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM base)
+  WHERE term NOT IN (SELECT term FROM kstop) GROUP BY id, term),
+paths AS (
+  SELECT id, 1 AS level, CAST(l1 AS VARCHAR) AS path FROM base WHERE l1 IS NOT NULL
+  UNION ALL SELECT id, 2 AS level, l1 || '.' || l2 AS path FROM base WHERE l1 IS NOT NULL AND l2 IS NOT NULL
+  UNION ALL SELECT id, 3 AS level, l1 || '.' || l2 || '.' || l3 AS path FROM base
+            WHERE l1 IS NOT NULL AND l2 IS NOT NULL AND l3 IS NOT NULL),
+ndocs AS (SELECT level, path, count(*) AS n_docs FROM paths GROUP BY level, path),
+pt AS (SELECT p.level, p.path, t.id, t.term, t.tf FROM paths p JOIN terms t ON p.id = t.id),
+stats AS (SELECT level, path, term, sum(tf) AS total, count(*) AS df FROM pt GROUP BY level, path, term),
+vocab AS (
+  SELECT s.level, s.path, s.term, ln((n.n_docs + 1.0) / (s.df + 1.0)) + 1.0 AS idf
+  FROM (SELECT *, row_number() OVER (PARTITION BY level, path ORDER BY total DESC, term) AS r FROM stats) s
+  JOIN ndocs n ON s.level = n.level AND s.path = n.path WHERE s.r <= 1000),
+weighted AS (
+  SELECT pt.level, pt.path, pt.id, pt.term, pt.tf * v.idf AS w
+  FROM pt JOIN vocab v ON pt.level = v.level AND pt.path = v.path AND pt.term = v.term),
+norms AS (SELECT level, path, id, sqrt(sum(w * w)) AS nrm FROM weighted GROUP BY level, path, id),
+scores AS (
+  SELECT w.level, w.path, w.term, sum(w.w / n.nrm) AS score
+  FROM weighted w JOIN norms n ON w.level = n.level AND w.path = n.path AND w.id = n.id
+  GROUP BY w.level, w.path, w.term),
+ranked AS (
+  SELECT level, path, term, row_number() OVER (PARTITION BY level, path ORDER BY round(score, 6) DESC, term) AS rk
+  FROM scores)"""
+
+
+def _kw(n: int) -> str:
+    return f"kw AS (SELECT level, path, string_agg(term, ', ' ORDER BY rk) AS keywords FROM ranked WHERE rk <= {n} GROUP BY level, path)"
+
+
+SQL["group_keywords"] = f"WITH {LEVELED}, {_kw(5)} SELECT CAST(path AS INTEGER) AS level_1, keywords FROM kw WHERE level = 1"
+
+SQL["level1_report"] = f"WITH {LEVELED}, {_kw(10)} SELECT CAST(path AS INTEGER) AS level_1, keywords FROM kw WHERE level = 1"
+
+SQL["level_keywords"] = f"""
+WITH {LEVELED}, {_kw(10)}
+SELECT b.id AS doc_id, b.l1 AS level_1, b.l2 AS level_2, b.l3 AS level_3,
+       k1.keywords AS level_1_keywords, k2.keywords AS level_2_keywords, k3.keywords AS level_3_keywords
+FROM base b
+LEFT JOIN kw k1 ON k1.level = 1 AND k1.path = CAST(b.l1 AS VARCHAR)
+LEFT JOIN kw k2 ON k2.level = 2 AND k2.path = b.l1 || '.' || b.l2
+LEFT JOIN kw k3 ON k3.level = 3 AND k3.path = b.l1 || '.' || b.l2 || '.' || b.l3
+"""
+
+SQL["tree_nodes"] = rf"""
+WITH {LEVELED}, {_kw(10)},
+sizes AS (SELECT level, path, count(*) AS size FROM paths GROUP BY level, path),
+pc AS (SELECT p.level, p.path, b.professor, count(*) AS n FROM paths p JOIN base b ON p.id = b.id
+       GROUP BY p.level, p.path, b.professor),
+pr AS (SELECT *, row_number() OVER (PARTITION BY level, path ORDER BY n DESC, professor) AS rk FROM pc),
+profs AS (SELECT level, path, string_agg(professor || ' (' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY rk) AS top_professors
+          FROM pr WHERE rk <= 5 GROUP BY level, path)
+SELECT 'Cluster ' || s.path AS node_id,
+       CASE WHEN s.path LIKE '%.%' THEN 'Cluster ' || regexp_replace(s.path, '\.[^.]*$', '') END AS parent_id,
+       s.level, s.size, k.keywords, p.top_professors
+FROM sizes s LEFT JOIN kw k ON s.level = k.level AND s.path = k.path
+LEFT JOIN profs p ON s.level = p.level AND s.path = p.path
+"""
+
+SQL["tree_edges"] = rf"""
+WITH {LEVELED}
+SELECT DISTINCT 'Cluster ' || regexp_replace(path, '\.[^.]*$', '') AS src, 'Cluster ' || path AS dst
+FROM paths WHERE level > 1
+"""
+
+# ---------------------------------------------------------------- embeddings and text retrieval
+
+DIM = 256
+TOK_RE = r"'[\p{L}\p{N}_]{2,}'"
+
+
+def _toks(name: str, src: str) -> str:
+    """(id, tok, tf) for a relation ``src`` with columns (id, text)."""
+    return f"""{name} AS (
+  SELECT id, tok, count(*) AS tf FROM (SELECT id, unnest(regexp_extract_all(lower(text), {TOK_RE})) AS tok FROM {src})
+  GROUP BY id, tok)"""
+
+
+BUCKET = f"CAST(('0x' || substr(md5(tok), 1, 8))::BIGINT % {DIM} AS INTEGER)"
+SIGN = "CASE WHEN ('0x' || substr(md5(tok), 9, 1))::INTEGER < 8 THEN 1.0 ELSE -1.0 END"
+
+
+def _hashed(name: str, toks: str, weight: str = "CAST(tf AS DOUBLE)") -> str:
+    """normalized long form (id, bucket, w) from a token relation (may carry idf)."""
+    return f"""{name}_raw AS (SELECT id, {BUCKET} AS bucket, sum({SIGN} * {weight}) AS v FROM {toks} GROUP BY 1, 2),
+{name}_n AS (SELECT id, sqrt(sum(v * v)) AS nrm FROM {name}_raw GROUP BY id),
+{name} AS (SELECT r.id, r.bucket, r.v / n.nrm AS w FROM {name}_raw r JOIN {name}_n n ON r.id = n.id WHERE n.nrm > 0)"""
+
+
+DOCS_SRC = "(SELECT doc_id AS id, text FROM documents)"
+SAMPLE = "samp AS (SELECT doc_id AS id, text FROM documents ORDER BY md5('1:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 512)"
+
+CONTEXT = f"""{SAMPLE},
+s_n AS (SELECT count(*) AS s FROM samp),
+{_toks('stoks', 'samp')},
+idf AS (SELECT t.tok, ln((s_n.s + 1.0) / (count(*) + 1.0)) + 1.0 AS idf FROM stoks t, s_n GROUP BY t.tok, s_n.s),
+unseen AS (SELECT ln(s + 1.0) + 1.0 AS u FROM s_n),
+stoks_w AS (SELECT t.id, t.tok, t.tf, coalesce(i.idf, unseen.u) AS idf FROM stoks t LEFT JOIN idf i ON t.tok = i.tok, unseen),
+{_hashed('sv', 'stoks_w', 'tf * idf')},
+mean AS (SELECT CAST(b.range AS INTEGER) AS bucket, coalesce(sum(sv.w), 0) / max(s_n.s) AS mean
+         FROM range({DIM}) b LEFT JOIN sv ON sv.bucket = b.range, s_n GROUP BY b.range)"""
+
+
+def _ctx_vectors(name: str, src: str) -> str:
+    """contextual unit vectors, dense long form (id, bucket, u), for relation src(id, text)."""
+    return f"""{_toks(name + '_t', src)},
+{name}_tw AS (SELECT t.id, t.tok, t.tf, coalesce(i.idf, unseen.u) AS idf FROM {name}_t t LEFT JOIN idf i ON t.tok = i.tok, unseen),
+{_hashed(name + '_h', name + '_tw', 'tf * idf')},
+{name}_c AS (SELECT d.id, m.bucket, coalesce(h.w, 0) - m.mean AS c
+             FROM (SELECT DISTINCT id FROM {name}_h) d CROSS JOIN mean m
+             LEFT JOIN {name}_h h ON h.id = d.id AND h.bucket = m.bucket),
+{name}_cn AS (SELECT id, sqrt(sum(c * c)) AS nrm FROM {name}_c GROUP BY id),
+{name} AS (SELECT c.id, c.bucket, c.c / n.nrm AS u FROM {name}_c c JOIN {name}_cn n ON c.id = n.id WHERE n.nrm > 0)"""
+
+
+SQL["hashed_embedding"] = f"""
+WITH {_toks('toks', DOCS_SRC)}, {_hashed('hv', 'toks')}
+SELECT id AS doc_id, bucket, round(w, 6) AS w FROM hv
+"""
+
+SQL["sample_corpus"] = f"WITH {SAMPLE} SELECT id AS doc_id FROM samp"
+
+SQL["context_stats"] = f"WITH {CONTEXT} SELECT bucket, round(mean, 6) AS mean FROM mean"
+
+SQL["context_embedding"] = f"""
+WITH {CONTEXT}, {_ctx_vectors('dv', DOCS_SRC)}
+SELECT id AS doc_id, list(round(u, 6) ORDER BY bucket) AS vec FROM dv GROUP BY id
+"""
+
+KEYPHRASES = f"""{_toks('ktoks_all', DOCS_SRC)},
+kstop2(tok) AS (VALUES {sql_values(KEYWORD_STOP_WORDS)}),
+ktoks AS (SELECT * FROM ktoks_all WHERE tok NOT IN (SELECT tok FROM kstop2)),
+n_all AS (SELECT count(*) AS n FROM documents),
+dfreq AS (SELECT tok, count(*) AS df FROM ktoks GROUP BY tok),
+ksc AS (SELECT k.id, k.tok, round(k.tf * (ln((n_all.n + 1.0) / (d.df + 1.0)) + 1.0), 6) AS score
+        FROM ktoks k JOIN dfreq d ON k.tok = d.tok, n_all),
+krk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, tok) AS r FROM ksc),
+kp AS (SELECT id, string_agg(tok, ', ' ORDER BY r) AS keywords FROM krk WHERE r <= 5 GROUP BY id)"""
+
+SQL["keyphrases"] = f"WITH {KEYPHRASES} SELECT id AS doc_id, keywords FROM kp"
+
+INDEX = f"""{CONTEXT}, {_ctx_vectors('dv', DOCS_SRC)}, {KEYPHRASES},
+{_toks('kwt', '(SELECT id, keywords AS text FROM kp)')},
+{_hashed('kwh', 'kwt')},
+kwd AS (SELECT d.id, b.range AS bucket, coalesce(h.w, 0.0) AS w
+        FROM (SELECT DISTINCT id FROM kwh) d CROSS JOIN range({DIM}) b
+        LEFT JOIN kwh h ON h.id = d.id AND h.bucket = b.range)"""
+
+SQL["index_table"] = f"""
+WITH {INDEX},
+dvl AS (SELECT id, list(round(u, 6) ORDER BY bucket) AS doc_vec FROM dv GROUP BY id),
+kwl AS (SELECT id, list(round(w, 6) ORDER BY bucket) AS kw_vec FROM kwd GROUP BY id)
+SELECT d.doc_id, d.source, kp.keywords, dvl.doc_vec, kwl.kw_vec
+FROM documents d LEFT JOIN kp ON kp.id = d.doc_id LEFT JOIN dvl ON dvl.id = d.doc_id LEFT JOIN kwl ON kwl.id = d.doc_id
+"""
+
+QUESTION = "(SELECT item_id AS id, text FROM benchmark WHERE item_id = 0)"
+
+FINE_SIM = f"""{_ctx_vectors('qv', QUESTION)},
+fsim AS (SELECT d.id, sum(d.u * q.u) / (sqrt(sum(d.u * d.u)) * sqrt(sum(q.u * q.u))) AS sim
+         FROM dv d JOIN qv q ON d.bucket = q.bucket GROUP BY d.id)"""
+
+SQL["retrieve_fine"] = f"""
+WITH {INDEX}, {FINE_SIM}
+SELECT f.id AS doc_id, d.source, round(f.sim, 6) AS similarity
+FROM fsim f JOIN documents d ON d.doc_id = f.id WHERE f.sim IS NOT NULL
+ORDER BY similarity DESC, doc_id LIMIT 5
+"""
+
+SQL["retrieve_two_stage"] = f"""
+WITH {INDEX}, {FINE_SIM},
+{_toks('qt', QUESTION)}, {_hashed('qh', 'qt')},
+csim AS (SELECT k.id, sum(k.w * q.w) / (sqrt(sum(k.w * k.w)) * sqrt(sum(q.w * q.w))) AS sim
+         FROM kwd k JOIN (SELECT b.range AS bucket, coalesce(h.w, 0.0) AS w FROM range({DIM}) b
+                          LEFT JOIN qh h ON h.bucket = b.range) q ON k.bucket = q.bucket GROUP BY k.id),
+top500 AS (SELECT id, round(sim, 6) AS coarse_similarity FROM csim WHERE sim IS NOT NULL
+           ORDER BY coarse_similarity DESC, id LIMIT 500)
+SELECT t.id AS doc_id, d.source, t.coarse_similarity, round(f.sim, 6) AS similarity
+FROM top500 t JOIN fsim f ON f.id = t.id JOIN documents d ON d.doc_id = t.id
+WHERE f.sim IS NOT NULL
+ORDER BY similarity DESC, doc_id LIMIT 5
+"""
