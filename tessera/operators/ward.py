@@ -1,0 +1,172 @@
+"""Centroid-level kernels used inside Spark tasks (or on <= M centroids):
+weighted Ward linkage (nearest-neighbour chain) and spectral partitioning.
+
+These run on *micro-cluster centroids*, never on raw rows: their input is
+bounded by M (see ``cluster.MICRO``), so they are small per-task helpers.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+def ward_merges(centers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Weighted Ward merges: rows (left, right, distance, size), sorted by distance.
+
+    Leaves are 0..m-1, merge number s creates node m+s (scipy-style ids).
+    Distance is sqrt(2 n_a n_b / (n_a + n_b)) * |c_a - c_b| for the merged
+    pair, updated with Lance-Williams; equal to the Euclidean distance for
+    two single points.
+    """
+    m = len(sizes)
+    if m < 2:
+        return np.zeros((0, 4))
+    x = centers.astype(np.float64)
+    n = sizes.astype(np.float64)
+    sq = (x * x).sum(axis=1)
+    e = np.maximum(sq[:, None] + sq[None, :] - 2.0 * (x @ x.T), 0.0)
+    d = 2.0 * n[:, None] * n[None, :] / (n[:, None] + n[None, :]) * e
+    np.fill_diagonal(d, np.inf)
+    active = np.ones(m, dtype=bool)
+    size = n.copy()
+    node = np.arange(m)
+    raw = []  # (left node, right node, D, size, creation order)
+    chain: list[int] = []
+    created = m
+    while active.sum() > 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(active)[0]))
+        a = chain[-1]
+        row = np.where(active, d[a], np.inf)
+        row[a] = np.inf
+        b = int(np.argmin(row))
+        if len(chain) > 1 and row[chain[-2]] <= row[b]:
+            b = chain[-2]
+        if len(chain) > 1 and b == chain[-2]:
+            chain.pop()
+            chain.pop()
+            dab = d[a, b]
+            lo, hi = sorted((int(node[a]), int(node[b])))
+            raw.append((lo, hi, dab, size[a] + size[b], created))
+            na, nb = size[a], size[b]
+            newrow = ((na + size) * d[a] + (nb + size) * d[b] - size * dab) / (na + nb + size)
+            d[a, :] = newrow
+            d[:, a] = newrow
+            d[a, a] = np.inf
+            active[b] = False
+            d[b, :] = np.inf
+            d[:, b] = np.inf
+            size[a] = na + nb
+            node[a] = created
+            created += 1
+        else:
+            chain.append(b)
+    # renumber in order of distance (children always precede parents)
+    raw.sort(key=lambda r: (r[2], r[4]))
+    remap = {}
+    out = np.zeros((len(raw), 4))
+    for s, (lo, hi, dd, sz, cr) in enumerate(raw):
+        l2, h2 = remap.get(lo, lo), remap.get(hi, hi)
+        remap[cr] = m + s
+        out[s] = (min(l2, h2), max(l2, h2), np.sqrt(max(dd, 0.0)), sz)
+    return out
+
+
+def cut_tree(merges: np.ndarray, m: int, k: int) -> np.ndarray:
+    """Cluster index (0..k-1, arbitrary order) of each leaf after the first m-k merges."""
+    parent = np.arange(m)
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    rep = {i: i for i in range(m)}
+    for s in range(max(0, m - max(k, 1))):
+        lft, rgt = int(merges[s, 0]), int(merges[s, 1])
+        ra, rb = find(rep[lft]), find(rep[rgt])
+        parent[rb] = ra
+        rep[m + s] = ra
+    roots = np.array([find(i) for i in range(m)])
+    _, lab = np.unique(roots, return_inverse=True)
+    return lab
+
+
+def renumber_by_min(labels: np.ndarray, min_ids: np.ndarray) -> np.ndarray:
+    """Relabel clusters 0..k-1 in order of their smallest member id."""
+    order = {}
+    for lab in np.unique(labels):
+        order[lab] = min_ids[labels == lab].min()
+    ranked = sorted(order, key=lambda lab: order[lab])
+    pos = {lab: i for i, lab in enumerate(ranked)}
+    return np.array([pos[x] for x in labels], dtype=np.int64)
+
+
+def ward_labels(centers, sizes, min_ids, k: int) -> np.ndarray:
+    m = len(sizes)
+    if m <= k:
+        return renumber_by_min(np.arange(m), np.asarray(min_ids))
+    return renumber_by_min(cut_tree(ward_merges(centers, sizes), m, k), np.asarray(min_ids))
+
+
+def _kmeans(x: np.ndarray, k: int, seed: int, n_init: int = 10, iters: int = 300) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    best, best_inertia = None, np.inf
+    for _ in range(n_init):
+        # k-means++ seeding
+        c = [x[rng.integers(len(x))]]
+        for _ in range(1, k):
+            d2 = np.min(((x[:, None, :] - np.array(c)[None]) ** 2).sum(axis=2), axis=1)
+            p = d2 / d2.sum() if d2.sum() > 0 else np.full(len(x), 1.0 / len(x))
+            c.append(x[rng.choice(len(x), p=p)])
+        c = np.array(c)
+        for _ in range(iters):
+            lab = np.argmin(((x[:, None, :] - c[None]) ** 2).sum(axis=2), axis=1)
+            new = np.array([x[lab == j].mean(axis=0) if np.any(lab == j) else c[j] for j in range(k)])
+            if np.allclose(new, c):
+                break
+            c = new
+        inertia = ((x - c[lab]) ** 2).sum()
+        if inertia < best_inertia:
+            best, best_inertia = lab, inertia
+    return best
+
+
+def spectral_labels(centers, sizes, min_ids, k: int, seed: int = 42, n_neighbors: int = 10, emb=None) -> np.ndarray:
+    """kNN connectivity (self included, symmetrized), normalized Laplacian,
+    k smallest eigenvectors, seeded k-means; labels renumbered by min id."""
+    m = len(sizes)
+    if m <= k:
+        return renumber_by_min(np.arange(m), np.asarray(min_ids))
+    if emb is None:
+        emb = spectral_embedding(centers, n_neighbors)
+    lab = _kmeans(emb[:, :k], k, seed)
+    return renumber_by_min(lab, np.asarray(min_ids))
+
+
+def spectral_embedding(centers, n_neighbors: int = 10) -> np.ndarray:
+    """All eigenvectors of the normalized Laplacian of the kNN graph, ascending,
+    scaled by D^-1/2, signs fixed (largest |entry| positive). Computed once and
+    reused for every k of a sweep."""
+    m = len(centers)
+    x = centers.astype(np.float64)
+    nn = max(1, min(n_neighbors, m - 1))
+    sq = (x * x).sum(axis=1)
+    dist = np.maximum(sq[:, None] + sq[None, :] - 2.0 * (x @ x.T), 0.0)
+    order = np.argsort(dist, axis=1, kind="stable")[:, :nn]
+    a = np.zeros((m, m))
+    for i in range(m):
+        a[i, order[i]] = 1.0
+        a[i, i] = 1.0
+    w = 0.5 * (a + a.T)
+    deg = w.sum(axis=1)
+    dinv = 1.0 / np.sqrt(deg)
+    lap = np.eye(m) - dinv[:, None] * w * dinv[None, :]
+    vals, vecs = np.linalg.eigh(lap)
+    emb = vecs * dinv[:, None]
+    for j in range(emb.shape[1]):  # fix signs: largest |entry| positive
+        i = np.argmax(np.abs(emb[:, j]))
+        if emb[i, j] < 0:
+            emb[:, j] = -emb[:, j]
+    return emb

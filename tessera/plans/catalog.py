@@ -466,3 +466,57 @@ def q_retrieve_two_stage(spark, sf):
     q_coarse, q_fine = _question_vectors(spark, sf, ctx)
     out = retrieve.two_stage(idx.select("doc_id", "source", "kw_vec", "doc_vec"), "doc_id", "kw_vec", "doc_vec", q_coarse, q_fine)
     return out.select("doc_id", "source", "coarse_similarity", "similarity")
+
+
+# ---------------------------------------------------------------- clustering (rows-checked)
+
+from ..operators import cluster  # noqa: E402
+
+FLAT_K = 30
+LEVEL_KS = (12, 6, 3)
+SWEEP = range(2, 31)
+
+
+@register("pca_2d")
+def q_pca_2d(spark, sf):
+    return cluster.pca_2d(_emb(spark, sf), "vec_id", "embedding")
+
+
+@register("kmeans")
+def q_kmeans(spark, sf):
+    return cluster.kmeans(_emb(spark, sf), "vec_id", "embedding", FLAT_K)
+
+
+@register("agglomerative")
+def q_agglomerative(spark, sf):
+    return cluster.flat(_emb(spark, sf), "vec_id", "embedding", FLAT_K, "ward")
+
+
+@register("merge_table")
+def q_merge_table(spark, sf):
+    return cluster.merge_table(_emb(spark, sf), "vec_id", "embedding")
+
+
+@register("three_level_ward")
+def q_three_level_ward(spark, sf):
+    return cluster.three_level(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS, "ward")
+
+
+@register("three_level_spectral")
+def q_three_level_spectral(spark, sf):
+    return cluster.three_level(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS, "spectral")
+
+
+@register("k_sweep_ward")
+def q_k_sweep_ward(spark, sf):
+    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP, "ward")
+
+
+@register("k_sweep_spectral")
+def q_k_sweep_spectral(spark, sf):
+    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP, "spectral")
+
+
+@register("clustered_rows")
+def q_clustered_rows(spark, sf):
+    return cluster.clustered_rows(_emb(spark, sf).select("vec_id", "embedding", "label"), "vec_id", "embedding", FLAT_K).drop("embedding")
