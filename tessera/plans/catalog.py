@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..operators import clean, explore, language
@@ -520,3 +521,48 @@ def q_k_sweep_spectral(spark, sf):
 @register("clustered_rows")
 def q_clustered_rows(spark, sf):
     return cluster.clustered_rows(_emb(spark, sf).select("vec_id", "embedding", "label"), "vec_id", "embedding", FLAT_K).drop("embedding")
+
+
+# ---------------------------------------------------------------- ingest
+
+from ..sources import files as fsrc  # noqa: E402
+from ..sources import records as rec  # noqa: E402
+
+PROPS = "k INT"
+
+
+@register("flatten_records")
+def q_flatten_records(spark, sf):
+    # H3/H4: schema'd JSON parse of events.props; a missing or mistyped field gets the default
+    e = table(spark, sf, "events")
+    p = rec.parse_json(e, "props", T.StructType([T.StructField("k", T.IntegerType())]))
+    return p.select("event_id", "user_id", F.coalesce(F.col("rec.k"), F.lit(-1)).alias("k"))
+
+
+def _titled(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("title"), "text")
+
+
+@register("first_match")
+def q_first_match(spark, sf):
+    # the landed lookup candidates are the documents themselves (copies share titles); rank = doc_id
+    d = _titled(spark, sf)
+    out = rec.first_match(d.select("doc_id", "title"), "title", d, "title", "text", "doc_id")
+    return out.select("doc_id", "abstract")
+
+
+@register("merge_abstracts")
+def q_merge_abstracts(spark, sf):
+    d = _titled(spark, sf)
+    lookup = d.select(F.col("title").alias("t"), tx.clean_text("text").alias("a"), F.col("doc_id").alias("seq"))
+    out = rec.merge_abstracts(d.select("doc_id", "title"), "title", lookup, "t", "a", "seq")
+    return out.select("doc_id", "abstract")
+
+
+@register("pending_keys")
+def q_pending_keys(spark, sf):
+    # documents not processed yet = no row in labels
+    keys = table(spark, sf, "documents").select("doc_id", "source")
+    done = table(spark, sf, "labels").select("doc_id")
+    return fsrc.pending(keys, done, "doc_id")

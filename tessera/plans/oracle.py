@@ -492,3 +492,34 @@ FROM top500 t JOIN fsim f ON f.id = t.id JOIN documents d ON d.doc_id = t.id
 WHERE f.sim IS NOT NULL
 ORDER BY similarity DESC, doc_id LIMIT 5
 """
+
+# ---------------------------------------------------------------- ingest
+
+SQL["flatten_records"] = """
+SELECT event_id, user_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k FROM events
+"""
+
+TITLED = r"""titled AS (
+  SELECT doc_id, split_part(text, chr(10), 1) AS title, text,
+         lower(regexp_replace(split_part(split_part(text, chr(10), 1), ':', 1),
+                              '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')) AS key
+  FROM documents)"""
+
+SQL["first_match"] = rf"""
+WITH {TITLED},
+best AS (SELECT key, text FROM (SELECT key, text, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS rn FROM titled)
+         WHERE rn = 1)
+SELECT t.doc_id, coalesce(regexp_replace(b.text, '[^\x20-\x7E]+', '', 'g'), 'N/A') AS abstract
+FROM titled t LEFT JOIN best b ON t.key = b.key
+"""
+
+SQL["merge_abstracts"] = rf"""
+WITH {TITLED},
+last AS (SELECT title, regexp_replace(text, '[^\x20-\x7E]+', '', 'g') AS abstract FROM (
+           SELECT title, text, row_number() OVER (PARTITION BY title ORDER BY doc_id DESC) AS rn FROM titled) WHERE rn = 1)
+SELECT t.doc_id, l.abstract FROM titled t LEFT JOIN last l ON t.title = l.title
+"""
+
+SQL["pending_keys"] = """
+SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+"""
