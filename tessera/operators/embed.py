@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..session import spread
 from ..functions import vectors as V
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 
@@ -48,7 +49,7 @@ def sign_of(tok: Column) -> Column:
 
 def doc_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tok, tf) over the whole text."""
-    t = df.select(F.col(id_col).alias("id"), F.explode(tx.word_tokens(text_col)).alias("tok"))
+    t = spread(df.select(F.col(id_col).alias("id"), F.col(text_col))).select("id", F.explode(tx.word_tokens(text_col)).alias("tok"))
     return t.groupBy("id", "tok").agg(F.count(F.lit(1)).alias("tf"))
 
 

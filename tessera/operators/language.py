@@ -28,27 +28,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import NON_LETTER_RUN
+from ..session import spread
 
 # Smoothing vocabulary size and score rounding.
 VOCAB = 5000
 SCORE_DIGITS = 6
 ALL_SPACE_GRAM = "   "
-TOTAL_ROW = ""  # marker row carrying N(doc); never a real trigram (length 3)
+TOTAL_ROW = -1  # marker row carrying N(doc); trigram codes are never negative
+
+# a trigram is encoded as one int64: three Unicode code points (< 2**21 each)
+_SHIFT = 21
+_SPACE_CODE = (32 << 42) | (32 << 21) | 32
 
 GRAM_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("lang", T.StringType()),
-        T.StructField("gram", T.StringType()),
+        T.StructField("gram", T.LongType()),
         T.StructField("c", T.LongType()),
     ]
 )
 
 
 def _count_batches(batches):
-    """Per document: trigram counts plus one marker row with the total."""
-    from collections import Counter
-
+    """Per document: trigram counts (NumPy over code points) plus one marker
+    row with the total. No per-character Python loop."""
+    import numpy as np
     import pyarrow as pa
 
     for b in batches:
@@ -59,28 +64,33 @@ def _count_batches(batches):
         for i, lang, s in zip(ids, langs, texts):
             if s is None or len(s) < 3:
                 continue
-            cnt = Counter(s[j : j + 3] for j in range(len(s) - 2))
-            cnt.pop(ALL_SPACE_GRAM, None)
-            if not cnt:
+            cp = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+            tri = (cp[:-2] << 42) | (cp[1:-1] << 21) | cp[2:]
+            tri = tri[tri != _SPACE_CODE]
+            if tri.size == 0:
                 continue
-            n = len(cnt) + 1
-            out_id.extend([i] * n)
-            out_lang.extend([lang] * n)
-            out_g.append(TOTAL_ROW)
-            out_c.append(sum(cnt.values()))
-            out_g.extend(cnt.keys())
-            out_c.extend(cnt.values())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out_id, pa.int64()), pa.array(out_lang, pa.string()), pa.array(out_g, pa.string()), pa.array(out_c, pa.int64())],
-            schema=pa.schema([("id", pa.int64()), ("lang", pa.string()), ("gram", pa.string()), ("c", pa.int64())]),
-        )
+            g, c = np.unique(tri, return_counts=True)
+            out_id.append(np.full(g.size + 1, i, dtype=np.int64))
+            out_lang.extend([lang] * (g.size + 1))
+            out_g.append(np.concatenate(([TOTAL_ROW], g)))
+            out_c.append(np.concatenate(([tri.size], c)).astype(np.int64))
+        if out_id:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(out_id)), pa.array(out_lang, pa.string()), pa.array(np.concatenate(out_g)), pa.array(np.concatenate(out_c))],
+                schema=pa.schema([("id", pa.int64()), ("lang", pa.string()), ("gram", pa.int64()), ("c", pa.int64())]),
+            )
+
+
+def decode_gram(code: int) -> str:
+    """The three characters of a trigram code (for inspecting a model)."""
+    return chr((code >> 42) & 0x1FFFFF) + chr((code >> 21) & 0x1FFFFF) + chr(code & 0x1FFFFF)
 
 
 def trigrams(df: DataFrame, id_col: str, text_col: str, lang_col: str | None = None) -> DataFrame:
-    """(id, lang, gram, c) with one extra ``gram = ''`` row per document holding N(doc)."""
+    """(id, lang, gram, c) with one extra ``gram = -1`` row per document holding N(doc)."""
     s = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text_col)), NON_LETTER_RUN, " "), F.lit(" "))
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    prepared = df.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang"), s.alias("s"))
+    prepared = spread(df.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang"), s.alias("s")))
     return prepared.mapInArrow(_count_batches, GRAM_SCHEMA)
 
 

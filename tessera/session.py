@@ -64,3 +64,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a thinly partitioned input at least one partition per core before a
+    heavy per-row step (round robin). Inputs that already have enough
+    partitions -- every input at cluster scale -- pass through unshuffled."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
