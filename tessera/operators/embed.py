@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..session import spread
 from ..functions import vectors as V
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 
@@ -49,7 +48,7 @@ def sign_of(tok: Column) -> Column:
 
 def doc_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tok, tf) over the whole text."""
-    t = spread(df.select(F.col(id_col).alias("id"), F.col(text_col))).select("id", F.explode(tx.word_tokens(text_col)).alias("tok"))
+    t = df.select(F.col(id_col).alias("id"), F.explode(tx.word_tokens(text_col)).alias("tok"))
     return t.groupBy("id", "tok").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -72,9 +71,35 @@ def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = DIM)
 
 
 def densify(long_df: DataFrame, dim: int = DIM, out: str = "vec") -> DataFrame:
-    """Long form (id, bucket, w) -> (id, array<double> of length dim)."""
-    m = long_df.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_m"))
-    return m.select("id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0))).alias(out))
+    """Long form (id, bucket, w) -> (id, array<double> of length dim).
+
+    The entries of one id (at most dim) are gathered by a group-by and placed
+    with a NumPy scatter per Arrow batch; a Spark map lookup per element would
+    scan the map, costing dim x nnz per row.
+    """
+    g = long_df.groupBy("id").agg(F.collect_list(F.struct("bucket", "w")).alias("_e"))
+    schema = T.StructType([T.StructField("id", g.schema["id"].dataType), T.StructField(out, T.ArrayType(T.DoubleType()))])
+
+    def scatter(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            ids = b.column(0)
+            ent = b.column(1)
+            offs = ent.offsets.to_numpy()
+            flat = ent.values
+            bk = flat.field("bucket").to_numpy(zero_copy_only=False)
+            wv = flat.field("w").to_numpy(zero_copy_only=False)
+            n = len(ids)
+            dense = np.zeros((n, dim))
+            rows = np.repeat(np.arange(n), np.diff(offs))
+            # .values is the whole child array; this batch's entries are [offs[0], offs[-1])
+            dense[rows, bk[offs[0] : offs[-1]]] = wv[offs[0] : offs[-1]]
+            arr = pa.FixedSizeListArray.from_arrays(pa.array(dense.ravel()), dim).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([ids, arr], names=["id", out])
+
+    return g.mapInArrow(scatter, schema)
 
 
 def sample_corpus(df: DataFrame, id_col: str, n: int = SAMPLE_SIZE, seed: str = SAMPLE_SEED) -> DataFrame:
