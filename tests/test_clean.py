@@ -50,3 +50,20 @@ def test_describe_matches_pandas(spark):
     s = pd.Series(vals).describe()
     assert abs(d["mean"] - s["mean"]) < 1e-12 and abs(d["std"] - s["std"]) < 1e-12
     assert (d["p25"], d["p50"], d["p75"]) == (s["25%"], s["50%"], s["75%"])
+
+
+def test_results_unchanged_by_repartition(spark):
+    from tessera.operators import embed, keywords
+
+    rows = [(i, f"alpha beta{i % 3} gamma{i % 5} delta", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, text string, g int")
+
+    def snap(d):
+        return sorted(tuple(r) for r in d.collect())
+
+    for fn in (
+        lambda d: keywords.group_keywords(d, "id", "text", "g", 3),
+        lambda d: embed.sample_corpus(d, "id", 7).select("id"),
+        lambda d: clean.keep_recent(d, ["g"], "id", "id"),
+    ):
+        assert snap(fn(df)) == snap(fn(df.repartition(5)))
