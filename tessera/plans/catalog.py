@@ -566,3 +566,14 @@ def q_pending_keys(spark, sf):
     keys = table(spark, sf, "documents").select("doc_id", "source")
     done = table(spark, sf, "labels").select("doc_id")
     return fsrc.pending(keys, done, "doc_id")
+
+
+# ---------------------------------------------------------------- word cloud
+
+from ..operators import wordcloud  # noqa: E402
+
+
+@register("wordcloud_weights")
+def q_wordcloud_weights(spark, sf):
+    w = wordcloud.wordcloud_weights(publications(spark, sf), "abstract")
+    return w.select("word", "count", F.round("weight", DIGITS).alias("weight"))

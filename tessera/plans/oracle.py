@@ -523,3 +523,56 @@ SELECT t.doc_id, l.abstract FROM titled t LEFT JOIN last l ON t.title = l.title
 SQL["pending_keys"] = """
 SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """
+
+# ---------------------------------------------------------------- word cloud
+
+SQL["wordcloud_weights"] = rf"""
+WITH {STOP_CTE},
+toks AS (
+  SELECT doc_id,
+         list_filter(list_transform(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_'']*'),
+                                    lambda t: regexp_replace(t, '''s$', '')),
+                     lambda t: NOT regexp_matches(t, '^\p{{Nd}}+$')) AS arr
+  FROM documents),
+uni AS (SELECT w FROM (SELECT unnest(arr) AS w FROM toks) WHERE w NOT IN (SELECT word FROM stop)),
+uni_counts AS (SELECT w AS key, count(*) AS n FROM uni GROUP BY w),
+n_words AS (SELECT sum(n) AS n_words FROM uni_counts),
+pairs AS (
+  SELECT arr[i] AS a, arr[i + 1] AS b FROM (SELECT arr, unnest(range(1, len(arr))) AS i FROM toks)),
+bi_counts AS (
+  SELECT a || ' ' || b AS key, count(*) AS n FROM pairs
+  WHERE a NOT IN (SELECT word FROM stop) AND b NOT IN (SELECT word FROM stop) GROUP BY 1),
+uni_map AS (
+  SELECT c.key, coalesce(s.key, c.key) AS std FROM uni_counts c
+  LEFT JOIN uni_counts s ON c.key LIKE '%s' AND c.key NOT LIKE '%ss' AND s.key = substring(c.key, 1, length(c.key) - 1)),
+uni_f AS (SELECT m.std AS key, sum(c.n) AS n FROM uni_counts c JOIN uni_map m ON c.key = m.key GROUP BY m.std),
+bi_map AS (
+  SELECT c.key, coalesce(s.key, c.key) AS std FROM bi_counts c
+  LEFT JOIN bi_counts s ON c.key LIKE '%s' AND c.key NOT LIKE '%ss' AND s.key = substring(c.key, 1, length(c.key) - 1)),
+bi_f AS (SELECT m.std AS key, sum(c.n) AS n FROM bi_counts c JOIN bi_map m ON c.key = m.key GROUP BY m.std),
+scored AS (
+  SELECT b.key, CAST(b.n AS DOUBLE) AS c12, m1.std AS s1, m2.std AS s2, CAST(u1.n AS DOUBLE) AS c1, CAST(u2.n AS DOUBLE) AS c2,
+         CAST(nw.n_words AS DOUBLE) AS nn
+  FROM bi_f b
+  JOIN uni_map m1 ON m1.key = split_part(b.key, ' ', 1)
+  JOIN uni_map m2 ON m2.key = split_part(b.key, ' ', 2)
+  JOIN uni_f u1 ON u1.key = m1.std
+  JOIN uni_f u2 ON u2.key = m2.std, n_words nw),
+ll AS (
+  SELECT *, c2 / nn AS p, c12 / c1 AS p1, (c2 - c12) / nullif(nn - c1, 0) AS p2 FROM scored),
+colloc AS (
+  SELECT key, c12, s1, s2 FROM ll WHERE -2 * (
+      (ln(greatest(p, 1e-10)) * c12 + ln(greatest(1 - p, 1e-10)) * (c1 - c12))
+    + (ln(greatest(p, 1e-10)) * (c2 - c12) + ln(greatest(1 - p, 1e-10)) * ((nn - c1) - (c2 - c12)))
+    - (ln(greatest(p1, 1e-10)) * c12 + ln(greatest(1 - p1, 1e-10)) * (c1 - c12))
+    - (ln(greatest(p2, 1e-10)) * (c2 - c12) + ln(greatest(1 - p2, 1e-10)) * ((nn - c1) - (c2 - c12)))
+  ) > 30),
+tab AS (
+  SELECT key, sum(n) AS n FROM (
+    SELECT key, n FROM uni_f
+    UNION ALL SELECT s1 AS key, -c12 AS n FROM colloc
+    UNION ALL SELECT s2 AS key, -c12 AS n FROM colloc) GROUP BY key
+  UNION ALL SELECT key, c12 AS n FROM colloc),
+top AS (SELECT key, n FROM tab WHERE n > 0 ORDER BY n DESC, key LIMIT 100)
+SELECT key AS word, CAST(n AS BIGINT) AS count, round(n / max(n) OVER (), 6) AS weight FROM top
+"""
