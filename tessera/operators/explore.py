@@ -7,6 +7,8 @@ costs one row per map task on the shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions.stopwords import EXPLORE_STOP_WORDS, stop_word_frame
+from ..session import spread
 
 
 def top_n_per_group(df: DataFrame, group_cols: list[str], score_col: str, key_col: str, n: int, rank_col: str = "rank") -> DataFrame:
@@ -40,7 +43,7 @@ def _stop_anti(tokens: DataFrame, spark, stop_words: list[str], col: str = "word
 
 def word_counts(df: DataFrame, text_col: str, stop_words: list[str] = EXPLORE_STOP_WORDS) -> DataFrame:
     """Vectorizer-token counts over the corpus: (word, n)."""
-    toks = df.select(F.explode(tx.word_tokens(text_col)).alias("word"))
+    toks = spread(df.select(F.col(text_col).alias("_text"))).select(F.explode(tx.word_tokens("_text")).alias("word"))
     toks = _stop_anti(toks, df.sparkSession, stop_words)
     return toks.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -55,9 +58,8 @@ def words_by_year(df: DataFrame, year_col: str, text_col: str, stop_words: list[
 
     Rows with a NULL year drop out, as in a pandas group-by; NULL text gives no token.
     """
-    toks = df.filter(F.col(year_col).isNotNull()).select(
-        F.col(year_col).alias("year"), F.explode(tx.whitespace_tokens(text_col)).alias("word")
-    )
+    src = spread(df.filter(F.col(year_col).isNotNull()).select(F.col(year_col).alias("year"), F.col(text_col).alias("_text")))
+    toks = src.select("year", F.explode(tx.whitespace_tokens("_text")).alias("word"))
     toks = _stop_anti(toks, df.sparkSession, stop_words)
     return toks.groupBy("year", "word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -76,20 +78,105 @@ def _numeric_cols(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+QUANTILES = (0.25, 0.5, 0.75)
+MAX_BRACKET_ROWS = 1_000_000
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], qs=QUANTILES, max_bracket: int = MAX_BRACKET_ROWS) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics), exact,
+    without gathering a column in one place.
+
+    1. ``percentile_approx`` (rank error <= n / A) brackets each needed rank,
+       with A chosen so a bracket holds at most ~``max_bracket`` rows;
+    2. one scan counts the rows below each bracket;
+    3. the distinct values inside each bracket (with counts) are read and the
+       exact order statistics located by walking their cumulative counts.
+    A bracket that misses its rank (the approximation guarantee failed) is
+    widened to [min, max].
+    """
+    xs = [F.col(c).cast("double") for c in cols]
+    base = df.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)], *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)], *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)]).first()
+    out: dict[str, list[float | None]] = {}
+    plans = []
+    for i, c in enumerate(cols):
+        n = base[f"n{i}"]
+        if not n:
+            out[c] = [None] * len(qs)
+            continue
+        acc = int(min(max(10_000, 4 * n // max_bracket + 1), 10_000_000))
+        eps = 2.0 / acc
+        need = sorted({r for q in qs for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
+        plans.append((i, c, n, acc, eps, need))
+    if not plans:
+        return out
+    probes = []
+    for i, c, n, acc, eps, need in plans:
+        ps = [p for r in need for p in (max(0.0, r / max(n - 1, 1) - eps), min(1.0, r / max(n - 1, 1) + eps))]
+        probes.append(F.percentile_approx(xs[i], F.array(*[F.lit(p) for p in ps]), acc).alias(f"b{i}"))
+    br = df.agg(*probes).first()
+    brackets = {}
+    for i, c, n, acc, eps, need in plans:
+        vals = br[f"b{i}"]
+        brackets[i] = [(float(vals[2 * j]), float(vals[2 * j + 1])) for j in range(len(need))]
+    below = df.agg(
+        *[F.sum((xs[i] < F.lit(a)).cast("long")).alias(f"c{i}_{j}") for i, c, n, acc, eps, need in plans for j, (a, b) in enumerate(brackets[i])]
+    ).first()
+    # every bracket's histogram in one scan: each row goes to the brackets it falls in
+    items = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), xs[i].alias("v"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+        for i, c, n, acc, eps, need in plans
+        for j, (a, b) in enumerate(brackets[i])
+    ]
+    hits = df.select(F.explode(F.filter(F.array(*items), lambda t: (t["v"] >= t["a"]) & (t["v"] <= t["b"]))).alias("t"))
+    hist_rows = hits.groupBy("t.i", "t.j", "t.v").agg(F.count(F.lit(1)).alias("k")).collect()
+    hists: dict[tuple[int, int], list[tuple[float, int]]] = {}
+    for row in hist_rows:
+        hists.setdefault((row["i"], row["j"]), []).append((row["v"], row["k"]))
+    for i, c, n, acc, eps, need in plans:
+        exact = {}
+        for j, r in enumerate(need):
+            a, b = brackets[i][j]
+            c_below = below[f"c{i}_{j}"] or 0
+            hist = sorted(hists.get((i, j), []))
+            for attempt in range(2):
+                cum, found = c_below, None
+                for v, k in hist:
+                    if cum + k > r:
+                        found = v
+                        break
+                    cum += k
+                if found is not None and c_below <= r:
+                    exact[r] = found
+                    break
+                # the approximation missed this rank: widen to [min, max] (rare)
+                a, b, c_below = base[f"lo{i}"], base[f"hi{i}"], 0
+                sel = df.select(xs[i].alias("x")).filter((F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)))
+                hist = [(row["x"], row["k"]) for row in sel.groupBy("x").agg(F.count(F.lit(1)).alias("k")).orderBy("x").collect()]
+        res = []
+        for q in qs:
+            pos = q * (n - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            res.append(exact[lo] + (pos - lo) * (exact[hi] - exact[lo]))
+        out[c] = res
+    return out
+
+
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Count, mean, std, min, quartiles, max per numeric column, long form.
 
-    ``exact=True`` uses linear-interpolated ``percentile`` (pandas semantics);
-    its buffer grows with the number of *distinct* values, so for continuous
-    columns at scale pass ``exact=False`` (``percentile_approx``).
+    Quartiles are exact (``exact_quantiles``: bounded brackets, never a whole
+    column in one buffer) or, with ``exact=False``, ``percentile_approx``.
     """
     cols = cols or _numeric_cols(df)
+    spark = df.sparkSession
+    quant = exact_quantiles(df, cols) if exact else None
     aggs = []
-    for c in cols:
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else F.percentile_approx(
-            x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy
-        ).cast("array<double>")
+        if exact:
+            q = F.array(*[F.lit(v).cast("double") for v in quant[c]])
+        else:
+            q = F.percentile_approx(x, F.array(*[F.lit(v) for v in QUANTILES]), accuracy).cast("array<double>")
         aggs.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -101,7 +188,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True, a
                 q[1].alias("p50"),
                 q[2].alias("p75"),
                 F.max(x).alias("max"),
-            ).alias(f"_s{len(aggs)}")
+            ).alias(f"_s{i}")
         )
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(aggs))])).alias("s")).select("s.*")

@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
+from ..session import spread
 
 MAX_FEATURES = 1000
 SCORE_DIGITS = 6
@@ -29,7 +30,8 @@ SCORE_DIGITS = 6
 def doc_terms(df: DataFrame, id_col: str, text_col: str, stop_words: list[str] = KEYWORD_STOP_WORDS) -> DataFrame:
     """(id, term, tf): counts per document; the partial aggregate reduces each
     document inside the task that read it."""
-    toks = df.select(F.col(id_col).alias("id"), F.explode(tx.word_tokens(text_col)).alias("term"))
+    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
+    toks = src.select("id", F.explode(tx.word_tokens("_text")).alias("term"))
     toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
     return toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 

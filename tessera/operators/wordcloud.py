@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stopwords import EXPLORE_STOP_WORDS, stop_word_frame
+from ..session import spread
 
 # Token pattern, collocation threshold, number of words.
 TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
@@ -43,7 +44,7 @@ def _tokens(df: DataFrame, text_col: str) -> DataFrame:
     raw = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0)
     stripped = F.transform(F.coalesce(raw, F.array().cast("array<string>")), lambda t: F.regexp_replace(t, "'s$", ""))
     kept = F.filter(stripped, lambda t: ~t.rlike(DIGITS_ONLY))
-    return df.select(kept.alias("arr"))
+    return spread(df.select(F.col(text_col))).select(kept.alias("arr"))
 
 
 def _fold_plurals(counts: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:

@@ -67,3 +67,14 @@ def test_results_unchanged_by_repartition(spark):
         lambda d: clean.keep_recent(d, ["g"], "id", "id"),
     ):
         assert snap(fn(df)) == snap(fn(df.repartition(5)))
+
+
+def test_exact_quantiles_with_hot_value_and_narrow_brackets(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(size=4000), np.full(2000, 0.25)])  # a third of rows share one value
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(6)
+    got = explore.exact_quantiles(df, ["x"], (0.1, 0.25, 0.5, 0.9), max_bracket=50)["x"]
+    want = np.quantile(vals, [0.1, 0.25, 0.5, 0.9])
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
