@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vectors as V
+from ..session import cut_lineage
 from . import quality as Q
 from . import ward as W
 
@@ -99,13 +100,70 @@ def _level1(micro: DataFrame, k: int, method: str, seed: int) -> DataFrame:
     return _split_groups(micro.withColumn("_all", F.lit(0)), ["_all"], "level_1", k, method, seed).drop("_all")
 
 
+REFINE_OFFSET = 1 << 40  # id space of refined micro-clusters (never collides with row ids or KMeans ids)
+
+
+def _refine(df, id_col, vec_col, assign, lv, parent_cols, k, m, seed):
+    """Give every parent that has >= k rows but < k micro-clusters finer
+    micro-clusters, using that parent's rows only. Parents with at most MICRO
+    rows (all of them in practice) are refined in one batched step: each of
+    their rows becomes its own micro-cluster (exact). Larger ones get a KMeans
+    of their own (a short driver loop, bounded by the number of parents).
+    Nothing happens in exact mode."""
+    stats = lv.groupBy(*parent_cols).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("micros"))
+    todo = stats.filter((F.col("rows") >= k) & (F.col("micros") < k))
+    if not todo.head(1):
+        return assign, lv
+    vecs = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("_vec"))
+    keep_cols = lv.columns
+
+    def widen(frame):
+        for extra in keep_cols:
+            if extra not in frame.columns:
+                frame = frame.withColumn(extra, F.lit(None).cast(lv.schema[extra].dataType))
+        return frame.select(*keep_cols)
+
+    # small parents, all at once
+    small = todo.filter(F.col("rows") <= MICRO).select(*parent_cols)
+    moved = lv.join(small, parent_cols, "left_semi").select("micro", *parent_cols)
+    moved_rows = assign.join(moved, "micro")  # (micro, id, parents)
+    off = F.lit(REFINE_OFFSET * len(parent_cols))
+    new_micro = moved_rows.join(vecs, "id").select(
+        (F.col("id") + off).alias("micro"),
+        F.lit(1).cast("long").alias("n"),
+        F.transform("_vec", lambda x: x.cast("double")).alias("center"),
+        F.col("id").alias("min_id"),
+        *parent_cols,
+    )
+    lv = lv.join(moved.select("micro"), "micro", "left_anti").unionByName(widen(new_micro))
+    assign = assign.join(moved_rows.select("id"), "id", "left_anti").unionByName(moved_rows.select("id", (F.col("id") + off).alias("micro")))
+
+    # large parents, one KMeans each
+    for t, parent in enumerate(todo.filter(F.col("rows") > MICRO).collect()):
+        cond = F.lit(True)
+        for c in parent_cols:
+            cond = cond & (F.col(c) == F.lit(parent[c]))
+        old = lv.filter(cond).select("micro")
+        rows = assign.join(old, "micro").select("id")
+        a2, m2 = micro_clusters(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col)).join(rows, "id"), "id", vec_col, min(parent["rows"], max(k, m)), seed)
+        off2 = F.lit(REFINE_OFFSET * (len(parent_cols) * 1000 + t + 1))
+        lv = lv.filter(~cond).unionByName(
+            widen(m2.select((F.col("micro") + off2).alias("micro"), "n", "center", "min_id", *[F.lit(parent[c]).alias(c) for c in parent_cols]))
+        )
+        assign = assign.join(rows, "id", "left_anti").unionByName(a2.select("id", (F.col("micro") + off2).alias("micro")))
+    # lv and assign are re-read several times downstream: cut the lineage once
+    return cut_lineage(assign), cut_lineage(lv)
+
+
 def three_level(
     df: DataFrame, id_col: str, vec_col: str, ks=(12, 6, 3), method: str = "ward", m: int = MICRO, seed: int = SEED
 ) -> DataFrame:
     """(id, level_1, level_2, level_3)."""
     assign, micro = micro_clusters(df, id_col, vec_col, m, seed)
     lv = _level1(micro, ks[0], method, seed)
+    assign, lv = _refine(df, id_col, vec_col, assign, lv, ["level_1"], ks[1], m, seed)
     lv = _split_groups(lv, ["level_1"], "level_2", ks[1], method, seed)
+    assign, lv = _refine(df, id_col, vec_col, assign, lv, ["level_1", "level_2"], ks[2], m, seed)
     lv = _split_groups(lv, ["level_1", "level_2"], "level_3", ks[2], method, seed)
     labels = lv.select("micro", "level_1", "level_2", "level_3")
     return assign.join(labels, "micro").select(F.col("id").alias(id_col), "level_1", "level_2", "level_3")

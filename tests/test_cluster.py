@@ -63,3 +63,15 @@ def test_spectral_and_sweep(spark):
     assert lab == [0] * 15 + [1] * 15
     sweep = cluster.k_sweep(df, "id", "vec", range(2, 5), "ward").toPandas()
     assert list(sweep["k"]) == [2, 3, 4] and sweep.set_index("k")["silhouette_sq"].idxmax() == 2
+
+
+def test_three_level_refines_coarse_parents(spark):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(size=(30, 3)), rng.normal(size=(30, 3)) + 15])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+    # only 4 micro-clusters in phase 1: each level-1 parent has 2 of them but 30 rows,
+    # so level 2 (k = 6) must refine the parent's micro-clusters first
+    out = cluster.three_level(df, "id", "vec", (2, 6, 3), "ward", m=4).toPandas()
+    assert len(out) == 60 and out["id"].nunique() == 60
+    for l1, sub in out.groupby("level_1"):
+        assert sub["level_2"].notna().all() and sub["level_2"].nunique() == 6
