@@ -577,3 +577,9 @@ from ..operators import wordcloud  # noqa: E402
 def q_wordcloud_weights(spark, sf):
     w = wordcloud.wordcloud_weights(publications(spark, sf), "abstract")
     return w.select("word", "count", F.round("weight", DIGITS).alias("weight"))
+
+
+@register("sort_recent")
+def q_sort_recent(spark, sf):
+    # professor asc, year desc
+    return clean.sort_recent(dated(spark, sf).select("pub_id", "professor", "pub_year"), "professor", "pub_year")

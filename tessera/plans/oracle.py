@@ -576,3 +576,8 @@ tab AS (
 top AS (SELECT key, n FROM tab WHERE n > 0 ORDER BY n DESC, key LIMIT 100)
 SELECT key AS word, CAST(n AS BIGINT) AS count, round(n / max(n) OVER (), 6) AS weight FROM top
 """
+
+SQL["sort_recent"] = """
+SELECT o_orderkey AS pub_id, o_custkey AS professor, CAST(year(o_orderdate) AS INTEGER) AS pub_year
+FROM orders ORDER BY professor, pub_year DESC
+"""

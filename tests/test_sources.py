@@ -58,3 +58,45 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     ingest.start(spark, str(land), out, ck).awaitTermination()
     rows = sorted((r["professor"], r["title"]) for r in spark.read.parquet(out).collect())
     assert rows == [("P", "T"), ("Q", "U")]
+
+
+def test_build_snapshot_end_to_end(spark):
+    recs = spark.createDataFrame(
+        [(json.dumps({"name": "P", "publications": [{"bib": {"title": "Alpha: x"}}, {"bib": {"title": "Beta"}}]}),)], "value string"
+    )
+    lookups = spark.createDataFrame(
+        [
+            ("Alpha: x", json.dumps({"data": [{"title": "alpha", "abstract": "firsté one"}, {"title": "alpha", "abstract": "second"}]}), 1),
+            ("Alpha: x", json.dumps({"data": [{"title": "alpha", "abstract": "newer"}]}), 2),
+            ("Beta", json.dumps({"data": []}), 1),
+        ],
+        "title string, response string, seq int",
+    )
+    out = {r["title"]: r["abstract"] for r in records.build_snapshot(recs, "value", lookups).collect()}
+    assert out == {"Alpha: x": "newer", "Beta": "N/A"}
+
+
+def test_snapshot_partition_pruning(spark, tmp_path):
+    df = spark.createDataFrame([(i, i % 3, f"t{i}") for i in range(30)], "id long, level_1 int, text string")
+    path = str(tmp_path / "snap")
+    files.write_snapshot(df, path, ["level_1"])
+    back = files.read_snapshot(spark, path).filter(F.col("level_1") == 2)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(level_1" in plan and back.count() == 10
+
+
+def test_encoder_plugin_batches(spark):
+    from tessera.operators import embed
+
+    calls = []
+
+    def make():
+        def enc(texts):
+            calls.append(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return enc
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(10)] + [(10, None)], "id long, text string")
+    out = {r["id"]: r["vec"] for r in embed.encode_with(df, "id", "text", make, 2, prefix="Query: ", batch_rows=4).collect()}
+    assert out[3] == [10.0, 1.0] and out[10] == [7.0, 1.0]
