@@ -169,10 +169,20 @@ def _sqdist(a, b):
     return np.maximum(d, 0.0)
 
 
+MAX_EXACT_PAIR_ROWS = 5_000_000  # n^2 / 2 distance evaluations beyond this is not a job to start
+
+
 def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None):
     spark = df.sparkSession
     if nb is None:
-        nb = n_blocks(df.count(), spark.sparkContext.defaultParallelism)
+        n = df.count()
+        if n > MAX_EXACT_PAIR_ROWS:
+            # exact all-pairs work is quadratic; refuse instead of silently sampling
+            raise ValueError(
+                f"{n} rows: exact pair kernels are limited to {MAX_EXACT_PAIR_ROWS}; use the linear "
+                "alternatives (silhouette_sq, micro-cluster centroids) or pass nb explicitly"
+            )
+        nb = n_blocks(n, spark.sparkContext.defaultParallelism)
     left, right = _block_sides(df, id_col, vec_col, extra, nb)
     return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInPandas(kernel, schema)
 
@@ -304,3 +314,23 @@ def label_distance_sums(df: DataFrame, id_col: str, vec_col: str, label_col: str
     schema = "id long, label int, other_label int, sum_dist double, n long"
     parts = _run_blocks(df, id_col, vec_col, [label_col], kernel, schema, nb)
     return parts.groupBy("id", "label", "other_label").agg(F.sum("sum_dist").alias("sum_dist"), F.sum("n").alias("n"))
+
+
+def knn_lsh(df: DataFrame, id_col: str, vec_col: str, k: int = 10, radius: float = 1.0, bucket_length: float = 1.0, tables: int = 4, seed: int = 42) -> DataFrame:
+    """C6 at large n (approximate): MLlib ``BucketedRandomProjectionLSH``
+    self-join within ``radius``, then the k nearest per source.
+
+    Candidate pairs only come from shared hash buckets, so the work is not
+    quadratic; the result is approximate (a true neighbour in no shared
+    bucket, or farther than ``radius``, is missed). Use ``knn`` when exact
+    neighbours are required and n is within ``MAX_EXACT_PAIR_ROWS``.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+
+    feats = df.select(F.col(id_col).cast("long").alias("id"), V.to_ml_vector(F.col(vec_col)).alias("features"))
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed).fit(feats)
+    pairs = model.approxSimilarityJoin(feats, feats, radius, distCol="distance").select(
+        F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"), F.round("distance", DIST_DIGITS).alias("distance")
+    )
+    w = Window.partitionBy("src").orderBy(F.col("distance").asc(), F.col("dst").asc())
+    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

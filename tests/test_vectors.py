@@ -99,3 +99,11 @@ def test_two_stage_finds_planted_duplicate(spark):
     qs = spark.createDataFrame([(0, [float(v) for v in q], [float(v) for v in q])], "qid long, qc array<double>, qf array<double>")
     batch = retrieve.batch_two_stage(df, "id", "vec", "fine", qs, "qid", "qc", "qf", 20, 3).collect()
     assert [r["id"] for r in sorted(batch, key=lambda r: -r["similarity"])] == [r["id"] for r in top]
+
+
+def test_knn_lsh_recall(spark):
+    x = _rand(200, 4, 9) * 0.3
+    df = vec_df(spark, x)
+    exact = {(r["src"], r["dst"]) for r in similarity.knn(df, "id", "vec", k=5, nb=2).collect()}
+    approx = {(r["src"], r["dst"]) for r in similarity.knn_lsh(df, "id", "vec", k=5, radius=2.0, bucket_length=2.0, tables=6).collect()}
+    assert len(exact & approx) / len(exact) >= 0.9
