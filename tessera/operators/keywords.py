@@ -54,6 +54,44 @@ def node_paths(df: DataFrame, id_col: str, level_cols: list[str]) -> DataFrame:
     return exploded.filter(F.col("n").isNotNull()).select("id", "n.level", "n.path")
 
 
+def _path_items(level_cols: list[str]):
+    """Array of (level, path) structs for one row; NULL entries for missing levels."""
+    items = []
+    for i in range(len(level_cols)):
+        cols = level_cols[: i + 1]
+        ok = F.lit(True)
+        for c in cols:
+            ok = ok & F.col(c).isNotNull()
+        items.append(F.when(ok, F.struct(F.lit(i + 1).alias("level"), F.concat_ws(".", *[F.col(c).cast("string") for c in cols]).alias("path"))))
+    return F.filter(F.array(*items), lambda x: x.isNotNull())
+
+
+def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], max_features: int = MAX_FEATURES,
+                     stop_words: list[str] = KEYWORD_STOP_WORDS) -> DataFrame:
+    """(level, path, term, score) for every node, straight from the texts.
+
+    The document's node paths ride along as a grouping key of the term count,
+    so no join brings paths to terms; the per-document L2 norm is a window.
+    """
+    base = df.select(F.col(id_col).alias("id"), _path_items(level_cols).alias("paths"), F.col(text_col).alias("_text"))
+    n_docs = base.select(F.explode("paths").alias("p")).groupBy("p.level", "p.path").agg(F.count(F.lit(1)).alias("N"))
+    toks = spread(base).select("id", "paths", F.explode(tx.word_tokens("_text")).alias("term"))
+    toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
+    tf = toks.groupBy("id", "paths", "term").agg(F.count(F.lit(1)).alias("tf"))
+    pt = tf.select("id", F.explode("paths").alias("p"), "term", "tf").select("id", "p.level", "p.path", "term", "tf")
+    stats = pt.groupBy("level", "path", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    w = Window.partitionBy("level", "path").orderBy(F.col("total").desc(), F.col("term").asc())
+    vocab = stats.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_features)
+    # at most max_features terms per node: small, broadcast by AQE
+    vocab = vocab.join(n_docs, ["level", "path"]).select(
+        "level", "path", "term", (F.log((F.col("N") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
+    )
+    weighted = pt.join(vocab, ["level", "path", "term"]).select("level", "path", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("level", "path", "id")))
+    normed = weighted.select("level", "path", "term", (F.col("w") / nrm).alias("wn"))
+    return normed.groupBy("level", "path", "term").agg(F.sum("wn").alias("score"))
+
+
 def node_term_scores(terms: DataFrame, paths: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """(level, path, term, score) for every node at once."""
     n_docs = paths.groupBy("level", "path").agg(F.count(F.lit(1)).alias("N"))
@@ -82,17 +120,13 @@ def top_keywords(scores: DataFrame, n: int) -> DataFrame:
 
 def group_keywords(df: DataFrame, id_col: str, text_col: str, group_col: str, n: int = 5) -> DataFrame:
     """Top n keywords of each group of texts: (group, keywords)."""
-    terms = doc_terms(df, id_col, text_col)
-    paths = node_paths(df, id_col, [group_col])
-    kw = top_keywords(node_term_scores(terms, paths), n)
+    kw = top_keywords(text_node_scores(df, id_col, text_col, [group_col]), n)
     return kw.select(F.col("path").cast(df.schema[group_col].dataType).alias(group_col), "keywords")
 
 
 def level_keywords(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], n: int = 10) -> DataFrame:
     """I22 + C3: each row with ``<level>_keywords`` for each of its levels (NULL below a leaf)."""
-    terms = doc_terms(df, id_col, text_col)
-    paths = node_paths(df, id_col, level_cols)
-    kw = top_keywords(node_term_scores(terms, paths), n)
+    kw = top_keywords(text_node_scores(df, id_col, text_col, level_cols), n)
     out = df
     for i, c in enumerate(level_cols):
         parts = level_cols[: i + 1]

@@ -48,7 +48,7 @@ def tree_nodes(df: DataFrame, id_col: str, text_col: str, prof_col: str, level_c
     """I24 nodes: (node_id, parent_id, level, size, keywords, top_professors)."""
     paths = K.node_paths(df, id_col, level_cols)
     sizes = paths.groupBy("level", "path").agg(F.count(F.lit(1)).alias("size"))
-    kw = K.top_keywords(K.node_term_scores(K.doc_terms(df, id_col, text_col), paths), n_keywords)
+    kw = K.top_keywords(K.text_node_scores(df, id_col, text_col, level_cols), n_keywords)
     people = df.select(F.col(id_col).alias("id"), F.col(prof_col).alias("professor"))
     profs = top_professors(paths, people)
     nodes = sizes.join(kw, ["level", "path"], "left").join(profs, ["level", "path"], "left")
