@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions import vectors as V
@@ -57,8 +58,10 @@ def doc_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _normalize_long(df: DataFrame) -> DataFrame:
     """(id, bucket, v) -> (id, bucket, w) with w = v / ||v|| per id; zero vectors vanish."""
-    norms = df.groupBy("id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("nrm")).filter(F.col("nrm") > 0)
-    return df.join(norms, "id").select("id", "bucket", (F.col("v") / F.col("nrm")).alias("w"))
+    # a window over the id (the rows of one vector, at most dim) instead of an
+    # aggregate joined back: one shuffle fewer
+    nrm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("id")))
+    return df.withColumn("_nrm", nrm).filter(F.col("_nrm") > 0).select("id", "bucket", (F.col("v") / F.col("_nrm")).alias("w"))
 
 
 def hashed_long(tokens: DataFrame, weight: Column | None = None, dim: int = DIM) -> DataFrame:
