@@ -128,15 +128,14 @@ def context_stats(sample: DataFrame, id_col: str, text_col: str, dim: int = DIM)
     """Fit the context on the sample (idf per token, mean weighted vector)."""
     import math
 
-    # the sample (<= SAMPLE_SIZE rows) and its vocabulary are bounded: keep them
-    # in memory once fitted instead of re-selecting the sample from the corpus
-    # in every job that uses the context (lineage still recomputes a lost block)
-    sample = sample.select(F.col(id_col), F.col(text_col)).cache()
+    # (caching the bounded sample and idf table was measured: no gain, so the
+    # context stays a plain lazy plan)
+    sample = sample.select(F.col(id_col), F.col(text_col))
     toks = doc_tokens(sample, id_col, text_col)
     s = sample.count()
     idf = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).select(
         "tok", (F.log((F.lit(s) + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
-    ).cache()
+    )
     unseen = math.log((s + 1.0) / 1.0) + 1.0
     v = _idf_weighted(toks, idf, unseen, dim)
     sums = {r["bucket"]: r["m"] for r in v.groupBy("bucket").agg(F.sum("w").alias("m")).collect()}
