@@ -111,17 +111,16 @@ def batch_topk(
             m, ids = m[ok] / n[ok, None], ids[ok]
             sims = np.round(m @ qm_.T, digits)  # rows x queries
             kk = min(k, len(ids))
-            for qi in range(len(qids_)):
-                col = sims[:, qi]
-                # keep ties at the cut: everything >= k-th best value
-                if kk < len(ids):
-                    thr = np.partition(col, len(col) - kk)[len(col) - kk]
-                    sel = np.nonzero(col >= thr)[0]
-                else:
-                    sel = np.arange(len(ids))
-                best_s.append(col[sel])
-                best_i.append(ids[sel])
-                best_q.append(np.full(len(sel), qids_[qi], dtype=np.int64))
+            # per query, keep everything >= its k-th best value (ties at the cut
+            # survive to the final window); vectorized over all queries at once
+            if kk < len(ids):
+                thr = np.partition(sims, len(ids) - kk, axis=0)[len(ids) - kk]
+                r, q = np.nonzero(sims >= thr[None, :])
+            else:
+                r, q = np.nonzero(np.ones_like(sims, dtype=bool))
+            best_s.append(sims[r, q])
+            best_i.append(ids[r])
+            best_q.append(qids_[q])
         if best_s:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(best_q)), pa.array(np.concatenate(best_i).astype(np.int64)), pa.array(np.concatenate(best_s))],

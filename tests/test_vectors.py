@@ -107,3 +107,15 @@ def test_knn_lsh_recall(spark):
     exact = {(r["src"], r["dst"]) for r in similarity.knn(df, "id", "vec", k=5, nb=2).collect()}
     approx = {(r["src"], r["dst"]) for r in similarity.knn_lsh(df, "id", "vec", k=5, radius=2.0, bucket_length=2.0, tables=6).collect()}
     assert len(exact & approx) / len(exact) >= 0.9
+
+
+def test_batch_topk_matches_single_queries(spark):
+    x = _rand(300, 6, 12)
+    df = vec_df(spark, x)
+    qs = _rand(7, 6, 13)
+    qdf = spark.createDataFrame([(i, [float(v) for v in q]) for i, q in enumerate(qs)], "qid long, q array<double>")
+    batch = similarity.batch_topk(df.repartition(4), "id", "vec", qdf, "qid", "q", 5).collect()
+    for i, q in enumerate(qs):
+        single = [r["id"] for r in similarity.cosine_topk(df, "id", "vec", q.tolist(), 5).collect()]
+        got = [r["id"] for r in sorted((r for r in batch if r["qid"] == i), key=lambda r: (-r["similarity"], r["id"]))]
+        assert got == single
