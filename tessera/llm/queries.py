@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort
+from . import contentsort, packing
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +25,20 @@ def register(name: str):
     return deco
 
 
+#: Parameters of op2.
+TOKENIZER, END_ID, CAPACITY = public_tokenizers.path("byte_bpe_50k.json"), 2, 1024
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    parts = packing.pieces(docs, TOKENIZER, END_ID, CAPACITY).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(parts, CAPACITY)
+
+
+@register("op2_best_fit_packing")
+def op2_best_fit_packing(spark, sf):
+    return packed_documents(table(spark, sf, "documents"))
+
+
 @register("op4_content_sort")
 def op4_content_sort(spark, sf):
     return contentsort.dedup(table(spark, sf, "documents"), keep="largest")
