@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, packing
+from . import contentsort, packing, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,8 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@register("op7_simhash")
+def op7_simhash(spark, sf):
+    return simhash.groups(table(spark, sf, "documents"), shingle=3, max_bits=3)
