@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, packing, simhash
+from . import contentsort, langid, packing, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,20 @@ def register(name: str):
     return deco
 
 
+def with_language(docs: DataFrame) -> DataFrame:
+    """Documents with lang_pred and score, learned from the rows not held out."""
+    return langid.predict(docs, langid.fit(docs.where(~langid.held_out("doc_id"))))
+
+
+@register("op1_language_mixture")
+def op1_language_mixture(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.where(~langid.held_out("doc_id")))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
 #: Parameters of op2.
 TOKENIZER, END_ID, CAPACITY = public_tokenizers.path("byte_bpe_50k.json"), 2, 1024
 
