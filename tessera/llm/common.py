@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -115,17 +117,24 @@ def words(data: np.ndarray, off: np.ndarray, lut: np.ndarray = WORD) -> tuple[np
     return starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def per_process(key, make):
+    """``make()`` once per Python process. Functions reach the workers by
+    value, each task with globals of its own, so module globals are no cache."""
+    cache = sys.modules.setdefault("__tessera_cache__", types.ModuleType("__tessera_cache__")).__dict__
+    if key not in cache:
+        cache[key] = make()
+    return cache[key]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(20, int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
+    size = 1 << max(22, int(n).bit_length())
+
+    def make():
         up, down = np.full(size, _MULT, np.uint64), np.full(size, _MULT_INV, np.uint64)
         up[0] = down[0] = 1
-        _POWERS[size] = np.cumprod(up), np.cumprod(down)
-    return _POWERS[size]
+        return np.cumprod(up), np.cumprod(down)
+
+    return per_process(("powers", size), make)
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -141,3 +150,22 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
+
+
+# ------------------------------------------------------------- labelled rows
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text, y) of about ``per_class`` labelled documents of each class.
+
+    Rows are taken by a hash of their id, at the rate that gives ``per_class``
+    on average, so the sample is the same in every run and bounded by the
+    parameter; its ids are broadcast and no text is shuffled."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
+    count = {r[0]: r[1] for r in known.groupBy("y").agg(F.count("*")).collect()}
+    scale = 1 << 30
+    part = F.pmod(F.xxhash64("id"), F.lit(scale))
+    rate = {y: min(scale, scale * per_class // n) for y, n in count.items()}
+    taken = known.where(part < F.when(F.col("y") == 1, rate.get(1, 0)).otherwise(rate.get(0, 0))).dropDuplicates(["id"])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.join(F.broadcast(stored(taken, "sample")), "id").select("text", "y")

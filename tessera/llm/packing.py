@@ -27,32 +27,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import per_process, slices, stored
 
 #: Ranks are counted in this many salts per length.
 SALTS = 1024
 
-_TOKENIZERS: dict = {}
-
-
 def load_tokenizer(path: str):
     """A function from text to ids for a byte-level BPE file of ``tokenizers``.
 
     The file's own vocabulary and split pattern are run by tiktoken, whose ids
     are equal (tested) and which needs a quarter of the time."""
-    if path not in _TOKENIZERS:
+
+    def make():
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        vocab, special = spec["model"]["vocab"], {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
+        special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
         # the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        _TOKENIZERS[path] = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return _TOKENIZERS[path]
+        return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    return per_process(("tokenizer", path), make)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,10 +169,9 @@ def pack(parts: DataFrame, capacity: int, length_col: str = "length") -> DataFra
     begins = counts.select("__length", "__salt", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__begin"))
     within = Window.partitionBy(length_col, "__salt").orderBy("__row")
     ranked = salted.withColumn("__rank", F.row_number().over(within) - 1)
-    # broadcast: capacity x SALTS rows at most
-    ranked = ranked.join(F.broadcast(begins), (F.col(length_col) == F.col("__length")) & (ranked["__salt"] == begins["__salt"])).select(
-        *parts.columns, (F.col("__rank") + F.col("__begin")).alias("__rank")
-    )
+    # both sides are already dealt by (length, salt)
+    begins = begins.withColumnRenamed("__length", length_col)
+    ranked = ranked.join(begins, [length_col, "__salt"]).select(*parts.columns, (F.col("__rank") + F.col("__begin")).alias("__rank"))
     fields = [f.name for f in parts.schema.fields]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
