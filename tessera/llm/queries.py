@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, packing, simhash
+from . import contentsort, decontam, langid, packing, quality, simhash, toxicity
+from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +109,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
 """
+
+
+def _held_out():
+    """The fold that labels may not be learned from (op3, op10)."""
+    return crc_fold("doc_id", 4) == 2
+
+
+@register("op10_toxic_segments")
+def op10_toxic_segments(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.fit(docs, labels.where(~_held_out()), "toxic")
+    found = toxicity.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+@register("op3_attention_quality")
+def op3_attention_quality(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.fit(docs, labels.where(~_held_out()), "quality")
+    found = quality.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("attention").alias("n_passages"))
