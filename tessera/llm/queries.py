@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, packing, quality, simhash, toxicity
+from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity
 from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,39 @@ def op3_attention_quality(spark, sf):
     model = quality.fit(docs, labels.where(~_held_out()), "quality")
     found = quality.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("attention").alias("n_passages"))
+
+
+@register("op6_license_templates")
+def op6_license_templates(spark, sf):
+    return licenses.summary(licenses.scan(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def _phrase_places(phrase: str) -> str:
+    n = len(phrase.split())
+    return f"list_filter(range(1, len(w) + 1), lambda i: array_to_string(w[i : i + {n - 1}], ' ') = '{phrase}')"
+
+
+_BASE = [(f"p{k}", phrase, label) for k, (phrase, label) in enumerate(licenses.PHRASES)]
+_MORE = [(licenses.as_pattern(markup), label) for markup, label in licenses.TEMPLATES]
+_LABELS = ", ".join(f"CASE WHEN len({p}) > 0 THEN '{label}' END" for p, _, label in _BASE)
+_OWN = ", ".join(f"CASE WHEN regexp_matches(t, ' {pattern}') THEN '{label}' END" for pattern, label in _MORE)
+
+SQL["op6_license_templates"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+found AS (
+  SELECT doc_id, len(w) AS n, {", ".join(f"{_phrase_places(phrase)} AS {p}" for p, phrase, _ in _BASE)},
+         ' ' || array_to_string(w, ' ') || ' ' AS t
+  FROM d
+),
+named AS (
+  SELECT *, flatten([{", ".join(p for p, _, _ in _BASE)}]) AS places,
+         list_filter([{_LABELS}], lambda x: x IS NOT NULL) AS base, list_filter([{_OWN}], lambda x: x IS NOT NULL) AS own
+  FROM found
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+       array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, own))), ',') AS labels,
+       CAST(CASE WHEN len(own) > 0 THEN 1 WHEN len(base) > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+FROM named
+"""
