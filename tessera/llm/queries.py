@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity
+from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity, warc
 from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,24 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_ba
        CAST(CASE WHEN len(own) > 0 THEN 1 WHEN len(base) > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
 FROM named
 """
+
+
+@register("op8_warc_archives")
+def op8_warc_archives(spark, sf):
+    files = warc.write(table(spark, sf, "pages"), min_bytes=0)
+    return warc.read(files, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: base32 of a hex digest: five hex digits are four base32 digits
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_DIGITS = " || ".join(f"substr('{_BASE32}', 1 + ((x >> {s}) & 31), 1)" for s in (15, 10, 5, 0))
+
+SQL["op8_warc_archives"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS keep FROM p)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda k: list_transform([CAST('0x' || substr(s, CAST(5 * k + 1 AS INT), 5) AS INT)], lambda x: {_DIGITS})[1]), '') AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM g
+"""
