@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity, warc
+from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity, urlgraph, warc
 from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,65 @@ SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM g
 """
+
+
+#: Rules of op9: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@register("op9_url_graph")
+def op9_url_graph(spark, sf):
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    found = urlgraph.judge(table(spark, sf, "pages"), rules)
+    return found.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), "rule", "verdict")
+
+
+def _url_graph_sql() -> str:
+    rounds, d = urlgraph.ROUNDS, urlgraph.DAMPING
+    low = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    link = urlgraph.LINK.replace("'", "''")
+    rules = ", ".join(str(r) for r in URL_RULES)
+    steps = "".join(
+        f""",
+s{k} AS MATERIALIZED (
+  SELECT host, sum(t) AS t, sum(b) AS b FROM (
+    SELECT host, t, b FROM s0
+    UNION ALL SELECT dst, t * fwd * {d}, 0 FROM share JOIN s{k - 1} ON src = host
+    UNION ALL SELECT src, 0, b * back * {d} FROM share JOIN s{k - 1} ON dst = host
+  ) GROUP BY host
+)"""
+        for k in range(1, rounds + 1)
+    )
+    return f"""
+WITH u AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+p AS (
+  SELECT page_id, html, {low("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+),
+r(verdict, rhost, rpath) AS (VALUES {rules}),
+fit AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM p JOIN r ON (host = rhost OR suffix(host, '.' || rhost)) AND prefix(path, rpath) GROUP BY page_id
+),
+j AS (SELECT p.*, rule, verdict FROM p LEFT JOIN fit USING (page_id)),
+s0 AS MATERIALIZED (
+  SELECT host, {1 - d} * avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0 END) AS t, {1 - d} * avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0 END) AS b
+  FROM j GROUP BY host
+),
+link AS (SELECT host AS src, {low("unnest(regexp_extract_all(coalesce(html, ''), '" + link + "', 1))")} AS dst FROM p),
+edge AS (SELECT src, dst, count(*) AS n FROM link WHERE src <> dst AND src <> '' GROUP BY src, dst),
+share AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS fwd, n / sum(n) OVER (PARTITION BY dst) AS back FROM edge){steps}
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN b > t AND b >= {urlgraph.THRESHOLD * (1 - d)} THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN s{rounds} USING (host)
+"""
+
+
+SQL["op9_url_graph"] = _url_graph_sql()
