@@ -13,8 +13,8 @@ Defined cases: a null, empty or letterless text is ``und`` with score 0.
 Texts without any trigram that a language knows tie; ties go to the language
 that sorts first. Whole texts are read, of any length. Rows with null text or
 language teach nothing. Repeated rows count each. Extra columns are not read.
-Empty tables: ``fit`` raises if no row has text and language, ``predict``
-returns an empty result.
+Where no row has text and language ``fit`` knows no language and all texts are
+``und``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -87,8 +87,6 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     counts = rows.mapInArrow(count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()  # languages x BINS at most
     languages = sorted(counts["lang"].unique())
-    if not languages:
-        raise ValueError("no row has both text and language")
     table = np.zeros((BINS, len(languages)))
     table[counts["bin"], np.searchsorted(languages, counts["lang"])] = counts["n"]
     table += SMOOTHING
@@ -124,7 +122,7 @@ def _mixture(p: np.ndarray, count: np.ndarray, doc: np.ndarray, starts: np.ndarr
 def infer(row: np.ndarray, gram: np.ndarray, n_rows: int, likelihood: np.ndarray) -> np.ndarray:
     """Shares (rows x languages) of the chosen language set; zero rows have no trigram."""
     out = np.zeros((n_rows, likelihood.shape[1]), np.float32)
-    if not len(row):
+    if not out.shape[1] or not len(row):
         return out
     key, count = np.unique(row * BINS + gram, return_counts=True)
     doc, gram, count = key // BINS, key % BINS, count.astype(np.float32)
@@ -163,18 +161,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[st
         for batch in slices(batches, batch_text):
             text = batch.column(at)
             row, gram = _trigrams(text)
+            if not m.languages:
+                none = [pa.array([UNKNOWN] * batch.num_rows), pa.array(np.zeros(batch.num_rows)), pa.array([[]] * batch.num_rows, kind)]
+                yield pa.record_batch([*batch.columns, *none], names=names)
+                continue
             share = infer(row, gram, batch.num_rows, m.likelihood)
             letter = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
             best = share.argmax(1)
             score = np.where(letter, share[np.arange(len(best)), best], 0).astype(float).clip(0, 1)
             name = [m.languages[b] if x else UNKNOWN for b, x in zip(best, letter, strict=True)]
             mix = [[{"lang": m.languages[k], "share": float(s[k])} for k in np.argsort(-s, kind="stable") if s[k] > 0] if x else [] for s, x in zip(share, letter, strict=True)]
-            kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
             yield pa.record_batch([*batch.columns, pa.array(name), pa.array(score), pa.array(mix, kind)], names=names)
 
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
     batch_text = f"c{at}"
     names = [*plain.columns, "pred", "score", "mix"]
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
     schema = T.StructType([*plain.schema.fields, *T.StructType.fromDDL("pred string, score double, mix array<struct<lang:string,share:double>>").fields])
     return plain.mapInArrow(run, schema).toDF(*docs.columns, *out)
 

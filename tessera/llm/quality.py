@@ -9,8 +9,9 @@ stochastic gradient steps over whole bags.
 Defined cases: a null, empty or blank text is one passage without content, and
 is scored like any other. Whole texts are read, of any length. Repeated labels
 of an id count once; labels other than 0 and 1 are ignored. Extra columns are
-kept. Empty tables: ``fit`` raises unless both classes have a labelled
-document, ``predict`` returns an empty result.
+kept. Where only one class or none has a labelled document there is nothing to
+tell apart, and all texts get the share of label 1 with one good document
+added. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -112,11 +113,15 @@ class Model:
         return 1 / (1 + np.exp(-(logit.astype(float) + self.prior))), attention
 
 
+def _start(rnd: np.random.Generator) -> dict[str, np.ndarray]:
+    shape = {"E": (FEATURES, HIDDEN), "e": (HIDDEN,), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,), "c": (HIDDEN, 1), "b": (1,)}
+    return {k: (rnd.standard_normal(s) / np.sqrt(s[0]) * (len(s) > 1 or k == "w")).astype(np.float32) for k, s in shape.items()}
+
+
 def _train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, prior: float, seed: int = 7) -> Model:
     """Adam on the log loss of bags; x: passages in order of ``bag`` 0..len(y)-1."""
     rnd = np.random.default_rng(seed)
-    shape = {"E": (FEATURES, HIDDEN), "e": (HIDDEN,), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,), "c": (HIDDEN, 1), "b": (1,)}
-    weights = {k: (rnd.standard_normal(s) / np.sqrt(s[0]) * (len(s) > 1 or k == "w")).astype(np.float32) for k, s in shape.items()}
+    weights = _start(rnd)
     model = Model(x.mean(0), x.std(0) + 1e-3, weights, 0.0)
     first = np.searchsorted(bag, np.arange(len(y) + 1))
     m, v, step = {k: np.zeros_like(w) for k, w in weights.items()}, {k: np.zeros_like(w) for k, w in weights.items()}, 0
@@ -165,7 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     rows = sorted(sample.mapInArrow(encode, "y int, x binary").toLocalIterator(), key=lambda r: (r.y, r.x))
     y = np.array([r.y for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
-        raise ValueError("both classes need a labelled document")
+        shapes = _start(np.random.default_rng(0))
+        model = Model(np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32), {k: np.zeros_like(w) for k, w in shapes.items()}, 0.0)
+        good, n = float(y.sum()) + 1, len(y) + 1
+        model.prior = float(np.log(good / (n - good))) if good < n else 40.0
+        return model
     bags = [np.frombuffer(r.x, np.float16).reshape(-1, FEATURES) for r in rows]
     share = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).agg(F.count("*")).collect()}
     prior = float(np.log(share[1] / share[0]) - np.log((y == 1).sum() / (y == 0).sum()))

@@ -12,8 +12,9 @@ scores are calibrated to a probability on the same sample.
 Defined cases: null, empty and wordless texts have no segment and get the
 probability of a text without evidence. Whole texts are read, of any length.
 Repeated labels of an id count once. Labels other than 0 and 1 are ignored.
-Extra columns are kept. Empty tables: ``fit`` raises unless both classes have
-a labelled document, ``predict`` returns an empty result.
+Extra columns are kept. Where only one class or none has a labelled document
+there is nothing to tell apart, and all texts get the share of label 1 with one
+clean document added. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -171,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         own = own[own["bin"] >= 0]
         table[y][own["bin"].to_numpy()] = own["n"].to_numpy()
     if not seen.all():
-        raise ValueError("both classes need a labelled document with text")
+        share = seen[1] / (seen.sum() + 1)
+        return Model(np.full(1 << BITS, -DRIFT, np.float32), 1.0, 1.0, 0.0, float(np.log(share / (1 - share)) if share else -40.0))
     weight = _log_odds(table[1], table[0]) - DRIFT
     model = Model(weight.astype(np.float32), _lambda(weight, table[0] / max(table[0].sum(), 1)), 1.0)
     shared = sample.sparkSession.sparkContext.broadcast(model)

@@ -96,5 +96,6 @@ def test_odd_texts_and_clashing_columns(spark, model):
 def test_empty_tables(docs, model):
     none = docs.where(F.lit(False))
     assert langid.predict(none, model).count() == 0
-    with pytest.raises(ValueError):
-        langid.fit(none)
+    nothing = langid.fit(none)
+    assert nothing.languages == [] and langid.predict(none, nothing).count() == 0
+    assert {(r.lang_pred, r.score) for r in langid.predict(docs.limit(5), nothing).collect()} == {("und", 0.0)}

@@ -94,5 +94,6 @@ def test_score_does_not_depend_on_neighbours(fitted, spark):
 def test_empty_tables(fitted):
     docs, labels, model = fitted
     assert quality.predict(docs.where(F.lit(False)), model).count() == 0
-    with pytest.raises(ValueError):
-        quality.fit(docs, labels.where("quality = 1"))
+    for some, good in (("quality = 1", True), ("quality > 5", True), ("quality = 0", False)):
+        got = quality.predict(docs.limit(3), quality.fit(docs, labels.where(some))).collect()
+        assert len(got) == 3 and all((r.score > 0.9) if good else (r.score < 0.1) for r in got)

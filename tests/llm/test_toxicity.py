@@ -77,6 +77,8 @@ def test_odd_texts_and_clashing_columns(fitted, spark):
 def test_empty_tables(fitted):
     docs, labels, model = fitted
     assert toxicity.predict(docs.where(F.lit(False)), model).count() == 0
-    with pytest.raises(ValueError):
-        toxicity.fit(docs, labels.where("toxic = 0"))
+    for some, score in (("toxic = 0", 0), ("toxic > 5", 0), ("toxic = 1 and doc_id < 300", 0.8)):
+        known = labels.where(some)
+        got = toxicity.predict(docs.limit(3), toxicity.fit(docs, known)).collect()
+        assert len(got) == 3 and all(r.passages == [] and (r.score > score if score else r.score < 1e-9) for r in got)
     assert toxicity._batch_segments(pa.array([], pa.string()), model) == []
