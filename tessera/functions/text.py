@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 # Regular expressions whose matches must equal the reference's.
 WORD_TOKEN = r"[\p{L}\p{N}_]{2,}"          # vectorizer default: 2+ word characters
-SPACE_RUN = r"[ \t\n\r\f\x0B]+"          # what str.split() splits on (ASCII space class)
-EDGE_SPACE = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
+# the Unicode white space that str.split() and str.strip() know
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+SPACE_RUN = SPACE + "+"
+EDGE_SPACE = f"^{SPACE}+|{SPACE}+$"
 NON_PRINTABLE_RUN = r"[^\x20-\x7E]+"       # outside printable ASCII
 NON_LETTER_RUN = r"[^\p{L}]+"
 
@@ -27,7 +29,7 @@ def _c(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Python ``str.strip()`` on ASCII whitespace (Spark ``trim`` only drops spaces)."""
+    """Python ``str.strip()`` (Spark ``trim`` only drops spaces)."""
     return F.regexp_replace(_c(c), EDGE_SPACE, "")
 
 
@@ -46,12 +48,6 @@ def nested_get(c: str | Column, field: str, default) -> Column:
     return F.coalesce(_c(c).getField(field), F.lit(default))
 
 
-def json_get(c: str | Column, path: str, default=None) -> Column:
-    """H3/H4 on JSON text: the value at ``path`` or ``default``."""
-    v = F.get_json_object(_c(c), path)
-    return v if default is None else F.coalesce(v, F.lit(default))
-
-
 def whitespace_tokens(c: str | Column) -> Column:
     """H5: ``[w.lower() for w in str(x).split()]``; NULL text gives an empty array."""
     parts = F.split(F.lower(_c(c)), SPACE_RUN)
@@ -66,12 +62,6 @@ def word_tokens(c: str | Column) -> Column:
     )
 
 
-def remove_words(tokens: str | Column, words: list[str]) -> Column:
-    """H7 for an array column: drop tokens in a (small, fixed) stop-word set."""
-    stop = F.array(*[F.lit(w) for w in words])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stop, t))
-
-
 def with_prefix(c: str | Column, prefix: str) -> Column:
     """H8: role prefix."""
     return F.concat(F.lit(prefix), F.coalesce(_c(c), F.lit("")))

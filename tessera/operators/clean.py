@@ -39,12 +39,17 @@ def drop_missing_any(df: DataFrame) -> DataFrame:
 
 def coerce_numeric(df: DataFrame, col: str, to: str = "int", out: str | None = None) -> DataFrame:
     """``to_numeric(errors='coerce')`` -- unparsable text becomes NULL, never an error."""
-    return df.withColumn(out or col, F.col(col).try_cast(to))
+    return df.withColumn(out or col, as_number(F.col(col), to))
 
 
-def keep_non_null(df: DataFrame, col: str) -> DataFrame:
-    """B6."""
-    return df.filter(F.col(col).isNotNull())
+def as_number(c: Column, to: str = "int") -> Column:
+    """Text or number as ``to``; also the form ``'2019.0'`` that a float column is
+    written in. NaN, and a fraction where ``to`` is whole, give NULL."""
+    x = c.cast("string").try_cast("double")
+    x = F.when(~F.isnan(x), x)
+    if to in ("double", "float"):
+        return x.cast(to)
+    return F.coalesce(c.cast("string").try_cast(to), F.when(x == F.floor(x), x).try_cast(to))
 
 
 def null_sentinels(df: DataFrame, mapping: Mapping[str, Iterable[str]]) -> DataFrame:
@@ -68,11 +73,6 @@ def select_cluster(df: DataFrame, **levels) -> DataFrame:
     return df.filter(cond)
 
 
-def require_text(df: DataFrame, col: str) -> DataFrame:
-    """Keep rows with a non-empty ``col``."""
-    return df.filter(F.col(col).isNotNull() & (F.col(col) != ""))
-
-
 def preview(df: DataFrame, n: int = 5, order_by: str | list[str] | None = None) -> DataFrame:
     """``head(n)`` made deterministic by an explicit order (TakeOrderedAndProject)."""
     keys = [order_by] if isinstance(order_by, str) else list(order_by or df.columns[:1])

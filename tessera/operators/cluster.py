@@ -1,22 +1,13 @@
-"""Clustering.
-
-Ward and spectral clustering are single-machine algorithms (O(n^2) memory).
-They are run in three phases so that nothing proportional to the input ever
-meets one task or the driver:
-
-1. **micro-clusters** (distributed): MLlib KMeans to ``M = min(n, 2048)``
-   groups, aggregated to (micro, count, mean vector, smallest member id).
-   With ``n <= M`` each row is its own micro-cluster and the result is exact.
-2. **centroid level**: Ward (nearest-neighbour chain, Lance-Williams) or
-   spectral partitioning on the <= M weighted centroids. Level 1 runs once;
-   levels 2 and 3 run per parent with ``groupBy(path).applyInPandas`` over
-   the centroid table (K3), never over raw rows.
-3. **labels back to rows**: an equi-join ``micro -> labels`` on a table of at
-   most M rows.
-
-Gates follow the reference: a parent splits only when its *row* count is at
-least k; otherwise the lower level stays NULL. Labels are numbered by the
-smallest member id.
+"""Clustering on distributed algorithms.
+
+Ward linkage and spectral embedding need all pairs of rows in one place, so
+they are re-aimed (see README): the topic levels are k-means levels, one
+distributed pass per iteration for *all* parents of a level at once, and the
+flat hierarchical clustering is MLlib's BisectingKMeans (a divisive tree).
+Only models (centers) reach the driver: k x dim numbers per parent.
+
+Gates follow the reference: a parent splits only when its row count is at
+least k; otherwise the lower level stays NULL.
 """
 
 from __future__ import annotations
@@ -29,178 +20,10 @@ from pyspark.sql import types as T
 from ..functions import vectors as V
 from ..session import cut_lineage
 from . import quality as Q
-from . import ward as W
+from . import similarity as S
 
-MICRO = 2048
 SEED = 42
-
-
-# ---------------------------------------------------------------- phase 1
-
-
-def micro_clusters(df: DataFrame, id_col: str, vec_col: str, m: int = MICRO, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(assign, micro): ``assign`` = (id, micro); ``micro`` = (micro, n, center, min_id)."""
-    n = df.count()
-    if n <= m:
-        assign = df.select(F.col(id_col).cast("long").alias("id"), F.col(id_col).cast("long").alias("micro"))
-        micro = df.select(
-            F.col(id_col).cast("long").alias("micro"),
-            F.lit(1).cast("long").alias("n"),
-            F.transform(vec_col, lambda x: x.cast("double")).alias("center"),
-            F.col(id_col).cast("long").alias("min_id"),
-        )
-        return assign, micro
-    from pyspark.ml.clustering import KMeans
-
-    feats = df.select(F.col(id_col).cast("long").alias("id"), V.to_ml_vector(F.col(vec_col)).alias("features"))
-    model = KMeans(k=m, seed=seed, initMode="k-means||", featuresCol="features", predictionCol="micro").fit(feats)
-    assign = model.transform(feats).select("id", F.col("micro").cast("long"))
-    lf = df.select(F.col(id_col).cast("long").alias("id"), F.posexplode(vec_col).alias("dim", "x")).join(assign, "id")
-    centers = lf.groupBy("micro", "dim").agg(F.avg(F.col("x").cast("double")).alias("c"))
-    centers = centers.groupBy("micro").agg(F.sort_array(F.collect_list(F.struct("dim", "c"))).alias("cs"))  # dim entries
-    sizes = assign.groupBy("micro").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"))
-    micro = sizes.join(centers, "micro").select("micro", "n", F.transform("cs", lambda s: s["c"]).alias("center"), "min_id")
-    return assign, micro
-
-
-# ---------------------------------------------------------------- phase 2 helpers
-
-
-def _labels_for(method: str, centers, sizes, min_ids, k: int, seed: int):
-    if method == "ward":
-        return W.ward_labels(centers, sizes, min_ids, k)
-    return W.spectral_labels(centers, sizes, min_ids, k, seed=seed)
-
-
-def _split_groups(micro_lv: DataFrame, parent_cols: list[str], out_col: str, k: int, method: str, seed: int) -> DataFrame:
-    """One level down: inside each parent (by micro centroids) make k clusters
-    if the parent's row count >= k, else leave NULL."""
-    out_schema = T.StructType([T.StructField("micro", T.LongType()), T.StructField(out_col, T.IntegerType())])
-
-    def split(pdf):
-        import numpy as np
-        import pandas as pd
-
-        rows = int(pdf["n"].sum())
-        if rows < k:
-            return pd.DataFrame({"micro": pdf["micro"].astype("int64"), out_col: pd.array([None] * len(pdf), dtype="Int32")})
-        c = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["center"]])
-        lab = _labels_for(method, c, pdf["n"].to_numpy(), pdf["min_id"].to_numpy(), k, seed)
-        return pd.DataFrame({"micro": pdf["micro"].astype("int64"), out_col: lab.astype("int32")})
-
-    sub = micro_lv.filter(*[F.col(p).isNotNull() for p in parent_cols][:1]) if parent_cols else micro_lv
-    for p in parent_cols[1:]:
-        sub = sub.filter(F.col(p).isNotNull())
-    labs = sub.select("micro", "n", "center", "min_id", *parent_cols).groupBy(*parent_cols).applyInPandas(split, out_schema)
-    return micro_lv.join(labs, "micro", "left")
-
-
-def _level1(micro: DataFrame, k: int, method: str, seed: int) -> DataFrame:
-    """Level 1 over all <= M centroids: one group, bounded by M rows."""
-    return _split_groups(micro.withColumn("_all", F.lit(0)), ["_all"], "level_1", k, method, seed).drop("_all")
-
-
-REFINE_OFFSET = 1 << 40  # id space of refined micro-clusters (never collides with row ids or KMeans ids)
-
-
-def _refine(df, id_col, vec_col, assign, lv, parent_cols, k, m, seed):
-    """Give every parent that has >= k rows but < k micro-clusters finer
-    micro-clusters, using that parent's rows only. Parents with at most MICRO
-    rows (all of them in practice) are refined in one batched step: each of
-    their rows becomes its own micro-cluster (exact). Larger ones get a KMeans
-    of their own (a short driver loop, bounded by the number of parents).
-    Nothing happens in exact mode."""
-    stats = lv.groupBy(*parent_cols).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("micros"))
-    todo = stats.filter((F.col("rows") >= k) & (F.col("micros") < k))
-    if not todo.head(1):
-        return assign, lv
-    vecs = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("_vec"))
-    keep_cols = lv.columns
-
-    def widen(frame):
-        for extra in keep_cols:
-            if extra not in frame.columns:
-                frame = frame.withColumn(extra, F.lit(None).cast(lv.schema[extra].dataType))
-        return frame.select(*keep_cols)
-
-    # small parents, all at once
-    small = todo.filter(F.col("rows") <= MICRO).select(*parent_cols)
-    moved = lv.join(small, parent_cols, "left_semi").select("micro", *parent_cols)
-    moved_rows = assign.join(moved, "micro")  # (micro, id, parents)
-    off = F.lit(REFINE_OFFSET * len(parent_cols))
-    new_micro = moved_rows.join(vecs, "id").select(
-        (F.col("id") + off).alias("micro"),
-        F.lit(1).cast("long").alias("n"),
-        F.transform("_vec", lambda x: x.cast("double")).alias("center"),
-        F.col("id").alias("min_id"),
-        *parent_cols,
-    )
-    lv = lv.join(moved.select("micro"), "micro", "left_anti").unionByName(widen(new_micro))
-    assign = assign.join(moved_rows.select("id"), "id", "left_anti").unionByName(moved_rows.select("id", (F.col("id") + off).alias("micro")))
-
-    # large parents, one KMeans each
-    for t, parent in enumerate(todo.filter(F.col("rows") > MICRO).collect()):
-        cond = F.lit(True)
-        for c in parent_cols:
-            cond = cond & (F.col(c) == F.lit(parent[c]))
-        old = lv.filter(cond).select("micro")
-        rows = assign.join(old, "micro").select("id")
-        a2, m2 = micro_clusters(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col)).join(rows, "id"), "id", vec_col, min(parent["rows"], max(k, m)), seed)
-        off2 = F.lit(REFINE_OFFSET * (len(parent_cols) * 1000 + t + 1))
-        lv = lv.filter(~cond).unionByName(
-            widen(m2.select((F.col("micro") + off2).alias("micro"), "n", "center", "min_id", *[F.lit(parent[c]).alias(c) for c in parent_cols]))
-        )
-        assign = assign.join(rows, "id", "left_anti").unionByName(a2.select("id", (F.col("micro") + off2).alias("micro")))
-    # lv and assign are re-read several times downstream: cut the lineage once
-    return cut_lineage(assign), cut_lineage(lv)
-
-
-def three_level(
-    df: DataFrame, id_col: str, vec_col: str, ks=(12, 6, 3), method: str = "ward", m: int = MICRO, seed: int = SEED
-) -> DataFrame:
-    """(id, level_1, level_2, level_3)."""
-    assign, micro = micro_clusters(df, id_col, vec_col, m, seed)
-    lv = _level1(micro, ks[0], method, seed)
-    assign, lv = _refine(df, id_col, vec_col, assign, lv, ["level_1"], ks[1], m, seed)
-    lv = _split_groups(lv, ["level_1"], "level_2", ks[1], method, seed)
-    assign, lv = _refine(df, id_col, vec_col, assign, lv, ["level_1", "level_2"], ks[2], m, seed)
-    lv = _split_groups(lv, ["level_1", "level_2"], "level_3", ks[2], method, seed)
-    labels = lv.select("micro", "level_1", "level_2", "level_3")
-    return assign.join(labels, "micro").select(F.col("id").alias(id_col), "level_1", "level_2", "level_3")
-
-
-def flat(df: DataFrame, id_col: str, vec_col: str, k: int = 30, method: str = "ward", m: int = MICRO, seed: int = SEED) -> DataFrame:
-    """I13 (Ward) / flat spectral: (id, label)."""
-    assign, micro = micro_clusters(df, id_col, vec_col, m, seed)
-    lv = _level1(micro, k, method, seed)
-    return assign.join(lv.select("micro", F.col("level_1").alias("label")), "micro").select(F.col("id").alias(id_col), "label")
-
-
-def merge_table(df: DataFrame, id_col: str, vec_col: str, m: int = MICRO, seed: int = SEED, max_depth: int | None = None) -> DataFrame:
-    """Ward merge list over the micro-centroids: (step, left, right, distance, size).
-
-    Leaves are numbered 0..m-1 in order of their smallest member id; with
-    ``max_depth`` only the last merges (the top of the dendrogram) are kept.
-    The merge list has m-1 rows, bounded by M.
-    """
-    schema = "step long, left long, right long, distance double, size double"
-
-    def run(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values("min_id")
-        c = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["center"]])
-        mg = W.ward_merges(c, pdf["n"].to_numpy())
-        out = pd.DataFrame(
-            {"step": np.arange(len(mg), dtype=np.int64), "left": mg[:, 0].astype(np.int64), "right": mg[:, 1].astype(np.int64), "distance": mg[:, 2], "size": mg[:, 3]}
-        )
-        if max_depth is not None:
-            out = out.tail(max(0, 2**max_depth - 1))
-        return out
-
-    _, micro = micro_clusters(df, id_col, vec_col, m, seed)
-    return micro.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, schema)
+ITERATIONS = 10
 
 
 # ---------------------------------------------------------------- MLlib
@@ -208,10 +31,24 @@ def merge_table(df: DataFrame, id_col: str, vec_col: str, m: int = MICRO, seed:
 
 def kmeans(df: DataFrame, id_col: str, vec_col: str, k: int = 30, seed: int = SEED) -> DataFrame:
     """MLlib KMeans (k-means||), (id, label)."""
+    return kmeans_model(df, id_col, vec_col, k, seed)[0]
+
+
+def kmeans_model(df: DataFrame, id_col: str, vec_col: str, k: int = 30, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
+    """I11 with its centers (k x dim)."""
     from pyspark.ml.clustering import KMeans
 
     feats = df.select(F.col(id_col), V.to_ml_vector(F.col(vec_col)).alias("features"))
     model = KMeans(k=k, seed=seed, initMode="k-means||", featuresCol="features", predictionCol="label").fit(feats)
+    return model.transform(feats).select(id_col, F.col("label").cast("int")), np.array(model.clusterCenters())
+
+
+def bisecting(df: DataFrame, id_col: str, vec_col: str, k: int = 30, seed: int = SEED) -> DataFrame:
+    """I13 (re-aimed): hierarchical clusters by MLlib BisectingKMeans, (id, label)."""
+    from pyspark.ml.clustering import BisectingKMeans
+
+    feats = df.select(F.col(id_col), V.to_ml_vector(F.col(vec_col)).alias("features"))
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="label").fit(feats)
     return model.transform(feats).select(id_col, F.col("label").cast("int"))
 
 
@@ -220,9 +57,7 @@ def pca_2d(df: DataFrame, id_col: str, vec_col: str, k: int = 2) -> DataFrame:
     each component's sign is fixed so its largest loading is positive."""
     from pyspark.ml.feature import PCA
 
-    cent = Q.centroids(df.withColumn("_one", F.lit(0)), "_one", vec_col)
-    mean = [r["mean"] for r in cent.orderBy("dim").collect()]  # dim values
-    mu = F.array(*[F.lit(float(v)) for v in mean])
+    mu = F.array(*[F.lit(v) for v in S.mean_vector(df, vec_col)])
     centred = df.select(F.col(id_col), V.to_ml_vector(F.zip_with(F.col(vec_col), mu, lambda a, b: a.cast("double") - b)).alias("features"))
     model = PCA(k=k, inputCol="features", outputCol="pc").fit(centred)
     pc = model.pc.toArray()
@@ -231,117 +66,151 @@ def pca_2d(df: DataFrame, id_col: str, vec_col: str, k: int = 2) -> DataFrame:
     return proj.select(F.col(id_col), *[(F.col("pc")[j] * F.lit(signs[j])).alias(f"pc{j + 1}") for j in range(k)])
 
 
-# ---------------------------------------------------------------- sweeps
-
-
-def k_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31), method: str = "ward", m: int = MICRO, seed: int = SEED) -> DataFrame:
-    """(k, silhouette_sq, calinski_harabasz) for every k, from one
-    micro-cluster pass; labels for all k form one long table (id, k, label)
-    and the scores are grouped by k."""
-    ks = list(k_range)
-    assign, micro = micro_clusters(df, id_col, vec_col, m, seed)
-    schema = T.StructType([T.StructField("micro", T.LongType()), T.StructField("k", T.IntegerType()), T.StructField("label", T.IntegerType())])
-
-    def run(pdf):
-        import numpy as np
-        import pandas as pd
-
-        c = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["center"]])
-        sizes, mins, micros = pdf["n"].to_numpy(), pdf["min_id"].to_numpy(), pdf["micro"].to_numpy()
-        outs = []
-        if method == "ward":
-            mg = W.ward_merges(c, sizes)
-        else:
-            emb = W.spectral_embedding(c)
-        for k in ks:
-            if method == "ward":
-                lab = W.renumber_by_min(W.cut_tree(mg, len(sizes), k), mins) if len(sizes) > k else np.arange(len(sizes))
-            else:
-                lab = W.spectral_labels(c, sizes, mins, k, seed=seed, emb=emb)
-            outs.append(pd.DataFrame({"micro": micros.astype("int64"), "k": np.int32(k), "label": lab.astype("int32")}))
-        return pd.concat(outs, ignore_index=True)
-
-    labs = micro.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, schema)
-    rows = assign.join(labs, "micro").join(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")), "id")
-    return sweep_scores(rows)
-
-
-def sweep_scores(rows: DataFrame) -> DataFrame:
-    """(k, silhouette_sq, calinski_harabasz) from (id, k, label, vec)."""
-    import numpy as np
-
-    x = rows
-    sizes = x.groupBy("k", "label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))).alias("sq"),
-    )
-    vsum = x.select("k", "label", F.posexplode("vec").alias("dim", "v")).groupBy("k", "label", "dim").agg(F.sum(F.col("v").cast("double")).alias("vs"))
-    srows = sizes.collect()  # one row per (k, cluster): bounded by the sweep
-    vrows = vsum.collect()
-    dim = 1 + max(r["dim"] for r in vrows)
-    stats = {}
-    for r in srows:
-        stats[(r["k"], r["label"])] = [r["n"], r["sq"], np.zeros(dim)]
-    for r in vrows:
-        stats[(r["k"], r["label"])][2][r["dim"]] = r["vs"]
-    per_k = {}
-    for (k, lab), (n, sq, fs) in stats.items():
-        per_k.setdefault(k, []).append((lab, n, sq, fs))
-    model = {}
-    for k, items in per_k.items():
-        items.sort()
-        model[k] = (
-            np.array([i[0] for i in items]),
-            np.array([i[1] for i in items], dtype=float),
-            np.array([i[2] for i in items]),
-            np.stack([i[3] for i in items]),
-        )
-    bc = rows.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches):
-        import numpy as np
+# ---------------------------------------------------------------- topic levels
+
+
+def _first_centers(rows: DataFrame, parents: list[str], k: int) -> dict[tuple, np.ndarray]:
+    """k rows of each parent as first centers, by a hash of their ids (a top-k
+    with a partial limit in every task; no parent is gathered anywhere)."""
+    from pyspark.sql.window import Window
+
+    rows = rows.withColumn("h", F.xxhash64("id", F.lit(SEED)))
+    if parents:
+        w = Window.partitionBy(*parents).orderBy("h", "id")
+        rows = rows.withColumn("c", F.row_number().over(w)).filter(F.col("c") <= k)
+    else:
+        rows = rows.orderBy("h", "id").limit(k)
+    centers: dict[tuple, list] = {}
+    for r in sorted(rows.select(*parents, "h", "id", "vec").collect(), key=lambda r: (r["h"], r["id"])):
+        centers.setdefault(tuple(r[p] for p in parents), []).append(np.asarray(r["vec"], dtype=np.float64))
+    return {key: np.stack(c) for key, c in centers.items()}
+
+
+def _assigner(centers: dict[tuple, np.ndarray], n_parents: int):
+    """Partial sums (parents, c, dim values and count) or labels of Arrow batches."""
+
+    def label(ids, vec, parent):
+        x = S.matrix(vec)
+        out = np.full(len(ids), -1, np.int64)
+        keys = list(zip(*(p.to_pylist() for p in parent))) if n_parents else [()] * len(ids)
+        groups: dict[tuple, list[int]] = {}
+        for i, key in enumerate(keys):
+            groups.setdefault(key, []).append(i)
+        for key, at in groups.items():
+            if key in centers:
+                c = centers[key]
+                y = x[at]
+                # relative to the first center: rows far from the origin keep their digits
+                d = S._sq_distances(y - c[0], c - c[0])
+                out[at] = d.argmin(1)
+        return x, out
+
+    return label
+
+
+def split_level(rows: DataFrame, parents: list[str], out: str, k: int, iterations: int = ITERATIONS) -> DataFrame:
+    """``rows`` (id, vec, *parents) with ``out``: k-means inside every parent that
+    has k rows at least, NULL elsewhere.
+
+    One iteration is one scan for all parents: tasks assign their rows and emit
+    one sum per (parent, center); those are added up and the centers broadcast
+    again (parents x k x dim numbers, the model)."""
+    spark, n = rows.sparkSession, len(parents)
+    known = F.lit(True)
+    for p in parents:
+        known = known & F.col(p).isNotNull()
+    base = rows.filter(known)
+    if parents:
+        sizes = base.groupBy(*parents).agg(F.count("*").alias("_n"))
+        base = base.join(sizes.filter(F.col("_n") >= k).drop("_n"), parents, "left_semi")
+    elif base.limit(k).count() < k:
+        return rows.withColumn(out, F.lit(None).cast("int"))
+    centers = _first_centers(base, parents, k)
+    fields = [T.StructField(p, base.schema[p].dataType) for p in parents]
+    for _ in range(iterations if centers else 0):
+        shared = spark.sparkContext.broadcast(centers)
+
+        def sums(batches, shared=shared):
+            import pyarrow as pa
+
+            label = _assigner(shared.value, n)
+            total: dict[tuple, np.ndarray] = {}
+            types = []
+            for b in batches:
+                types = [b.column(j).type for j in range(n)]
+                parent = [b.column(j) for j in range(n)]
+                x, at = label(b.column(n), b.column(n), parent)
+                keys_ = list(zip(*(p.to_pylist() for p in parent))) if n else [()] * len(at)
+                order: dict[tuple, list[int]] = {}
+                for i, key in enumerate(keys_):
+                    if at[i] >= 0:
+                        order.setdefault((*key, int(at[i])), []).append(i)
+                for key, rows_ in order.items():
+                    add = np.r_[x[rows_].sum(0), len(rows_)]
+                    total[key] = total[key] + add if key in total else add
+            if total:
+                cols = list(zip(*total))
+                arrays = [pa.array(c, t) for c, t in zip(cols, types)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(cols[-1], pa.int32()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=[*parents, "c", "s"])
+
+        schema = T.StructType([*fields, T.StructField("c", T.IntegerType()), T.StructField("s", T.ArrayType(T.DoubleType()))])
+        parts = base.select(*parents, "vec").mapInArrow(sums, schema)
+        added = parts.select(*parents, "c", F.posexplode("s").alias("d", "v")).groupBy(*parents, "c", "d").agg(F.sum("v").alias("v")).collect()
+        new: dict[tuple, dict[int, dict[int, float]]] = {}
+        for r in added:
+            new.setdefault(tuple(r[p] for p in parents), {}).setdefault(r["c"], {})[r["d"]] = r["v"]
+        moved = 0.0
+        for key, by_center in new.items():
+            for c, v in by_center.items():
+                dim = len(v) - 1
+                mean = np.array([v[d] for d in range(dim)]) / v[dim]
+                moved = max(moved, float(np.abs(mean - centers[key][c]).max()))
+                centers[key][c] = mean
+        if moved < 1e-6:
+            break
+    shared = spark.sparkContext.broadcast(centers)
+    at_parent = [rows.columns.index(p) for p in parents]
+    at_vec = rows.columns.index("vec")
+
+    def label_rows(batches):
         import pyarrow as pa
 
-        mdl = bc.value
+        label = _assigner(shared.value, n)
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            ks = b.column(0).to_numpy(zero_copy_only=False)
-            labs = b.column(1).to_numpy(zero_copy_only=False)
-            vecs = np.array(b.column(2).to_pylist(), dtype=np.float64)
-            out_k, out_s = [], []
-            for k in np.unique(ks):
-                sel = ks == k
-                lab_all, n_, sq_, fs_ = mdl[int(k)]
-                xx = vecs[sel]
-                xn = (xx * xx).sum(axis=1)
-                d = xn[:, None] + (sq_ / n_)[None, :] - 2.0 * (xx @ fs_.T) / n_[None, :]
-                own = np.searchsorted(lab_all, labs[sel])
-                r = np.arange(len(own))
-                a = d[r, own] * n_[own] / np.maximum(n_[own] - 1, 1)
-                dd = d.copy()
-                dd[r, own] = np.inf
-                bmin = dd.min(axis=1)
-                s = np.where(a < bmin, 1 - a / bmin, np.where(a > bmin, bmin / a - 1, 0.0))
-                s = np.where((n_[own] <= 1) | ~np.isfinite(bmin), 0.0, s)
-                out_k.append(np.full(len(s), k, dtype=np.int32))
-                out_s.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_k)), pa.array(np.concatenate(out_s))], names=["k", "s"])
-
-    sil = rows.select("k", "label", "vec").mapInArrow(score, "k int, s double").groupBy("k").agg(F.avg("s").alias("silhouette_sq"))
-    ch = []
-    for k, (lab, n, sq, fs) in model.items():
-        tot_n, kk = n.sum(), len(n)
-        mu = fs.sum(axis=0) / tot_n
-        between = float((n[:, None] * (fs / n[:, None] - mu[None, :]) ** 2).sum())
-        within = float(sq.sum() - ((fs * fs).sum(axis=1) / n).sum())
-        ch.append((int(k), float((between / (kk - 1)) / (within / (tot_n - kk))) if kk > 1 and tot_n > kk and within > 0 else None))
-    chdf = rows.sparkSession.createDataFrame(ch, "k int, calinski_harabasz double")
-    return sil.join(chdf, "k", "left").orderBy("k")
+            _, at = label(b.column(at_vec), b.column(at_vec), [b.column(j) for j in at_parent])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32), mask=at < 0)], names=[*b.schema.names, out])
+
+    return rows.mapInArrow(label_rows, T.StructType([*rows.schema.fields, T.StructField(out, T.IntegerType())]))
+
+
+def three_level(df: DataFrame, id_col: str, vec_col: str, ks=(12, 6, 3), iterations: int = ITERATIONS) -> DataFrame:
+    """I19 (re-aimed): (id, level_1, level_2, level_3) by k-means levels."""
+    rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+    parents: list[str] = []
+    for i, k in enumerate(ks):
+        rows = cut_lineage(split_level(rows, parents, f"level_{i + 1}", k, iterations))
+        parents = [*parents, f"level_{i + 1}"]
+    return rows.select(F.col("id").alias(id_col), *parents)
+
+
+# ---------------------------------------------------------------- sweeps
+
+
+def k_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31), seed: int = SEED) -> DataFrame:
+    """I17 (re-aimed): (k, silhouette_sq, calinski_harabasz) of a distributed
+    k-means for every k."""
+    out = None
+    for k in k_range:
+        rows = cut_lineage(df.select(id_col, vec_col).join(kmeans(df, id_col, vec_col, k, seed), id_col))
+        scores = {"silhouette_sq": Q.silhouette_sq(rows, id_col, vec_col, "label"), "calinski_harabasz": Q.calinski_harabasz(rows, "label", vec_col)}
+        for name, score in scores.items():
+            one = score.select(F.lit(k).alias("k"), F.lit(name).alias("score"), F.col(name).alias("v"))
+            out = one if out is None else out.unionByName(one)
+    return out.groupBy("k").agg(*(F.max(F.when(F.col("score") == name, F.col("v"))).alias(name) for name in ("silhouette_sq", "calinski_harabasz")))
 
 
 def clustered_rows(df: DataFrame, id_col: str, vec_col: str, k: int = 30, seed: int = SEED) -> DataFrame:
-    """Rows with ``cluster_kmeans`` and ``cluster_agglomerative`` attached by id."""
+    """Every row with both flat clusterings attached by an id join."""
     km = kmeans(df, id_col, vec_col, k, seed).withColumnRenamed("label", "cluster_kmeans")
-    ag = flat(df, id_col, vec_col, k, "ward").withColumnRenamed("label", "cluster_agglomerative")
-    return df.join(km, id_col, "left").join(ag, id_col, "left")
+    bis = bisecting(df, id_col, vec_col, k, seed).withColumnRenamed("label", "cluster_hierarchical")
+    return df.join(km, id_col, "left").join(bis, id_col, "left")

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions.stopwords import EXPLORE_STOP_WORDS, stop_word_frame
-from ..session import spread
+from .clean import as_number
 
 
 def top_n_per_group(df: DataFrame, group_cols: list[str], score_col: str, key_col: str, n: int, rank_col: str = "rank") -> DataFrame:
@@ -26,13 +26,13 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], score_col: str, key_co
 
 
 def top_authors(df: DataFrame, col: str = "professor", n: int = 30) -> DataFrame:
-    """Publications per author, top n (count desc, name asc)."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n_pubs")).orderBy(F.col("n_pubs").desc(), F.col(col)).limit(n)
+    """Publications per author, top n (count desc, name asc); NULL is no author."""
+    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_pubs")).orderBy(F.col("n_pubs").desc(), F.col(col)).limit(n)
 
 
 def pubs_per_year(df: DataFrame, year_col: str) -> DataFrame:
     """Non-null -> numeric -> count per year -> sorted by year."""
-    y = df.filter(F.col(year_col).isNotNull()).select(F.col(year_col).cast("string").try_cast("int").alias("year"))
+    y = df.filter(F.col(year_col).isNotNull()).select(as_number(F.col(year_col), "int").alias("year"))
     return y.filter(F.col("year").isNotNull()).groupBy("year").agg(F.count(F.lit(1)).alias("n_pubs")).orderBy("year")
 
 
@@ -43,7 +43,7 @@ def _stop_anti(tokens: DataFrame, spark, stop_words: list[str], col: str = "word
 
 def word_counts(df: DataFrame, text_col: str, stop_words: list[str] = EXPLORE_STOP_WORDS) -> DataFrame:
     """Vectorizer-token counts over the corpus: (word, n)."""
-    toks = spread(df.select(F.col(text_col).alias("_text"))).select(F.explode(tx.word_tokens("_text")).alias("word"))
+    toks = df.select(F.col(text_col).alias("_text")).select(F.explode(tx.word_tokens("_text")).alias("word"))
     toks = _stop_anti(toks, df.sparkSession, stop_words)
     return toks.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -58,7 +58,7 @@ def words_by_year(df: DataFrame, year_col: str, text_col: str, stop_words: list[
 
     Rows with a NULL year drop out, as in a pandas group-by; NULL text gives no token.
     """
-    src = spread(df.filter(F.col(year_col).isNotNull()).select(F.col(year_col).alias("year"), F.col(text_col).alias("_text")))
+    src = df.filter(F.col(year_col).isNotNull()).select(F.col(year_col).alias("year"), F.col(text_col).alias("_text"))
     toks = src.select("year", F.explode(tx.whitespace_tokens("_text")).alias("word"))
     toks = _stop_anti(toks, df.sparkSession, stop_words)
     return toks.groupBy("year", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -79,119 +79,76 @@ def _numeric_cols(df: DataFrame) -> list[str]:
 
 
 QUANTILES = (0.25, 0.5, 0.75)
-MAX_BRACKET_ROWS = 1_000_000
-
+BINS = 512
+
+
+def _value(df: DataFrame, col: str) -> F.Column:
+    """A column as double; NaN is missing."""
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def order_statistics(df: DataFrame, cols: list[str], need: dict[int, set[int]], low: list, high: list, bins: int = BINS) -> dict[tuple[int, int], float]:
+    """Exact values at the given ranks (0-based) of several columns.
+
+    Each round counts the rows of every still open interval in ``bins`` equal
+    parts, in one scan for all columns, with each part's smallest and largest
+    value; the part that holds a rank is the next interval, until its smallest
+    and largest value agree. Only counts reach the driver, ``bins`` per interval,
+    whatever the table's size; a round narrows an interval by ``bins``."""
+    found: dict[tuple[int, int], float] = {}
+    # (column, low, high) -> ranks counted from the interval's first row
+    open_: dict[tuple[int, float, float], dict[int, int]] = {(i, float(low[i]), float(high[i])): {r: r for r in ranks} for i, ranks in need.items() if ranks}
+    while open_:
+        for (i, lo, hi), ranks in list(open_.items()):
+            if lo == hi:
+                found |= {(i, r): lo for r in ranks}
+                del open_[i, lo, hi]
+        if not open_:
+            break
+        keys = list(open_)
+        items = [F.struct(F.lit(k).alias("k"), _value(df, cols[i]).alias("v"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (i, lo, hi) in enumerate(keys)]
+        inside = df.select(F.explode(F.filter(F.array(*items), lambda t: (t["v"] >= t["lo"]) & (t["v"] <= t["hi"]))).alias("t")).select("t.*")
+        # halves first: hi - lo may overflow
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        part = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+        rows = inside.groupBy("k", part.alias("part")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        parts: dict[int, list] = {}
+        for r in rows:
+            parts.setdefault(r["k"], []).append((r["part"], r["n"], r["lo"], r["hi"]))
+        after: dict[tuple[int, float, float], dict[int, int]] = {}
+        for k, key in enumerate(keys):
+            own = sorted(parts[k])
+            for r, at in open_[key].items():
+                for _, n, lo, hi in own:
+                    if at < n:
+                        after.setdefault((key[0], lo, hi), {})[r] = at
+                        break
+                    at -= n
+        open_ = after
+    return found
 
-def exact_quantiles(df: DataFrame, cols: list[str], qs=QUANTILES, max_bracket: int = MAX_BRACKET_ROWS) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics), exact,
-    without gathering a column in one place.
 
-    1. ``percentile_approx`` (rank error <= n / A) brackets each needed rank,
-       with A chosen so a bracket holds at most ~``max_bracket`` rows;
-    2. one scan counts the rows below each bracket;
-    3. the distinct values inside each bracket (with counts) are read and the
-       exact order statistics located by walking their cumulative counts.
-    A bracket that misses its rank (the approximation guarantee failed) is
-    widened to [min, max].
-    """
-    xs = [F.col(c).cast("double") for c in cols]
-    base = df.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)], *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)], *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)]).first()
-    out: dict[str, list[float | None]] = {}
-    plans = []
-    for i, c in enumerate(cols):
-        n = base[f"n{i}"]
-        if not n:
-            out[c] = [None] * len(qs)
-            continue
-        acc = int(min(max(10_000, 4 * n // max_bracket + 1), 10_000_000))
-        eps = 2.0 / acc
-        need = sorted({r for q in qs for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
-        plans.append((i, c, n, acc, eps, need))
-    if not plans:
-        return out
-    probes = []
-    for i, c, n, acc, eps, need in plans:
-        ps = [p for r in need for p in (max(0.0, r / max(n - 1, 1) - eps), min(1.0, r / max(n - 1, 1) + eps))]
-        probes.append(F.percentile_approx(xs[i], F.array(*[F.lit(p) for p in ps]), acc).alias(f"b{i}"))
-    br = df.agg(*probes).first()
-    brackets = {}
-    for i, c, n, acc, eps, need in plans:
-        vals = br[f"b{i}"]
-        brackets[i] = [(float(vals[2 * j]), float(vals[2 * j + 1])) for j in range(len(need))]
-    below = df.agg(
-        *[F.sum((xs[i] < F.lit(a)).cast("long")).alias(f"c{i}_{j}") for i, c, n, acc, eps, need in plans for j, (a, b) in enumerate(brackets[i])]
-    ).first()
-    # every bracket's histogram in one scan: each row goes to the brackets it falls in
-    items = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), xs[i].alias("v"), F.lit(a).alias("a"), F.lit(b).alias("b"))
-        for i, c, n, acc, eps, need in plans
-        for j, (a, b) in enumerate(brackets[i])
-    ]
-    hits = df.select(F.explode(F.filter(F.array(*items), lambda t: (t["v"] >= t["a"]) & (t["v"] <= t["b"]))).alias("t"))
-    hist_rows = hits.groupBy("t.i", "t.j", "t.v").agg(F.count(F.lit(1)).alias("k")).collect()
-    hists: dict[tuple[int, int], list[tuple[float, int]]] = {}
-    for row in hist_rows:
-        hists.setdefault((row["i"], row["j"]), []).append((row["v"], row["k"]))
-    for i, c, n, acc, eps, need in plans:
-        exact = {}
-        for j, r in enumerate(need):
-            a, b = brackets[i][j]
-            c_below = below[f"c{i}_{j}"] or 0
-            hist = sorted(hists.get((i, j), []))
-            for attempt in range(2):
-                cum, found = c_below, None
-                for v, k in hist:
-                    if cum + k > r:
-                        found = v
-                        break
-                    cum += k
-                if found is not None and c_below <= r:
-                    exact[r] = found
-                    break
-                # the approximation missed this rank: widen to [min, max] (rare)
-                a, b, c_below = base[f"lo{i}"], base[f"hi{i}"], 0
-                sel = df.select(xs[i].alias("x")).filter((F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)))
-                hist = [(row["x"], row["k"]) for row in sel.groupBy("x").agg(F.count(F.lit(1)).alias("k")).orderBy("x").collect()]
-        res = []
-        for q in qs:
-            pos = q * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            res.append(exact[lo] + (pos - lo) * (exact[hi] - exact[lo]))
-        out[c] = res
-    return out
-
-
-def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True, accuracy: int = 100000) -> DataFrame:
-    """Count, mean, std, min, quartiles, max per numeric column, long form.
-
-    Quartiles are exact (``exact_quantiles``: bounded brackets, never a whole
-    column in one buffer) or, with ``exact=False``, ``percentile_approx``.
-    """
+def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Count, mean, std, min, exact quartiles (linear interpolation), max per
+    numeric column, long form. NULL and NaN are missing. One scan for the
+    moments, and a few for the quartiles (``order_statistics``)."""
     cols = cols or _numeric_cols(df)
-    spark = df.sparkSession
-    quant = exact_quantiles(df, cols) if exact else None
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        if exact:
-            q = F.array(*[F.lit(v).cast("double") for v in quant[c]])
-        else:
-            q = F.percentile_approx(x, F.array(*[F.lit(v) for v in QUANTILES]), accuracy).cast("array<double>")
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(x).alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                q[0].alias("p25"),
-                q[1].alias("p50"),
-                q[2].alias("p75"),
-                F.max(x).alias("max"),
-            ).alias(f"_s{i}")
-        )
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(aggs))])).alias("s")).select("s.*")
+        x = _value(df, c)
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+    base = df.agg(*aggs).first()
+    at = {i: [q * (base[f"n{i}"] - 1) for q in QUANTILES] for i in range(len(cols)) if base[f"n{i}"]}
+    need = {i: {r for x in pos for r in (math.floor(x), math.ceil(x))} for i, pos in at.items()}
+    bounds = [[base[f"{k}{i}"] for i in range(len(cols))] for k in ("min", "max")]
+    value = order_statistics(df, cols, need, *bounds)
+    rows = []
+    for i, c in enumerate(cols):
+        q = [value[i, math.floor(x)] + (x - math.floor(x)) * (value[i, math.ceil(x)] - value[i, math.floor(x)]) for x in at[i]] if i in at else [None] * 3
+        rows.append((c, base[f"n{i}"], base[f"mean{i}"], base[f"std{i}"], base[f"min{i}"], *q, base[f"max{i}"]))
+    names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("column", T.StringType()), T.StructField("count", T.LongType()), *(T.StructField(n, T.DoubleType()) for n in names)]))
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -212,12 +169,10 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """``duplicated().sum()`` -- every copy after the first counts."""
-    cols = subset or df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
+    """``duplicated().sum()`` -- every copy after the first counts.
 
-
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    """Distinct non-null values."""
-    return df.select(col).na.drop().distinct()
+    Strings are grouped by their SHA-256, so whole texts are never shuffled."""
+    kind = dict(df.dtypes)
+    keys = [(F.sha2(F.col(c).cast("binary"), 256) if kind[c] == "string" else F.col(c)).alias(f"k{i}") for i, c in enumerate(subset or df.columns)]
+    g = df.select(*keys).groupBy(*(f"k{i}" for i in range(len(keys)))).agg(F.count(F.lit(1)).alias("_n"))
+    return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))

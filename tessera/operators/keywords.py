@@ -1,8 +1,7 @@
 """TF-IDF keywords per cluster node.
 
-The reference loops over 1 + 12 + 72 clusters and fits a vectorizer in each.
-Here every document is exploded to its node paths (one per level) and all
-nodes of all levels are scored in the same group-bys, keyed by ``path``:
+Instead of a fit per cluster (1 + 12 + 72 of them), all nodes of all levels are
+scored in the same group-bys:
 
 * tf(d, t) per document (vectorizer tokens minus stop words);
 * per node: keep the ``max_features`` terms with the largest total tf
@@ -21,41 +20,15 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
-from ..session import spread
+from ..session import cut_lineage
 
 MAX_FEATURES = 1000
 SCORE_DIGITS = 6
 
 
-def doc_terms(df: DataFrame, id_col: str, text_col: str, stop_words: list[str] = KEYWORD_STOP_WORDS) -> DataFrame:
-    """(id, term, tf): counts per document; the partial aggregate reduces each
-    document inside the task that read it."""
-    src = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
-    toks = src.select("id", F.explode(tx.word_tokens("_text")).alias("term"))
-    toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
-    return toks.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def node_paths(df: DataFrame, id_col: str, level_cols: list[str]) -> DataFrame:
-    """(id, level, path): one row per node a document belongs to.
-
-    A level exists only below a non-NULL parent; path = "a", "a.b", "a.b.c".
-    """
-    items = []
-    for i in range(len(level_cols)):
-        cols = level_cols[: i + 1]
-        ok = F.lit(True)
-        for c in cols:
-            ok = ok & F.col(c).isNotNull()
-        items.append(
-            F.when(ok, F.struct(F.lit(i + 1).alias("level"), F.concat_ws(".", *[F.col(c).cast("string") for c in cols]).alias("path")))
-        )
-    exploded = df.select(F.col(id_col).alias("id"), F.explode(F.array(*items)).alias("n"))
-    return exploded.filter(F.col("n").isNotNull()).select("id", "n.level", "n.path")
-
-
 def _path_items(level_cols: list[str]):
-    """Array of (level, path) structs for one row; NULL entries for missing levels."""
+    """Array of (level, path) structs for one row; a level exists only below a
+    non-NULL parent; path = "a", "a.b", "a.b.c"."""
     items = []
     for i in range(len(level_cols)):
         cols = level_cols[: i + 1]
@@ -66,48 +39,41 @@ def _path_items(level_cols: list[str]):
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
+def node_paths(df: DataFrame, id_col: str, level_cols: list[str]) -> DataFrame:
+    """(id, level, path): one row per node a document belongs to."""
+    exploded = df.select(F.col(id_col).alias("id"), F.explode(_path_items(level_cols)).alias("n"))
+    return exploded.select("id", "n.level", "n.path")
+
+
 def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], max_features: int = MAX_FEATURES,
                      stop_words: list[str] = KEYWORD_STOP_WORDS) -> DataFrame:
     """(level, path, term, score) for every node, straight from the texts.
 
-    The document's node paths ride along as a grouping key of the term count,
-    so no join brings paths to terms; the per-document L2 norm is a window.
+    Terms are counted per document under one number that stands for its full
+    path (``leaf``); node statistics come from (leaf, term) sums through the
+    small table that says which nodes lie above a leaf.
     """
-    base = df.select(F.col(id_col).alias("id"), _path_items(level_cols).alias("paths"), F.col(text_col).alias("_text"))
-    n_docs = base.select(F.explode("paths").alias("p")).groupBy("p.level", "p.path").agg(F.count(F.lit(1)).alias("N"))
-    toks = spread(base).select("id", "paths", F.explode(tx.word_tokens("_text")).alias("term"))
+    leaf = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in level_cols])
+    base = df.select(F.col(id_col).alias("id"), leaf.alias("leaf"), _path_items(level_cols).alias("paths"), F.col(text_col).alias("_text"))
+    above = base.select("leaf", F.explode("paths").alias("p")).groupBy("leaf", "p.level", "p.path").agg(F.count(F.lit(1)).alias("n"))
+    n_docs = above.groupBy("level", "path").agg(F.sum("n").alias("N"))
+    above = above.select("leaf", "level", "path")
+    toks = base.where(F.size("paths") > 0).select("id", "leaf", F.explode(tx.word_tokens("_text")).alias("term"))
     toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
-    tf = toks.groupBy("id", "paths", "term").agg(F.count(F.lit(1)).alias("tf"))
-    pt = tf.select("id", F.explode("paths").alias("p"), "term", "tf").select("id", "p.level", "p.path", "term", "tf")
-    stats = pt.groupBy("level", "path", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    tf = toks.groupBy("id", "leaf", "term").agg(F.count(F.lit(1)).alias("tf"))
+    by_leaf = tf.groupBy("leaf", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    stats = by_leaf.join(above, "leaf").groupBy("level", "path", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     w = Window.partitionBy("level", "path").orderBy(F.col("total").desc(), F.col("term").asc())
     vocab = stats.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_features)
+    vocab = vocab.join(n_docs, ["level", "path"]).select("level", "path", "term", (F.log((F.col("N") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     # at most max_features terms per node: small, broadcast by AQE
-    vocab = vocab.join(n_docs, ["level", "path"]).select(
-        "level", "path", "term", (F.log((F.col("N") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
-    )
-    weighted = pt.join(vocab, ["level", "path", "term"]).select("level", "path", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    leaf_vocab = above.join(vocab, ["level", "path"])
+    weighted = tf.join(leaf_vocab, ["leaf", "term"]).select("level", "path", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
     nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("level", "path", "id")))
     normed = weighted.select("level", "path", "term", (F.col("w") / nrm).alias("wn"))
     return normed.groupBy("level", "path", "term").agg(F.sum("wn").alias("score"))
 
 
-def node_term_scores(terms: DataFrame, paths: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(level, path, term, score) for every node at once."""
-    n_docs = paths.groupBy("level", "path").agg(F.count(F.lit(1)).alias("N"))
-    pt = paths.join(terms, "id")  # (id, level, path, term, tf)
-    stats = pt.groupBy("level", "path", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    w = Window.partitionBy("level", "path").orderBy(F.col("total").desc(), F.col("term").asc())
-    vocab = stats.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_features)
-    vocab = vocab.join(n_docs, ["level", "path"]).select(
-        "level", "path", "term", (F.log((F.col("N") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
-    )
-    weighted = pt.join(vocab, ["level", "path", "term"]).select("level", "path", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = weighted.groupBy("level", "path", "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    normed = weighted.join(norms, ["level", "path", "id"]).select("level", "path", "term", (F.col("w") / F.col("nrm")).alias("wn"))
-    return normed.groupBy("level", "path", "term").agg(F.sum("wn").alias("score"))
-
-
 def top_keywords(scores: DataFrame, n: int) -> DataFrame:
     """(level, path, keywords): top n terms per node, joined ', ' in rank order."""
     r = scores.withColumn("s", F.round("score", SCORE_DIGITS))
@@ -118,15 +84,24 @@ def top_keywords(scores: DataFrame, n: int) -> DataFrame:
     return agg.select("level", "path", tx.join_list(F.transform("kw", lambda x: x["term"])).alias("keywords"))
 
 
+def node_keywords(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], n: int) -> DataFrame:
+    """(level, path, size, keywords) for every node; a node without terms has ''."""
+    sizes = node_paths(df, id_col, level_cols).groupBy("level", "path").agg(F.count(F.lit(1)).alias("size"))
+    kw = top_keywords(text_node_scores(df, id_col, text_col, level_cols), n)
+    return sizes.join(kw, ["level", "path"], "left").select("level", "path", "size", F.coalesce("keywords", F.lit("")).alias("keywords"))
+
+
 def group_keywords(df: DataFrame, id_col: str, text_col: str, group_col: str, n: int = 5) -> DataFrame:
     """Top n keywords of each group of texts: (group, keywords)."""
-    kw = top_keywords(text_node_scores(df, id_col, text_col, [group_col]), n)
+    kw = node_keywords(df, id_col, text_col, [group_col], n)
     return kw.select(F.col("path").cast(df.schema[group_col].dataType).alias(group_col), "keywords")
 
 
 def level_keywords(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], n: int = 10) -> DataFrame:
-    """I22 + C3: each row with ``<level>_keywords`` for each of its levels (NULL below a leaf)."""
-    kw = top_keywords(text_node_scores(df, id_col, text_col, level_cols), n)
+    """I22 + C3: each row with ``<level>_keywords`` for each of its levels (NULL below a leaf).
+
+    The node table (one row per node) is written once and joined per level."""
+    kw = cut_lineage(node_keywords(df, id_col, text_col, level_cols, n))
     out = df
     for i, c in enumerate(level_cols):
         parts = level_cols[: i + 1]
@@ -135,7 +110,6 @@ def level_keywords(df: DataFrame, id_col: str, text_col: str, level_cols: list[s
             complete = complete & F.col(x).isNotNull()
         key = F.when(complete, F.concat_ws(".", *[F.col(x).cast("string") for x in parts]))
         node_kw = kw.filter(F.col("level") == i + 1).select(F.col("path").alias(f"_p{i}"), F.col("keywords").alias(f"{c}_keywords"))
-        # the node table has one row per node: small, so AQE broadcasts it
         out = out.withColumn(f"_p{i}", key).join(node_kw, f"_p{i}", "left").drop(f"_p{i}")
     return out
 

@@ -4,9 +4,9 @@ A character-trigram naive Bayes model:
 
 * text -> lower -> runs of non-letters become one space -> padded with a
   space on both sides -> every trigram of the whole text (JVM expressions);
-* trigram counting per document happens inside the task that read the
-  document (an Arrow batch helper), so no shuffle is keyed on
-  (doc, trigram) and the text itself is never shuffled;
+* trigrams are counted and scored inside the task that reads the document
+  (NumPy over code points), so neither texts nor (doc, trigram) pairs are
+  shuffled;
 * fit: ``n(lang, g)`` by a partial + final aggregate; per language
   ``w(lang, g) = ln(n + 1)`` and ``base(lang) = -ln(total(lang) + V)``;
 * score(doc, lang) = sum_g c(doc, g) * w(lang, g) + N(doc) * base(lang),
@@ -14,21 +14,23 @@ A character-trigram naive Bayes model:
 * prediction = highest score rounded to 6 places, ties by language asc.
 
 Texts with no letters have no trigram, hence no language, and are not
-English. The fitted model is a weights DataFrame (bounded by vocabulary x
-languages, broadcast by AQE when small) plus one base per language, which is
-collected once like any fitted estimator.
+English. The fitted weights are broadcast while they have at most
+``MAX_WEIGHTS`` rows; a larger model is joined on the trigram instead, with the
+same result.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import NON_LETTER_RUN
-from ..session import spread
+from ..session import cut_lineage
 
 # Smoothing vocabulary size and score rounding.
 VOCAB = 5000
@@ -40,45 +42,58 @@ TOTAL_ROW = -1  # marker row carrying N(doc); trigram codes are never negative
 _SHIFT = 21
 _SPACE_CODE = (32 << 42) | (32 << 21) | 32
 
-GRAM_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("lang", T.StringType()),
-        T.StructField("gram", T.LongType()),
-        T.StructField("c", T.LongType()),
-    ]
-)
+MAX_WEIGHTS = 4_000_000
 
 
-def _count_batches(batches):
-    """Per document: trigram counts (NumPy over code points) plus one marker
-    row with the total. No per-character Python loop."""
+def _batch_trigrams(text):
+    """(row, trigram code) of every trigram of an Arrow string column but the all-space one."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    text = pc.fill_null(text, "")
+    size = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    joined = b"".join(s.encode("utf-32-le") for s in text.to_pylist())
+    cp = np.frombuffer(joined, dtype=np.uint32).astype(np.int64)
+    if len(cp) < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    tri = (cp[:-2] << 42) | (cp[1:-1] << 21) | cp[2:]
+    ok = (row[2:] == row[:-2]) & (tri != _SPACE_CODE)
+    return row[:-2][ok], tri[ok]
+
+
+def _count_by_language(batches):
+    """(lang, gram, c) summed over each batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    for b in batches:
+        lang = b.column(0).dictionary_encode()
+        row, tri = _batch_trigrams(b.column(1))
+        code = lang.indices.to_numpy(zero_copy_only=False)[row]
+        for k, name in enumerate(lang.dictionary.to_pylist()):
+            g, c = np.unique(tri[code == k], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g), pa.array(c.astype(np.int64))], names=["lang", "gram", "c"])
+
+
+def _count_by_row(batches):
+    """(id, gram, c) of each document, and one marker row with its total."""
     import numpy as np
     import pyarrow as pa
 
     for b in batches:
-        ids = b.column(0).to_pylist()
-        langs = b.column(1).to_pylist()
-        texts = b.column(2).to_pylist()
-        out_id, out_lang, out_g, out_c = [], [], [], []
-        for i, lang, s in zip(ids, langs, texts):
-            if s is None or len(s) < 3:
-                continue
-            cp = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-            tri = (cp[:-2] << 42) | (cp[1:-1] << 21) | cp[2:]
-            tri = tri[tri != _SPACE_CODE]
-            if tri.size == 0:
-                continue
-            g, c = np.unique(tri, return_counts=True)
-            out_id.append(np.full(g.size + 1, i, dtype=np.int64))
-            out_lang.extend([lang] * (g.size + 1))
-            out_g.append(np.concatenate(([TOTAL_ROW], g)))
-            out_c.append(np.concatenate(([tri.size], c)).astype(np.int64))
-        if out_id:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out_id)), pa.array(out_lang, pa.string()), pa.array(np.concatenate(out_g)), pa.array(np.concatenate(out_c))],
-                schema=pa.schema([("id", pa.int64()), ("lang", pa.string()), ("gram", pa.int64()), ("c", pa.int64())]),
-            )
+        row, tri = _batch_trigrams(b.column(1))
+        order = np.lexsort((tri, row))
+        row, tri = row[order], tri[order]
+        new = np.r_[True, (row[1:] != row[:-1]) | (tri[1:] != tri[:-1])] if len(row) else np.zeros(0, bool)
+        at = np.flatnonzero(new)
+        have, total = np.unique(row, return_counts=True)
+        rows = np.r_[row[at], have]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(rows)), pa.array(np.r_[tri[at], np.full(len(have), TOTAL_ROW)]), pa.array(np.r_[np.diff(np.r_[at, len(row)]), total].astype(np.int64))],
+            names=["id", "gram", "c"],
+        )
 
 
 def decode_gram(code: int) -> str:
@@ -86,12 +101,8 @@ def decode_gram(code: int) -> str:
     return chr((code >> 42) & 0x1FFFFF) + chr((code >> 21) & 0x1FFFFF) + chr(code & 0x1FFFFF)
 
 
-def trigrams(df: DataFrame, id_col: str, text_col: str, lang_col: str | None = None) -> DataFrame:
-    """(id, lang, gram, c) with one extra ``gram = -1`` row per document holding N(doc)."""
-    s = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text_col)), NON_LETTER_RUN, " "), F.lit(" "))
-    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    prepared = spread(df.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang"), s.alias("s")))
-    return prepared.mapInArrow(_count_batches, GRAM_SCHEMA)
+def _prepared(text_col: str):
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text_col)), NON_LETTER_RUN, " "), F.lit(" "))
 
 
 @dataclass
@@ -101,47 +112,64 @@ class LanguageModel:
 
 
 def train(df: DataFrame, id_col: str, text_col: str, lang_col: str, vocab: int = VOCAB) -> LanguageModel:
-    """Fit on rows with a known language."""
-    labelled = df.filter(F.col(lang_col).isNotNull())
-    g = trigrams(labelled, id_col, text_col, lang_col).filter(F.col("gram") != TOTAL_ROW)
-    counts = g.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
+    """Fit on rows with a known language; the counts are written once."""
+    rows = df.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), _prepared(text_col).alias("s"))
+    counts = cut_lineage(rows.mapInArrow(_count_by_language, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("n")))
     weights = counts.select("lang", "gram", F.log(F.col("n") + 1.0).alias("w"))
-    totals = g.groupBy("lang").agg(F.sum("c").alias("total")).collect()
-    bases = {r["lang"]: -__import__("math").log(float(r["total"]) + float(vocab)) for r in totals}
-    return LanguageModel(weights, bases)
-
-
-def scores(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
-    """(id, lang, score) for every document with a trigram and every language."""
-    g = trigrams(df, id_col, text_col).drop("lang")
-    seen = g.filter(F.col("gram") != TOTAL_ROW).join(model.weights, "gram").select(
-        "id", "lang", (F.col("c") * F.col("w")).alias("part")
-    )
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()
+    return LanguageModel(weights, {r["lang"]: -math.log(float(r["total"]) + float(vocab)) for r in totals})
+
+
+def _best_of_scores(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
+    """(id, lang_pred) through joins on the trigram, for a model too large to broadcast."""
+    rows = df.select(F.col(id_col).alias("id"), _prepared(text_col).alias("s"))
+    g = rows.mapInArrow(_count_by_row, T.StructType([rows.schema["id"], *T.StructType.fromDDL("gram long, c long").fields]))
+    seen = g.filter(F.col("gram") != TOTAL_ROW).join(model.weights, "gram").select("id", "lang", (F.col("c") * F.col("w")).alias("part"))
+    bases = F.array(*[F.struct(F.lit(k).alias("lang"), F.lit(model.bases[k]).alias("base")) for k in sorted(model.bases)])
+    base = g.filter(F.col("gram") == TOTAL_ROW).select("id", "c", F.explode(bases).alias("b")).select("id", "b.lang", (F.col("c") * F.col("b.base")).alias("part"))
+    score = seen.unionByName(base).groupBy("id", "lang").agg(F.round(F.sum("part"), SCORE_DIGITS).alias("score"))
+    return score.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("k"), "lang"))["lang"].alias("lang_pred"))
+
+
+def with_language(df: DataFrame, id_col: str, text_col: str, model: LanguageModel, max_weights: int = MAX_WEIGHTS) -> DataFrame:
+    """Attach ``lang_pred`` (NULL when no letters) to every row of ``df``, in one
+    pass over the rows."""
+    if not model.bases:
+        return df.withColumn("lang_pred", F.lit(None).cast("string"))
+    if model.weights.limit(max_weights + 1).count() > max_weights:
+        found = _best_of_scores(df, id_col, text_col, model).withColumnRenamed("id", id_col)
+        return df.join(found, id_col, "left")
     langs = sorted(model.bases)
-    base_map = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(model.bases[k]))])
-    base_rows = (
-        g.filter(F.col("gram") == TOTAL_ROW)
-        .select("id", "c", F.explode(F.array(*[F.lit(k) for k in langs])).alias("lang"))
-        .select("id", "lang", (F.col("c") * base_map[F.col("lang")]).alias("part"))
-    )
-    return seen.unionByName(base_rows).groupBy("id", "lang").agg(F.sum("part").alias("score"))
+    table = model.weights.toPandas()  # max_weights rows at most
+    grams = np.unique(table["gram"].to_numpy())
+    weight = np.zeros((len(grams) + 1, len(langs)))  # the last row is that of unseen trigrams
+    weight[np.searchsorted(grams, table["gram"].to_numpy()), np.searchsorted(langs, table["lang"].to_numpy())] = table["w"].to_numpy()
+    shared = df.sparkSession.sparkContext.broadcast((langs, grams, weight, np.array([model.bases[k] for k in langs])))
+
+    def score(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names, known, w, base = shared.value
+        for b in batches:
+            row, tri = _batch_trigrams(b.column(b.num_columns - 1))
+            at = np.minimum(np.searchsorted(known, tri), len(known) - 1)
+            at = np.where(known[at] == tri, at, len(known))
+            n = np.bincount(row, minlength=b.num_rows)
+            total = np.stack([np.bincount(row, w[at, k], b.num_rows) + n * base[k] for k in range(len(names))], axis=1)
+            best = np.round(total, SCORE_DIGITS).argmax(1)  # the first of equals: languages are sorted
+            pred = pa.array([names[k] if c else None for k, c in zip(best, n)], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pred], names=[*b.schema.names[:-1], "lang_pred"])
+
+    schema = T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType())])
+    return df.withColumn("_prepared", _prepared(text_col)).mapInArrow(score, schema)
 
 
 def detect(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
-    """(id_col, lang_pred): best language per document (score desc, lang asc)."""
-    s = scores(df, id_col, text_col, model)
-    best = s.groupBy("id").agg(
-        F.min_by("lang", F.struct((-F.round("score", SCORE_DIGITS)).alias("k"), F.col("lang"))).alias("lang_pred")
-    )
-    return best.withColumnRenamed("id", id_col)
-
-
-def with_language(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
-    """Attach ``lang_pred`` (NULL when no letters) to every row of ``df``."""
-    return df.join(detect(df, id_col, text_col, model), id_col, "left")
+    """(id_col, lang_pred): best language per document that has one (score desc, lang asc)."""
+    return with_language(df.select(id_col, text_col), id_col, text_col, model).filter(F.col("lang_pred").isNotNull()).select(id_col, "lang_pred")
 
 
 def keep_english(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
     """B2: keep rows whose predicted language is English."""
-    pred = detect(df, id_col, text_col, model).filter(F.col("lang_pred") == "en").select(id_col)
-    return df.join(pred, id_col, "left_semi")
+    return with_language(df, id_col, text_col, model).filter(F.col("lang_pred") == "en").drop("lang_pred")

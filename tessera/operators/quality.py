@@ -1,10 +1,9 @@
 """Cluster statistics and quality scores.
 
-Everything that depends on the clusters only (sizes, vector sums, squared
-norm sums) comes from partial + final aggregates over a ``posexplode`` of
-the vectors, so cost is one linear scan; per-row work against the k cluster
-summaries uses a size-checked broadcast of those summaries (bounded by
-k x dim, like a fitted KMeans model).
+Everything that depends on the clusters only (sizes, means, sums of squares)
+comes from partial + final aggregates over a ``posexplode`` of the vectors, so
+cost is one linear scan; per-row work uses a broadcast of the k cluster
+summaries, k x dim numbers like those of a fitted KMeans model.
 """
 
 from __future__ import annotations
@@ -15,7 +14,8 @@ from pyspark.sql import types as T
 
 from . import similarity as S
 
-MAX_CENTROID_BROADCAST = 256 << 20
+#: Bytes of cluster summaries (labels x dim) that go to the driver at a time.
+SUMMARY_BYTES = 64 << 20
 
 
 def cluster_ids(df: DataFrame, label_col: str) -> DataFrame:
@@ -31,14 +31,6 @@ def cluster_sizes(df: DataFrame, label_col: str, min_size: int | None = None) ->
     return out
 
 
-def long_form(df: DataFrame, id_col: str, vec_col: str, keep: list[str] | None = None) -> DataFrame:
-    """(id, *keep, dim, x): one row per vector component, x in double."""
-    keep = keep or []
-    return df.select(F.col(id_col), *[F.col(c) for c in keep], F.posexplode(vec_col).alias("dim", "x")).withColumn(
-        "x", F.col("x").cast("double")
-    )
-
-
 def centroids(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
     """(label, dim, mean) -- cluster means in long form."""
     lf = df.filter(F.col(label_col).isNotNull()).select(F.col(label_col), F.posexplode(vec_col).alias("dim", "x"))
@@ -46,45 +38,59 @@ def centroids(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
 
 
 def collect_centroids(cent: DataFrame, label_col: str, value_col: str = "mean"):
-    """Bring k x dim centroids to the driver (bounded by the model size, checked)."""
+    """(labels, matrix): k x dim numbers of a fitted model, on the driver."""
     import numpy as np
 
     rows = cent.select(label_col, "dim", value_col).collect()
     labels = sorted({r[0] for r in rows})
-    dim = 1 + max(r[1] for r in rows) if rows else 0
-    if len(labels) * dim * 8 > MAX_CENTROID_BROADCAST:
-        raise ValueError("too many centroids to broadcast")
     pos = {lab: i for i, lab in enumerate(labels)}
-    m = np.zeros((len(labels), dim))
+    m = np.zeros((len(labels), 1 + max((r[1] for r in rows), default=-1)))
     for lab, d, v in rows:
         m[pos[lab], d] = v
     return np.array(labels), m
 
 
-def assign_nearest(df: DataFrame, id_col: str, vec_col: str, labels, centers, digits: int = 8) -> DataFrame:
-    """Nearest centroid per row (Euclidean; distance rounded, ties to the lowest label)."""
-    bc = df.sparkSession.sparkContext.broadcast((labels, centers))
+def _center_slices(labels, centers, limit: int = SUMMARY_BYTES):
+    """The centers, ``limit`` bytes at a time (one slice for any usual model)."""
+    step = max(1, limit // max(1, centers.shape[1] * 8))
+    return [(labels[k : k + step], centers[k : k + step]) for k in range(0, len(labels), step)]
 
-    def assign(batches):
-        import numpy as np
-        import pyarrow as pa
 
-        labs, c = bc.value
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            if len(ids) == 0:
-                continue
-            x = np.array(b.column(1).to_pylist(), dtype=np.float64)
-            d = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2))
-            d = np.round(d, digits)
-            j = np.argmin(d, axis=1)  # first minimum = lowest label (labels sorted)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids.astype(np.int64)), pa.array(labs[j].astype(np.int32)), pa.array(d[np.arange(len(ids)), j])],
-                names=[id_col, "nearest", "distance"],
-            )
+def assign_nearest(df: DataFrame, id_col: str, vec_col: str, labels, centers, digits: int = 8) -> DataFrame:
+    """Nearest centroid per row (Euclidean; distance rounded, ties to the lowest label).
 
+    Exact differences, one center at a time over a batch, so a task holds one
+    batch. Centers beyond ``SUMMARY_BYTES`` are broadcast in slices, whose
+    nearest are compared afterwards."""
     schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("nearest", T.IntegerType()), T.StructField("distance", T.DoubleType())])
-    return df.select(F.col(id_col).cast("long"), F.col(vec_col)).mapInArrow(assign, schema)
+    rows = df.select(F.col(id_col).cast("long"), F.col(vec_col)).filter(F.col(vec_col).isNotNull())
+    parts = []
+    for piece in _center_slices(labels, centers):
+        shared = df.sparkSession.sparkContext.broadcast(piece)
+
+        def assign(batches, shared=shared):
+            import numpy as np
+            import pyarrow as pa
+
+            labs, c = shared.value
+            for b in batches:
+                x = S.matrix(b.column(1))
+                best, at = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+                for j in range(len(c)):
+                    diff = x - c[j]
+                    d = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), digits)
+                    closer = d < best  # the first of equals stays: labels are sorted
+                    best[closer], at[closer] = d[closer], j
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(labs[at].astype(np.int32)), pa.array(best)], names=[id_col, "nearest", "distance"])
+
+        parts.append(rows.mapInArrow(assign, schema))
+    if len(parts) == 1:
+        return parts[0]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    best = both.groupBy(id_col).agg(F.min(F.struct("distance", "nearest")).alias("b"))
+    return best.select(id_col, "b.nearest", "b.distance")
 
 
 def silhouette(df: DataFrame, id_col: str, vec_col: str, label_col: str, nb: int | None = None) -> DataFrame:
@@ -111,86 +117,75 @@ def silhouette(df: DataFrame, id_col: str, vec_col: str, label_col: str, nb: int
     return per.agg(F.avg("s").alias("silhouette"))
 
 
-def cluster_summaries(df: DataFrame, label_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
-    """Per cluster: (label, n, sq_sum) and (label, dim, vsum) -- all from partial aggregates."""
-    x = df.filter(F.col(label_col).isNotNull())
-    sizes = x.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.aggregate(F.col(vec_col), F.lit(0.0).cast("double"), lambda s, v: s + v.cast("double") * v.cast("double"))).alias("sq_sum"),
-    )
-    vsum = x.select(F.col(label_col), F.posexplode(vec_col).alias("dim", "v")).groupBy(label_col, "dim").agg(
-        F.sum(F.col("v").cast("double")).alias("vsum")
-    )
-    return sizes, vsum
+def cluster_summaries(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
+    """Per cluster and dimension: (label, dim, n, mean, ss) with ss the sum of
+    squares about the cluster's mean. Spark merges partial variances stably, so
+    data far from the origin lose no digits."""
+    x = df.filter(F.col(label_col).isNotNull() & F.col(vec_col).isNotNull())
+    v = x.select(F.col(label_col).alias("label"), F.posexplode(vec_col).alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
+    return v.groupBy("label", "dim").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("*")).alias("ss"))
 
 
 def silhouette_sq(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """I15 at scale: silhouette with *squared* Euclidean distance in closed form
     (the definition MLlib's ClusteringEvaluator uses). Linear cost: each row
-    meets the k cluster summaries (broadcast, bounded by k x dim)."""
+    meets the k cluster summaries: the mean squared distance to a cluster is
+    |x - mean|^2 + ss / n."""
     import numpy as np
 
-    sizes, vsum = cluster_summaries(df, label_col, vec_col)
-    srow = sizes.collect()
-    labels = np.array(sorted(r[0] for r in srow))
-    pos = {lab: i for i, lab in enumerate(labels)}
-    n = np.zeros(len(labels))
-    sq = np.zeros(len(labels))
-    for r in srow:
-        n[pos[r[0]]], sq[pos[r[0]]] = r[1], r[2]
-    vrows = vsum.collect()
-    dim = 1 + max(r[1] for r in vrows)
-    fs = np.zeros((len(labels), dim))
-    for lab, d, v in vrows:
-        fs[pos[lab], d] = v
-    bc = df.sparkSession.sparkContext.broadcast((labels, n, sq, fs))
+    rows = cluster_summaries(df, label_col, vec_col).collect()  # k x dim numbers of a fitted model
+    labels = np.array(sorted({r["label"] for r in rows}))
+    pos = {lab: i for i, lab in enumerate(labels.tolist())}
+    n, ss = np.zeros(len(labels)), np.zeros(len(labels))
+    mean = np.zeros((len(labels), 1 + max((r["dim"] for r in rows), default=-1)))
+    for r in rows:
+        k = pos[r["label"]]
+        n[k] = r["n"]
+        ss[k] += r["ss"]
+        mean[k, r["dim"]] = r["mean"]
+    bc = df.sparkSession.sparkContext.broadcast((labels, n, ss, mean))
 
     def score(batches):
         import numpy as np
         import pyarrow as pa
 
-        labs, n_, sq_, fs_ = bc.value
+        labs, n_, ss_, mean_ = bc.value
         for b in batches:
             if b.num_rows == 0:
                 continue
-            lab = b.column(1).to_numpy(zero_copy_only=False)
-            x = np.array(b.column(2).to_pylist(), dtype=np.float64)
-            xn = (x * x).sum(axis=1)
-            d = xn[:, None] + (sq_ / n_)[None, :] - 2.0 * (x @ fs_.T) / n_[None, :]
-            own = np.searchsorted(labs, lab)
-            rows = np.arange(len(lab))
-            n_own = n_[own]
-            a = d[rows, own] * n_own / np.maximum(n_own - 1, 1)
-            d_other = d.copy()
-            d_other[rows, own] = np.inf
-            bmin = d_other.min(axis=1)
-            s = np.where(a < bmin, 1 - a / bmin, np.where(a > bmin, bmin / a - 1, 0.0))
-            s = np.where((n_own <= 1) | ~np.isfinite(bmin), 0.0, s)
+            own = np.searchsorted(labs, b.column(0).to_numpy(zero_copy_only=False))
+            x = S.matrix(b.column(1))
+            rows = np.arange(len(x))
+            a, best = np.zeros(len(x)), np.full(len(x), np.inf)
+            for k in range(len(labs)):
+                diff = x - mean_[k]
+                d = np.einsum("ij,ij->i", diff, diff) + ss_[k] / n_[k]
+                mine = own == k
+                a[mine] = d[mine] * n_[k] / max(n_[k] - 1, 1)
+                best = np.where(mine, best, np.minimum(best, d))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                s = np.where(a < best, 1 - a / best, np.where(a > best, best / a - 1, 0.0))
+            s = np.where((n_[own] <= 1) | ~np.isfinite(best), 0.0, s)[rows]
             yield pa.RecordBatch.from_arrays([pa.array(s)], names=["s"])
 
-    x = df.filter(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col), F.col(vec_col))
+    x = df.filter(F.col(label_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(label_col), F.col(vec_col))
     return x.mapInArrow(score, "s double").agg(F.avg("s").alias("silhouette_sq"))
 
 
 def calinski_harabasz(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
-    """I16: (B / (k - 1)) / (W / (n - k)) from cluster summaries only.
-
-    W = sum_c (sq_sum_c - |vsum_c|^2 / n_c), B = sum_c n_c |vsum_c / n_c - mu|^2.
-    Every step after the scan works on k x dim summary rows (equi-joins only).
-    """
-    sizes, vsum = cluster_summaries(df, label_col, vec_col)
-    v = vsum.join(sizes, label_col)
-    per_dim = v.groupBy("dim").agg(F.sum("vsum").alias("g"), F.sum("n").alias("n_tot"), F.count(F.lit(1)).alias("k_tot"))
-    v = v.join(per_dim, "dim")
-    t = v.agg(
-        F.sum(F.col("vsum") * F.col("vsum") / F.col("n")).alias("fn"),
-        F.sum(F.col("n") * F.pow(F.col("vsum") / F.col("n") - F.col("g") / F.col("n_tot"), 2)).alias("between"),
-        F.sum(F.when(F.col("dim") == 0, F.col("sq_sum"))).alias("sq"),
-        F.max("n_tot").alias("n_tot"),
-        F.max("k_tot").alias("k_tot"),
+    """I16: (B / (k - 1)) / (W / (n - k)) from cluster summaries only: W is the sum
+    of squares within clusters, B that of the cluster means about the mean."""
+    v = cluster_summaries(df, label_col, vec_col)
+    per_dim = v.groupBy("dim").agg(
+        F.sum("ss").alias("within"), F.sum("n").alias("n_tot"), F.count(F.lit(1)).alias("k_tot"),
+        F.collect_list(F.struct("n", "mean")).alias("c"),  # one entry per cluster
     )
-    return t.select(
-        ((F.col("between") / (F.col("k_tot") - 1)) / ((F.col("sq") - F.col("fn")) / (F.col("n_tot") - F.col("k_tot")))).alias(
-            "calinski_harabasz"
-        )
+    # the mean relative to the first cluster's, so that large means lose no digits
+    first = F.col("c")[0]["mean"]
+    mu = first + F.aggregate("c", F.lit(0.0), lambda s, x: s + x["n"] * (x["mean"] - first)) / F.col("n_tot")
+    per_dim = per_dim.withColumn("mu", mu)
+    between = F.aggregate(F.zip_with("c", F.array_repeat("mu", F.size("c")), lambda x, m: x["n"] * (x["mean"] - m) * (x["mean"] - m)), F.lit(0.0), lambda s, y: s + y)
+    t = per_dim.select("within", "n_tot", "k_tot", between.alias("between")).agg(
+        F.sum("within").alias("w"), F.sum("between").alias("b"), F.max("n_tot").alias("n_tot"), F.max("k_tot").alias("k_tot")
     )
+    return t.select(((F.col("b") / (F.col("k_tot") - 1)) / (F.col("w") / (F.col("n_tot") - F.col("k_tot")))).alias("calinski_harabasz"))

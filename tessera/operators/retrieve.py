@@ -10,8 +10,9 @@ needs a dot product; the cosine here still divides by the norms so raw
 vectors work too. The two scores are kept apart: ``coarse_similarity`` and
 ``similarity``.
 
-For many questions at once use ``batch_two_stage`` (size-checked broadcast
-of the question matrix, per-task partial top-k, then a per-question window).
+For many questions at once use ``batch_two_stage`` on a stored index: one scan
+of it finds the coarse candidates of all questions, and a join on their ids
+reads the fine vectors of just those rows.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def batch_two_stage(
     cand = c.join(corpus.select(F.col(id_col).cast("long").alias(id_col), F.col(fine_col)), id_col)
     qf = questions.select(F.col(qid_col).cast("long").alias("qid"), F.col(q_fine_col).alias("_qf"))
     scored = cand.join(qf, "qid").select(
-        "qid", id_col, "coarse_similarity", F.round(V.cosine(fine_col, "_qf"), 6).alias("similarity")
+        "qid", id_col, "coarse_similarity", (F.round(V.cosine(fine_col, "_qf"), 6) + 0.0).alias("similarity")
     ).filter(F.col("similarity").isNotNull())
     w = Window.partitionBy("qid").orderBy(F.col("similarity").desc(), F.col(id_col).asc())
     return scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k2).drop("_r")

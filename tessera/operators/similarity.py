@@ -1,25 +1,32 @@
 """Vector scans and pair kernels.
 
-Two execution shapes:
+Three execution shapes:
 
 * **one query against a corpus** (C4/F2): a literal query vector, cosine as
   a JVM higher-order expression, ``orderBy(...).limit(k)`` which Spark plans
   as ``TakeOrderedAndProject`` (per-task top-k, no full sort);
-* **pairs inside one table** (C5, C6, I15): rows are hashed into B blocks,
-  each block pair (i <= j) meets in one cogroup, and NumPy does the block
-  matmul. A block pair only *emits* bounded output -- top-k per row, pairs
-  above a threshold, or per-label distance sums -- never all pairs. Block
-  size is capped, so a task's memory does not grow with the table.
-
-Many queries at once (C4 batch) use a size-checked broadcast of the query
-matrix and a per-partition partial top-k followed by a final top-k per
-query.
+* **many queries against a corpus** (C4 batch): the question matrix is
+  broadcast slice by slice (each of bounded bytes), every task keeps a running
+  top k per question, and a final window keeps the best k of all tasks;
+* **pairs inside one table** (C5, C6, I15): rows are hashed into blocks, each
+  pair of blocks meets in one cogroup, and NumPy does the block products in
+  tiles. A block pair only *emits* top-k per row, pairs above a threshold, or
+  per-label sums -- never all pairs. The bytes of a block are bounded, so a
+  task's memory does not grow with the table; n rows make n / block blocks, and
+  each row travels once per block, which exact all-pairs work can't avoid.
+  ``knn_lsh`` is the form for tables too large for quadratic work.
+
+Vectors reach NumPy as the flat child array of an Arrow list column. Distances
+are taken after subtracting the common mean, so data far from the origin keep
+their digits.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +35,37 @@ from pyspark.sql.window import Window
 from ..functions import vectors as V
 
 # Fixed parameters.
-BLOCK_ROWS = 4096                 # max rows of one side of a block pair
-MAX_QUERY_BROADCAST = 64 << 20    # bytes of query matrix we agree to broadcast
+BLOCK_BYTES = 64 << 20            # one side of a block pair
+QUERY_BYTES = 32 << 20            # question vectors broadcast at a time
+TILE_ROWS = 2048                  # rows of a tile of a block product
 DIST_DIGITS = 8                   # distances rounded before ranking (engine-stable ties)
 
 
+def matrix(col) -> np.ndarray:
+    """A list column without NULLs as an n x dim array of doubles."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 1))
+
+
+def unit_rows(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to length one (zero rows stay zero), and which are not zero."""
+    n = np.sqrt(np.einsum("ij,ij->i", m, m))
+    return m / np.where(n > 0, n, 1)[:, None], n > 0
+
+
+def dimension(df: DataFrame, vec_col: str) -> int:
+    row = df.filter(F.col(vec_col).isNotNull()).select(F.size(vec_col)).first()
+    return row[0] if row else 0
+
+
+def mean_vector(df: DataFrame, vec_col: str) -> list[float]:
+    """The mean of all vectors (dim values)."""
+    rows = df.select(F.posexplode(vec_col).alias("d", "x")).groupBy("d").agg(F.avg(F.col("x").cast("double")).alias("m")).orderBy("d").collect()
+    return [r["m"] for r in rows]
+
+
 # ---------------------------------------------------------------- single-query scans
 
 
@@ -46,10 +79,13 @@ def cosine_topk(corpus: DataFrame, id_col: str, vec_col: str, query_vec, k: int,
 
     Zero-norm rows get a NULL score and are dropped (NaN would sort first).
     """
-    q = V.literal_vector(query_vec)
-    sim = F.round(V.cosine(vec_col, q), digits)
-    scored = corpus.withColumn(out, sim).filter(F.col(out).isNotNull())
-    return scored.orderBy(F.col(out).desc(), F.col(id_col).asc()).limit(k)
+    size = math.sqrt(sum(float(x) ** 2 for x in query_vec))
+    q = V.literal_vector([float(x) / size if size else 0.0 for x in query_vec])  # one norm less per row
+    norm = F.nullif(V.norm(vec_col), F.lit(0.0))
+    scored = corpus.withColumn(out, (F.round(V.dot(vec_col, q) / norm, digits) + 0.0) if size else F.lit(None).cast("double"))
+    # NULLs sort last and are cut after the top k: the score is evaluated once per row
+    top = scored.orderBy(F.col(out).desc_nulls_last(), F.col(id_col).asc()).limit(k)
+    return top.filter(F.col(out).isNotNull()).orderBy(F.col(out).desc(), F.col(id_col).asc())
 
 
 def vector_of(df: DataFrame, id_col: str, vec_col: str, key) -> list[float]:
@@ -63,6 +99,29 @@ def vector_of(df: DataFrame, id_col: str, vec_col: str, key) -> list[float]:
 # ---------------------------------------------------------------- many queries
 
 
+def _slices(queries: DataFrame, qid_col: str, qvec_col: str, limit: int):
+    """The questions as (ids, unit vectors), ``limit`` bytes of vectors at a time."""
+    ids, vecs, size = [], [], 0
+    for r in queries.select(F.col(qid_col).cast("long").alias("i"), F.col(qvec_col).alias("v")).filter("v is not null").toLocalIterator():
+        ids.append(r["i"])
+        vecs.append(np.asarray(r["v"], dtype=np.float64))
+        size += vecs[-1].nbytes
+        if size >= limit:
+            yield np.array(ids, np.int64), unit_rows(np.stack(vecs))[0]
+            ids, vecs, size = [], [], 0
+    if ids:
+        yield np.array(ids, np.int64), unit_rows(np.stack(vecs))[0]
+
+
+def _keep_best(q, s, i, k: int):
+    """Of candidates (question, score, id) the best k per question (score desc, id asc)."""
+    order = np.lexsort((i, -s, q))
+    q, s, i = q[order], s[order], i[order]
+    first = np.searchsorted(q, q)  # where each question begins
+    keep = np.arange(len(q)) - first < k
+    return q[keep], s[keep], i[keep]
+
+
 def batch_topk(
     corpus: DataFrame,
     id_col: str,
@@ -73,62 +132,50 @@ def batch_topk(
     k: int,
     out: str = "similarity",
     digits: int = 6,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
-    """C4 for a batch of queries: (qid, id, similarity), top k per query.
-
-    The query matrix is broadcast after a size check (it grows with the
-    batch, not with the corpus). Each task keeps only its own top k per
-    query; a final window keeps the global top k (WindowGroupLimit).
-    """
-    qrows = queries.select(qid_col, qvec_col).collect()
-    if not qrows:
-        return corpus.sparkSession.createDataFrame([], f"qid long, {id_col} long, {out} double")
-    dim = len(qrows[0][1])
-    if len(qrows) * dim * 8 > MAX_QUERY_BROADCAST:
-        raise ValueError("query batch too large to broadcast; split it into smaller batches")
-    import numpy as np
-
-    qids = np.array([int(r[0]) for r in qrows], dtype=np.int64)
-    qm = np.array([r[1] for r in qrows], dtype=np.float64)
-    qn = np.linalg.norm(qm, axis=1)
-    qm = np.divide(qm, qn[:, None], out=np.zeros_like(qm), where=qn[:, None] > 0)
-    bq = corpus.sparkSession.sparkContext.broadcast((qids, qm))
-
-    def part_topk(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        qids_, qm_ = bq.value
-        best_s, best_q, best_i = [], [], []
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            vecs = b.column(1)
-            if len(ids) == 0:
-                continue
-            m = np.array(vecs.to_pylist(), dtype=np.float64)
-            n = np.linalg.norm(m, axis=1)
-            ok = n > 0
-            m, ids = m[ok] / n[ok, None], ids[ok]
-            sims = np.round(m @ qm_.T, digits)  # rows x queries
-            kk = min(k, len(ids))
-            # per query, keep everything >= its k-th best value (ties at the cut
-            # survive to the final window); vectorized over all queries at once
-            if kk < len(ids):
-                thr = np.partition(sims, len(ids) - kk, axis=0)[len(ids) - kk]
-                r, q = np.nonzero(sims >= thr[None, :])
-            else:
-                r, q = np.nonzero(np.ones_like(sims, dtype=bool))
-            best_s.append(sims[r, q])
-            best_i.append(ids[r])
-            best_q.append(qids_[q])
-        if best_s:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(best_q)), pa.array(np.concatenate(best_i).astype(np.int64)), pa.array(np.concatenate(best_s))],
-                names=["qid", id_col, out],
-            )
+    """C4 for a batch of queries: (qid, id, similarity), top k per query (ties: id asc).
 
+    One scan of the corpus per slice of questions. A task holds its running
+    top k of each question and the candidates of a few tiles."""
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField(id_col, T.LongType()), T.StructField(out, T.DoubleType())])
-    partial = corpus.select(F.col(id_col).cast("long"), F.col(vec_col)).mapInArrow(part_topk, schema)
+    rows = corpus.select(F.col(id_col).cast("long"), F.col(vec_col)).filter(F.col(vec_col).isNotNull())
+    parts = []
+    for piece in _slices(queries, qid_col, qvec_col, query_bytes):
+        shared = corpus.sparkSession.sparkContext.broadcast(piece)
+
+        def part_topk(batches, shared=shared):
+            qids, qm = shared.value
+            held = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+            floor = np.full(len(qids), -np.inf)
+            fresh, n_fresh = [held], 0
+
+            def settle():
+                best = _keep_best(*(np.concatenate(x) for x in zip(*fresh)), k)
+                n = np.bincount(best[0], minlength=len(qids))
+                at = np.searchsorted(best[0], np.arange(len(qids))) + k - 1
+                full = n >= k
+                floor[full] = best[1][at[full]]
+                return best
+
+            for b in batches:
+                ids, (m, ok) = b.column(0).to_numpy(zero_copy_only=False), unit_rows(matrix(b.column(1)))
+                for a in range(0, len(ids), TILE_ROWS):
+                    sims = np.round(m[a : a + TILE_ROWS] @ qm.T, digits) + 0.0  # no negative zero
+                    r, q = np.nonzero((sims >= floor) & ok[a : a + TILE_ROWS, None])
+                    fresh.append((q, sims[r, q], ids[a : a + TILE_ROWS][r]))
+                    n_fresh += len(q)
+                    if n_fresh > 2 * k * len(qids):
+                        fresh, n_fresh = [settle()], 0
+            q, s, i = settle()
+            yield pa.RecordBatch.from_arrays([pa.array(qids[q]), pa.array(i.astype(np.int64)), pa.array(s)], names=["qid", id_col, out])
+
+        parts.append(rows.mapInArrow(part_topk, schema))
+    if not parts:
+        return corpus.sparkSession.createDataFrame([], schema)
+    partial = parts[0]
+    for p in parts[1:]:
+        partial = partial.unionByName(p)
     w = Window.partitionBy("qid").orderBy(F.col(out).desc(), F.col(id_col).asc())
     return partial.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
@@ -136,99 +183,84 @@ def batch_topk(
 # ---------------------------------------------------------------- block pair kernels
 
 
-def n_blocks(n_rows: int, parallelism: int, block_rows: int = BLOCK_ROWS) -> int:
-    """Enough blocks to cap block size, and enough block pairs to fill the cores."""
-    by_size = math.ceil(max(n_rows, 1) / block_rows)
+def n_blocks(n_rows: int, dim: int, parallelism: int, block_bytes: int = BLOCK_BYTES) -> int:
+    """Enough blocks to bound a block's bytes, and enough block pairs to fill the cores."""
+    by_size = math.ceil(max(n_rows, 1) * max(dim, 1) * 8 / block_bytes)
     by_cores = math.ceil(math.sqrt(2 * max(parallelism, 1)))
     return max(1, by_size, min(by_cores, max(1, n_rows // 64)))
 
 
-def _block_sides(df: DataFrame, id_col: str, vec_col: str, extra: list[str], nb: int):
-    blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int")
-    base = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), *[F.col(c) for c in extra], blk.alias("blk"))
+def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None):
+    """``kernel(left, right, same)`` on each pair of blocks, as Arrow tables (id, vec, *extra)."""
+    base = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), *[F.col(c) for c in extra])
+    if nb is None:
+        nb = n_blocks(base.count(), dimension(base, "vec"), df.sparkSession.sparkContext.defaultParallelism)
+    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
     left = base.select("*", F.explode(F.sequence(F.col("blk"), F.lit(nb - 1))).alias("bj")).withColumnRenamed("blk", "bi")
     right = base.select("*", F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("bi")).withColumnRenamed("blk", "bj")
-    return left, right
-
-
-def _mat(pdf):
-    import numpy as np
-
-    if len(pdf) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
-
-
-def _sqdist(a, b):
-    import numpy as np
 
-    an = (a * a).sum(axis=1)[:, None]
-    bn = (b * b).sum(axis=1)[None, :]
-    d = an + bn - 2.0 * (a @ b.T)
-    return np.maximum(d, 0.0)
-
-
-MAX_EXACT_PAIR_ROWS = 5_000_000  # n^2 / 2 distance evaluations beyond this is not a job to start
-
-
-def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None):
-    spark = df.sparkSession
-    if nb is None:
-        n = df.count()
-        if n > MAX_EXACT_PAIR_ROWS:
-            # exact all-pairs work is quadratic; refuse instead of silently sampling
-            raise ValueError(
-                f"{n} rows: exact pair kernels are limited to {MAX_EXACT_PAIR_ROWS}; use the linear "
-                "alternatives (silhouette_sq, micro-cluster centroids) or pass nb explicitly"
-            )
-        nb = n_blocks(n, spark.sparkContext.defaultParallelism)
-    left, right = _block_sides(df, id_col, vec_col, extra, nb)
-    return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInPandas(kernel, schema)
+    def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        empty = not lt.num_rows or not rt.num_rows
+        same = not empty and lt.column("bi")[0] == lt.column("bj")[0]
+        cols = [] if empty else list(kernel(lt, rt, same))
+        names = [f.split(" ")[0] for f in schema.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+        types = [kinds[f.split(" ")[1]] for f in schema.split(", ")]
+        if not cols:
+            return pa.table([pa.array([], t) for t in types], names=names)
+        return pa.table([pa.array(np.concatenate(c)).cast(t) for c, t in zip(zip(*cols), types)], names=names)
+
+    return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInArrow(run, schema)
+
+
+def _tiles(n: int, rows: int = TILE_ROWS):
+    return ((a, min(a + rows, n)) for a in range(0, n, rows))
+
+
+def _sq_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    an, bn = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    return np.maximum(an[:, None] + bn[None, :] - 2.0 * (a @ b.T), 0.0)
+
+
+def _nearest(a, ida, b, idb, k: int, include_self: bool):
+    """For each row of a its k nearest of b: (src, dst, distance), by exact differences."""
+    for lo, hi in _tiles(len(a), 512):
+        x, ix = a[lo:hi], ida[lo:hi]
+        d = _sq_distances(x, b)
+        if not include_self:
+            d[ix[:, None] == idb[None, :]] = np.inf
+        kk = min(k, len(b))
+        cut = np.partition(d, kk - 1, axis=1)[:, kk - 1 : kk]
+        # the product form is off by some rounding of the squared norms: a shortlist with that slack
+        slack = 1e-12 * (np.einsum("ij,ij->i", x, x)[:, None] + np.einsum("ij,ij->i", b, b)[None, :]) + 2e-8 * np.sqrt(np.where(np.isfinite(cut), cut, 0)) + 1e-15
+        r, c = np.nonzero((d <= cut + slack) & np.isfinite(d))
+        exact = np.empty(len(r))
+        for s, e in _tiles(len(r), 1 << 16):
+            diff = x[r[s:e]] - b[c[s:e]]
+            exact[s:e] = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIST_DIGITS)
+        order = np.lexsort((idb[c], exact, r))
+        r, c, exact = r[order], c[order], exact[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+        yield ix[r[keep]], idb[c[keep]], exact[keep]
 
 
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, include_self: bool = True, nb: int | None = None) -> DataFrame:
     """E3/C6 (directed): (src, dst, distance, rank) for the k nearest by Euclidean distance.
 
     Exact. Each block pair proposes at most k candidates per row; the final
-    row_number per src over at most B*k candidates keeps the k best.
-    Distances are rounded to 8 places before ranking; ties by dst id.
+    row_number per src keeps the k best. Distances are rounded to 8 places
+    before ranking; ties by dst id.
     """
+    shared = df.sparkSession.sparkContext.broadcast(np.array(mean_vector(df, vec_col)))
 
-    def kernel(lp, rp):
-        import numpy as np
-        import pandas as pd
-
-        if len(lp) == 0 or len(rp) == 0:
-            return pd.DataFrame({"src": [], "dst": [], "distance": []})
-        same = lp["bi"].iloc[0] == lp["bj"].iloc[0]
-        a, b = _mat(lp), _mat(rp)
-        ida, idb = lp["id"].to_numpy(), rp["id"].to_numpy()
-        d = np.sqrt(_sqdist(a, b))  # fast matmul form, used to shortlist only
-        out = []
-
-        def emit(dm, src_ids, dst_ids, src_m, dst_m):
-            kk = min(k, dm.shape[1])
-            for r in range(dm.shape[0]):
-                row = dm[r]
-                if not include_self:
-                    row = np.where(dst_ids == src_ids[r], np.inf, row)
-                cut = np.partition(row, kk - 1)[kk - 1]
-                cand = np.nonzero(row <= cut + 1e-6)[0]
-                # exact distances (difference form) for the shortlist, then rounded
-                exact = np.round(np.sqrt(((dst_m[cand] - src_m[r]) ** 2).sum(axis=1)), DIST_DIGITS)
-                if not include_self:
-                    exact = np.where(dst_ids[cand] == src_ids[r], np.inf, exact)
-                order = np.lexsort((dst_ids[cand], exact))[:kk]
-                order = order[np.isfinite(exact[order])]
-                out.append(pd.DataFrame({"src": src_ids[r], "dst": dst_ids[cand][order], "distance": exact[order]}))
-
-        emit(d, ida, idb, a, b)
+    def kernel(lt, rt, same):
+        a, b = matrix(lt.column("vec")) - shared.value, matrix(rt.column("vec")) - shared.value
+        ida, idb = lt.column("id").to_numpy(), rt.column("id").to_numpy()
+        yield from _nearest(a, ida, b, idb, k, include_self)
         if not same:
-            emit(d.T, idb, ida, b, a)
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"src": [], "dst": [], "distance": []})
+            yield from _nearest(b, idb, a, ida, k, include_self)
 
-    schema = "src long, dst long, distance double"
-    cand = _run_blocks(df, id_col, vec_col, [], kernel, schema, nb)
+    cand = _run_blocks(df, id_col, vec_col, [], kernel, "src long, dst long, distance double", nb)
     w = Window.partitionBy("src").orderBy(F.col("distance").asc(), F.col("dst").asc())
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -248,25 +280,15 @@ def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, nb: int | N
 def pairwise_similarity(df: DataFrame, id_col: str, vec_col: str, threshold: float, nb: int | None = None, digits: int = 6) -> DataFrame:
     """All pairs (id_a < id_b) with cosine >= threshold, computed block by block."""
 
-    def kernel(lp, rp):
-        import numpy as np
-        import pandas as pd
-
-        if len(lp) == 0 or len(rp) == 0:
-            return pd.DataFrame({"id_a": [], "id_b": [], "similarity": []})
-        a, b = _mat(lp), _mat(rp)
-        na, nb_ = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
-        a = np.divide(a, na[:, None], out=np.zeros_like(a), where=na[:, None] > 0)
-        b = np.divide(b, nb_[:, None], out=np.zeros_like(b), where=nb_[:, None] > 0)
-        s = np.round(a @ b.T, digits)
-        ida, idb = lp["id"].to_numpy(), rp["id"].to_numpy()
-        valid = (na[:, None] > 0) & (nb_[None, :] > 0) & (s >= threshold)
-        valid &= ida[:, None] != idb[None, :]
-        r, c = np.nonzero(valid)
-        x, y = ida[r], idb[c]
-        lo, hi = np.minimum(x, y), np.maximum(x, y)
-        out = pd.DataFrame({"id_a": lo, "id_b": hi, "similarity": s[r, c]})
-        return out.drop_duplicates(["id_a", "id_b"])
+    def kernel(lt, rt, same):
+        (a, oka), (b, okb) = unit_rows(matrix(lt.column("vec"))), unit_rows(matrix(rt.column("vec")))
+        ida, idb = lt.column("id").to_numpy(), rt.column("id").to_numpy()
+        for lo, hi in _tiles(len(a)):
+            s = np.round(a[lo:hi] @ b.T, digits) + 0.0
+            ok = (s >= threshold) & oka[lo:hi, None] & okb[None, :]
+            r, c = np.nonzero(ok & ((ida[lo:hi, None] < idb[None, :]) if same else (ida[lo:hi, None] != idb[None, :])))
+            x, y = ida[lo:hi][r], idb[c]
+            yield np.minimum(x, y), np.maximum(x, y), s[r, c]
 
     return _run_blocks(df, id_col, vec_col, [], kernel, "id_a long, id_b long, similarity double", nb)
 
@@ -274,41 +296,25 @@ def pairwise_similarity(df: DataFrame, id_col: str, vec_col: str, threshold: flo
 def label_distance_sums(df: DataFrame, id_col: str, vec_col: str, label_col: str, nb: int | None = None) -> DataFrame:
     """I15 pair stage: (id, label, other_label, sum_dist, n) -- Euclidean distance sums
     from each row to every cluster, self excluded. Output is rows x labels."""
-
-    def kernel(lp, rp):
-        import numpy as np
-        import pandas as pd
-
-        cols = {"id": [], "label": [], "other_label": [], "sum_dist": [], "n": []}
-        if len(lp) == 0 or len(rp) == 0:
-            return pd.DataFrame(cols)
-        same = lp["bi"].iloc[0] == lp["bj"].iloc[0]
-        a, b = _mat(lp), _mat(rp)
-        d = np.sqrt(_sqdist(a, b))
-        if same:
-            np.fill_diagonal(d, 0.0)
-        out = []
-
-        def emit(dm, src, dst):
-            labels = dst[label_col].to_numpy()
-            for lab in np.unique(labels):
-                m = labels == lab
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "id": src["id"].to_numpy(),
-                            "label": src[label_col].to_numpy(),
-                            "other_label": lab,
-                            "sum_dist": dm[:, m].sum(axis=1),
-                            "n": int(m.sum()),
-                        }
-                    )
-                )
-
-        emit(d, lp, rp)
+    shared = df.sparkSession.sparkContext.broadcast(np.array(mean_vector(df, vec_col)))
+
+    def sums(a, ida, la, b, idb, lb):
+        names, code = np.unique(lb, return_inverse=True)
+        member = np.zeros((len(b), len(names)))
+        member[np.arange(len(b)), code] = 1.0
+        for lo, hi in _tiles(len(a)):
+            d = np.sqrt(_sq_distances(a[lo:hi], b))
+            d[ida[lo:hi, None] == idb[None, :]] = 0.0
+            n = hi - lo
+            yield np.repeat(ida[lo:hi], len(names)), np.repeat(la[lo:hi], len(names)), np.tile(names, n), (d @ member).ravel(), np.tile(member.sum(0).astype(np.int64), n)
+
+    def kernel(lt, rt, same):
+        a, b = matrix(lt.column("vec")) - shared.value, matrix(rt.column("vec")) - shared.value
+        left = a, lt.column("id").to_numpy(), lt.column(label_col).to_numpy()
+        right = b, rt.column("id").to_numpy(), rt.column(label_col).to_numpy()
+        yield from sums(*left, *right)
         if not same:
-            emit(d.T, rp, lp)
-        return pd.concat(out, ignore_index=True)
+            yield from sums(*right, *left)
 
     schema = "id long, label int, other_label int, sum_dist double, n long"
     parts = _run_blocks(df, id_col, vec_col, [label_col], kernel, schema, nb)
@@ -321,8 +327,8 @@ def knn_lsh(df: DataFrame, id_col: str, vec_col: str, k: int = 10, radius: float
 
     Candidate pairs only come from shared hash buckets, so the work is not
     quadratic; the result is approximate (a true neighbour in no shared
-    bucket, or farther than ``radius``, is missed). Use ``knn`` when exact
-    neighbours are required and n is within ``MAX_EXACT_PAIR_ROWS``.
+    bucket, or farther than ``radius``, is missed, so a row may have fewer
+    than k). Use ``knn`` when exact neighbours are required.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
 

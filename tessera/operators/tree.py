@@ -30,8 +30,8 @@ def parent_path(path_col: str = "path") -> F.Column:
 
 
 def top_professors(paths: DataFrame, people: DataFrame, n: int = TOP_PROFESSORS) -> DataFrame:
-    """(level, path, top_professors) -- value counts, top n (count desc, name asc)."""
-    counts = paths.join(people, "id").groupBy("level", "path", "professor").agg(F.count(F.lit(1)).alias("n"))
+    """(level, path, top_professors) -- value counts, top n (count desc, name asc); a NULL name is none."""
+    counts = paths.join(people.filter(F.col("professor").isNotNull()), "id").groupBy("level", "path", "professor").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("level", "path").orderBy(F.col("n").desc(), F.col("professor").asc())
     ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     agg = ranked.groupBy("level", "path").agg(F.sort_array(F.collect_list(F.struct("rank", "professor", "n"))).alias("p"))
@@ -47,11 +47,8 @@ def top_professors(paths: DataFrame, people: DataFrame, n: int = TOP_PROFESSORS)
 def tree_nodes(df: DataFrame, id_col: str, text_col: str, prof_col: str, level_cols: list[str], n_keywords: int = NODE_KEYWORDS) -> DataFrame:
     """I24 nodes: (node_id, parent_id, level, size, keywords, top_professors)."""
     paths = K.node_paths(df, id_col, level_cols)
-    sizes = paths.groupBy("level", "path").agg(F.count(F.lit(1)).alias("size"))
-    kw = K.top_keywords(K.text_node_scores(df, id_col, text_col, level_cols), n_keywords)
     people = df.select(F.col(id_col).alias("id"), F.col(prof_col).alias("professor"))
-    profs = top_professors(paths, people)
-    nodes = sizes.join(kw, ["level", "path"], "left").join(profs, ["level", "path"], "left")
+    nodes = K.node_keywords(df, id_col, text_col, level_cols, n_keywords).join(top_professors(paths, people), ["level", "path"], "left")
     pp = parent_path()
     return nodes.select(
         node_id().alias("node_id"),

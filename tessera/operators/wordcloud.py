@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.stopwords import EXPLORE_STOP_WORDS, stop_word_frame
-from ..session import spread
+from ..session import cut_lineage
 
 # Token pattern, collocation threshold, number of words.
 TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
@@ -44,7 +44,7 @@ def _tokens(df: DataFrame, text_col: str) -> DataFrame:
     raw = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0)
     stripped = F.transform(F.coalesce(raw, F.array().cast("array<string>")), lambda t: F.regexp_replace(t, "'s$", ""))
     kept = F.filter(stripped, lambda t: ~t.rlike(DIGITS_ONLY))
-    return spread(df.select(F.col(text_col))).select(kept.alias("arr"))
+    return df.select(kept.alias("arr"))
 
 
 def _fold_plurals(counts: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:
@@ -71,7 +71,8 @@ def wordcloud_weights(df: DataFrame, text_col: str, stop_words: list[str] = EXPL
     toks = _tokens(df, text_col)
 
     uni = toks.select(F.explode("arr").alias("w")).join(stop, "w", "left_anti")
-    uni_counts = uni.groupBy(F.col("w").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    # both vocabularies are read several times below: written once each
+    uni_counts = cut_lineage(uni.groupBy(F.col("w").alias("key")).agg(F.count(F.lit(1)).alias("n")))
     n_words = uni_counts.agg(F.sum("n")).collect()[0][0] or 0  # one scalar
 
     # consecutive pairs via zip_with over two shifted slices: the lambda only
@@ -84,9 +85,9 @@ def wordcloud_weights(df: DataFrame, text_col: str, stop_words: list[str] = EXPL
         ).alias("p")
     ).select("p.a", "p.b")
     pairs = pairs.join(stop.withColumnRenamed("w", "a"), "a", "left_anti").join(stop.withColumnRenamed("w", "b"), "b", "left_anti")
-    bi_counts = pairs.groupBy(F.concat_ws(" ", "a", "b").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    bi_counts = cut_lineage(pairs.groupBy(F.concat_ws(" ", "a", "b").alias("key")).agg(F.count(F.lit(1)).alias("n")))
 
-    uni_f, uni_std = _fold_plurals(uni_counts)
+    uni_f, uni_std = (cut_lineage(x) for x in _fold_plurals(uni_counts))
     bi_f, _ = _fold_plurals(bi_counts)
 
     # score each (folded) bigram against the folded unigram counts of its words
@@ -103,7 +104,7 @@ def wordcloud_weights(df: DataFrame, text_col: str, stop_words: list[str] = EXPL
     p1 = k12 / k1
     p2 = (k2 - k12) / F.nullif(N - k1, F.lit(0))
     score = -2 * (_ll(k12, k1, p) + _ll(k2 - k12, N - k1, p) - _ll(k12, k1, p1) - _ll(k2 - k12, N - k1, p2))
-    colloc = scored.withColumn("score", score).filter(F.col("score") > COLLOCATION_THRESHOLD)
+    colloc = cut_lineage(scored.withColumn("score", score).filter(F.col("score") > COLLOCATION_THRESHOLD).select("key", "s1", "s2", "c12"))
 
     minus = colloc.select(F.col("s1").alias("key"), (-F.col("c12")).alias("n")).unionByName(
         colloc.select(F.col("s2").alias("key"), (-F.col("c12")).alias("n"))

@@ -6,20 +6,21 @@ dated table (o_custkey = professor, o_orderpriority = authors,
 year(o_orderdate) = year); ``embeddings`` holds vectors (label = given
 cluster). Every query reads whole tables; each callable takes
 ``(spark, sf_dir)`` and returns a DataFrame whose column names equal the
-oracle SQL's.
+oracle SQL's. Titles are the text before a text's first colon, whatever its
+length.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..operators import clean, explore, language
-from ..session import table
+from ..session import ensure_checkpoint_dir, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,8 +28,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 FIRST_YEAR = 1995           # documents get a year derived from doc_id: 1995 + doc_id % 7
 YEAR_SPAN = 7
 TARGET_YEAR = 1998
-SAMPLE_SEED = "1"
-SAMPLE_SIZE = 512
 DIGITS = 6
 
 
@@ -98,9 +97,9 @@ def q_drop_na_any(spark, sf):
 @register("coerce_year")
 def q_coerce_year(spark, sf):
     # the landed form writes 'N/A' for a missing number; coercion turns it back into NULL
-    df = docs_with_labels(spark, sf).select(
-        "doc_id", F.coalesce(F.col("quality").cast("string"), F.lit("N/A")).alias("citations_text")
-    )
+    # and every third number is written as a float column writes it
+    number = F.concat(F.col("quality").cast("string"), F.when(F.col("doc_id") % 3 == 0, F.lit(".0")).otherwise(F.lit("")))
+    df = docs_with_labels(spark, sf).select("doc_id", F.coalesce(number, F.lit("N/A")).alias("citations_text"))
     return clean.coerce_numeric(df, "citations_text", "int", out="citations")
 
 
@@ -177,7 +176,7 @@ def q_clean_audit(spark, sf):
 @register("clean_title")
 def q_clean_title(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", tx.clean_title(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))).alias("title_key"))
+    return d.select("doc_id", tx.clean_title("text").alias("title_key"))
 
 
 @register("clean_text")
@@ -191,12 +190,16 @@ def q_clean_text(spark, sf):
 
 @register("top_authors")
 def q_top_authors(spark, sf):
-    return explore.top_authors(publications(spark, sf), "professor", 30)
+    # every eleventh publication has no author
+    pubs = publications(spark, sf).withColumn("professor", F.when(F.col("pub_id") % 11 != 0, F.col("professor")))
+    return explore.top_authors(pubs, "professor", 30)
 
 
 @register("pubs_per_year")
 def q_pubs_per_year(spark, sf):
-    return explore.pubs_per_year(dated(spark, sf), "pub_year")
+    # years as a float column writes them: '1996.0'
+    d = dated(spark, sf).withColumn("pub_year", F.concat(F.col("pub_year").cast("string"), F.when(F.col("pub_id") % 2 == 0, F.lit(".0")).otherwise(F.lit(""))))
+    return explore.pubs_per_year(d, "pub_year")
 
 
 @register("common_words")
@@ -223,7 +226,9 @@ def q_top_words_per_year(spark, sf):
 
 @register("describe")
 def q_describe(spark, sf):
-    d = explore.describe(table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
+    # one price in seven is NaN, which counts as missing
+    o = table(spark, sf, "orders").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")))
+    d = explore.describe(o, ["o_orderkey", "o_custkey", "o_totalprice"])
     return d.select("column", "count", *[F.round(c, DIGITS).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
@@ -322,17 +327,13 @@ def q_calinski_harabasz(spark, sf):
     return s.select(F.round("calinski_harabasz", DIGITS).alias("calinski_harabasz"))
 
 
-def _vector_corpus(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source")
-    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "embedding")
-    return d.join(e, "doc_id")
-
-
 @register("retrieve_coarse")
 def q_retrieve_coarse(spark, sf):
-    q = sim.vector_of(_emb(spark, sf), "vec_id", "embedding", QUERY_VEC_ID)
-    out = retrieve.coarse(_vector_corpus(spark, sf), "doc_id", "embedding", q)
-    return out.select("doc_id", "source", "coarse_similarity")
+    # all vectors are ranked; only the candidates meet the documents
+    e = _emb(spark, sf)
+    q = sim.vector_of(e, "vec_id", "embedding", QUERY_VEC_ID)
+    out = retrieve.coarse(e.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "embedding", q)
+    return out.join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id", "left").select("doc_id", "source", "coarse_similarity")
 
 
 # ---------------------------------------------------------------- keywords and tree
@@ -344,17 +345,19 @@ LEVELS = ["level_1", "level_2", "level_3"]
 
 
 def leveled_docs(spark, sf):
-    """Documents with a three-level path: level_1 = the given vector label,
-    level_2 = doc_id % 3, level_3 = doc_id % 2 (stand-ins for cluster labels)."""
-    d = table(spark, sf, "documents").select("doc_id", "source", "text")
-    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), F.col("label").alias("level_1"))
-    return d.join(e, "doc_id").select(
+    """All documents with a path (stand-ins for cluster labels): level_1 = the
+    given vector label, or 10 and 11 for documents without a vector, level_2 =
+    doc_id % 3, level_3 = doc_id % 2 but for every fifth, which ends at level 2.
+    Every eleventh has no professor."""
+    d = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("source")).alias("source"), "text")
+    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "label")
+    return d.join(e, "doc_id", "left").select(
         "doc_id",
         "source",
         "text",
-        "level_1",
+        F.coalesce("label", 10 + F.pmod("doc_id", F.lit(2))).cast("int").alias("level_1"),
         F.pmod("doc_id", F.lit(3)).cast("int").alias("level_2"),
-        F.pmod("doc_id", F.lit(2)).cast("int").alias("level_3"),
+        F.when(F.col("doc_id") % 5 != 0, F.pmod("doc_id", F.lit(2))).cast("int").alias("level_3"),
     )
 
 
@@ -417,9 +420,8 @@ def q_sample_corpus(spark, sf):
 
 @register("context_stats")
 def q_context_stats(spark, sf):
-    d, ctx = _context(spark, sf)
-    m = embed.context_mean_frame(embed.sample_corpus(d, "doc_id"), "doc_id", "text", ctx)
-    return m.select("bucket", F.round("mean", DIGITS).alias("mean"))
+    _, ctx = _context(spark, sf)
+    return embed.context_frame(spark, ctx).select("bucket", F.round("mean", DIGITS).alias("mean"))
 
 
 @register("context_embedding")
@@ -433,42 +435,59 @@ def q_keyphrases(spark, sf):
     return embed.keyphrases(_docs(spark, sf), "doc_id", "text")
 
 
-def _index(spark, sf):
-    d, ctx = _context(spark, sf)
-    return embed.index_table(d, "doc_id", "text", ["source"], ctx), ctx
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark, sf):
+    """The stored index and context of ``documents``; built and written at a
+    session's first question, read by all later ones."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-index-{uuid.uuid4().hex}"
+        embed.save_index(_docs(spark, sf), "doc_id", "text", ["source"], path)
+        _INDEXES[key] = path
+    return embed.load_index(spark, _INDEXES[key])
 
 
 @register("index_table")
 def q_index_table(spark, sf):
-    idx, _ = _index(spark, sf)
+    d, ctx = _context(spark, sf)
+    idx = embed.index_table(d, "doc_id", "text", ["source"], ctx)
     return idx.select("doc_id", "source", "keywords", _round_vec("doc_vec"), _round_vec("kw_vec"))
 
 
-def _question_vectors(spark, sf, ctx):
-    """The question (benchmark item 0) through both encoders: two bounded vectors."""
-    q = table(spark, sf, "benchmark").filter(F.col("item_id") == QUESTION_ID).select(F.col("item_id").alias("qid"), "text")
-    fine_q = embed.context_embedding(q, "qid", "text", ctx).head(1)
-    coarse_q = embed.densify(embed.hashed_embedding(q, "qid", "text")).head(1)
-    zero = [0.0] * embed.DIM
-    return (coarse_q[0]["vec"] if coarse_q else zero), (fine_q[0]["vec"] if fine_q else zero)
+def _question(spark, sf, ctx):
+    """One question (benchmark item 0) through both encoders."""
+    q = table(spark, sf, "benchmark").filter(F.col("item_id") == QUESTION_ID)
+    row = embed.question_vectors(q, "item_id", "text", ctx).first()
+    return (row["coarse"], row["fine"]) if row else ([0.0] * ctx.dim,) * 2
 
 
 @register("retrieve_fine")
 def q_retrieve_fine(spark, sf):
-    idx, ctx = _index(spark, sf)
-    _, q_fine = _question_vectors(spark, sf, ctx)
+    idx, ctx = stored_index(spark, sf)
+    _, q_fine = _question(spark, sf, ctx)
     out = retrieve.fine(idx.select("doc_id", "source", "doc_vec"), "doc_id", "doc_vec", q_fine)
     return out.select("doc_id", "source", "similarity")
 
 
 @register("retrieve_two_stage")
 def q_retrieve_two_stage(spark, sf):
-    idx, ctx = _index(spark, sf)
-    q_coarse, q_fine = _question_vectors(spark, sf, ctx)
+    idx, ctx = stored_index(spark, sf)
+    q_coarse, q_fine = _question(spark, sf, ctx)
     out = retrieve.two_stage(idx.select("doc_id", "source", "kw_vec", "doc_vec"), "doc_id", "kw_vec", "doc_vec", q_coarse, q_fine)
     return out.select("doc_id", "source", "coarse_similarity", "similarity")
 
 
+@register("retrieve_batch")
+def q_retrieve_batch(spark, sf):
+    # every benchmark item is a question
+    idx, ctx = stored_index(spark, sf)
+    q = embed.question_vectors(table(spark, sf, "benchmark"), "item_id", "text", ctx)
+    out = retrieve.batch_two_stage(idx, "doc_id", "kw_vec", "doc_vec", q, "qid", "coarse", "fine")
+    return out.select(F.col("qid").alias("item_id"), "doc_id", "coarse_similarity", "similarity")
+
+
 # ---------------------------------------------------------------- clustering (rows-checked)
 
 from ..operators import cluster  # noqa: E402
@@ -488,34 +507,19 @@ def q_kmeans(spark, sf):
     return cluster.kmeans(_emb(spark, sf), "vec_id", "embedding", FLAT_K)
 
 
-@register("agglomerative")
-def q_agglomerative(spark, sf):
-    return cluster.flat(_emb(spark, sf), "vec_id", "embedding", FLAT_K, "ward")
-
-
-@register("merge_table")
-def q_merge_table(spark, sf):
-    return cluster.merge_table(_emb(spark, sf), "vec_id", "embedding")
-
-
-@register("three_level_ward")
-def q_three_level_ward(spark, sf):
-    return cluster.three_level(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS, "ward")
-
+@register("bisecting")
+def q_bisecting(spark, sf):
+    return cluster.bisecting(_emb(spark, sf), "vec_id", "embedding", FLAT_K)
 
-@register("three_level_spectral")
-def q_three_level_spectral(spark, sf):
-    return cluster.three_level(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS, "spectral")
 
+@register("three_level")
+def q_three_level(spark, sf):
+    return cluster.three_level(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS)
 
-@register("k_sweep_ward")
-def q_k_sweep_ward(spark, sf):
-    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP, "ward")
 
-
-@register("k_sweep_spectral")
-def q_k_sweep_spectral(spark, sf):
-    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP, "spectral")
+@register("k_sweep")
+def q_k_sweep(spark, sf):
+    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP)
 
 
 @register("clustered_rows")
@@ -528,33 +532,37 @@ def q_clustered_rows(spark, sf):
 from ..sources import files as fsrc  # noqa: E402
 from ..sources import records as rec  # noqa: E402
 
-PROPS = "k INT"
-
-
 @register("flatten_records")
 def q_flatten_records(spark, sf):
-    # H3/H4: schema'd JSON parse of events.props; a missing or mistyped field gets the default
-    e = table(spark, sf, "events")
-    p = rec.parse_json(e, "props", T.StructType([T.StructField("k", T.IntegerType())]))
-    return p.select("event_id", "user_id", F.coalesce(F.col("rec.k"), F.lit(-1)).alias("k"))
-
-
-def _titled(spark, sf):
+    # one raw record per source, built from the documents: every seventh has no
+    # title, every fifth no year, every third failed to load; a ninth of the
+    # records are cut off and don't parse
     d = table(spark, sf, "documents")
-    return d.select("doc_id", F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("title"), "text")
+    pub = F.struct(
+        F.struct(
+            F.when(F.col("doc_id") % 7 != 0, F.substring("text", 1, 40)).alias("title"),
+            F.when(F.col("doc_id") % 5 != 0, (1995 + F.col("doc_id") % 7).cast("string")).alias("pub_year"),
+            F.col("lang").alias("author"),
+        ).alias("bib"),
+        F.when(F.col("doc_id") % 4 != 0, F.col("n_chars")).alias("num_citations"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("timeout")).alias("error"),
+    )
+    one = F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications")))
+    raw = d.select("doc_id", F.when(F.col("doc_id") % 9 != 0, one).otherwise(F.substring(one, 1, 30)).alias("value"))
+    return rec.flatten_records(raw, "value")
 
 
 @register("first_match")
 def q_first_match(spark, sf):
     # the landed lookup candidates are the documents themselves (copies share titles); rank = doc_id
-    d = _titled(spark, sf)
-    out = rec.first_match(d.select("doc_id", "title"), "title", d, "title", "text", "doc_id")
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    out = rec.first_match(d, "text", d.select(F.col("text").alias("t"), F.col("text").alias("a"), F.col("doc_id").alias("r")), "t", "a", "r")
     return out.select("doc_id", "abstract")
 
 
 @register("merge_abstracts")
 def q_merge_abstracts(spark, sf):
-    d = _titled(spark, sf)
+    d = table(spark, sf, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("title"), "text")
     lookup = d.select(F.col("title").alias("t"), tx.clean_text("text").alias("a"), F.col("doc_id").alias("seq"))
     out = rec.merge_abstracts(d.select("doc_id", "title"), "title", lookup, "t", "a", "seq")
     return out.select("doc_id", "abstract")

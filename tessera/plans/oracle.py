@@ -12,6 +12,9 @@ from ..functions.stopwords import EXPLORE_STOP_WORDS, sql_values
 
 SQL: dict[str, str] = {}
 
+# the white space of str.split() and str.strip()
+SPACE = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
 STOP_CTE = f"stop(word) AS (VALUES {sql_values(EXPLORE_STOP_WORDS)})"
 
 PUBS_YEAR = "CAST(1995 + doc_id % 7 AS INTEGER)"
@@ -59,8 +62,8 @@ WHERE doc_id IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL AND quality
 """
 
 SQL["coerce_year"] = f"""
-SELECT doc_id, citations_text, TRY_CAST(citations_text AS INTEGER) AS citations FROM (
-  SELECT doc_id, coalesce(CAST(quality AS VARCHAR), 'N/A') AS citations_text FROM {DOCS_LABELS})
+SELECT doc_id, citations_text, CAST(TRY_CAST(citations_text AS DOUBLE) AS INTEGER) AS citations FROM (
+  SELECT doc_id, coalesce(CAST(quality AS VARCHAR) || CASE WHEN doc_id % 3 = 0 THEN '.0' ELSE '' END, 'N/A') AS citations_text FROM {DOCS_LABELS})
 """
 
 SQL["fill_missing"] = f"SELECT doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic FROM {DOCS_LABELS}"
@@ -117,15 +120,13 @@ SELECT CAST(sum(n) AS BIGINT) AS rows_in, CAST(sum(lang_d) AS BIGINT) AS dropped
 FROM per_key
 """
 
-SQL["clean_title"] = r"""
-SELECT doc_id, lower(regexp_replace(split_part(split_part(text, chr(10), 1), ':', 1),
-                                    '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')) AS title_key
-FROM documents
-"""
+TITLE_KEY = f"lower(regexp_replace(split_part(text, ':', 1), '^{SPACE}+|{SPACE}+$', '', 'g'))"
+
+SQL["clean_title"] = f"SELECT doc_id, {TITLE_KEY} AS title_key FROM documents"
 
 SQL["clean_text"] = r"SELECT page_id, regexp_replace(html, '[^\x20-\x7E]+', '', 'g') AS clean_html FROM pages"
 
-SQL["top_authors"] = "SELECT source AS professor, count(*) AS n_pubs FROM documents GROUP BY source ORDER BY n_pubs DESC, professor LIMIT 30"
+SQL["top_authors"] = "SELECT source AS professor, count(*) AS n_pubs FROM documents WHERE source IS NOT NULL AND doc_id % 11 <> 0 GROUP BY source ORDER BY n_pubs DESC, professor LIMIT 30"
 
 SQL["pubs_per_year"] = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_pubs FROM orders
@@ -141,10 +142,10 @@ SELECT word, count(*) AS n FROM toks WHERE word NOT IN (SELECT word FROM stop)
 GROUP BY word ORDER BY n DESC, word LIMIT 40
 """
 
-WORDS_BY_YEAR = rf"""
+WORDS_BY_YEAR = f"""
 {STOP_CTE},
 toks AS (
-  SELECT {PUBS_YEAR} AS year, unnest(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+')) AS word FROM documents),
+  SELECT {PUBS_YEAR} AS year, unnest(regexp_split_to_array(lower(text), '{SPACE}+')) AS word FROM documents),
 freq AS (
   SELECT year, word, count(*) AS n FROM toks WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY year, word)
 """
@@ -161,11 +162,12 @@ WHERE "rank" <= 10
 
 
 def _describe_one(col: str) -> str:
+    value = "CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END" if col == "o_totalprice" else col
     return f"""
 SELECT '{col}' AS "column", count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
        round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
        round(quantile_cont(x, 0.75), 6) AS p75, round(max(x), 6) AS max
-FROM (SELECT CAST({col} AS DOUBLE) AS x FROM orders)"""
+FROM (SELECT CAST({value} AS DOUBLE) AS x FROM orders)"""
 
 
 SQL["describe"] = " UNION ALL ".join(_describe_one(c) for c in ["o_orderkey", "o_custkey", "o_totalprice"])
@@ -221,9 +223,9 @@ SELECT id AS vec_id, round(sim, 6) AS similarity FROM s WHERE sim IS NOT NULL OR
 
 SQL["retrieve_coarse"] = f"""
 WITH {COSINE_TO_0}
-SELECT d.doc_id, d.source, round(s.sim, 6) AS coarse_similarity
-FROM s JOIN documents d ON d.doc_id = s.id WHERE s.sim IS NOT NULL
-ORDER BY coarse_similarity DESC, d.doc_id LIMIT 500
+SELECT t.doc_id, d.source, t.coarse_similarity FROM (
+  SELECT id AS doc_id, round(sim, 6) AS coarse_similarity FROM s WHERE sim IS NOT NULL
+  ORDER BY coarse_similarity DESC, doc_id LIMIT 500) t LEFT JOIN documents d ON d.doc_id = t.doc_id
 """
 
 SQL["pairwise_similarity"] = f"""
@@ -304,9 +306,10 @@ from ..functions.stopwords import KEYWORD_STOP_WORDS  # noqa: E402
 LEVELED = rf"""
 kstop(term) AS (VALUES {sql_values(KEYWORD_STOP_WORDS)}),
 base AS (
-  SELECT d.doc_id AS id, d.source AS professor, d.text, e.label AS l1,
-         CAST(d.doc_id % 3 AS INTEGER) AS l2, CAST(d.doc_id % 2 AS INTEGER) AS l3
-  FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id),
+  SELECT d.doc_id AS id, CASE WHEN d.doc_id % 11 <> 0 THEN d.source END AS professor, d.text,
+         CAST(coalesce(e.label, 10 + d.doc_id % 2) AS INTEGER) AS l1,
+         CAST(d.doc_id % 3 AS INTEGER) AS l2, CASE WHEN d.doc_id % 5 <> 0 THEN CAST(d.doc_id % 2 AS INTEGER) END AS l3
+  FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id),
 terms AS (
   SELECT id, term, count(*) AS tf FROM (
     SELECT id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM base)
@@ -337,7 +340,8 @@ ranked AS (
 
 
 def _kw(n: int) -> str:
-    return f"kw AS (SELECT level, path, string_agg(term, ', ' ORDER BY rk) AS keywords FROM ranked WHERE rk <= {n} GROUP BY level, path)"
+    return f"""kwt AS (SELECT level, path, string_agg(term, ', ' ORDER BY rk) AS keywords FROM ranked WHERE rk <= {n} GROUP BY level, path),
+kw AS (SELECT n.level, n.path, coalesce(k.keywords, '') AS keywords FROM ndocs n LEFT JOIN kwt k ON n.level = k.level AND n.path = k.path)"""
 
 
 SQL["group_keywords"] = f"WITH {LEVELED}, {_kw(5)} SELECT CAST(path AS INTEGER) AS level_1, keywords FROM kw WHERE level = 1"
@@ -357,7 +361,7 @@ LEFT JOIN kw k3 ON k3.level = 3 AND k3.path = b.l1 || '.' || b.l2 || '.' || b.l3
 SQL["tree_nodes"] = rf"""
 WITH {LEVELED}, {_kw(10)},
 sizes AS (SELECT level, path, count(*) AS size FROM paths GROUP BY level, path),
-pc AS (SELECT p.level, p.path, b.professor, count(*) AS n FROM paths p JOIN base b ON p.id = b.id
+pc AS (SELECT p.level, p.path, b.professor, count(*) AS n FROM paths p JOIN base b ON p.id = b.id AND b.professor IS NOT NULL
        GROUP BY p.level, p.path, b.professor),
 pr AS (SELECT *, row_number() OVER (PARTITION BY level, path ORDER BY n DESC, professor) AS rk FROM pc),
 profs AS (SELECT level, path, string_agg(professor || ' (' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY rk) AS top_professors
@@ -396,7 +400,7 @@ def _hashed(name: str, toks: str, weight: str = "CAST(tf AS DOUBLE)") -> str:
     """normalized long form (id, bucket, w) from a token relation (may carry idf)."""
     return f"""{name}_raw AS (SELECT id, {BUCKET} AS bucket, sum({SIGN} * {weight}) AS v FROM {toks} GROUP BY 1, 2),
 {name}_n AS (SELECT id, sqrt(sum(v * v)) AS nrm FROM {name}_raw GROUP BY id),
-{name} AS (SELECT r.id, r.bucket, r.v / n.nrm AS w FROM {name}_raw r JOIN {name}_n n ON r.id = n.id WHERE n.nrm > 0)"""
+{name} AS (SELECT r.id, r.bucket, r.v / n.nrm AS w FROM {name}_raw r JOIN {name}_n n ON r.id = n.id WHERE n.nrm > 0 AND r.v <> 0)"""
 
 
 DOCS_SRC = "(SELECT doc_id AS id, text FROM documents)"
@@ -419,10 +423,10 @@ def _ctx_vectors(name: str, src: str) -> str:
 {name}_tw AS (SELECT t.id, t.tok, t.tf, coalesce(i.idf, unseen.u) AS idf FROM {name}_t t LEFT JOIN idf i ON t.tok = i.tok, unseen),
 {_hashed(name + '_h', name + '_tw', 'tf * idf')},
 {name}_c AS (SELECT d.id, m.bucket, coalesce(h.w, 0) - m.mean AS c
-             FROM (SELECT DISTINCT id FROM {name}_h) d CROSS JOIN mean m
+             FROM (SELECT DISTINCT id FROM {src}) d CROSS JOIN mean m
              LEFT JOIN {name}_h h ON h.id = d.id AND h.bucket = m.bucket),
 {name}_cn AS (SELECT id, sqrt(sum(c * c)) AS nrm FROM {name}_c GROUP BY id),
-{name} AS (SELECT c.id, c.bucket, c.c / n.nrm AS u FROM {name}_c c JOIN {name}_cn n ON c.id = n.id WHERE n.nrm > 0)"""
+{name} AS (SELECT c.id, c.bucket, c.c / nullif(n.nrm, 0) AS u FROM {name}_c c JOIN {name}_cn n ON c.id = n.id)"""
 
 
 SQL["hashed_embedding"] = f"""
@@ -447,7 +451,8 @@ dfreq AS (SELECT tok, count(*) AS df FROM ktoks GROUP BY tok),
 ksc AS (SELECT k.id, k.tok, round(k.tf * (ln((n_all.n + 1.0) / (d.df + 1.0)) + 1.0), 6) AS score
         FROM ktoks k JOIN dfreq d ON k.tok = d.tok, n_all),
 krk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, tok) AS r FROM ksc),
-kp AS (SELECT id, string_agg(tok, ', ' ORDER BY r) AS keywords FROM krk WHERE r <= 5 GROUP BY id)"""
+kpt AS (SELECT id, string_agg(tok, ', ' ORDER BY r) AS keywords FROM krk WHERE r <= 5 GROUP BY id),
+kp AS (SELECT d.doc_id AS id, coalesce(k.keywords, '') AS keywords FROM documents d LEFT JOIN kpt k ON k.id = d.doc_id)"""
 
 SQL["keyphrases"] = f"WITH {KEYPHRASES} SELECT id AS doc_id, keywords FROM kp"
 
@@ -455,7 +460,7 @@ INDEX = f"""{CONTEXT}, {_ctx_vectors('dv', DOCS_SRC)}, {KEYPHRASES},
 {_toks('kwt', '(SELECT id, keywords AS text FROM kp)')},
 {_hashed('kwh', 'kwt')},
 kwd AS (SELECT d.id, b.range AS bucket, coalesce(h.w, 0.0) AS w
-        FROM (SELECT DISTINCT id FROM kwh) d CROSS JOIN range({DIM}) b
+        FROM (SELECT DISTINCT id FROM kp) d CROSS JOIN range({DIM}) b
         LEFT JOIN kwh h ON h.id = d.id AND h.bucket = b.range)"""
 
 SQL["index_table"] = f"""
@@ -466,58 +471,65 @@ SELECT d.doc_id, d.source, kp.keywords, dvl.doc_vec, kwl.kw_vec
 FROM documents d LEFT JOIN kp ON kp.id = d.doc_id LEFT JOIN dvl ON dvl.id = d.doc_id LEFT JOIN kwl ON kwl.id = d.doc_id
 """
 
-QUESTION = "(SELECT item_id AS id, text FROM benchmark WHERE item_id = 0)"
+QUESTIONS = "(SELECT item_id AS id, text FROM benchmark)"
+
+# all questions against all documents; the single-question forms take item 0
+SIMS = f"""{_ctx_vectors('qv', QUESTIONS)},
+fsim AS (SELECT q.id AS q, d.id, sum(d.u * q.u) / nullif(sqrt(sum(d.u * d.u)) * sqrt(sum(q.u * q.u)), 0) AS sim
+         FROM dv d JOIN qv q ON d.bucket = q.bucket GROUP BY q.id, d.id)"""
 
-FINE_SIM = f"""{_ctx_vectors('qv', QUESTION)},
-fsim AS (SELECT d.id, sum(d.u * q.u) / (sqrt(sum(d.u * d.u)) * sqrt(sum(q.u * q.u))) AS sim
-         FROM dv d JOIN qv q ON d.bucket = q.bucket GROUP BY d.id)"""
+COARSE = f"""{_toks('qt', QUESTIONS)}, {_hashed('qh', 'qt')},
+csim AS (SELECT q.id AS q, k.id, sum(k.w * q.w) / nullif(max(n.nrm), 0) AS sim
+         FROM kwd k JOIN qh q ON k.bucket = q.bucket JOIN (SELECT id, sqrt(sum(w * w)) AS nrm FROM kwd GROUP BY id) n ON n.id = k.id
+         GROUP BY q.id, k.id),
+best AS (SELECT q, id, round(sim, 6) AS coarse_similarity FROM csim WHERE sim IS NOT NULL),
+top500 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY coarse_similarity DESC, id) AS r FROM best) WHERE r <= 500),
+final AS (SELECT * FROM (
+  SELECT t.q, t.id, t.coarse_similarity, round(f.sim, 6) AS similarity,
+         row_number() OVER (PARTITION BY t.q ORDER BY round(f.sim, 6) DESC, t.id) AS r2
+  FROM top500 t JOIN fsim f ON f.id = t.id AND f.q = t.q WHERE f.sim IS NOT NULL) WHERE r2 <= 5)"""
 
 SQL["retrieve_fine"] = f"""
-WITH {INDEX}, {FINE_SIM}
+WITH {INDEX}, {SIMS}
 SELECT f.id AS doc_id, d.source, round(f.sim, 6) AS similarity
-FROM fsim f JOIN documents d ON d.doc_id = f.id WHERE f.sim IS NOT NULL
+FROM fsim f JOIN documents d ON d.doc_id = f.id WHERE f.sim IS NOT NULL AND f.q = 0
 ORDER BY similarity DESC, doc_id LIMIT 5
 """
 
 SQL["retrieve_two_stage"] = f"""
-WITH {INDEX}, {FINE_SIM},
-{_toks('qt', QUESTION)}, {_hashed('qh', 'qt')},
-csim AS (SELECT k.id, sum(k.w * q.w) / (sqrt(sum(k.w * k.w)) * sqrt(sum(q.w * q.w))) AS sim
-         FROM kwd k JOIN (SELECT b.range AS bucket, coalesce(h.w, 0.0) AS w FROM range({DIM}) b
-                          LEFT JOIN qh h ON h.bucket = b.range) q ON k.bucket = q.bucket GROUP BY k.id),
-top500 AS (SELECT id, round(sim, 6) AS coarse_similarity FROM csim WHERE sim IS NOT NULL
-           ORDER BY coarse_similarity DESC, id LIMIT 500)
-SELECT t.id AS doc_id, d.source, t.coarse_similarity, round(f.sim, 6) AS similarity
-FROM top500 t JOIN fsim f ON f.id = t.id JOIN documents d ON d.doc_id = t.id
-WHERE f.sim IS NOT NULL
-ORDER BY similarity DESC, doc_id LIMIT 5
+WITH {INDEX}, {SIMS}, {COARSE}
+SELECT t.id AS doc_id, d.source, t.coarse_similarity, t.similarity
+FROM final t JOIN documents d ON d.doc_id = t.id WHERE t.q = 0
+"""
+
+SQL["retrieve_batch"] = f"""
+WITH {INDEX}, {SIMS}, {COARSE}
+SELECT q AS item_id, id AS doc_id, coarse_similarity, similarity FROM final
 """
 
 # ---------------------------------------------------------------- ingest
 
 SQL["flatten_records"] = """
-SELECT event_id, user_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k FROM events
+SELECT source AS professor,
+       CASE WHEN doc_id % 7 <> 0 THEN substring(text, 1, 40) ELSE 'No title' END AS title,
+       CASE WHEN doc_id % 3 <> 0 AND doc_id % 5 <> 0 THEN CAST(1995 + doc_id % 7 AS VARCHAR) ELSE 'No year' END AS pub_year,
+       CASE WHEN doc_id % 3 <> 0 THEN coalesce(lang, 'No authors') ELSE 'No authors' END AS authors,
+       CASE WHEN doc_id % 3 <> 0 AND doc_id % 4 <> 0 THEN coalesce(CAST(n_chars AS VARCHAR), 'N/A') ELSE 'N/A' END AS citations
+FROM documents
+WHERE doc_id % 9 <> 0 AND (doc_id % 3 = 0 OR (doc_id % 7 <> 0 AND substring(text, 1, 40) <> ''))
 """
 
-TITLED = r"""titled AS (
-  SELECT doc_id, split_part(text, chr(10), 1) AS title, text,
-         lower(regexp_replace(split_part(split_part(text, chr(10), 1), ':', 1),
-                              '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')) AS key
-  FROM documents)"""
-
 SQL["first_match"] = rf"""
-WITH {TITLED},
+WITH titled AS (SELECT doc_id, text, {TITLE_KEY} AS key FROM documents),
 best AS (SELECT key, text FROM (SELECT key, text, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS rn FROM titled)
          WHERE rn = 1)
 SELECT t.doc_id, coalesce(regexp_replace(b.text, '[^\x20-\x7E]+', '', 'g'), 'N/A') AS abstract
 FROM titled t LEFT JOIN best b ON t.key = b.key
 """
 
-SQL["merge_abstracts"] = rf"""
-WITH {TITLED},
-last AS (SELECT title, regexp_replace(text, '[^\x20-\x7E]+', '', 'g') AS abstract FROM (
-           SELECT title, text, row_number() OVER (PARTITION BY title ORDER BY doc_id DESC) AS rn FROM titled) WHERE rn = 1)
-SELECT t.doc_id, l.abstract FROM titled t LEFT JOIN last l ON t.title = l.title
+SQL["merge_abstracts"] = r"""
+WITH last AS (SELECT text, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS rn FROM documents)
+SELECT d.doc_id, regexp_replace(l.text, '[^\x20-\x7E]+', '', 'g') AS abstract FROM documents d LEFT JOIN last l ON d.text = l.text AND l.rn = 1
 """
 
 SQL["pending_keys"] = """

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Column contracts of the landed CSV files.
 FACULTY = T.StructType([T.StructField("Name", T.StringType())])
 PAPERS = T.StructType(
@@ -20,20 +22,17 @@ PAPERS = T.StructType(
         T.StructField("Total Citations", T.StringType()),
     ]
 )
-MISSING_TEXT = "N/A"
+# What a pandas CSV read takes for missing.
+MISSING_TEXT = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """A1: header CSV; the missing markers of a pandas read are NULL.
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A1: header CSV with quoted multi-line fields; ``N/A`` and empty fields are NULL."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("nullValue", MISSING_TEXT)
-        .option("emptyValue", None)
-        .csv(path)
-    )
+    ``multi_line`` allows quoted line breaks, at the price of one task per file."""
+    df = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    text = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*(F.when(~F.col(f"`{c}`").isin(MISSING_TEXT), F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -60,19 +59,23 @@ def pending(keys: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     return keys.join(processed.select(key).distinct(), key, "left_anti")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def resume_append(spark: SparkSession, batch: DataFrame, key: str, table_path: str) -> int:
-    """A7 (batch): append only rows whose key is not in the table yet; returns rows appended.
-
-    Idempotent: re-running after a crash appends nothing twice.
-    """
-    try:
-        done = spark.read.parquet(table_path).select(key)
-        new = pending(batch, done, key)
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        new = batch
-    new = new.cache()
+    """A7 (batch): append one row of each key that is not in the table yet;
+    returns the rows appended.
+
+    Idempotent: re-running after a crash appends nothing twice. A table that
+    exists but can't be read raises."""
+    new = batch.dropDuplicates([key])
+    if path_exists(spark, table_path):
+        new = pending(new, spark.read.parquet(table_path), key)
+    new = cut_lineage(new)  # the table it was compared with is about to change
     n = new.count()
     if n:
         new.write.mode("append").parquet(table_path)
-    new.unpersist()
     return n

@@ -10,33 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+from ..sources.files import path_exists
 from ..sources.records import flatten_records
 
 KEY = ["professor", "title"]
-BUCKETS = 64  # the table is partitioned by a hash bucket of the key
+BUCKETS = 64  # default number of key-hash folders of a new table
 
 
-def _bucket():
-    return F.pmod(F.xxhash64(*[F.col(k) for k in KEY]), F.lit(BUCKETS)).cast("int")
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in KEY]), F.lit(buckets)).cast("int")
 
 
-def start(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str, trigger_once: bool = True):
+def start(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir: str, trigger_once: bool = True, buckets: int = BUCKETS):
     """Start the file-arrival ingest; returns the StreamingQuery.
 
     Each micro-batch reads back only the table partitions (key-hash buckets)
-    its own keys fall in, so the dedup cost follows the batch, not the table.
+    its own keys fall in. ``buckets`` belongs to the table: choose it above the
+    keys of a usual batch, so that a batch touches few of them.
     """
     raw = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())])).text(landing_dir)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         rows = flatten_records(batch, "value").dropDuplicates(KEY)
-        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", _bucket())
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most BUCKETS values
-        try:
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", _bucket(buckets))
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` values
+        if path_exists(batch.sparkSession, table_path):
             existing = batch.sparkSession.read.parquet(table_path).filter(F.col("bucket").isin(touched)).select("bucket", *KEY)
-            rows = rows.join(existing, ["bucket", *KEY], "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            pass
+            rows = cut_lineage(rows.join(existing, ["bucket", *KEY], "left_anti"))
         rows.write.mode("append").partitionBy("bucket").parquet(table_path)
 
     w = raw.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_dir)

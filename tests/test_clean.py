@@ -69,12 +69,34 @@ def test_results_unchanged_by_repartition(spark):
         assert snap(fn(df)) == snap(fn(df.repartition(5)))
 
 
-def test_exact_quantiles_with_hot_value_and_narrow_brackets(spark):
+def test_order_statistics_and_describe_are_exact(spark):
     import numpy as np
+    import pandas as pd
 
     rng = np.random.default_rng(5)
-    vals = np.concatenate([rng.normal(size=4000), np.full(2000, 0.25)])  # a third of rows share one value
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(6)
-    got = explore.exact_quantiles(df, ["x"], (0.1, 0.25, 0.5, 0.9), max_bracket=50)["x"]
-    want = np.quantile(vals, [0.1, 0.25, 0.5, 0.9])
-    assert np.allclose(got, want, rtol=0, atol=1e-12)
+    wide = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25), [1e300, -1e300, np.nan, np.nan]])  # a hot value, far outliers
+    whole = rng.integers(-5, 5, size=len(wide)).astype(float)
+    df = spark.createDataFrame([(float(a), int(b), None) for a, b in zip(wide, whole)], "x double, y long, z double").repartition(6)
+    got = {r["column"]: r for r in explore.describe(df).collect()}
+    want = pd.DataFrame({"x": wide, "y": whole}).describe()
+    for c in ("x", "y"):
+        for ours, theirs in zip(("count", "min", "p25", "p50", "p75", "max"), ("count", "min", "25%", "50%", "75%", "max")):
+            assert got[c][ours] == want[c][theirs], (c, ours)
+    assert abs(got["y"]["mean"] - whole.mean()) < 1e-12 and abs(got["y"]["std"] - whole.std(ddof=1)) < 1e-9
+    assert got["z"]["count"] == 0 and got["z"]["p50"] is None
+    few = explore.order_statistics(df, ["x"], {0: {0, 17, 3100}}, [-1e300], [1e300], bins=3)
+    ranked = np.sort(wide[~np.isnan(wide)])
+    assert few == {(0, r): ranked[r] for r in (0, 17, 3100)}
+
+
+def test_describe_of_no_rows(spark):
+    got = explore.describe(spark.createDataFrame([], "x double")).collect()
+    assert [(r["count"], r["p50"], r["max"]) for r in got] == [(0, None, None)]
+
+
+def test_null_names_and_year_text(spark):
+    df = spark.createDataFrame([("a", "2019.0"), (None, "2019"), (None, "nan"), ("a", "2019.5"), ("b", None)], "professor string, y string")
+    assert [tuple(r) for r in explore.top_authors(df, "professor", 5).collect()] == [("a", 2), ("b", 1)]
+    assert [tuple(r) for r in explore.pubs_per_year(df, "y").collect()] == [(2019, 2)]
+    assert [r["n"] for r in clean.coerce_numeric(df, "y", "int", "n").collect()] == [2019, 2019, None, None, None]
+    assert [r["n"] for r in clean.coerce_numeric(df, "y", "double", "n").collect()] == [2019.0, 2019.0, None, 2019.5, None]

@@ -1,20 +1,44 @@
-import __spark_entry__ as E
+from tessera.plans import catalog
 
 SMALL = "/root/testdata/sf0.001"
-# queries whose core work is meant to run outside the JVM (Arrow / pandas kernels)
+# queries whose core work is meant to run outside the JVM (Arrow kernels)
 PYTHON_OK = {
     "language_id", "keep_english", "clean_pipeline", "clean_audit", "pairwise_similarity", "knn_graph",
-    "assign_nearest", "silhouette", "silhouette_sq", "context_embedding", "index_table", "retrieve_fine",
-    "retrieve_two_stage", "agglomerative", "merge_table", "three_level_ward", "three_level_spectral",
-    "k_sweep_ward", "k_sweep_spectral", "clustered_rows",
+    "assign_nearest", "silhouette", "silhouette_sq", "hashed_embedding", "context_embedding", "index_table",
+    "retrieve_batch", "three_level", "k_sweep",
 }
-PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas")
+PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInArrow")
 
 
 def test_no_cross_joins_and_python_only_where_meant(spark):
-    for key, fn in E.queries().items():
+    from tessera.operators import cluster
+
+    short = {"k_sweep": lambda s, sf: cluster.k_sweep(catalog._emb(s, sf), "vec_id", "embedding", range(2, 4))}  # 2 fits instead of 29
+    for key, fn in (catalog.REGISTRY | short).items():
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
         if key not in PYTHON_OK:
             assert not any(p in plan for p in PY_NODES), key
         assert "BatchEvalPython" not in plan, key  # never row-at-a-time Python UDFs
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_encoders_do_not_shuffle(spark):
+    for key in ("hashed_embedding", "context_embedding"):
+        assert "Exchange" not in _plan(catalog.REGISTRY[key](spark, SMALL)), key
+
+
+def test_language_is_one_pass_over_the_rows(spark):
+    plan = _plan(catalog.REGISTRY["keep_english"](spark, SMALL))
+    assert "Exchange" not in plan and plan.count("FileScan parquet") == 1
+
+
+def test_retrieval_reads_the_stored_index_only(spark):
+    for key in ("retrieve_two_stage", "retrieve_fine"):
+        plan = _plan(catalog.REGISTRY[key](spark, SMALL))
+        assert "documents.parquet" not in plan and "tessera-ind" in plan, key
+    plan = _plan(catalog.REGISTRY["retrieve_batch"](spark, SMALL))
+    assert "documents.parquet" not in plan and plan.count("tessera-ind") == 2

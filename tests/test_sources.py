@@ -16,10 +16,15 @@ def test_flatten_records_defaults(spark):
         ]}),
         json.dumps({"name": "P2", "publications": []}),
         "{not json",
+        json.dumps({"name": "P3", "publications": [
+            {"bib": {"title": "T3", "pub_year": "2020", "author": "A"}, "num_citations": "4", "error": "timeout"},
+            {"error": "timeout"},
+        ]}),
     ]
     df = spark.createDataFrame([(r,) for r in recs], "value string")
     out = sorted(tuple(r) for r in records.flatten_records(df).collect())
-    assert out == [("P1", "T1", "2020", "A", "4"), ("P1", "T2", "No year", "No authors", "N/A")]
+    assert out == [("P1", "T1", "2020", "A", "4"), ("P1", "T2", "No year", "No authors", "N/A"),
+                   ("P3", "No title", "No year", "No authors", "N/A"), ("P3", "T3", "No year", "No authors", "N/A")]
 
 
 def test_first_match_and_merge(spark):
@@ -47,6 +52,38 @@ def test_csv_roundtrip_and_resume(spark, tmp_path):
     assert sorted(r["k"] for r in spark.read.parquet(table).collect()) == [1, 2, 3]
 
 
+def test_only_string_abstracts_count(spark):
+    recs = spark.createDataFrame([(json.dumps({"name": "P", "publications": [{"bib": {"title": t}} for t in "abcd"]}),)], "value string")
+    found = [("a", {"data": [{"abstract": 123}]}), ("b", {"data": [{"abstract": {"x": 1}}]}), ("c", {"data": [{"abstract": None}, {"abstract": "second"}]}), ("d", {"data": [{"abstract": "yes"}]})]
+    lookups = spark.createDataFrame([(t, json.dumps(r), 1) for t, r in found], "title string, response string, seq int")
+    out = {r["title"]: r["abstract"] for r in records.build_snapshot(recs, "value", lookups).collect()}
+    assert out == {"a": "N/A", "b": "N/A", "c": "N/A", "d": "yes"}
+
+
+def test_ties_of_rank_and_order_are_settled(spark):
+    papers = spark.createDataFrame([(1, "t")], "id int, title string")
+    cands = spark.createDataFrame([("t", "b", 1), ("t", "a", 1)], "t string, a string, r int")
+    assert records.first_match(papers, "title", cands, "t", "a", "r").first()["abstract"] == "a"
+    assert records.merge_abstracts(papers, "title", cands, "t", "a", "r").first()["abstract"] == "b"
+
+
+def test_csv_missing_markers(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("Name\nNA\nnan\nNULL\nNone\n\"\"\nAnn\nN/A\n")
+    assert [r["Name"] for r in files.read_csv(spark, str(tmp_path / "f.csv"), files.FACULTY).collect() if r["Name"]] == ["Ann"]
+
+
+def test_append_removes_repeats_and_reports_a_failed_read(spark, tmp_path):
+    import pytest
+
+    table = str(tmp_path / "t")
+    assert files.resume_append(spark, spark.createDataFrame([(9,), (9,)], "k int"), "k", table) == 1
+    other = str(tmp_path / "other")
+    spark.createDataFrame([(1,)], "unlike int").write.parquet(other)
+    with pytest.raises(Exception):
+        files.resume_append(spark, spark.createDataFrame([(1,)], "k int"), "k", other)
+    assert spark.read.parquet(other).count() == 1
+
+
 def test_stream_ingest_is_idempotent(spark, tmp_path):
     land = tmp_path / "land"
     land.mkdir()

@@ -38,3 +38,24 @@ def test_language_scorer(spark):
     kept = [r["id"] for r in L.keep_english(test, "id", "text", model).collect()]
     assert kept == [10]
     assert L.decode_gram((ord("a") << 42) | (ord("b") << 21) | ord("c")) == "abc"
+
+
+def test_language_by_join_says_the_same(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = L.train(df, "doc_id", "text", "lang")
+    a, b = (sorted(tuple(r) for r in L.with_language(df, "doc_id", "text", model, most).select("doc_id", "lang_pred").collect()) for most in (L.MAX_WEIGHTS, 0))
+    assert a == b and len(a) == 200
+
+
+def test_nodes_without_terms_and_null_names_are_kept(spark):
+    from tessera.operators import tree
+
+    rows = [(1, "the of", "x", 1, 1), (2, "apple pie", None, 1, 2), (3, "", "y", 2, None), (4, None, None, 2, None)]
+    df = spark.createDataFrame(rows, "id long, text string, prof string, a int, b int")
+    assert {r["a"]: r["keywords"] for r in K.group_keywords(df, "id", "text", "a", 2).collect()} == {1: "apple, pie", 2: ""}
+    nodes = {r["node_id"]: (r["size"], r["keywords"], r["top_professors"]) for r in tree.tree_nodes(df, "id", "text", "prof", ["a", "b"]).collect()}
+    assert nodes == {"Cluster 1": (2, "apple, pie", "x (1)"), "Cluster 1.1": (1, "", "x (1)"), "Cluster 1.2": (1, "apple, pie", None), "Cluster 2": (2, "", "y (1)")}
+    kept = {r["id"]: (r["a_keywords"], r["b_keywords"]) for r in K.level_keywords(df, "id", "text", ["a", "b"], 1).collect()}
+    assert kept == {1: ("apple", ""), 2: ("apple", "apple"), 3: ("", None), 4: ("", None)}
+    text = {r["node_id"]: r["description"] for r in tree.describe_node(tree.tree_nodes(df, "id", "text", "prof", ["a"])).collect()}
+    assert text["Cluster 2"] == "Cluster 2\nKeywords: \nProfessors: y (1)"

@@ -119,3 +119,38 @@ def test_batch_topk_matches_single_queries(spark):
         single = [r["id"] for r in similarity.cosine_topk(df, "id", "vec", q.tolist(), 5).collect()]
         got = [r["id"] for r in sorted((r for r in batch if r["qid"] == i), key=lambda r: (-r["similarity"], r["id"]))]
         assert got == single
+
+
+def test_texts_without_tokens_keep_their_rows(spark):
+    from tessera.operators import embed
+
+    df = spark.createDataFrame([(1, "alpha beta"), (2, ""), (3, None), (4, "alpha")], "id long, text string")
+    ctx = embed.context_stats(df, "id", "text", 8)
+    mean = np.array(ctx.mean)
+    got = {r["id"]: np.array(r["vec"]) for r in embed.context_embedding(df, "id", "text", ctx).collect()}
+    assert len(got) == 4 and np.allclose(got[2], -mean / np.linalg.norm(mean)) and np.allclose(got[2], got[3])
+    assert {r["id"] for r in embed.hashed_vectors(df, "id", "text", 8).collect() if not any(r["vec"])} == {2, 3}
+    assert {r["id"]: r["keywords"] for r in embed.keyphrases(df, "id", "text").collect()}[3] == ""
+    index = embed.index_table(df, "id", "text", [], ctx, 8)
+    assert index.count() == 4 and index.columns == ["id", "keywords", "doc_vec", "kw_vec"]
+
+
+def test_stored_index_gives_back_what_was_fitted(spark, tmp_path):
+    from tessera.operators import embed
+
+    df = spark.createDataFrame([(i, f"word{i % 5} other{i % 3}", "s") for i in range(30)], "id long, text string, src string")
+    embed.save_index(df, "id", "text", ["src"], str(tmp_path), n=20)
+    index, ctx = embed.load_index(spark, str(tmp_path))
+    fitted = embed.context_stats(embed.sample_corpus(df, "id", 20), "id", "text")
+    assert ctx == fitted and index.count() == 30 and "src" in index.columns
+
+
+def test_batch_topk_in_slices_and_ties(spark):
+    x = np.repeat(_rand(40, 4, 3), 3, axis=0)  # every vector three times
+    df = vec_df(spark, x).repartition(3)
+    qdf = spark.createDataFrame([(i, [float(v) for v in q]) for i, q in enumerate(_rand(9, 4, 5))] + [(99, [0.0] * 4)], "qid long, q array<double>")
+    whole, cut = (sorted(map(tuple, similarity.batch_topk(df, "id", "vec", qdf, "qid", "q", 5, query_bytes=b).collect())) for b in (1 << 20, 64))
+    assert whole == cut and len([r for r in whole if r[0] < 9]) == 45
+    for qid in range(9):
+        ids = [r[1] for r in sorted((r for r in whole if r[0] == qid), key=lambda r: (-r[2], r[1]))]
+        assert ids[:3] == list(range(ids[0], ids[0] + 3)) and ids[0] % 3 == 0  # equal vectors by id
