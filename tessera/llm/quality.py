@@ -29,6 +29,8 @@ from .common import hash_spans, labelled_sample, slices, utf8, words
 
 #: About this many labelled documents of each class are read by ``fit``.
 PER_CLASS = 4_000
+#: A training document gives this many passages at most, evenly spaced over its whole text.
+PER_BAG = 256
 PASSAGE_WORDS = 64
 PAIRS, CLASSES = 192, 16
 #: Byte classes, byte pairs, and five word statistics.
@@ -163,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         for batch in slices(batches, "text"):
             x, row = passages(batch.column("text"))
             cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            packed = [x[a:b].astype(np.float16).tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+            bags = [x[a:b] if b - a <= PER_BAG else x[a + np.arange(PER_BAG) * (b - a) // PER_BAG] for a, b in zip(cut, cut[1:], strict=False)]
+            packed = [bag.astype(np.float16).tobytes() for bag in bags]
             yield pa.record_batch([batch.column("y"), pa.array(packed, pa.binary())], names=["y", "x"])
 
     # the sample's passages; sorted so that a fit does not depend on how the input is dealt

@@ -24,13 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import join_small, slices, stored
 
 SEED = 42
+#: Fingerprints that may share an entry of a segment's table before it is split.
+HOT = 512
 
 
 def _fingerprint(text: str | None, shingle: int) -> int:
@@ -62,29 +64,68 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     return rows.mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("fp", T.LongType())])).withColumnRenamed("id", id_col)
 
 
-def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
+def _ball(own: Column, width: int) -> Column:
+    """``own`` and the values that set one more of its ``width`` bits."""
+    bits = F.array(*(F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(width)))
+    clear = F.filter(bits, lambda bit: own.bitwiseAND(bit) == 0)
+    return F.concat(F.array(own), F.transform(clear, lambda bit: own.bitwiseOR(bit)))
+
+
+def _cut(lo: int, hi: int, parts: int) -> list[tuple[int, int]]:
+    at = [lo + (hi - lo) * k // parts for k in range(parts + 1)]
+    return list(zip(at, at[1:], strict=False))
+
+
+def _bits(lo: int, hi: int) -> Column:
+    """Bits lo..hi-1 of ``fp``."""
+    return F.col("fp") if hi - lo == 64 else F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
+
+
+def _keys(segments: list[tuple[int, int]], ball: bool) -> Column:
+    """The tables and values to look up, one struct each."""
+    each = []
+    for k, (lo, hi) in enumerate(segments):
+        values = _ball(_bits(lo, hi), hi - lo) if ball else F.array(_bits(lo, hi))
+        each.append(_tagged(values, k))
+    return F.explode(F.concat(*each))
+
+
+def _tagged(values: Column, k: int) -> Column:
+    return F.transform(values, lambda x: F.struct(F.lit(k).alias("segment"), x.alias("value")))
+
+
+def links(distinct: DataFrame, max_bits: int = 3, hot: int = HOT) -> DataFrame:
     """Pairs (a, b) of different fingerprints (column ``fp``, distinct rows) at
-    ``max_bits`` bits or fewer."""
-    n = max_bits // 2 + 1
-    cuts = [64 * k // n for k in range(n + 1)]
-
-    def segment(k: int, lo: int, hi: int, ball: bool):
-        own = F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) if n > 1 else F.col("fp")
-        keys = F.array(own)
-        if ball:
-            bits = F.array(*(F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(hi - lo)))
-            clear = F.filter(bits, lambda bit: own.bitwiseAND(bit) == 0)
-            keys = F.concat(keys, F.transform(clear, lambda bit: own.bitwiseOR(bit)))
-        return F.transform(keys, lambda x: F.struct(F.lit(k).alias("segment"), x.alias("value")))
-
-    def keyed(ball: bool) -> DataFrame:
-        segments = [segment(k, lo, hi, ball) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))]
-        return distinct.select("fp", F.explode(F.concat(*segments)).alias("key")).select("fp", "key.segment", "key.value")
-
-    table = keyed(False).withColumnRenamed("fp", "a")
-    probe = keyed(True).withColumnRenamed("fp", "b")
-    met = probe.join(table, ["segment", "value"]).where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ``max_bits`` bits or fewer.
+
+    Entries of a segment's table that more than ``hot`` fingerprints share are
+    split once more, by the same rule on the bits outside that segment, so a
+    dense group of near copies does not meet as a whole."""
+    segments = _cut(0, 64, max_bits // 2 + 1)
+    table, probe = (distinct.select("fp", _keys(segments, ball).alias("key")).select("fp", "key.*") for ball in (False, True))
+    on = ["segment", "value"]
+    if len(segments) == 1:  # an entry is one fingerprint
+        pairs = _meet(probe, table, on)
+    else:
+        crowded = stored(table.groupBy(on).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(on), "crowded")
+        pairs = _meet(join_small(probe, crowded, on, "left_anti"), join_small(table, crowded, on, "left_anti"), on)
+        if crowded.limit(1).count():
+            for k in range(len(segments)):
+                rest = [x for j, (lo, hi) in enumerate(segments) if j != k for x in _cut(lo, hi, 2)]
+
+                def finer(df: DataFrame, ball: bool, k: int = k, rest: list = rest) -> DataFrame:
+                    own = join_small(df.where(F.col("segment") == k), crowded, on, "left_semi").select("fp", *on, _keys(rest, ball).alias("key"))
+                    return own.select("fp", *on, F.col("key.segment").alias("segment2"), F.col("key.value").alias("value2"))
+
+                # in the finer segment, either side may be the one with the bit clear
+                for ball in (True, False):
+                    pairs = pairs.unionByName(_meet(finer(probe, ball), finer(table, not ball), [*on, "segment2", "value2"]))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    return pairs.where((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _meet(probe: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    return probe.withColumnRenamed("fp", "b").join(table.withColumnRenamed("fp", "a"), on).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:

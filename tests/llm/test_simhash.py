@@ -69,9 +69,9 @@ def test_links_equal_all_pairs(spark):
             fps.add(fp := fp ^ (1 << rnd.randrange(64)))
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
     df = spark.createDataFrame(signed, "fp long")
-    for bits in (0, 1, 3, 5):
+    for bits, hot in ((0, 0), (1, 0), (3, 512), (3, 0), (3, 1), (5, 512), (5, 0)):  # hot: entries that are split once more
         want = {(min(a, b), max(a, b)) for (a,) in signed for (b,) in signed if a != b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= bits}
-        got = [tuple(r) for r in simhash.links(df, bits).collect()]
+        got = [tuple(r) for r in simhash.links(df, bits, hot).collect()]
         assert len(got) == len(want) and set(got) == want
 
 
