@@ -179,6 +179,14 @@ def q_clean_title(spark, sf):
     return d.select("doc_id", tx.clean_title("text").alias("title_key"))
 
 
+@register("encoder_tokens")
+def q_encoder_tokens(spark, sf):
+    # H8 + H9: what a plugged encoder with a limit of 512 tokens would read
+    tokens = tx.truncate_tokens(tx.whitespace_tokens(tx.with_prefix("text", tx.DOCUMENT_PREFIX)))
+    d = table(spark, sf, "documents").select("doc_id", tokens.alias("t"))
+    return d.select("doc_id", F.size("t").alias("n_tokens"), F.element_at("t", 1).alias("first_token"), F.element_at("t", -1).alias("last_token"))
+
+
 @register("clean_text")
 def q_clean_text(spark, sf):
     p = table(spark, sf, "pages")
@@ -382,6 +390,12 @@ def q_tree_nodes(spark, sf):
     return tree.tree_nodes(leveled_docs(spark, sf), "doc_id", "text", "source", LEVELS)
 
 
+@register("node_text")
+def q_node_text(spark, sf):
+    nodes = tree.tree_nodes(leveled_docs(spark, sf), "doc_id", "text", "source", LEVELS)
+    return tree.describe_node(nodes).select("node_id", "description")
+
+
 @register("tree_edges")
 def q_tree_edges(spark, sf):
     return tree.tree_edges(leveled_docs(spark, sf), "doc_id", LEVELS)
@@ -532,11 +546,10 @@ def q_clustered_rows(spark, sf):
 from ..sources import files as fsrc  # noqa: E402
 from ..sources import records as rec  # noqa: E402
 
-@register("flatten_records")
-def q_flatten_records(spark, sf):
-    # one raw record per source, built from the documents: every seventh has no
-    # title, every fifth no year, every third failed to load; a ninth of the
-    # records are cut off and don't parse
+def raw_records(spark, sf):
+    """Raw records, one per document: (doc_id, value JSON). Every seventh has no
+    title, every fifth no year, every third failed to load; a ninth of them are
+    cut off and don't parse."""
     d = table(spark, sf, "documents")
     pub = F.struct(
         F.struct(
@@ -548,8 +561,47 @@ def q_flatten_records(spark, sf):
         F.when(F.col("doc_id") % 3 == 0, F.lit("timeout")).alias("error"),
     )
     one = F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications")))
-    raw = d.select("doc_id", F.when(F.col("doc_id") % 9 != 0, one).otherwise(F.substring(one, 1, 30)).alias("value"))
-    return rec.flatten_records(raw, "value")
+    return d.select("doc_id", F.when(F.col("doc_id") % 9 != 0, one).otherwise(F.substring(one, 1, 30)).alias("value"))
+
+
+@register("flatten_records")
+def q_flatten_records(spark, sf):
+    return rec.flatten_records(raw_records(spark, sf), "value")
+
+
+@register("build_snapshot")
+def q_build_snapshot(spark, sf):
+    # one lookup response per document; every fourth has a number for an abstract
+    d = table(spark, sf, "documents")
+    candidate = F.when(F.col("doc_id") % 4 == 0, F.to_json(F.struct(F.col("n_chars").alias("abstract")))).otherwise(F.to_json(F.struct(F.col("text").alias("abstract"))))
+    response = F.concat(F.lit('{"data":['), candidate, F.lit("]}"))
+    lookups = d.select(F.substring("text", 1, 40).alias("title"), response.alias("response"), F.col("doc_id").alias("seq"))
+    return rec.build_snapshot(raw_records(spark, sf), "value", lookups)
+
+
+def _landing(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    # the raw records arrive as files; the stream appends each (professor, title) once
+    from ..streaming import ingest
+
+    landed = _landing(spark, "landing")
+    raw_records(spark, sf).select("value").write.text(f"{landed}/files")
+    ingest.start(spark, f"{landed}/files", f"{landed}/table", f"{landed}/progress").awaitTermination()
+    return spark.read.parquet(f"{landed}/table").select("professor", "title")
+
+
+@register("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    # every seventh text is written as a missing marker
+    path = _landing(spark, "csv")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.when(F.col("doc_id") % 7 == 0, F.lit("N/A")).otherwise(F.col("text")).alias("text"))
+    fsrc.write_csv(d, path)
+    back = fsrc.read_csv(spark, path, d.schema)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 @register("first_match")

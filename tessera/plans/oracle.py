@@ -124,6 +124,12 @@ TITLE_KEY = f"lower(regexp_replace(split_part(text, ':', 1), '^{SPACE}+|{SPACE}+
 
 SQL["clean_title"] = f"SELECT doc_id, {TITLE_KEY} AS title_key FROM documents"
 
+SQL["encoder_tokens"] = f"""
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower('search_document: ' || coalesce(text, '')), '{SPACE}+'), lambda w: w <> '')[1:512] AS t FROM documents)
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, t[1] AS first_token, t[-1] AS last_token FROM t
+"""
+
 SQL["clean_text"] = r"SELECT page_id, regexp_replace(html, '[^\x20-\x7E]+', '', 'g') AS clean_html FROM pages"
 
 SQL["top_authors"] = "SELECT source AS professor, count(*) AS n_pubs FROM documents WHERE source IS NOT NULL AND doc_id % 11 <> 0 GROUP BY source ORDER BY n_pubs DESC, professor LIMIT 30"
@@ -373,6 +379,11 @@ FROM sizes s LEFT JOIN kw k ON s.level = k.level AND s.path = k.path
 LEFT JOIN profs p ON s.level = p.level AND s.path = p.path
 """
 
+SQL["node_text"] = f"""
+SELECT node_id, node_id || chr(10) || 'Keywords: ' || keywords || chr(10) || 'Professors: ' || coalesce(top_professors, '') AS description
+FROM ({SQL['tree_nodes']})
+"""
+
 SQL["tree_edges"] = rf"""
 WITH {LEVELED}
 SELECT DISTINCT 'Cluster ' || regexp_replace(path, '\.[^.]*$', '') AS src, 'Cluster ' || path AS dst
@@ -519,6 +530,20 @@ FROM documents
 WHERE doc_id % 9 <> 0 AND (doc_id % 3 = 0 OR (doc_id % 7 <> 0 AND substring(text, 1, 40) <> ''))
 """
 
+SQL["stream_ingest"] = f"SELECT DISTINCT professor, title FROM ({SQL['flatten_records']})"
+
+SQL["build_snapshot"] = f"""
+WITH pubs AS ({SQL['flatten_records']}),
+last AS (
+  SELECT substring(text, 1, 40) AS title,
+         CASE WHEN doc_id % 4 <> 0 THEN regexp_replace(text, '[^\\x20-\\x7E]+', '', 'g') ELSE 'N/A' END AS abstract,
+         row_number() OVER (PARTITION BY substring(text, 1, 40) ORDER BY doc_id DESC) AS rn
+  FROM documents)
+SELECT p.*, coalesce(l.abstract, 'N/A') AS abstract FROM pubs p LEFT JOIN last l ON p.title = l.title AND l.rn = 1
+"""
+
+SQL["csv_round_trip"] = "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN nullif(text, '') END AS text FROM documents"
+
 SQL["first_match"] = rf"""
 WITH titled AS (SELECT doc_id, text, {TITLE_KEY} AS key FROM documents),
 best AS (SELECT key, text FROM (SELECT key, text, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS rn FROM titled)
