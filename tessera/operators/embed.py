@@ -36,6 +36,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
+from ..session import cut_lineage
 
 DIM = 256
 SAMPLE_SIZE = 512
@@ -159,7 +160,8 @@ def keyphrases(df: DataFrame, id_col: str, text_col: str, n: int = KEYPHRASES) -
     (stop words removed; ties term asc), joined ', ' in rank order: (id, keywords);
     '' for a document without terms."""
     toks = doc_tokens(df, id_col, text_col)
-    toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, KEYWORD_STOP_WORDS, "tok")), "tok", "left_anti")
+    # read by the frequencies and by the scores: written once, so texts are tokenized once
+    toks = cut_lineage(toks.join(F.broadcast(stop_word_frame(df.sparkSession, KEYWORD_STOP_WORDS, "tok")), "tok", "left_anti"))
     n_val = df.count()  # corpus size: one scalar
     dfreq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     scored = toks.join(dfreq, "tok").select(

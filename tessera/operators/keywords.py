@@ -60,7 +60,8 @@ def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list
     above = above.select("leaf", "level", "path")
     toks = base.where(F.size("paths") > 0).select("id", "leaf", F.explode(tx.word_tokens("_text")).alias("term"))
     toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
-    tf = toks.groupBy("id", "leaf", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # read by the statistics and by the weights: written once, so texts are tokenized once
+    tf = cut_lineage(toks.groupBy("id", "leaf", "term").agg(F.count(F.lit(1)).alias("tf")))
     by_leaf = tf.groupBy("leaf", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     stats = by_leaf.join(above, "leaf").groupBy("level", "path", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     w = Window.partitionBy("level", "path").orderBy(F.col("total").desc(), F.col("term").asc())
