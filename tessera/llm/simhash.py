@@ -33,6 +33,8 @@ from .common import join_small, slices, stored
 SEED = 42
 #: Fingerprints that may share an entry of a segment's table before it is split.
 HOT = 512
+#: Fingerprints of so many rows, at most, that their names are broadcast.
+MANY = 100_000
 
 
 def _fingerprint(text: str | None, shingle: int) -> int:
@@ -149,13 +151,18 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, fingerprint (16 hex digits), component_id."""
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "distinct")
-    member = components(links(distinct, max_bits))
+    distinct = stored(rows.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n")), "distinct")
+    member = components(links(distinct.select("fp"), max_bits))
     first = distinct.join(member.select(F.col("node").alias("fp"), "root"), "fp").select("fp", "root", "first_id")
     group = first.groupBy("root").agg(F.min("first_id").alias("group_id"))
     moved = first.join(group, "root").select("fp", "group_id")
-    named = distinct.join(moved, "fp", "left").select("fp", F.when(F.col("group_id").isNull(), F.col("first_id")).otherwise(F.col("group_id")).alias("component_id"))
-    return rows.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = distinct.join(moved, "fp", "left").select("fp", "n", F.when(F.col("group_id").isNull(), F.col("first_id")).otherwise(F.col("group_id")).alias("component_id"))
+    named = stored(named, "named")
+    # a fingerprint of many rows meets them by broadcast (at most MANY of those), the others by a shuffle
+    many = F.col("n") > max(1_000, rows.count() // MANY)
+    hot, cold = F.broadcast(named.where(many).drop("n")), named.where(~many).drop("n")
+    joined = rows.join(hot, "fp").unionByName(rows.join(F.broadcast(named.where(many).select("fp")), "fp", "left_anti").join(cold, "fp"))
+    return joined.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

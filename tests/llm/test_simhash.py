@@ -59,6 +59,12 @@ def test_groups_equal_all_pairs(spark):
     assert ids == sorted({g for _, _, g in got})
 
 
+def test_a_fingerprint_of_many_rows(spark):
+    rows = [(k, "the same words in each of these rows") for k in range(5, 1400)] + [(3, "other text that links with nothing at all"), (1, "")]
+    got = simhash.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (3, 3)] + [(k, 5) for k in range(5, 1400)]
+
+
 def test_links_equal_all_pairs(spark):
     rnd = random.Random(1)
     fps = {0, (1 << 64) - 1}
