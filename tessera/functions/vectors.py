@@ -1,4 +1,4 @@
-"""Vector functions on ``array<float>`` columns.
+"""Vector functions on ``array<float>`` columns.
 
 Spark 4.1 has no built-in vector functions, so these are higher-order SQL
 expressions (JVM side, no Python). Arithmetic is done in double. They suit
@@ -49,15 +49,6 @@ def cosine(a: str | Column, b: str | Column) -> Column:
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
-def sq_euclidean(a: str | Column, b: str | Column) -> Column:
-    return _sum(F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))))
-
-
-def euclidean(a: str | Column, b: str | Column) -> Column:
-    """H13."""
-    return F.sqrt(sq_euclidean(a, b))
-
-
 def literal_vector(values) -> Column:
     """A small query vector as a literal array (folded by the optimizer)."""
     return F.array(*[F.lit(float(v)).cast("double") for v in values])

@@ -10,7 +10,6 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Sentinels the landed records use for missing fields.
 SENTINELS = {

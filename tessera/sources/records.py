@@ -66,13 +66,13 @@ def flatten_records(df: DataFrame, json_col: str = "value", professor_col: str |
     prof = F.col(professor_col) if professor_col else F.col("rec.name")
     pubs = p.select(prof.alias("professor"), F.explode_outer("rec.publications").alias("pub"))
     failed = F.col("pub.error").isNotNull()
-    fetched = lambda c: F.when(~failed, c)
+    pub = F.when(~failed, F.col("pub"))
     flat = pubs.select(
         "professor",
         F.coalesce(F.col("pub.bib.title"), F.when(failed, F.lit(NO_TITLE))).alias("title"),
-        F.coalesce(fetched(F.col("pub.bib.pub_year")), F.lit(NO_YEAR)).alias("pub_year"),
-        F.coalesce(fetched(F.col("pub.bib.author")), F.lit(NO_AUTHORS)).alias("authors"),
-        F.coalesce(fetched(F.col("pub.num_citations")), F.lit(NO_CITATIONS)).alias("citations"),
+        tx.nested_get(pub["bib"], "pub_year", NO_YEAR).alias("pub_year"),
+        tx.nested_get(pub["bib"], "author", NO_AUTHORS).alias("authors"),
+        tx.nested_get(pub, "num_citations", NO_CITATIONS).alias("citations"),
     )
     return flat.filter(F.col("title").isNotNull() & (F.col("title") != ""))
 

@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from tessera.operators import keywords as K
 from tessera.operators import language as L
