@@ -62,6 +62,18 @@ def test_tokenizer_ids_equal_the_library(spark):
     assert [encode(x) for x in texts] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("text", ["x" + "\n" * 1_200_000, " " * 1_200_000 + "x", "x" + "\n" * 1_200_000 + " y  z"])
+def test_long_white_space_equals_the_library(text):
+    assert packing.load_tokenizer(PATH)(text) == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_equal_on_both_sides_of_the_long_space_limit():
+    t = Tokenizer.from_file(PATH)
+    for n in (packing.LONG_SPACE - 1, packing.LONG_SPACE, packing.LONG_SPACE + 1):
+        for text in (" \n" * (n // 2) + " " * (n % 2) + "x", "a" + "\u3000" * n + "b"):
+            assert packing.load_tokenizer(PATH)(text) == t.encode(text, add_special_tokens=False).ids
+
+
 def test_pack_documents(spark):
     text = "the quick brown fox " * 40
     rows = [(k, text if k % 3 == 0 else "word " * (k % 11), 5) for k in range(120)] + [(None, None, 1), (7, "again", 1), (7, "again", 1), (200, "long text " * 700, 1)]
