@@ -42,8 +42,11 @@ def _long_space(text: str) -> bool:
     return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(text))
 
 
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, special: bool = False):
     """A function from text to ids for a byte-level BPE file of ``tokenizers``.
+    With ``special``, the file's added tokens in a text get their own ids, as in
+    the library by default; otherwise they are ordinary text
+    (``encode_special_tokens``).
 
     The file's own vocabulary and split pattern are run by tiktoken, whose ids
     are equal (tested) and which needs a quarter of the time. Its pattern
@@ -55,16 +58,18 @@ def load_tokenizer(path: str):
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         # the byte-level alphabet: printable bytes stand for themselves, the others for code points from 256
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        bpe = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
         def encode(text: str) -> list[int]:
-            return library().encode(text, add_special_tokens=False).ids if _long_space(text) else fast(text)
+            if _long_space(text):
+                return library().encode(text, add_special_tokens=False).ids
+            return bpe.encode(text, allowed_special="all") if special else bpe.encode_ordinary(text)
 
         return encode
 
@@ -73,12 +78,12 @@ def load_tokenizer(path: str):
             from tokenizers import Tokenizer
 
             t = Tokenizer.from_file(path)
-            t.encode_special_tokens = True
+            t.encode_special_tokens = not special
             return t
 
-        return per_process(("tokenizer library", path), read)
+        return per_process(("tokenizer library", path, special), read)
 
-    return per_process(("tokenizer", path), make)
+    return per_process(("tokenizer", path, special), make)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,7 +92,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_
     their first piece takes what the full ones leave over."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_tokenizer(tokenizer_path)
+        encode = load_tokenizer(tokenizer_path, special=True)
         for batch in slices(batches, "text"):
             out: list[tuple] = []
             for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):

@@ -74,6 +74,19 @@ def test_ids_are_equal_on_both_sides_of_the_long_space_limit():
             assert packing.load_tokenizer(PATH)(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_equal_the_library_defaults(spark):
+    t = Tokenizer.from_file(PATH)
+    e = "<|endoftext|>"
+    texts = [f"one {e} two", e, e + e, f"a \n {e}  b", f"x{e}'s", "<|endoftext|", f"<{e}>", f"{e} " + " " * packing.LONG_SPACE + f"{e}y"]
+    want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [505, 220, 50256, 734]
+    encode = packing.load_tokenizer(PATH, special=True)
+    assert [encode(x) for x in texts] == want
+    parts = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH, 2, 200_000)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in parts.collect()}
+    assert got == {k: [*ids, 2] for k, ids in enumerate(want)}
+
+
 def test_pack_documents(spark):
     text = "the quick brown fox " * 40
     rows = [(k, text if k % 3 == 0 else "word " * (k % 11), 5) for k in range(120)] + [(None, None, 1), (7, "again", 1), (7, "again", 1), (200, "long text " * 700, 1)]
