@@ -35,6 +35,20 @@ def test_passages_are_the_texts_words_in_order():
     assert not x[3].any() and not x[4].any() and x[7].any()
 
 
+def test_the_fit_reads_every_passage_of_a_long_text(spark, monkeypatch):
+    n = 64 * 700  # 700 passages
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(n))) for k in (0, 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "_train", lambda x, bag, y, prior: seen.append((x, bag, y)))
+    quality.fit(docs, labels)
+    (x, bag, y), = seen
+    assert np.bincount(bag).tolist() == [700, 700]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want, _ = quality.passages(pa.array([texts[int(k)] for k in y]))
+    assert np.array_equal(x, want.astype(np.float16).astype(np.float32))
+
+
 def test_gradients_equal_differences():
     """One full-batch Adam step follows the sign of the numeric gradient."""
     rnd = np.random.default_rng(0)
