@@ -449,13 +449,14 @@ def q_keyphrases(spark, sf):
     return embed.keyphrases(_docs(spark, sf), "doc_id", "text")
 
 
-_INDEXES: dict[tuple[str, str], str] = {}
+_INDEXES: dict[tuple, str] = {}
 
 
 def stored_index(spark, sf):
     """The stored index and context of ``documents``; built and written at a
-    session's first question, read by all later ones."""
-    key = (spark.sparkContext.applicationId, sf)
+    session's first question, read by all later ones as long as the table's
+    files stay the same."""
+    key = (spark.sparkContext.applicationId, sf, fsrc.file_versions(spark, table(spark, sf, "documents")))
     if key not in _INDEXES:
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-index-{uuid.uuid4().hex}"
         embed.save_index(_docs(spark, sf), "doc_id", "text", ["source"], path)

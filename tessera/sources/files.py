@@ -65,6 +65,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def file_versions(spark: SparkSession, df: DataFrame) -> frozenset[tuple[str, int, int]]:
+    """(path, modification time, length) of every file that ``df`` reads."""
+    conf, out = spark._jsc.hadoopConfiguration(), set()
+    for f in df.inputFiles():
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
+        status = p.getFileSystem(conf).getFileStatus(p)
+        out.add((f, status.getModificationTime(), status.getLen()))
+    return frozenset(out)
+
+
 def resume_append(spark: SparkSession, batch: DataFrame, key: str, table_path: str) -> int:
     """A7 (batch): append one row of each key that is not in the table yet;
     returns the rows appended.

@@ -42,3 +42,18 @@ def test_retrieval_reads_the_stored_index_only(spark):
         assert "documents.parquet" not in plan and "tessera-ind" in plan, key
     plan = _plan(catalog.REGISTRY["retrieve_batch"](spark, SMALL))
     assert "documents.parquet" not in plan and plan.count("tessera-ind") == 2
+
+
+def test_rewritten_documents_get_a_new_index(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+
+    def indexed():
+        return {r.doc_id for r in catalog.stored_index(spark, str(tmp_path))[0].select("doc_id").collect()}
+
+    for wanted in ("doc_id < 20", "doc_id BETWEEN 10 AND 40"):
+        part = docs.where(wanted)
+        part.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        assert indexed() == {r.doc_id for r in part.collect()}
+    before = dict(catalog._INDEXES)
+    indexed()
+    assert catalog._INDEXES == before  # unchanged files: no new index
