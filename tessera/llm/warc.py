@@ -8,7 +8,9 @@ lines, lengths and digests.
 A payload is stored once per text: of records with equal payloads of
 ``min_bytes`` or more, the one with the largest id is a ``response``, the others
 are ``revisit`` records that name it and carry the payload's length in their
-HTTP header. Payload groups are found on digests; payloads are never shuffled.
+HTTP header. Payload groups are found on digests; payloads are not shuffled
+while there are at most ``BROADCAST_ROWS`` revisits. Beyond, rows with their html
+meet the revisits in a shuffled join, with the same result.
 
 Files are written next to each other below the shared folder, each under a
 temporary name that is renamed when complete; its final name is that of its
