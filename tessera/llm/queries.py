@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, licenses, packing, quality, simhash, toxicity, urlgraph, warc
+from . import contentsort, decontam, langid, licenses, mixing, packing, quality, simhash, toxicity, urlgraph, warc
 from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,3 +249,42 @@ FROM j LEFT JOIN s{rounds} USING (host)
 
 
 SQL["op9_url_graph"] = _url_graph_sql()
+
+
+#: Parameters of op13: weights in turn, the most passes over a source, words of a block.
+MIX_WEIGHTS, MIX_PASSES, MIX_BLOCK = (5, 2, 1), 3, 256
+
+
+@register("op13_source_schedule")
+def op13_source_schedule(spark, sf):
+    return mixing.taken(mixing.mix(table(spark, sf, "documents"), MIX_WEIGHTS, MIX_PASSES, MIX_BLOCK))
+
+
+SQL["op13_source_schedule"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source
+),
+w AS (SELECT *, CAST({list(MIX_WEIGHTS)}[(k - 1) % {len(MIX_WEIGHTS)} + 1] AS BIGINT) AS weight, {MIX_PASSES} * source_size AS most FROM s),
+-- by limit per weight: what is left for a source and those after it, by weight
+o AS (
+  SELECT *, sum(source_size) OVER () - sum(most) OVER up + most AS rest, sum(weight) OVER () - sum(weight) OVER up + weight AS among,
+         row_number() OVER up AS nth
+  FROM w WINDOW up AS (ORDER BY most / weight, k ROWS UNBOUNDED PRECEDING)
+),
+level AS (SELECT arg_min(CAST(rest AS DOUBLE) / CAST(among AS DOUBLE), nth) AS per FROM o WHERE most > weight * (CAST(rest AS DOUBLE) / CAST(among AS DOUBLE))),
+t AS (SELECT source, k, source_size, CAST(coalesce(least(most, weight * per), most) AS DOUBLE) AS target FROM w, level),
+p AS (
+  SELECT r, size, floor(target + 0.5) AS take,
+         sum(size) OVER (PARTITION BY k ORDER BY pass, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || pass), 1, 15) AS BIGINT),
+                         doc_id, size, r ROWS UNBOUNDED PRECEDING) - size AS at
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, (SELECT unnest(range(0, {MIX_PASSES})) AS pass)
+),
+got AS (SELECT r, CAST(sum(greatest(least(at + size, take) - at, 0)) AS BIGINT) AS taken FROM p GROUP BY r)
+SELECT doc_id, size, source_size, target, taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN got USING (r)
+"""
