@@ -281,10 +281,10 @@ t AS (SELECT source, k, source_size, CAST(coalesce(least(most, weight * per), mo
 p AS (
   SELECT r, size, floor(target + 0.5) AS take,
          sum(size) OVER (PARTITION BY k ORDER BY pass, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || pass), 1, 15) AS BIGINT),
-                         doc_id, size, r ROWS UNBOUNDED PRECEDING) - size AS at
+                         doc_id, size, r ROWS UNBOUNDED PRECEDING) - size AS place
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, (SELECT unnest(range(0, {MIX_PASSES})) AS pass)
 ),
-got AS (SELECT r, CAST(sum(greatest(least(at + size, take) - at, 0)) AS BIGINT) AS taken FROM p GROUP BY r)
+got AS (SELECT r, CAST(sum(greatest(least(place + size, take) - place, 0)) AS BIGINT) AS taken FROM p GROUP BY r)
 SELECT doc_id, size, source_size, target, taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN got USING (r)
 """
