@@ -4,6 +4,7 @@ DuckDB form where SQL can say it."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, licenses, mixing, packing, quality, simhash, toxicity, urlgraph, warc
+from . import contentsort, decontam, langid, licenses, mixing, packing, quality, simhash, toxicity, urlgraph, veccode, warc
 from .common import crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,3 +289,50 @@ got AS (SELECT r, CAST(sum(greatest(least(place + size, take) - place, 0)) AS BI
 SELECT doc_id, size, source_size, target, taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN got USING (r)
 """
+
+
+#: Parameters of op12.
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE = 16, 64, 2, 256
+
+
+@register("op12_vector_codes")
+def op12_vector_codes(spark, sf):
+    coded = veccode.encode(table(spark, sf, "embeddings"), CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE)
+    digest = hashlib.sha256(",".join(map(str, coded.codebooks.ravel().tolist())).encode()).hexdigest()
+    return veccode.with_label_error(coded).select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def _codes_sql() -> str:
+    near = """
+a{k} AS MATERIALIZED (
+  SELECT r, part, min({{'d': list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v) + list_inner_product(c.v, c.v), 'e': entry}}) AS m
+  FROM p JOIN c{k} c USING (part) GROUP BY r, part
+)"""
+    mean = """,
+m{k} AS (
+  SELECT part, m.e AS entry, j, floor(sum(v[j]) / count(*)) AS x FROM a{k} JOIN p USING (r, part), (SELECT unnest(range(1, size + 1)) AS j FROM dim) GROUP BY ALL
+),
+c{n} AS MATERIALIZED (
+  SELECT part, entry, coalesce(u.v, c{k}.v) AS v
+  FROM c{k} LEFT JOIN (SELECT part, entry, list(x ORDER BY j) AS v FROM m{k} GROUP BY part, entry) u USING (part, entry)
+),"""
+    rounds = "".join(near.format(k=k) + mean.format(k=k, n=k + 1) for k in range(CODE_ROUNDS)) + near.format(k=CODE_ROUNDS)
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({CODE_SCALE} * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+dim AS (SELECT arg_min(len(x), vec_id) // {CODE_PARTS} AS size FROM e),
+p AS MATERIALIZED (SELECT r, vec_id, x, part, x[part * size + 1 : part * size + size] AS v FROM e, dim, (SELECT unnest(range({CODE_PARTS})) AS part) WHERE len(x) = {CODE_PARTS} * size),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, x) - 1 AS entry, v FROM p WHERE vec_id IS NOT NULL QUALIFY entry < {CODE_ENTRIES}),{rounds},
+found AS (SELECT r, string_agg(format('{{:02x}}', m.e), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{CODE_ROUNDS} GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(v[j] AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, j)) AS codebooks_sha256
+  FROM c{CODE_ROUNDS}, (SELECT unnest(range(1, size + 1)) AS j FROM dim)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM found JOIN e USING (r), books
+"""
+
+
+SQL["op12_vector_codes"] = _codes_sql()
