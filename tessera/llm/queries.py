@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contentsort, decontam, langid, licenses, mixing, packing, quality, simhash, toxicity, urlgraph, veccode, warc
-from .common import crc_fold
+from . import align, contentsort, decontam, langid, licenses, mixing, packing, quality, simhash, toxicity, urlgraph, veccode, warc
+from .common import crc_fold, stored
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -252,6 +252,22 @@ FROM j LEFT JOIN s{rounds} USING (host)
 SQL["op9_url_graph"] = _url_graph_sql()
 
 
+#: The tokenizers of op11.
+SIDE_A, SIDE_B = ("byte_bpe", TOKENIZER), ("piece", public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def alignment_digest(docs: DataFrame, frequent: int = align.FREQUENT_ROWS) -> DataFrame:
+    found = align.align(docs, SIDE_A, SIDE_B)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    kept = stored(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return align.with_counts(kept, frequent).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@register("op11_token_alignment")
+def op11_token_alignment(spark, sf):
+    return alignment_digest(table(spark, sf, "documents"))
+
+
 #: Parameters of op13: weights in turn, the most passes over a source, words of a block.
 MIX_WEIGHTS, MIX_PASSES, MIX_BLOCK = (5, 2, 1), 3, 256
 
