@@ -104,7 +104,7 @@ def tokenise(texts: list[str | None], sides: tuple[Side, Side]) -> tuple[Tokens,
     for side, ids in zip(sides, encoded, strict=True):
         kept = [(k, x) for k, x, ok in zip(live, ids, good, strict=True) if ok]
         doc = np.repeat(np.array([k for k, _ in kept], np.int64), [len(x) for _, x in kept])
-        flat = np.array([i for _, x in kept for i in x], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *(np.array(x, np.int64) for _, x in kept)])
         end = np.cumsum(side.size[flat])
         out.append(Tokens(doc, end - side.size[flat], end, flat))
     return out[0], out[1]
@@ -120,21 +120,23 @@ def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
     i, j = under_b["a"].to_numpy(np.int64), under_b["b"].to_numpy(np.int64)
     fresh = a.start[i] != b.start[j]
     i, j = np.concatenate([under_a["a"].to_numpy(np.int64), i[fresh]]), np.concatenate([under_a["b"].to_numpy(np.int64), j[fresh]])
-    order = np.lexsort((j, i))
+    order = np.argsort(i + j, kind="stable")  # from pair to pair one side moves on by one token, or both do
     return i[order], j[order]
 
 
-def _distinct(*keys: np.ndarray, weight: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the keys (sorted) and the sum of weights of each."""
-    if not len(keys[0]):
-        return [k for k in keys], np.zeros(0, np.int64)
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+def _distinct(key: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (sorted) and the sum of weights of each (of ones by default)."""
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    if weight is None:
+        key = np.sort(key)
+    else:
+        order = np.argsort(key)
+        key, weight = key[order], weight[order]
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
     first = np.flatnonzero(new)
-    total = np.diff([*first, len(order)]) if weight is None else np.add.reduceat(weight[order], first)
-    return [k[first] for k in keys], total
+    return key[first], np.diff(first, append=len(key)) if weight is None else np.add.reduceat(weight, first)
 
 
 class Groups(NamedTuple):
@@ -152,33 +154,39 @@ def groups(a: Tokens, b: Tokens) -> Groups:
     shared = a.end[i][a.end[i] == b.end[j]]  # ascending, one for each group
     ga, gb = np.searchsorted(shared, a.end), np.searchsorted(shared, b.end)
     doc = a.doc[np.searchsorted(a.end, shared)]
-    (g1, ida), na = _distinct(ga, a.id)
-    (g2, idb), nb = _distinct(gb, b.id)
+    wide_a, wide_b = 1 + a.id.max(initial=0), 1 + b.id.max(initial=0)
+    key_a, na = _distinct(ga * wide_a + a.id)
+    key_b, nb = _distinct(gb * wide_b + b.id)
+    g1, ida = np.divmod(key_a, wide_a)
+    g2, idb = np.divmod(key_b, wide_b)
     # within a group, its distinct a ids meet its distinct b ids
-    begin, width = np.searchsorted(g2, g1), np.bincount(g2, minlength=len(shared))[g1]
+    width = np.bincount(g2, minlength=len(shared))
+    begin, width = (np.cumsum(width) - width)[g1], width[g1]
     left = np.repeat(np.arange(len(g1)), width)
-    right = np.arange(len(left)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(begin, width)
-    (d, x, y), n = _distinct(doc[g1[left]], ida[left], idb[right], weight=na[left] * nb[right])
+    right = np.arange(len(left)) + np.repeat(begin - np.cumsum(width) + width, width)
+    key, n = _distinct((doc[g1[left]] * wide_a + ida[left]) * wide_b + idb[right], na[left] * nb[right])
+    key, y = np.divmod(key, wide_b)
+    d, x = np.divmod(key, wide_a)
     return Groups(ga, gb, doc, (d, x, y, n))
 
 
-def _shown(a: Tokens, b: Tokens, g: Groups, n_docs: int) -> list[str]:
+def _number_texts(n: int) -> list[str]:
+    """Each number below n followed by each of four signs."""
+    return per_process(("numbers", n), lambda: [f"{i}{sign}" for i in range(n) for sign in (",", "|", ";", "")])
+
+
+def _shown(a: Tokens, b: Tokens, g: Groups, n_docs: int, vocabulary: int) -> list[str]:
     """Per document its groups as ``a1,a2|b1;a3|b2,b3``."""
-    group = np.concatenate([g.a, g.b])
-    side = np.repeat([0, 1], [len(g.a), len(g.b)])
-    ids = np.concatenate([a.id, b.id])
-    order = np.argsort(group * 2 + side, kind="stable")
-    group, side, ids = group[order], side[order], ids[order]
-    doc = g.doc[group] if len(group) else group
-    part = list(map(str, ids.tolist()))
-    after = np.zeros(len(ids), np.int64)  # the sign after each id
-    if len(ids):
-        after[:-1] = np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0))
-        after[:-1][doc[1:] != doc[:-1]] = 3
-        after[-1] = 3
-    sign = [",", "|", ";", ""]
-    part = [p + sign[s] for p, s in zip(part, after.tolist(), strict=True)]
-    ends = np.searchsorted(doc, np.arange(n_docs + 1))
+    order = np.argsort(np.concatenate([g.a * 2, g.b * 2 + 1]), kind="stable")
+    place = np.concatenate([g.a * 2, g.b * 2 + 1])[order]
+    doc = np.concatenate([a.doc, b.doc])[order]
+    after = np.full(len(order), 3)  # the sign after each id
+    if len(order):
+        step = place[1:] != place[:-1]
+        after[:-1] = np.where(doc[1:] != doc[:-1], 3, step + (step & (place[:-1] % 2 == 1)))
+    texts = _number_texts(vocabulary)
+    part = list(map(texts.__getitem__, (np.concatenate([a.id, b.id])[order] * 4 + after).tolist()))
+    ends = np.searchsorted(doc, np.arange(n_docs + 1)).tolist()
     return ["".join(part[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
 
 
@@ -202,7 +210,7 @@ def align(docs: DataFrame, side_a: tuple[str, str], side_b: tuple[str, str], id_
                     batch.column("row"),
                     batch.column("doc_id"),
                     *(pa.array(c.astype(np.int64)) for c in (*cells, per_doc)),
-                    pa.array(_shown(a, b, g, n), pa.string()),
+                    pa.array(_shown(a, b, g, n, max(len(s.token) for s in sides)), pa.string()),
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(d, np.arange(n + 1)).astype(np.int32)), pairs),
                 ],
                 names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
