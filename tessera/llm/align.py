@@ -183,7 +183,7 @@ def _shown(a: Tokens, b: Tokens, g: Groups, n_docs: int, vocabulary: int) -> lis
     after = np.full(len(order), 3)  # the sign after each id
     if len(order):
         step = place[1:] != place[:-1]
-        after[:-1] = np.where(doc[1:] != doc[:-1], 3, step + (step & (place[:-1] % 2 == 1)))
+        after[:-1] = np.where(doc[1:] != doc[:-1], 3, np.where(step, 1 + place[:-1] % 2, 0))
     texts = _number_texts(vocabulary)
     part = list(map(texts.__getitem__, (np.concatenate([a.id, b.id])[order] * 4 + after).tolist()))
     ends = np.searchsorted(doc, np.arange(n_docs + 1)).tolist()
