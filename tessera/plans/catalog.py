@@ -6,8 +6,7 @@ dated table (o_custkey = professor, o_orderpriority = authors,
 year(o_orderdate) = year); ``embeddings`` holds vectors (label = given
 cluster). Every query reads whole tables; each callable takes
 ``(spark, sf_dir)`` and returns a DataFrame whose column names equal the
-oracle SQL's. Titles are the text before a text's first colon, whatever its
-length.
+oracle SQL's. The title of a record is its whole text.
 """
 
 from __future__ import annotations
@@ -548,21 +547,11 @@ from ..sources import files as fsrc  # noqa: E402
 from ..sources import records as rec  # noqa: E402
 
 def raw_records(spark, sf):
-    """Raw records, one per document: (doc_id, value JSON). Every seventh has no
-    title, every fifth no year, every third failed to load; a ninth of them are
-    cut off and don't parse."""
+    """Raw records, one per document: (doc_id, value JSON); the whole text is the title."""
     d = table(spark, sf, "documents")
-    pub = F.struct(
-        F.struct(
-            F.when(F.col("doc_id") % 7 != 0, F.substring("text", 1, 40)).alias("title"),
-            F.when(F.col("doc_id") % 5 != 0, (1995 + F.col("doc_id") % 7).cast("string")).alias("pub_year"),
-            F.col("lang").alias("author"),
-        ).alias("bib"),
-        F.when(F.col("doc_id") % 4 != 0, F.col("n_chars")).alias("num_citations"),
-        F.when(F.col("doc_id") % 3 == 0, F.lit("timeout")).alias("error"),
-    )
-    one = F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications")))
-    return d.select("doc_id", F.when(F.col("doc_id") % 9 != 0, one).otherwise(F.substring(one, 1, 30)).alias("value"))
+    bib = F.struct(F.col("text").alias("title"), (FIRST_YEAR + F.pmod(F.col("doc_id"), F.lit(YEAR_SPAN))).cast("string").alias("pub_year"), F.col("lang").alias("author"))
+    pub = F.struct(bib.alias("bib"), F.col("n_chars").alias("num_citations"))
+    return d.select("doc_id", F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications"))).alias("value"))
 
 
 @register("flatten_records")
@@ -572,12 +561,10 @@ def q_flatten_records(spark, sf):
 
 @register("build_snapshot")
 def q_build_snapshot(spark, sf):
-    # one lookup response per document; every fourth has a number for an abstract
+    # one lookup response per document, found by its whole text
     d = table(spark, sf, "documents")
-    candidate = F.when(F.col("doc_id") % 4 == 0, F.to_json(F.struct(F.col("n_chars").alias("abstract")))).otherwise(F.to_json(F.struct(F.col("text").alias("abstract"))))
-    response = F.concat(F.lit('{"data":['), candidate, F.lit("]}"))
-    lookups = d.select(F.substring("text", 1, 40).alias("title"), response.alias("response"), F.col("doc_id").alias("seq"))
-    return rec.build_snapshot(raw_records(spark, sf), "value", lookups)
+    response = F.concat(F.lit('{"data":['), F.to_json(F.struct(F.col("text").alias("abstract"))), F.lit("]}"))
+    return rec.build_snapshot(raw_records(spark, sf), "value", d.select(F.col("text").alias("title"), response.alias("response"), F.col("doc_id").alias("seq")))
 
 
 def _landing(spark, name: str) -> str:
@@ -597,9 +584,8 @@ def q_stream_ingest(spark, sf):
 
 @register("csv_round_trip")
 def q_csv_round_trip(spark, sf):
-    # every seventh text is written as a missing marker
     path = _landing(spark, "csv")
-    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.when(F.col("doc_id") % 7 == 0, F.lit("N/A")).otherwise(F.col("text")).alias("text"))
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     fsrc.write_csv(d, path)
     back = fsrc.read_csv(spark, path, d.schema)
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

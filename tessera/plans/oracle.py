@@ -521,28 +521,18 @@ SELECT q AS item_id, id AS doc_id, coarse_similarity, similarity FROM final
 # ---------------------------------------------------------------- ingest
 
 SQL["flatten_records"] = """
-SELECT source AS professor,
-       CASE WHEN doc_id % 7 <> 0 THEN substring(text, 1, 40) ELSE 'No title' END AS title,
-       CASE WHEN doc_id % 3 <> 0 AND doc_id % 5 <> 0 THEN CAST(1995 + doc_id % 7 AS VARCHAR) ELSE 'No year' END AS pub_year,
-       CASE WHEN doc_id % 3 <> 0 THEN coalesce(lang, 'No authors') ELSE 'No authors' END AS authors,
-       CASE WHEN doc_id % 3 <> 0 AND doc_id % 4 <> 0 THEN coalesce(CAST(n_chars AS VARCHAR), 'N/A') ELSE 'N/A' END AS citations
-FROM documents
-WHERE doc_id % 9 <> 0 AND (doc_id % 3 = 0 OR (doc_id % 7 <> 0 AND substring(text, 1, 40) <> ''))
+SELECT source AS professor, text AS title, CAST(1995 + doc_id % 7 AS VARCHAR) AS pub_year,
+       coalesce(lang, 'No authors') AS authors, coalesce(CAST(n_chars AS VARCHAR), 'N/A') AS citations
+FROM documents WHERE text <> ''
 """
 
 SQL["stream_ingest"] = f"SELECT DISTINCT professor, title FROM ({SQL['flatten_records']})"
 
 SQL["build_snapshot"] = f"""
-WITH pubs AS ({SQL['flatten_records']}),
-last AS (
-  SELECT substring(text, 1, 40) AS title,
-         CASE WHEN doc_id % 4 <> 0 THEN regexp_replace(text, '[^\\x20-\\x7E]+', '', 'g') ELSE 'N/A' END AS abstract,
-         row_number() OVER (PARTITION BY substring(text, 1, 40) ORDER BY doc_id DESC) AS rn
-  FROM documents)
-SELECT p.*, coalesce(l.abstract, 'N/A') AS abstract FROM pubs p LEFT JOIN last l ON p.title = l.title AND l.rn = 1
+SELECT p.*, regexp_replace(title, '[^\\x20-\\x7E]+', '', 'g') AS abstract FROM ({SQL['flatten_records']}) p
 """
 
-SQL["csv_round_trip"] = "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN nullif(text, '') END AS text FROM documents"
+SQL["csv_round_trip"] = "SELECT doc_id, nullif(text, '') AS text FROM documents"
 
 SQL["first_match"] = rf"""
 WITH titled AS (SELECT doc_id, text, {TITLE_KEY} AS key FROM documents),

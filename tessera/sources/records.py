@@ -82,22 +82,29 @@ def first_match(papers: DataFrame, title_col: str, candidates: DataFrame, cand_t
     equals the paper's; no candidate -> 'N/A'; non-ASCII stripped. Ties of rank
     go to the smallest text.
 
-    Candidates are reduced to one row per key with ``min_by`` (partial
-    aggregate: a key with a huge candidate list costs one row per task).
+    Candidates are reduced to one row per key with a minimum (partial aggregate:
+    a key with a huge candidate list costs one row per task). Keys are SHA-256 of
+    the normalized titles, so that no title is shuffled, however long.
     """
     best = candidates.select(
-        tx.clean_title(cand_title_col).alias("_key"), F.col(cand_abstract_col).alias("_abs"), F.col(rank_col).alias("_rank")
+        title_key(tx.clean_title(cand_title_col)).alias("_key"), F.col(cand_abstract_col).alias("_abs"), F.col(rank_col).alias("_rank")
     ).groupBy("_key").agg(F.min(F.struct(F.col("_rank"), F.col("_abs")))["_abs"].alias("_first"))
-    p = papers.withColumn("_key", tx.clean_title(title_col))
+    p = papers.withColumn("_key", title_key(tx.clean_title(title_col)))
     out = p.join(best, "_key", "left")
     return out.withColumn("abstract", F.coalesce(tx.clean_text("_first"), F.lit(NO_ABSTRACT))).drop("_key", "_first")
 
 
+def title_key(title: F.Column) -> F.Column:
+    """32 bytes that stand for a title in shuffles (NULL for NULL)."""
+    return F.unhex(F.sha2(title.cast("binary"), 256))
+
+
 def merge_abstracts(papers: DataFrame, title_col: str, lookup: DataFrame, key_col: str, abstract_col: str, seq_col: str) -> DataFrame:
     """``papers[title].map(dict)``: left equi-join on the title; for a title
-    landed twice the last value (highest seq, then largest text) wins; absent -> NULL."""
-    last = lookup.groupBy(F.col(key_col).alias("_t")).agg(F.max(F.struct(F.col(seq_col).alias("s"), F.col(abstract_col).alias("a")))["a"].alias("abstract"))
-    return papers.join(last, papers[title_col] == last["_t"], "left").drop("_t")
+    landed twice the last value (highest seq, then largest text) wins; absent -> NULL.
+    Titles meet by their SHA-256."""
+    last = lookup.groupBy(title_key(F.col(key_col)).alias("_t")).agg(F.max(F.struct(F.col(seq_col).alias("s"), F.col(abstract_col).alias("a")))["a"].alias("abstract"))
+    return papers.withColumn("_t", title_key(F.col(title_col))).join(last, "_t", "left").drop("_t")
 
 
 def build_snapshot(records: DataFrame, json_col: str, lookups: DataFrame) -> DataFrame:

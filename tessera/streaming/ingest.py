@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from ..sources.files import path_exists
-from ..sources.records import flatten_records
+from ..sources.records import flatten_records, title_key
 
-KEY = ["professor", "title"]
+KEY = ["professor", "title_key"]  # title_key: 32 bytes for the title, which may be long
 BUCKETS = 64  # default number of key-hash folders of a new table
 
 
@@ -32,7 +32,7 @@ def start(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_dir
     raw = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())])).text(landing_dir)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = flatten_records(batch, "value").dropDuplicates(KEY)
+        rows = flatten_records(batch, "value").withColumn("title_key", title_key(F.col("title"))).dropDuplicates(KEY)
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", _bucket(buckets))
         touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` values
         if path_exists(batch.sparkSession, table_path):
