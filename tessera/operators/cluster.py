@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 
 from ..functions import vectors as V
 from ..session import cut_lineage
-from . import quality as Q
 from . import similarity as S
 
 SEED = 42
@@ -108,7 +107,7 @@ def _assigner(centers: dict[tuple, np.ndarray], n_parents: int):
     return label
 
 
-def split_level(rows: DataFrame, parents: list[str], out: str, k: int, iterations: int = ITERATIONS) -> DataFrame:
+def split_level(rows: DataFrame, parents: list[str], out: str, k: int, iterations: int = ITERATIONS, first=_first_centers) -> DataFrame:
     """``rows`` (id, vec, *parents) with ``out``: k-means inside every parent that
     has k rows at least, NULL elsewhere.
 
@@ -125,7 +124,7 @@ def split_level(rows: DataFrame, parents: list[str], out: str, k: int, iteration
         base = base.join(sizes.filter(F.col("_n") >= k).drop("_n"), parents, "left_semi")
     elif base.limit(k).count() < k:
         return rows.withColumn(out, F.lit(None).cast("int"))
-    centers = _first_centers(base, parents, k)
+    centers = first(base, parents, k)
     fields = [T.StructField(p, base.schema[p].dataType) for p in parents]
     for _ in range(iterations if centers else 0):
         shared = spark.sparkContext.broadcast(centers)
@@ -193,20 +192,7 @@ def three_level(df: DataFrame, id_col: str, vec_col: str, ks=(12, 6, 3), iterati
     return rows.select(F.col("id").alias(id_col), *parents)
 
 
-# ---------------------------------------------------------------- sweeps
-
-
-def k_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31), seed: int = SEED) -> DataFrame:
-    """I17 (re-aimed): (k, silhouette_sq, calinski_harabasz) of a distributed
-    k-means for every k."""
-    out = None
-    for k in k_range:
-        rows = cut_lineage(df.select(id_col, vec_col).join(kmeans(df, id_col, vec_col, k, seed), id_col))
-        scores = {"silhouette_sq": Q.silhouette_sq(rows, id_col, vec_col, "label"), "calinski_harabasz": Q.calinski_harabasz(rows, "label", vec_col)}
-        for name, score in scores.items():
-            one = score.select(F.lit(k).alias("k"), F.lit(name).alias("score"), F.col(name).alias("v"))
-            out = one if out is None else out.unionByName(one)
-    return out.groupBy("k").agg(*(F.max(F.when(F.col("score") == name, F.col("v"))).alias(name) for name in ("silhouette_sq", "calinski_harabasz")))
+# ---------------------------------------------------------------- rows with clusters
 
 
 def clustered_rows(df: DataFrame, id_col: str, vec_col: str, k: int = 30, seed: int = SEED) -> DataFrame:

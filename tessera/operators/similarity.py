@@ -37,7 +37,8 @@ from ..functions import vectors as V
 # Fixed parameters.
 BLOCK_BYTES = 64 << 20            # one side of a block pair
 QUERY_BYTES = 32 << 20            # question vectors broadcast at a time
-TILE_ROWS = 2048                  # rows of a tile of a block product
+TILE_ROWS = 1024                  # rows of a tile of a block product
+TILE_COLUMNS = 1024               # and its columns: 8 MB of distances, whatever the dimension
 DIST_DIGITS = 8                   # distances rounded before ranking (engine-stable ties)
 
 
@@ -190,14 +191,23 @@ def n_blocks(n_rows: int, dim: int, parallelism: int, block_bytes: int = BLOCK_B
     return max(1, by_size, min(by_cores, max(1, n_rows // 64)))
 
 
-def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None):
-    """``kernel(left, right, same)`` on each pair of blocks, as Arrow tables (id, vec, *extra)."""
-    base = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), *[F.col(c) for c in extra])
-    if nb is None:
-        nb = n_blocks(base.count(), dimension(base, "vec"), df.sparkSession.sparkContext.defaultParallelism)
-    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
-    left = base.select("*", F.explode(F.sequence(F.col("blk"), F.lit(nb - 1))).alias("bj")).withColumnRenamed("blk", "bi")
-    right = base.select("*", F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("bi")).withColumnRenamed("blk", "bj")
+def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None, within=()):
+    """``kernel(left, right, same)`` on each pair of blocks, as Arrow tables (id, vec, *extra).
+
+    With ``within``, only rows that agree on these columns (none of them NULL)
+    meet: each group of rows has blocks of its own, as many as its size asks for."""
+    within = list(within)
+    base = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), *[F.col(c) for c in [*within, *extra]])
+    dim, cores = dimension(base, "vec"), df.sparkSession.sparkContext.defaultParallelism
+    if within:
+        sizes = base.groupBy(*within).agg(F.count("*").alias("n"))
+        most = max(1, BLOCK_BYTES // (8 * max(dim, 1)))
+        base = base.join(sizes.select(*within, (F.lit(nb) if nb else F.ceil(F.col("n") / most)).cast("int").alias("nb")), within)
+    else:
+        base = base.withColumn("nb", F.lit(nb or n_blocks(base.count(), dim, cores)))
+    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    left = base.select("*", F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bj")).withColumnRenamed("blk", "bi").drop("nb")
+    right = base.select("*", F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("bi")).withColumnRenamed("blk", "bj").drop("nb")
 
     def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
         empty = not lt.num_rows or not rt.num_rows
@@ -210,7 +220,11 @@ def _run_blocks(df, id_col, vec_col, extra, kernel, schema, nb=None):
             return pa.table([pa.array([], t) for t in types], names=names)
         return pa.table([pa.array(np.concatenate(c)).cast(t) for c, t in zip(zip(*cols), types)], names=names)
 
-    return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInArrow(run, schema)
+    # each side has key columns of its own, as both come from one table
+    keys = [f"in{k}" for k in range(len(within))]
+    left, right = (side.select(*(F.col(c).alias(c) for c in ["id", "vec", "bi", "bj", *extra]), *(F.col(c).alias(k) for c, k in zip(within, keys))) for side in (left, right))
+    keys += ["bi", "bj"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def _tiles(n: int, rows: int = TILE_ROWS):
@@ -223,33 +237,44 @@ def _sq_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _nearest(a, ida, b, idb, k: int, include_self: bool):
-    """For each row of a its k nearest of b: (src, dst, distance), by exact differences."""
-    for lo, hi in _tiles(len(a), 512):
+    """For each row of a its k nearest of b: (src, dst, distance), by exact
+    differences. Tiles on both sides: memory is that of a tile, whatever the
+    blocks' size or dimension."""
+    sb = np.einsum("ij,ij->i", b, b)
+    for lo, hi in _tiles(len(a)):
         x, ix = a[lo:hi], ida[lo:hi]
-        d = _sq_distances(x, b)
-        if not include_self:
-            d[ix[:, None] == idb[None, :]] = np.inf
-        kk = min(k, len(b))
-        cut = np.partition(d, kk - 1, axis=1)[:, kk - 1 : kk]
-        # the product form is off by some rounding of the squared norms: a shortlist with that slack
-        slack = 1e-12 * (np.einsum("ij,ij->i", x, x)[:, None] + np.einsum("ij,ij->i", b, b)[None, :]) + 2e-8 * np.sqrt(np.where(np.isfinite(cut), cut, 0)) + 1e-15
-        r, c = np.nonzero((d <= cut + slack) & np.isfinite(d))
-        exact = np.empty(len(r))
-        for s, e in _tiles(len(r), 1 << 16):
-            diff = x[r[s:e]] - b[c[s:e]]
-            exact[s:e] = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIST_DIGITS)
-        order = np.lexsort((idb[c], exact, r))
-        r, c, exact = r[order], c[order], exact[order]
-        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-        yield ix[r[keep]], idb[c[keep]], exact[keep]
-
-
-def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, include_self: bool = True, nb: int | None = None) -> DataFrame:
+        sx = np.einsum("ij,ij->i", x, x)
+        best = np.zeros(0, np.int64), np.zeros(0, idb.dtype), np.zeros(0)
+        for left, right in _tiles(len(b), TILE_COLUMNS):
+            d = _sq_distances(x, b[left:right])
+            if not include_self:
+                d[ix[:, None] == idb[None, left:right]] = np.inf
+            kk = min(k, right - left)
+            cut = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+            # the product form is off by some rounding of the squared norms: a shortlist with that slack
+            slack = 1e-12 * (sx + sb[left:right].max()) + 2e-8 * np.sqrt(np.where(np.isfinite(cut), cut, 0)) + 1e-15
+            r, c = np.nonzero((d <= (cut + slack)[:, None]) & np.isfinite(d))
+            c += left
+            exact = np.empty(len(r))
+            step = max(1, (TILE_ROWS * TILE_COLUMNS) // max(1, x.shape[1]))
+            for s, e in _tiles(len(r), step):
+                diff = x[r[s:e]] - b[c[s:e]]
+                exact[s:e] = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIST_DIGITS)
+            r, i, exact = np.concatenate([best[0], r]), np.concatenate([best[1], idb[c]]), np.concatenate([best[2], exact])
+            order = np.lexsort((i, exact, r))
+            r, i, exact = r[order], i[order], exact[order]
+            keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+            best = r[keep], i[keep], exact[keep]
+        yield ix[best[0]], best[1], best[2]
+
+
+def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, include_self: bool = True, nb: int | None = None, within=()) -> DataFrame:
     """E3/C6 (directed): (src, dst, distance, rank) for the k nearest by Euclidean distance.
 
     Exact. Each block pair proposes at most k candidates per row; the final
     row_number per src keeps the k best. Distances are rounded to 8 places
-    before ranking; ties by dst id.
+    before ranking; ties by dst id. With ``within``, neighbours are those of the
+    same group of rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(np.array(mean_vector(df, vec_col)))
 
@@ -260,17 +285,22 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, include_self: boo
         if not same:
             yield from _nearest(b, idb, a, ida, k, include_self)
 
-    cand = _run_blocks(df, id_col, vec_col, [], kernel, "src long, dst long, distance double", nb)
+    cand = _run_blocks(df, id_col, vec_col, [], kernel, "src long, dst long, distance double", nb, within)
     w = Window.partitionBy("src").orderBy(F.col("distance").asc(), F.col("dst").asc())
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, nb: int | None = None) -> DataFrame:
+def knn_graph(df: DataFrame, id_col: str, vec_col: str, k: int = 10, nb: int | None = None, within=()) -> DataFrame:
     """Symmetrized connectivity ``W = (A + A^T) / 2`` of the kNN graph (self included).
 
     (src, dst, weight) with weight 1.0 for mutual neighbours and 0.5 otherwise.
     """
-    a = knn(df, id_col, vec_col, k, include_self=True, nb=nb).select("src", "dst")
+    a = knn(df, id_col, vec_col, k, include_self=True, nb=nb, within=within).select("src", "dst")
+    return symmetric(a)
+
+
+def symmetric(a: DataFrame) -> DataFrame:
+    """``(A + A^T) / 2`` of a directed graph (src, dst)."""
     both = a.select("src", "dst", F.lit(0.5).alias("w")).unionByName(
         a.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(0.5).alias("w"))
     )
@@ -284,11 +314,13 @@ def pairwise_similarity(df: DataFrame, id_col: str, vec_col: str, threshold: flo
         (a, oka), (b, okb) = unit_rows(matrix(lt.column("vec"))), unit_rows(matrix(rt.column("vec")))
         ida, idb = lt.column("id").to_numpy(), rt.column("id").to_numpy()
         for lo, hi in _tiles(len(a)):
-            s = np.round(a[lo:hi] @ b.T, digits) + 0.0
-            ok = (s >= threshold) & oka[lo:hi, None] & okb[None, :]
-            r, c = np.nonzero(ok & ((ida[lo:hi, None] < idb[None, :]) if same else (ida[lo:hi, None] != idb[None, :])))
-            x, y = ida[lo:hi][r], idb[c]
-            yield np.minimum(x, y), np.maximum(x, y), s[r, c]
+            for left, right in _tiles(len(b), TILE_COLUMNS):
+                s = np.round(a[lo:hi] @ b[left:right].T, digits) + 0.0
+                ok = (s >= threshold) & oka[lo:hi, None] & okb[None, left:right]
+                i, j = ida[lo:hi, None], idb[None, left:right]
+                r, c = np.nonzero(ok & ((i < j) if same else (i != j)))
+                x, y = ida[lo:hi][r], idb[left:right][c]
+                yield np.minimum(x, y), np.maximum(x, y), s[r, c]
 
     return _run_blocks(df, id_col, vec_col, [], kernel, "id_a long, id_b long, similarity double", nb)
 
@@ -300,13 +332,14 @@ def label_distance_sums(df: DataFrame, id_col: str, vec_col: str, label_col: str
 
     def sums(a, ida, la, b, idb, lb):
         names, code = np.unique(lb, return_inverse=True)
-        member = np.zeros((len(b), len(names)))
-        member[np.arange(len(b)), code] = 1.0
+        size = np.bincount(code, minlength=len(names)).astype(np.int64)
         for lo, hi in _tiles(len(a)):
-            d = np.sqrt(_sq_distances(a[lo:hi], b))
-            d[ida[lo:hi, None] == idb[None, :]] = 0.0
-            n = hi - lo
-            yield np.repeat(ida[lo:hi], len(names)), np.repeat(la[lo:hi], len(names)), np.tile(names, n), (d @ member).ravel(), np.tile(member.sum(0).astype(np.int64), n)
+            n, total = hi - lo, np.zeros((hi - lo, len(names)))
+            for left, right in _tiles(len(b), TILE_COLUMNS):
+                d = np.sqrt(_sq_distances(a[lo:hi], b[left:right]))
+                d[ida[lo:hi, None] == idb[None, left:right]] = 0.0
+                np.add.at(total.T, code[left:right], d.T)
+            yield np.repeat(ida[lo:hi], len(names)), np.repeat(la[lo:hi], len(names)), np.tile(names, n), total.ravel(), np.tile(size, n)
 
     def kernel(lt, rt, same):
         a, b = matrix(lt.column("vec")) - shared.value, matrix(rt.column("vec")) - shared.value

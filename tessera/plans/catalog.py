@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -504,7 +505,7 @@ def q_retrieve_batch(spark, sf):
 
 # ---------------------------------------------------------------- clustering (rows-checked)
 
-from ..operators import cluster  # noqa: E402
+from ..operators import cluster, spectral, sweep  # noqa: E402
 
 FLAT_K = 30
 LEVEL_KS = (12, 6, 3)
@@ -533,7 +534,27 @@ def q_three_level(spark, sf):
 
 @register("k_sweep")
 def q_k_sweep(spark, sf):
-    return cluster.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP)
+    return sweep.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP)
+
+
+@register("sweep_scores")
+def q_sweep_scores(spark, sf):
+    # labels and scores of every k for given centers: the k rows of smallest ids
+    rows = _emb(spark, sf).filter("embedding IS NOT NULL").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    first = [r["vec"] for r in rows.orderBy("id").limit(max(SWEEP)).collect()]
+    centers = {k: np.array(first[:k], np.float64) for k in SWEEP if k <= len(first)}
+    out = sweep.scores(sweep.labels(rows, centers), list(centers))
+    return out.select("k", F.round("silhouette_sq", DIGITS).alias("silhouette_sq"), F.round("calinski_harabasz", DIGITS).alias("calinski_harabasz"))
+
+
+@register("three_level_spectral")
+def q_three_level_spectral(spark, sf):
+    return spectral.three_level_spectral(_emb(spark, sf), "vec_id", "embedding", LEVEL_KS)
+
+
+@register("spectral_sweep")
+def q_spectral_sweep(spark, sf):
+    return spectral.spectral_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP)[1]
 
 
 @register("clustered_rows")

@@ -518,6 +518,31 @@ WITH {INDEX}, {SIMS}, {COARSE}
 SELECT q AS item_id, id AS doc_id, coarse_similarity, similarity FROM final
 """
 
+# ---------------------------------------------------------------- clustering
+
+SQL["sweep_scores"] = f"""
+WITH e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+first AS (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM e QUALIFY c < 30),
+ks AS (SELECT unnest(range(2, 31)) AS k),
+lab AS MATERIALIZED (SELECT k, vec_id, min({{'d': list_distance(e.v, f.v), 'c': c}}).c AS own FROM e, first f JOIN ks ON c < k GROUP BY k, vec_id),
+part AS (SELECT k, own AS c, j, avg(v[j]) AS mu, count(*) AS n FROM lab JOIN e USING (vec_id), (SELECT unnest(range(1, (SELECT max(len(v)) FROM e) + 1)) AS j) GROUP BY ALL),
+m AS MATERIALIZED (SELECT k, c, list(mu ORDER BY j) AS mu, any_value(n) AS n FROM part GROUP BY k, c),
+far AS MATERIALIZED (SELECT lab.k, vec_id, own, c, n, list_distance(v, mu) ** 2 AS d FROM lab JOIN e USING (vec_id) JOIN m USING (k)),
+ss AS MATERIALIZED (SELECT k, c, sum(d) AS ss FROM far WHERE own = c GROUP BY k, c),
+sil AS (
+  SELECT k, vec_id, max(CASE WHEN own = c THEN (d + ss / n) * n / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> c THEN d + ss / n END) AS b,
+         max(CASE WHEN own = c THEN n END) AS size
+  FROM far JOIN ss USING (k, c) GROUP BY k, vec_id
+),
+sil_k AS (SELECT k, avg(CASE WHEN size <= 1 OR b IS NULL THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END) AS s FROM sil GROUP BY k),
+mean AS (SELECT list(mu ORDER BY j) AS mu FROM (SELECT j, avg(v[j]) AS mu FROM e, (SELECT unnest(range(1, (SELECT max(len(v)) FROM e) + 1)) AS j) GROUP BY j)),
+ch AS (
+  SELECT k, sum(n * list_distance(m.mu, mean.mu) ** 2) / (count(*) - 1) / (sum(ss) / (sum(n) - count(*))) AS ch
+  FROM m JOIN ss USING (k, c), mean GROUP BY k
+)
+SELECT CAST(k AS INTEGER) AS k, round(s, 6) AS silhouette_sq, round(ch, 6) AS calinski_harabasz FROM sil_k JOIN ch USING (k)
+"""
+
 # ---------------------------------------------------------------- ingest
 
 SQL["flatten_records"] = """

@@ -3,7 +3,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tessera.operators import cluster, quality
+from tessera.operators import cluster, quality, sweep
 from tessera.operators import similarity as S
 
 
@@ -90,7 +90,7 @@ def test_three_levels_of_no_rows(spark):
 
 
 def test_sweep_finds_the_number_of_blobs(spark):
-    out = cluster.k_sweep(frame(spark, blobs(4)), "id", "vec", range(2, 6)).toPandas().set_index("k")
+    out = sweep.k_sweep(frame(spark, blobs(4)), "id", "vec", range(2, 6)).toPandas().set_index("k")
     assert list(out.index) == [2, 3, 4, 5]
     assert out["silhouette_sq"].idxmax() == 4 and out["calinski_harabasz"].idxmax() == 4
 

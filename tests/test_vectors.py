@@ -154,3 +154,42 @@ def test_batch_topk_in_slices_and_ties(spark):
     for qid in range(9):
         ids = [r[1] for r in sorted((r for r in whole if r[0] == qid), key=lambda r: (-r[2], r[1]))]
         assert ids[:3] == list(range(ids[0], ids[0] + 3)) and ids[0] % 3 == 0  # equal vectors by id
+
+
+def test_pair_kernels_stay_within_a_tile():
+    import tracemalloc
+
+    from tessera.operators import similarity as S
+
+    rng = np.random.default_rng(3)
+    for dim in (2, 512):
+        a, ids = rng.normal(size=(6000, dim)), np.arange(6000)
+        tracemalloc.start()
+        out = [np.concatenate(x) for x in zip(*S._nearest(a, ids, a, ids, 5, False))]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150 << 20
+        some = rng.integers(0, 6000, 20)
+        d = np.sqrt(((a[some, None] - a[None]) ** 2).sum(2))
+        d[np.arange(20), some] = np.inf
+        for r, i in enumerate(some):
+            assert set(out[1][out[0] == i]) == set(np.argsort(d[r])[:5])
+
+
+def test_neighbours_within_groups(spark):
+    rng = np.random.default_rng(4)
+    x, g = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    rows = [(i, [float(v) for v in x[i]], int(g[i]) if i % 10 else None) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, g int")
+    from tessera.operators import similarity as S
+
+    got = {}
+    for r in S.knn(df, "id", "vec", 4, include_self=False, nb=2, within=["g"]).collect():
+        got.setdefault(r.src, []).append((r["rank"], r.dst))
+    for i in range(90):
+        if i % 10 == 0:
+            assert i not in got
+            continue
+        own = [j for j in range(90) if j % 10 and g[j] == g[i] and j != i]
+        want = sorted(own, key=lambda j: ((x[i] - x[j]) ** 2).sum())[:4]
+        assert [d for _, d in sorted(got[i])] == want
