@@ -32,9 +32,11 @@ from . import sweep
 from .cluster import split_level
 
 NEIGHBOURS = 10
-DEGREE = 7        # Chebyshev blocks of a cycle, besides the first
+DEGREES = 7, 16   # least and most Chebyshev blocks of a cycle, besides the first
+GRAM = 400        # rows of a Gram matrix that the number of blocks aims at
 SPARE = 4         # vectors of a block beyond those asked for
 TOLERANCE = 1e-5  # of a residual
+LOOSE = 1e-3      # of one whose vectors are only grouped
 CYCLES = 12
 
 
@@ -120,7 +122,8 @@ def embed(nodes: DataFrame, edges: DataFrame, k: int, tolerance: float = TOLERAN
     parent of k rows at least; ``edges``: (src, dst, weight), symmetric, within
     parents."""
     matrix, known = normalised(nodes, edges)
-    m, q = k + SPARE, DEGREE
+    m = k + SPARE
+    q = min(max(GRAM // m - 2, DEGREES[0]), DEGREES[1])
     x = cut_lineage(known.select("id", *((F.xxhash64("id", F.lit(j)) / F.lit(2.0**63)).alias(f"x{j}") for j in range(m))))
     xs = [f"x{j}" for j in range(m)]
     spark = nodes.sparkSession
@@ -182,7 +185,7 @@ def split_level_spectral(rows: DataFrame, parents: list[str], out: str, k: int,
     active = rows.select("id", "vec", *parents)
     active = cut_lineage(active.join(F.broadcast(numbers), parents) if parents else active.withColumn("p", F.lit(0)))
     edges = cut_lineage(S.knn_graph(active, "id", "vec", neighbours, within=["p"] if parents else ()))
-    found = embed(active, edges, k)
+    found = embed(active, edges, k, LOOSE)
     labelled = split_level(cut_lineage(found.rows.select("id", "vec", "p")), ["p"], out, k, iterations, first=_first_centers)
     return rows.join(labelled.select("id", out), "id", "left")
 
@@ -207,7 +210,7 @@ def spectral_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31
         empty = rows.select(F.col("id").alias(id_col), F.array().cast("array<int>").alias("labels"))
         return empty, sweep.scores(rows, [])
     edges = cut_lineage(S.knn_graph(rows, "id", "vec", neighbours))
-    found = cut_lineage(embed(rows, edges, max(ks)).rows.select("id", "vec"))
+    found = cut_lineage(embed(rows, edges, max(ks), LOOSE).rows.select("id", "vec"))
     centers = sweep.fit(found, ks, dims=lambda k: k)
     labelled = sweep.labels(found, centers).select("id", "labels")
     both = cut_lineage(rows.select("id", F.col("vec").alias("vec")).join(labelled, "id"))

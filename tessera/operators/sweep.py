@@ -166,7 +166,7 @@ def scores(rows: DataFrame, ks: Sequence[int], vec_col: str = "vec", labels_col:
 
     per = rows.select(vec_col, labels_col).mapInArrow(silhouettes, "k int, s double, n long").groupBy("k").agg((F.sum("s") / F.sum("n")).alias("silhouette_sq"))
     known = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in harabasz.items()], "k int, calinski_harabasz double")
-    return per.join(F.broadcast(known), "k").select("k", "silhouette_sq", "calinski_harabasz")
+    return per.join(F.broadcast(known), "k").select("k", "silhouette_sq", "calinski_harabasz").orderBy("k")
 
 
 def k_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31), iterations: int = 20) -> DataFrame:
