@@ -11,6 +11,7 @@ oracle SQL's. The title of a record is its whole text.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -449,19 +450,14 @@ def q_keyphrases(spark, sf):
     return embed.keyphrases(_docs(spark, sf), "doc_id", "text")
 
 
-_INDEXES: dict[tuple, str] = {}
-
-
 def stored_index(spark, sf):
-    """The stored index and context of ``documents``; built and written at a
-    session's first question, read by all later ones as long as the table's
-    files stay the same."""
-    key = (spark.sparkContext.applicationId, sf, fsrc.file_versions(spark, table(spark, sf, "documents")))
-    if key not in _INDEXES:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-index-{uuid.uuid4().hex}"
+    """The stored index and context of ``documents``: a folder named after the
+    table's version below the shared folder, so any session finds it. Building
+    (``embed.save_index``) is a step of its own; a question only loads."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-index-{fsrc.table_version(spark, os.path.join(sf, 'documents.parquet'))}"
+    if not fsrc.path_exists(spark, f"{path}/index/_SUCCESS"):
         embed.save_index(_docs(spark, sf), "doc_id", "text", ["source"], path)
-        _INDEXES[key] = path
-    return embed.load_index(spark, _INDEXES[key])
+    return embed.load_index(spark, path)
 
 
 @register("index_table")
@@ -505,7 +501,7 @@ def q_retrieve_batch(spark, sf):
 
 # ---------------------------------------------------------------- clustering (rows-checked)
 
-from ..operators import cluster, spectral, sweep  # noqa: E402
+from ..operators import agglomerate, cluster, spectral, sweep  # noqa: E402
 
 FLAT_K = 30
 LEVEL_KS = (12, 6, 3)
@@ -537,6 +533,45 @@ def q_k_sweep(spark, sf):
     return sweep.k_sweep(_emb(spark, sf), "vec_id", "embedding", SWEEP)
 
 
+_TREES: dict[str, agglomerate.Tree] = {}
+
+
+def merge_tree(spark, sf):
+    """The merge tree of ``embeddings``, built once per session and table version."""
+    key = spark.sparkContext.applicationId + fsrc.table_version(spark, os.path.join(sf, "embeddings.parquet"))
+    if key not in _TREES:
+        _TREES[key] = agglomerate.ward(_emb(spark, sf), "vec_id", "embedding")
+    return _TREES[key]
+
+
+@register("merge_table")
+def q_merge_table(spark, sf):
+    return merge_tree(spark, sf).merges
+
+
+@register("merge_summary")
+def q_merge_summary(spark, sf):
+    # what SQL can say of the merge table: one root over all rows, distances in order, the nearest pair first
+    m = merge_tree(spark, sf).merges
+    step = m.join(m.select((F.col("step") + 1).alias("step"), F.col("distance").alias("before")), "step", "left")
+    return step.agg(
+        F.count("*").alias("merges"),
+        F.max("size").alias("root_size"),
+        F.min(F.col("distance") >= F.coalesce("before", F.lit(0.0))).alias("monotone"),
+        F.round(F.min("distance"), DIGITS).alias("first_distance"),
+    )
+
+
+@register("dendrogram_top")
+def q_dendrogram_top(spark, sf):
+    return agglomerate.top_levels(merge_tree(spark, sf))
+
+
+@register("agglomerative")
+def q_agglomerative(spark, sf):
+    return agglomerate.flat(merge_tree(spark, sf), FLAT_K).withColumnRenamed("id", "vec_id")
+
+
 @register("sweep_scores")
 def q_sweep_scores(spark, sf):
     # labels and scores of every k for given centers: the k rows of smallest ids

