@@ -12,7 +12,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -152,20 +152,39 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return h ^ (h >> np.uint64(29))
 
 
+def renamed(result: DataFrame, columns: list[str], added: Sequence[str]) -> DataFrame:
+    """``result`` with its first columns named ``columns`` and its last ones
+    ``added``. A column that an added one is named like (in any case) gives way to it."""
+    taken = {a.lower() for a in added}
+    names = [*columns, *added]
+    kept = [k for k, n in enumerate(names) if k >= len(columns) or n.lower() not in taken]
+    return result.toDF(*(f"c{k}" for k in range(len(names)))).select(*(F.col(f"c{k}").alias(names[k]) for k in kept))
+
+
 # ------------------------------------------------------------- labelled rows
 
 
+def known_labels(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, y), a row per labelled id: rows of one id that contradict each other count as 1."""
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
+    return rows.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
+
+
+def class_counts(labels: DataFrame, label: str, id_col: str = "doc_id") -> dict[int, int]:
+    """Labelled ids of each class."""
+    return {r[0]: r[1] for r in known_labels(labels, label, id_col).groupBy("y").agg(F.count("*")).collect()}
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, y) of about ``per_class`` labelled documents of each class.
 
     Rows are taken by a hash of their id, at the rate that gives ``per_class``
     on average, so the sample is the same in every run and bounded by the
     parameter; its ids are broadcast and no text is shuffled."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
-    count = {r[0]: r[1] for r in known.groupBy("y").agg(F.count("*")).collect()}
+    known, count = known_labels(labels, label, id_col), class_counts(labels, label, id_col)
     scale = 1 << 30
     part = F.pmod(F.xxhash64("id"), F.lit(scale))
     rate = {y: min(scale, scale * per_class // n) for y, n in count.items()}
-    taken = known.where(part < F.when(F.col("y") == 1, rate.get(1, 0)).otherwise(rate.get(0, 0))).dropDuplicates(["id"])
+    taken = known.where(part < F.when(F.col("y") == 1, rate.get(1, 0)).otherwise(rate.get(0, 0)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.join(F.broadcast(stored(taken, "sample")), "id").select("text", "y")

@@ -12,7 +12,9 @@ Only lower-case letters count; all other ASCII bytes are one space.
 Defined cases: a null, empty or letterless text is ``und`` with score 0.
 Texts without any trigram that a language knows tie; ties go to the language
 that sorts first. Whole texts are read, of any length. Rows with null text or
-language teach nothing. Repeated rows count each. Extra columns are not read.
+language teach nothing. Repeated rows count each. Extra columns
+are kept and not read; one that is named like a result column (in any case)
+gives way to it.
 Where no row has text and language ``fit`` knows no language and all texts are
 ``und``; an empty table gives an empty result.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_fold, slices, utf8
+from .common import crc_fold, renamed, slices, utf8
 
 #: Trigrams are hashed into this many bins: bounds the model to bins x languages numbers.
 BINS = 1 << 16
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[st
     names = [*plain.columns, "pred", "score", "mix"]
     kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
     schema = T.StructType([*plain.schema.fields, *T.StructType.fromDDL("pred string, score double, mix array<struct<lang:string,share:double>>").fields])
-    return plain.mapInArrow(run, schema).toDF(*docs.columns, *out)
+    return renamed(plain.mapInArrow(run, schema), docs.columns, out)
 
 
 def held_out(id_col: str, mod: int = 5, rest: int = 0) -> Column:

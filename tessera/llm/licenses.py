@@ -10,7 +10,9 @@ Plain phrases are templates without regions.
 Defined cases: a null, empty or wordless text has no words and no labels.
 Whole texts are read, of any length. Places of a phrase count each, also when
 they overlap. Null or repeated ids are kept, each row is scanned by itself.
-Extra columns are kept. An empty table gives an empty result.
+Extra columns are kept; one that is named like a result column (in any case)
+gives way to it. An empty table gives an empty result. A template is the whole
+wording, conditions and disclaimer included: an opening alone is not accepted.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import renamed, slices
 
 #: The base phrases and their labels.
 PHRASES = [
@@ -47,21 +49,60 @@ TEMPLATES = [
     ),
     (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;match=1..6>> (the \"Software\"), to deal in the Software without restriction, "
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, <<beginOptional>>sublicense,<<endOptional>> and/or sell copies of the Software",
-        "mit-grant",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, <<beginOptional>>sublicense,<<endOptional>> and/or sell copies of the Software, "
+        "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+        "<<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;match=1..8>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+        "mit-text",
     ),
     (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice "
-        "and this permission notice appear in all copies",
-        "isc-grant",
+        "and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var;match=1..8>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;match=1..8>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+        "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+        "isc-text",
     ),
     (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "bsd-grant",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "<<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "<<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY <<var;match=1..12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;match=1..12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+        "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+        "bsd-2-clause",
+    ),
+    (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "<<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "<<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution. "
+        "<<beginOptional>>3.<<endOptional>> Neither the name of <<var;match=1..12>> nor the names of <<beginOptional>>its<<endOptional>> contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY <<var;match=1..12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;match=1..12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+        "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+        "bsd-3-clause",
     ),
-    ("Neither the name of <<var;match=1..12>> nor the names of <<beginOptional>>its<<endOptional>> contributors may be used to endorse or promote products", "bsd-3-clause"),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2.0-notice"),
-    ("This is free and unencumbered software released into the public domain", "unlicense"),
+    (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, "
+        "the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+        "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and "
+        "future rights to this software under copyright law. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;match=1..8>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+        "unlicense",
+    ),
     ("SPDX-License-Identifier: <<var;match=1..6>>", "spdx-tag"),
 ]
 
@@ -194,7 +235,7 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, templates: l
             yield pa.record_batch([*batch.columns, pa.array(counts, pa.int64()), pa.array(spans, kind)], names=names)
 
     added = T.StructType.fromDDL("n_words long, spans array<struct<label:string,first:long,words:long,base:boolean>>").fields
-    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])).toDF(*docs.columns, "n_words", "spans")
+    return renamed(plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])), docs.columns, ["n_words", "spans"])
 
 
 def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

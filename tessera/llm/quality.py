@@ -8,8 +8,9 @@ stochastic gradient steps over whole bags.
 
 Defined cases: a null, empty or blank text is one passage without content, and
 is scored like any other. Whole texts are read, of any length. Repeated labels
-of an id count once; labels other than 0 and 1 are ignored. Extra columns are
-kept. Where only one class or none has a labelled document there is nothing to
+of an id count once, as 1 where they contradict each other; labels other than 0
+and 1 are ignored. Extra columns are kept; one that is named like a result column
+(in any case) gives way to it. Where only one class or none has a labelled document there is nothing to
 tell apart, and all texts get the share of label 1 with one good document
 added. An empty table gives an empty result.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_spans, labelled_sample, slices, utf8, words
+from .common import class_counts, hash_spans, labelled_sample, renamed, slices, utf8, words
 
 #: About this many labelled documents of each class are read by ``fit``.
 PER_CLASS = 4_000
@@ -176,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         model.prior = float(np.log(good / (n - good))) if good < n else 40.0
         return model
     bags = [np.frombuffer(r.x, np.float16).reshape(-1, FEATURES) for r in rows]
-    share = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).agg(F.count("*")).collect()}
+    share = class_counts(labels, label, id_col)
     prior = float(np.log(share[1] / share[0]) - np.log((y == 1).sum() / (y == 0).sum()))
     return _train(np.concatenate(bags).astype(np.float32), np.repeat(np.arange(len(bags)), [len(b) for b in bags]), y, prior)
 
@@ -198,4 +199,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[st
             yield pa.record_batch([*batch.columns, pa.array(p), pa.ListArray.from_arrays(pa.array(cut), pa.array(attention, pa.float32()))], names=names)
 
     added = T.StructType.fromDDL("p double, attention array<float>").fields
-    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])).toDF(*docs.columns, *out)
+    return renamed(plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])), docs.columns, out)

@@ -11,8 +11,9 @@ scores are calibrated to a probability on the same sample.
 
 Defined cases: null, empty and wordless texts have no segment and get the
 probability of a text without evidence. Whole texts are read, of any length.
-Repeated labels of an id count once. Labels other than 0 and 1 are ignored.
-Extra columns are kept. Where only one class or none has a labelled document
+Repeated labels of an id count once, as 1 where they contradict each other.
+Labels other than 0 and 1 are ignored. Extra columns are kept; one that is named
+like a result column (in any case) gives way to it. Where only one class or none has a labelled document
 there is nothing to tell apart, and all texts get the share of label 1 with one
 clean document added. An empty table gives an empty result.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_spans, labelled_sample, lowered, slices, utf8, words
+from .common import class_counts, hash_spans, labelled_sample, lowered, renamed, slices, utf8, words
 
 #: About this many labelled documents of each class are read by ``fit``.
 PER_CLASS = 12_000
@@ -181,16 +182,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = _batch_segments(batch.column("text"), shared.value)
-            top = [[s for *_, s in own] for _, own in found]
-            yield pa.record_batch([batch.column("y"), pa.array([n for n, _ in found], pa.int64()), pa.array(top, pa.list_(pa.float64()))], names=["y", "n", "scores"])
-
-    rows = sample.mapInArrow(best, "y int, n long, scores array<double>").toPandas()  # the bounded sample
-    n, y = np.maximum(rows["n"].to_numpy(), 1), rows["y"].to_numpy()
-    top = np.array([max(s, default=0.0) for s in rows["scores"]])
-    model.k = float((y == 0).sum() / np.maximum((n * np.exp(-model.scale * top))[y == 0].sum(), 1e-9))
-    evidence = np.array([_evidence(w, [(0, 0, x) for x in s], model)[0] for w, s in zip(n, rows["scores"], strict=True)])
+            top = [max((s for *_, s in own), default=0.0) for _, own in found]
+            yield pa.record_batch([batch.column("y"), pa.array([n for n, _ in found], pa.int64()), pa.array(top, pa.float64())], names=["y", "n", "top"])
+
+    # two numbers a document of the bounded sample, however long it is: first to calibrate, then the evidence
+    rows = sample.mapInArrow(best, "y int, n long, top double").toPandas()
+    clean = rows[rows["y"] == 0]
+    model.k = float(len(clean) / np.maximum((np.maximum(clean["n"].to_numpy(), 1) * np.exp(-model.scale * clean["top"].to_numpy())).sum(), 1e-9))
+    calibrated = sample.sparkSession.sparkContext.broadcast(model)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = _batch_segments(batch.column("text"), calibrated.value)
+            yield pa.record_batch([batch.column("y"), pa.array([_evidence(max(n, 1), own, calibrated.value)[0] for n, own in found], pa.float64())], names=["y", "evidence"])
+
+    rows = sample.mapInArrow(weigh, "y int, evidence double").toPandas().sort_values(["y", "evidence"])
+    y, evidence = rows["y"].to_numpy(), rows["evidence"].to_numpy()
     # weigh the sampled classes back to their share among all labelled rows
-    share = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).agg(F.count("*")).collect()}
+    share = class_counts(labels, label, id_col)
     weight = np.where(y == 1, share[1] / max((y == 1).sum(), 1), share[0] / max((y == 0).sum(), 1))
     model.slope, model.level = _logistic(_squash(evidence), y, weight / weight.mean())
     return model
@@ -215,4 +224,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[st
             yield pa.record_batch([*batch.columns, pa.array(1 / (1 + np.exp(-x))), pa.array(passages, kind)], names=names)
 
     added = T.StructType.fromDDL("p double, passages array<struct<start:long,end:long,score:double,evidence:double>>").fields
-    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])).toDF(*docs.columns, *out)
+    return renamed(plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added])), docs.columns, out)

@@ -13,7 +13,8 @@ Defined cases: a null url or one without ``://`` has an empty host and path, fit
 no rule, and is allowed unless its (empty) host is not; null html has no links.
 Links without a host of their own, and links of a host to itself, do not count.
 Rules of equal length: the longer host wins, then block. Repeated or null ids
-are judged by their url like any other. Extra columns are kept. Empty tables
+are judged by their url like any other. Extra columns are kept; one that is named
+like a result column (in any case) gives way to it. Empty tables
 give empty results; without rules all is allowed.
 """
 
@@ -96,6 +97,10 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     return state
 
 
+#: Columns that ``judge`` adds; a column of the pages that is named like one gives way to it.
+ADDED = ("url_host", "url_path", "rule", "verdict", "trust", "distrust")
+
+
 def judge(
     pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: str = "html", damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -115,7 +120,7 @@ def judge(
     own = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold * (1 - damping))
     found = join_small(ruled, score, "host", "left")
     return found.select(
-        *(F.col(c).alias(name) for name, c in at.items() if name != html_col),
+        *(F.col(c).alias(name) for name, c in at.items() if name != html_col and name.lower() not in ADDED),
         F.col("host").alias("url_host"),
         F.col("path").alias("url_path"),
         F.col("fit.rule").alias("rule"),
