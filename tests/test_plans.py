@@ -10,10 +10,12 @@ PYTHON_OK = {
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInArrow")
 
 
-def test_no_cross_joins_and_python_only_where_meant(spark):
-    from tessera.operators import spectral
+def test_no_cross_joins_and_python_only_where_meant(spark, monkeypatch):
+    from tessera.operators import agglomerate, spectral
 
-    # fewer clusters, the same plans
+    # fewer rows and clusters, the same plans
+    tree = agglomerate.ward(catalog._emb(spark, SMALL).limit(30), "vec_id", "embedding")
+    monkeypatch.setattr(catalog, "merge_tree", lambda s, sf: tree)
     short = {
         "spectral_sweep": lambda s, sf: spectral.spectral_sweep(catalog._emb(s, sf).limit(60), "vec_id", "embedding", range(2, 4))[1],
         "three_level_spectral": lambda s, sf: spectral.three_level_spectral(catalog._emb(s, sf).limit(60), "vec_id", "embedding", (3, 2, 2)),
