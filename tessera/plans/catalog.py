@@ -258,12 +258,13 @@ def q_duplicate_rows(spark, sf):
 
 # ---------------------------------------------------------------- vectors and quality
 
-from ..operators import quality, retrieve  # noqa: E402
+from ..operators import invlists, quality, retrieve  # noqa: E402
 from ..operators import similarity as sim  # noqa: E402
 
 QUERY_VEC_ID = 0
 PAIR_THRESHOLD = 0.4
 KNN_K = 10
+QUESTION_STEP = 20          # every row whose id it divides is a question
 SPLIT_K = 6
 
 
@@ -499,6 +500,22 @@ def q_retrieve_batch(spark, sf):
     return out.select(F.col("qid").alias("item_id"), "doc_id", "coarse_similarity", "similarity")
 
 
+def stored_lists(spark, sf):
+    """The inverted lists of ``embeddings``, built once per version of the table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-lists-{fsrc.table_version(spark, os.path.join(sf, 'embeddings.parquet'))}"
+    if not fsrc.path_exists(spark, f"{path}/lists/_SUCCESS"):
+        invlists.build(_emb(spark, sf), "vec_id", "embedding", path)
+    return path
+
+
+@register("retrieve_pruned")
+def q_retrieve_pruned(spark, sf):
+    # the stated query set: every row whose id is divisible by 20, against all rows
+    q = _emb(spark, sf).filter(F.col("vec_id") % QUESTION_STEP == 0)
+    out, _ = invlists.search(spark, stored_lists(spark, sf), q, "vec_id", "embedding", KNN_K)
+    return out.select(F.col("qid").alias("vec_id"), F.col("id").alias("neighbour"), "similarity")
+
+
 # ---------------------------------------------------------------- clustering (rows-checked)
 
 from ..operators import agglomerate, cluster, spectral, sweep  # noqa: E402

@@ -518,6 +518,13 @@ WITH {INDEX}, {SIMS}, {COARSE}
 SELECT q AS item_id, id AS doc_id, coarse_similarity, similarity FROM final
 """
 
+SQL["retrieve_pruned"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id, b.vec_id AS neighbour, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a JOIN e b ON a.vec_id % 20 = 0)
+SELECT vec_id, neighbour, similarity FROM s WHERE isfinite(similarity)
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour) <= 10
+"""
+
 # ---------------------------------------------------------------- clustering
 
 SQL["merge_summary"] = """
