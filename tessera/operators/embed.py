@@ -37,6 +37,7 @@ from pyspark.sql.window import Window
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 from ..session import cut_lineage
+from .skew import FREQUENT_ROWS, split_join
 
 DIM = 256
 SAMPLE_SIZE = 512
@@ -155,7 +156,7 @@ def context_embedding(df: DataFrame, id_col: str, text_col: str, ctx: Context, o
     return _encode(rows, tx.word_tokens("_text"), out, ctx.dim, ctx).drop("_text")
 
 
-def keyphrases(df: DataFrame, id_col: str, text_col: str, n: int = KEYPHRASES) -> DataFrame:
+def keyphrases(df: DataFrame, id_col: str, text_col: str, n: int = KEYPHRASES, frequent_rows: int = FREQUENT_ROWS) -> DataFrame:
     """I5 (re-aimed): per document, the n terms with the highest tf-idf over the corpus
     (stop words removed; ties term asc), joined ', ' in rank order: (id, keywords);
     '' for a document without terms."""
@@ -163,10 +164,10 @@ def keyphrases(df: DataFrame, id_col: str, text_col: str, n: int = KEYPHRASES) -
     # read by the frequencies and by the scores: written once, so texts are tokenized once
     toks = cut_lineage(toks.join(F.broadcast(stop_word_frame(df.sparkSession, KEYWORD_STOP_WORDS, "tok")), "tok", "left_anti"))
     n_val = df.count()  # corpus size: one scalar
-    dfreq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    scored = toks.join(dfreq, "tok").select(
-        "id", "tok", F.round(F.col("tf") * (F.log((F.lit(n_val) + 1.0) / (F.col("df") + 1.0)) + 1.0), 6).alias("score")
-    )
+    dfreq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("rows"))
+    dfreq = cut_lineage(dfreq.withColumn("idf", F.log((F.lit(n_val) + 1.0) / (F.col("rows") + 1.0)) + 1.0))
+    # a token of every document meets its rows by broadcast, not as one key of a shuffle
+    scored = split_join(toks, dfreq, ["tok"], "rows", frequent_rows).select("id", "tok", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("tok").asc())
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     agg = top.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "tok"))).alias("k"))

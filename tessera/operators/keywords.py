@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 from ..session import cut_lineage
+from .skew import FREQUENT_ROWS, split_join
 
 MAX_FEATURES = 1000
 SCORE_DIGITS = 6
@@ -46,12 +47,15 @@ def node_paths(df: DataFrame, id_col: str, level_cols: list[str]) -> DataFrame:
 
 
 def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list[str], max_features: int = MAX_FEATURES,
-                     stop_words: list[str] = KEYWORD_STOP_WORDS) -> DataFrame:
+                     stop_words: list[str] = KEYWORD_STOP_WORDS, frequent_rows: int = FREQUENT_ROWS) -> DataFrame:
     """(level, path, term, score) for every node, straight from the texts.
 
     Terms are counted per document under one number that stands for its full
     path (``leaf``); node statistics come from (leaf, term) sums through the
-    small table that says which nodes lie above a leaf.
+    small table that says which nodes lie above a leaf. A term that stands in
+    every document is no key of a shuffle: it meets its rows by broadcast, as one
+    of at most ``frequent_rows`` frequent (leaf, term) pairs, and its scores are
+    summed in each task first. Ids are unique.
     """
     leaf = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in level_cols])
     base = df.select(F.col(id_col).alias("id"), leaf.alias("leaf"), _path_items(level_cols).alias("paths"), F.col(text_col).alias("_text"))
@@ -62,17 +66,30 @@ def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list
     toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
     # read by the statistics and by the weights: written once, so texts are tokenized once
     tf = cut_lineage(toks.groupBy("id", "leaf", "term").agg(F.count(F.lit(1)).alias("tf")))
-    by_leaf = tf.groupBy("leaf", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    stats = by_leaf.join(above, "leaf").groupBy("level", "path", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    by_leaf = cut_lineage(tf.groupBy("leaf", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")))
+    placed = by_leaf.join(above, "leaf")
+    stats = placed.groupBy("level", "path", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     w = Window.partitionBy("level", "path").orderBy(F.col("total").desc(), F.col("term").asc())
     vocab = stats.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_features)
     vocab = vocab.join(n_docs, ["level", "path"]).select("level", "path", "term", (F.log((F.col("N") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    # at most max_features terms per node: small, broadcast by AQE
-    leaf_vocab = above.join(vocab, ["level", "path"])
-    weighted = tf.join(leaf_vocab, ["leaf", "term"]).select("level", "path", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("level", "path", "id")))
-    normed = weighted.select("level", "path", "term", (F.col("w") / nrm).alias("wn"))
-    return normed.groupBy("level", "path", "term").agg(F.sum("wn").alias("score"))
+    # a (leaf, term) with its idf on each level; a frequent one meets its rows by broadcast
+    levels = range(1, len(level_cols) + 1)
+    keys = placed.select("leaf", "term", "level", "path", "df").join(vocab, ["level", "path", "term"]).groupBy("leaf", "term").agg(
+        F.max("df").alias("rows"), *[F.max(F.when(F.col("level") == i, F.col("idf"))).alias(f"idf{i}") for i in levels]
+    )
+    known = split_join(tf, cut_lineage(keys), ["leaf", "term"], "rows", frequent_rows)
+    # a document's terms as one array beside its norms: one shuffle, no row per level
+    docs = known.groupBy("id", "leaf").agg(
+        F.collect_list(F.struct("term", "tf", *[f"idf{i}" for i in levels])).alias("terms"),
+        *[F.sqrt(F.sum(F.pow(F.col("tf") * F.col(f"idf{i}"), F.lit(2.0)))).alias(f"norm{i}") for i in levels],
+    )
+    each = docs.select("leaf", F.explode("terms").alias("t"), *[f"norm{i}" for i in levels])
+    sums = each.groupBy("leaf", F.col("t.term").alias("term")).agg(
+        *[F.sum(F.col("t.tf") * F.col(f"t.idf{i}") / F.col(f"norm{i}")).alias(f"s{i}") for i in levels]
+    )
+    by_level = sums.select("leaf", "term", F.posexplode(F.array(*[f"s{i}" for i in levels])).alias("i", "s")).where("s is not null")
+    scored = by_level.withColumn("level", F.col("i") + 1).join(above, ["leaf", "level"])
+    return scored.groupBy("level", "path", "term").agg(F.sum("s").alias("score"))
 
 
 def top_keywords(scores: DataFrame, n: int) -> DataFrame:

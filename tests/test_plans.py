@@ -5,7 +5,7 @@ SMALL = "/root/testdata/sf0.001"
 PYTHON_OK = {
     "language_id", "keep_english", "clean_pipeline", "clean_audit", "pairwise_similarity", "knn_graph",
     "assign_nearest", "silhouette", "silhouette_sq", "hashed_embedding", "context_embedding", "index_table",
-    "retrieve_batch", "three_level", "k_sweep", "sweep_scores", "spectral_sweep",
+    "retrieve_batch", "retrieve_pruned", "three_level", "k_sweep", "sweep_scores", "spectral_sweep",
 }
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "FlatMapCoGroupsInPandas", "FlatMapGroupsInPandas", "FlatMapCoGroupsInArrow")
 

@@ -1,6 +1,8 @@
 import math
 
+import pytest
 
+from tessera.operators import embed
 from tessera.operators import keywords as K
 from tessera.operators import language as L
 
@@ -58,3 +60,63 @@ def test_nodes_without_terms_and_null_names_are_kept(spark):
     assert kept == {1: ("apple", ""), 2: ("apple", "apple"), 3: ("", None), 4: ("", None)}
     text = {r["node_id"]: r["description"] for r in tree.describe_node(tree.tree_nodes(df, "id", "text", "prof", ["a"])).collect()}
     assert text["Cluster 2"] == "Cluster 2\nKeywords: \nProfessors: y (1)"
+
+
+def _common_texts():
+    """120 documents on two levels, one word in all of them, others in one or a few."""
+    rows = [(i, f"everywhere everywhere word{i % 7} only{i} pair{i // 2}" + " more" * (i % 3), i % 2, i % 3 if i % 5 else None) for i in range(120)]
+    return rows, "id long, text string, a int, b int"
+
+
+def _scores_by_hand(rows):
+    """(level, path, term) -> score: tf-idf per node, each document scaled to length one."""
+    nodes = {}
+    for i, text, a, b in rows:
+        nodes.setdefault((1, f"{a}"), []).append(text.split())
+        if b is not None:
+            nodes.setdefault((2, f"{a}.{b}"), []).append(text.split())
+    out = {}
+    for (level, path), docs in nodes.items():
+        df = {}
+        for d in docs:
+            for t in set(d):
+                df[t] = df.get(t, 0) + 1
+        for d in docs:
+            w = {t: d.count(t) * (math.log((len(docs) + 1) / (df[t] + 1)) + 1) for t in set(d)}
+            size = math.sqrt(sum(x * x for x in w.values()))
+            for t, x in w.items():
+                out[level, path, t] = out.get((level, path, t), 0.0) + x / size
+    return out
+
+
+@pytest.mark.parametrize("frequent", [200_000, 12, 0])
+def test_keyword_scores_with_a_term_in_every_document(spark, frequent):
+    rows, schema = _common_texts()
+    got = K.text_node_scores(spark.createDataFrame(rows, schema), "id", "text", ["a", "b"], stop_words=["of"], frequent_rows=frequent)
+    found = {(r["level"], r["path"], r["term"]): r["score"] for r in got.collect()}
+    want = _scores_by_hand(rows)
+    assert found.keys() == want.keys()
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("frequent", [200_000, 12, 0])
+def test_keyphrases_with_a_term_in_every_document(spark, frequent):
+    rows, schema = _common_texts()
+    got = {r["id"]: r["keywords"] for r in embed.keyphrases(spark.createDataFrame(rows, schema), "id", "text", 3, frequent).collect()}
+    df = {}
+    for _, text, *_ in rows:
+        for t in set(text.split()) - {"more"}:
+            df[t] = df.get(t, 0) + 1
+    for i, text, *_ in rows:
+        terms = set(text.split()) - {"more"}  # a stop word
+        score = {t: round(text.split().count(t) * (math.log(121 / (df[t] + 1)) + 1), 6) for t in terms}
+        assert got[i] == ", ".join(sorted(terms, key=lambda t: (-score[t], t))[:3])
+
+
+def test_a_common_term_is_no_shuffle_key(spark):
+    rows, schema = _common_texts()
+    df = spark.createDataFrame(rows, schema)
+    for got in (K.text_node_scores(df, "id", "text", ["a", "b"], frequent_rows=12), embed.keyphrases(df, "id", "text", 3, 12)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # the frequent keys by broadcast, the rest without them by shuffle
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
