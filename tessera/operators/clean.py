@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Sentinels the landed records use for missing fields.
@@ -130,6 +130,49 @@ def clean_pipeline(
     return keep_recent(out, keys, year_col, id_col)
 
 
+def write_clean(
+    df: DataFrame,
+    path: str,
+    *,
+    id_col: str,
+    year_col: str,
+    keys: list[str],
+    drop: list[str],
+    is_english: Column,
+) -> dict[str, int]:
+    """I25 written to ``path`` with B9 from the same job: the rows removed by each
+    step, counted by ``DataFrame.observe`` while the rows pass, so the table is
+    read once.
+
+    The counts are those of ``clean_audit``. A map task that runs again after an
+    executor is lost counts its rows again, which makes them upper bounds; the
+    written rows are right in any case, and ``clean_audit`` counts exactly, by
+    a scan of its own. Where Spark finds at run time that no row is left it drops
+    the rest of the plan with its counts, and ``clean_audit`` is called instead.
+    An empty table gives zeros."""
+    counts = {step: Observation() for step in ("in", "english", "dated", "out")}
+
+    def counted(rows: DataFrame, step: str) -> DataFrame:
+        return rows.observe(counts[step], F.count(F.lit(1)).alias("n"))
+
+    out = counted(drop_columns(df, *drop), "in")
+    out = counted(out.filter(is_english), "english")
+    out = counted(drop_missing(out, year_col), "dated")
+    counted(keep_recent(out, keys, year_col, id_col), "out").write.mode("overwrite").parquet(path)
+    seen = {step: dict(c._jo.getAsJava()) for step, c in counts.items()}
+    if not all(seen.values()):  # Spark leaves out steps that it finds empty, and their counts
+        audit = clean_audit(df, year_col=year_col, keys=keys, is_english=is_english).first().asDict()
+        return {step: value or 0 for step, value in audit.items()}
+    n = {step: int(c["n"]) for step, c in seen.items()}
+    return {
+        "rows_in": n["in"],
+        "dropped_language": n["in"] - n["english"],
+        "dropped_missing_year": n["english"] - n["dated"],
+        "dropped_duplicates": n["dated"] - n["out"],
+        "rows_out": n["out"],
+    }
+
+
 def clean_audit(df: DataFrame, *, year_col: str, keys: list[str], is_english: Column) -> DataFrame:
     """Rows removed by each cleaning step, from one scan (no count() per step).
 

@@ -171,6 +171,16 @@ def q_clean_audit(spark, sf):
     return clean.clean_audit(df, year_col="pub_year", keys=["professor", "quality"], is_english=F.col("lang_pred") == "en")
 
 
+@register("write_clean")
+def q_write_clean(spark, sf):
+    # the cleaned table, written, with the row counts of its steps from the same job
+    df = _pubs_flagged(spark, sf).select("pub_id", "professor", "quality", "pub_year", "lang_pred")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-clean-{uuid.uuid4().hex}"
+    counts = clean.write_clean(df, path, id_col="pub_id", year_col="pub_year", keys=["professor", "quality"], drop=[],
+                               is_english=F.col("lang_pred") == "en")
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 # ---------------------------------------------------------------- H: text
 
 

@@ -120,6 +120,8 @@ SELECT CAST(sum(n) AS BIGINT) AS rows_in, CAST(sum(lang_d) AS BIGINT) AS dropped
 FROM per_key
 """
 
+SQL["write_clean"] = SQL["clean_audit"]
+
 TITLE_KEY = f"lower(regexp_replace(split_part(text, ':', 1), '^{SPACE}+|{SPACE}+$', '', 'g'))"
 
 SQL["clean_title"] = f"SELECT doc_id, {TITLE_KEY} AS title_key FROM documents"

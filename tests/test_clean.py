@@ -100,3 +100,16 @@ def test_null_names_and_year_text(spark):
     assert [tuple(r) for r in explore.pubs_per_year(df, "y").collect()] == [(2019, 2)]
     assert [r["n"] for r in clean.coerce_numeric(df, "y", "int", "n").collect()] == [2019, 2019, None, None, None]
     assert [r["n"] for r in clean.coerce_numeric(df, "y", "double", "n").collect()] == [2019.0, 2019.0, None, 2019.5, None]
+
+
+def test_written_table_and_counts_from_one_job(spark, tmp_path):
+    df = clean.null_sentinels(pubs(spark), {"year": ["No year"], "authors": ["No authors"]})
+    how = dict(id_col="pub_id", year_col="year", keys=["professor", "authors"], drop=["citations"])
+    cases = {"all": (df, F.col("pub_id") != 5), "none_english": (df, F.lit(False)), "none_dated": (df.withColumn("year", F.lit(None).cast("string")), F.lit(True)),
+             "empty": (df.filter("pub_id < 0"), F.lit(True)), "unknown": (df, F.lit(None).cast("boolean"))}
+    for name, (rows, english) in cases.items():
+        counts = clean.write_clean(rows, str(tmp_path / name), is_english=english, **how)
+        audit = clean.clean_audit(rows, year_col="year", keys=["professor", "authors"], is_english=english).first().asDict()
+        assert counts == {k: v or 0 for k, v in audit.items()}, name
+        want = clean.clean_pipeline(rows, text_col="title", is_english=english, **how)
+        assert sorted(map(repr, spark.read.parquet(str(tmp_path / name)).collect())) == sorted(map(repr, want.collect())), name
