@@ -526,6 +526,35 @@ def q_retrieve_pruned(spark, sf):
     return out.select(F.col("qid").alias("vec_id"), F.col("id").alias("neighbour"), "similarity")
 
 
+from ..operators import anglepairs, nndescent  # noqa: E402
+
+
+@register("pairs_pruned")
+def q_pairs_pruned(spark, sf):
+    return anglepairs.threshold_pairs(_emb(spark, sf), "vec_id", "embedding", PAIR_THRESHOLD)[0]
+
+
+@register("pair_links")
+def q_pair_links(spark, sf):
+    pairs, members, _ = anglepairs.threshold_pairs(_emb(spark, sf), "vec_id", "embedding", PAIR_THRESHOLD)
+    return anglepairs.links(pairs, members).withColumnRenamed("id", "vec_id")
+
+
+@register("knn_descent")
+def q_knn_descent(spark, sf):
+    out = nndescent.knn(_emb(spark, sf), "vec_id", "embedding", KNN_K)
+    return out.select("src", "dst", F.round("distance", DIGITS).alias("distance"), "rank")
+
+
+@register("knn_descent_recall")
+def q_knn_descent_recall(spark, sf):
+    # asked exactly: every row whose id is divisible by 20, against all rows
+    e = _emb(spark, sf)
+    found = nndescent.knn(e, "vec_id", "embedding", KNN_K)
+    seen = nndescent.recall(e, "vec_id", "embedding", found, F.col("id") % QUESTION_STEP == 0, KNN_K)
+    return seen.select("asked", "wanted", (F.col("hits") >= 0.9 * F.col("wanted")).alias("enough"))
+
+
 # ---------------------------------------------------------------- clustering (rows-checked)
 
 from ..operators import agglomerate, cluster, spectral, sweep  # noqa: E402

