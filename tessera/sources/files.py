@@ -31,10 +31,15 @@ MISSING_TEXT = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """A1: header CSV; the missing markers of a pandas read are NULL.
 
-    ``multi_line`` allows quoted line breaks, at the price of one task per file."""
+    ``multi_line`` allows quoted line breaks, at the price of one task per file; ``splitcsv.read_csv``
+    reads such files in parallel."""
     df = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
-    text = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*(F.when(~F.col(f"`{c}`").isin(MISSING_TEXT), F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns))
+    return df.select(*(missing(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields))
+
+
+def missing(col, kind: T.DataType):
+    """Text that a pandas read takes for missing as NULL; other types as they are."""
+    return F.when(~col.isin(MISSING_TEXT), col) if isinstance(kind, T.StringType) else col
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
