@@ -557,13 +557,29 @@ def q_knn_descent_recall(spark, sf):
 
 # ---------------------------------------------------------------- clustering (rows-checked)
 
-from ..operators import agglomerate, cluster, spectral, sweep  # noqa: E402
+from ..operators import agglomerate, cluster, groupfit, spectral, sweep  # noqa: E402
 
 FLAT_K = 30
 LEVEL_KS = (12, 6, 3)
 SWEEP = range(2, 31)
 
 
+@register("group_axes")
+def q_group_axes(spark, sf):
+    fitted = groupfit.fit_groups(_emb(spark, sf), ["label"], "vec_id", "embedding", groupfit.PrincipalAxis())
+    dim = F.floor((F.size("params") - 2) / 2).cast("int")
+    means = fitted.select("label", F.col("params")[0].cast("long").alias("n"), F.posexplode(F.slice("params", F.lit(3), dim)).alias("dim", "mean"))
+    return means.select("label", "n", F.col("dim").cast("long").alias("dim"), F.round("mean", DIGITS).alias("mean"))
+
+
+@register("group_kmeans")
+def q_group_kmeans(spark, sf):
+    e, model = _emb(spark, sf), groupfit.KMeans(LEVEL_KS[1])
+    fitted = groupfit.fit_groups(e, ["label"], "vec_id", "embedding", model)
+    out = groupfit.apply_groups(e, ["label"], "vec_id", "embedding", fitted, model)
+    return out.select(F.col("id").alias("vec_id"), F.col("value").cast("int").alias("child"))
+
+
 @register("pca_2d")
 def q_pca_2d(spark, sf):
     return cluster.pca_2d(_emb(spark, sf), "vec_id", "embedding")
@@ -655,7 +671,7 @@ def q_clustered_rows(spark, sf):
 
 # ---------------------------------------------------------------- ingest
 
-from ..sources import files as fsrc  # noqa: E402
+from ..sources import files as fsrc, splitcsv  # noqa: E402
 from ..sources import records as rec  # noqa: E402
 
 def raw_records(spark, sf):
@@ -703,6 +719,15 @@ def q_csv_round_trip(spark, sf):
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
+@register("csv_split_round_trip")
+def q_csv_split_round_trip(spark, sf):
+    path = _landing(spark, "csv")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    fsrc.write_csv(d, path)
+    back = splitcsv.read_csv(spark, path, d.schema)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 @register("first_match")
 def q_first_match(spark, sf):
     # the landed lookup candidates are the documents themselves (copies share titles); rank = doc_id

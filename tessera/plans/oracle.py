@@ -551,6 +551,12 @@ SELECT count(DISTINCT vec_id) AS asked, count(*) AS wanted, true AS enough FROM
 
 # ---------------------------------------------------------------- clustering
 
+SQL["group_axes"] = f"""
+WITH {EV}, n AS (SELECT label, count(*) AS n FROM embeddings WHERE embedding IS NOT NULL GROUP BY label)
+SELECT e.label, n.n, CAST(e.dim AS BIGINT) AS dim, round(avg(e.x), 6) AS mean
+FROM ev e JOIN n ON e.label IS NOT DISTINCT FROM n.label GROUP BY e.label, n.n, e.dim
+"""
+
 SQL["merge_summary"] = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
 d AS (SELECT v, row_number() OVER () AS i FROM (SELECT DISTINCT v FROM e))
@@ -598,6 +604,8 @@ SELECT p.*, regexp_replace(title, '[^\\x20-\\x7E]+', '', 'g') AS abstract FROM (
 
 SQL["csv_round_trip"] = "SELECT doc_id, nullif(text, '') AS text FROM documents"
 
+SQL["csv_split_round_trip"] = SQL["csv_round_trip"]
+
 SQL["first_match"] = rf"""
 WITH titled AS (SELECT doc_id, text, {TITLE_KEY} AS key FROM documents),
 best AS (SELECT key, text FROM (SELECT key, text, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS rn FROM titled)
