@@ -31,7 +31,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +44,7 @@ from .skew import split_join
 PIVOTS = 64
 SPAN_BYTES = 128 << 20            # angle ranges of all blocks
 BLOCKS_A_CORE = 4                 # blocks of a small table, as a multiple of the root of twice the cores
+BINS = 1024                       # of the histogram of angles per pivot
 MEMBER_KEYS = 500_000             # names of large classes broadcast to their rows (24 bytes each)
 
 
@@ -57,41 +57,50 @@ def _gap(lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
     return out
 
 
-def _blocks(nodes: DataFrame, n: int, pivots: np.ndarray, blocks: int) -> DataFrame:
-    """(block, id, vec, span): rows in order of pivot and angle; the first row of a block has its ranges."""
-    per_block = math.ceil(n / blocks)
-    cores = nodes.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(blocks // 4, max(2 * cores, blocks // 64)))
+def _blocks(nodes: DataFrame, n: int, pivots: np.ndarray, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """(block, id, vec) and (block, span): rows in order of pivot and angle, in
+    blocks of about n / ``blocks``, whatever the partitions. The order is that of a histogram
+    of angles per pivot; rows of one crowded bin are dealt by a hash of the id."""
+    per_block, k = math.ceil(n / blocks), len(pivots)
 
     def near(batches):
         for b in batches:
             angle = invlists._angles(S.unit_rows(S.matrix(b.column(1)))[0], pivots)
             at = angle.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(angle[np.arange(len(at)), at]), b.column(0), b.column(1)], names=["pivot", "angle", "id", "vec"]
-            )
-
-    placed = nodes.select("id", "vec").mapInArrow(near, "pivot int, angle double, id long, vec array<double>")
-    ordered = placed.repartitionByRange(parts, "pivot", "angle", "id").sortWithinPartitions("pivot", "angle", "id").select("id", "vec")
-
-    def cut(batches):
-        number, held = TaskContext.get().partitionId() << 32, None
+            cell = at * BINS + np.minimum((angle[np.arange(len(at)), at] * (BINS / math.pi)).astype(np.int64), BINS - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *b.columns], names=["cell", "id", "vec"])
+
+    placed = cut_lineage(nodes.select("id", "vec").mapInArrow(near, "cell long, id long, vec array<double>"))
+    first, shares, block, room = np.zeros(k * BINS, np.int64), np.ones(k * BINS, np.int64), -1, 0
+    for cell, count in placed.groupBy("cell").count().orderBy("cell").collect():  # at most pivots x BINS
+        if count > room:
+            block, room = block + 1, per_block
+        first[cell], shares[cell] = block, max(1, math.ceil(count / per_block))
+        block, room = block + shares[cell] - 1, 0 if shares[cell] > 1 else room - count
+    shared = nodes.sparkSession.sparkContext.broadcast((first, shares))
+
+    def deal(batches):
+        first, shares = shared.value
+        for b in batches:
+            cell, mixed = b.column(0).to_numpy(), b.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(first[cell] + mixed % shares[cell]), b.column(1), b.column(2)], names=["block", "id", "vec"])
 
-        def settle(t):
-            angle = invlists._angles(S.unit_rows(S.matrix(t.column("vec")))[0], pivots)
-            span = [np.concatenate([angle.min(axis=0), angle.max(axis=0)]).tolist()] + [None] * (t.num_rows - 1)
-            t = t.append_column("span", pa.array(span, pa.list_(pa.float64()))).add_column(0, "block", pa.array(np.full(t.num_rows, number)))
-            return t.combine_chunks().to_batches()
+    dealt = placed.withColumn("mixed", F.xxhash64("id")).mapInArrow(deal, "block long, id long, vec array<double>")
 
+    def ranges(batches):
         for b in batches:
-            held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            while held.num_rows >= per_block:
-                yield from settle(held.slice(0, per_block))
-                held, number = held.slice(per_block), number + 1
-        if held is not None and held.num_rows:
-            yield from settle(held)
+            block, angle = b.column(0).to_numpy(), invlists._angles(S.unit_rows(S.matrix(b.column(2)))[0], pivots)
+            order = np.argsort(block, kind="stable")
+            cuts = np.unique(block[order], return_index=True)[1]
+            lo, hi = np.minimum.reduceat(angle[order], cuts), np.maximum.reduceat(angle[order], cuts)
+            columns = np.repeat(block[order][cuts], k), np.tile(np.arange(k), len(cuts)), lo.ravel(), hi.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "pivot", "lo", "hi"])
 
-    return ordered.mapInArrow(cut, "block long, id long, vec array<double>, span array<double>")
+    dealt = cut_lineage(dealt)
+    known = dealt.mapInArrow(ranges, "block long, pivot long, lo double, hi double").groupBy("block", "pivot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    both = F.sort_array(F.collect_list(F.struct("pivot", "lo", "hi")))
+    spans = known.groupBy("block").agg(both.alias("r")).select("block", F.concat(F.col("r.lo"), F.col("r.hi")).alias("span"))
+    return dealt, cut_lineage(spans)
 
 
 def _compare(ida, a, idb, b, same: bool, pivots, limit: float, threshold: float, digits: int):
@@ -139,9 +148,7 @@ def threshold_pairs(
     wanted = blocks or max(math.ceil(n * dim * 8 / S.BLOCK_BYTES), min(BLOCKS_A_CORE * math.ceil(math.sqrt(2 * cores)), n // 64), 1)
     n_pivots = max(1, min(n_pivots, math.ceil(math.sqrt(n)), SPAN_BYTES // (16 * wanted)))
     pivots = invlists._fit(nodes.select("id", "vec"), n, n_pivots)
-    placed = cut_lineage(_blocks(nodes, n, pivots, wanted))
-
-    spans = placed.filter("span is not null").select("block", "span")
+    placed, spans = _blocks(nodes, n, pivots, wanted)
     held = spans.orderBy("block").collect()  # at most SPAN_BYTES
     names, ranges = np.array([r["block"] for r in held]), np.array([r["span"] for r in held])
     limit = math.acos(max(-1.0, min(1.0, threshold - 10.0**-digits))) + 2 * invlists.ANGLE_SLACK
