@@ -5,7 +5,8 @@ table; the spectral embedding is its leading eigenvectors, scaled by D^-1/2. The
 are found by a block Krylov method with restarts:
 
 * a block of m vectors is a table with a row per node; A times it is a join on
-  the edge's source and a sum by its target;
+  the edge's source and a sum by its target (shuffled on both sides: a block is
+  never gathered on the driver to be broadcast);
 * a cycle builds the Chebyshev blocks T_0 X .. T_q+1 X (T_j+1 = 2 A T_j - T_j-1)
   and adds up their Gram matrix. As A T_j is half of T_j+1 + T_j-1, that matrix
   alone gives the Rayleigh-Ritz problem and the residuals |A v - theta v|;
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffled
 from . import similarity as S
 from . import sweep
 from .cluster import split_level
@@ -54,9 +55,9 @@ def normalised(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
     degree. A node without edges is a component of its own."""
     w = edges.where("src <> dst")
     degree = w.groupBy(F.col("src").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root"))
-    known = cut_lineage(nodes.select("p", "id").join(degree, "id", "left"))
+    known = cut_lineage(nodes.select("p", "id").join(shuffled(degree), "id", "left"))
     roots = known.where("root IS NOT NULL")
-    a = w.join(roots.select(F.col("id").alias("src"), F.col("root").alias("rs")), "src").join(roots.select(F.col("id").alias("dst"), F.col("root").alias("rd")), "dst")
+    a = w.join(shuffled(roots.select(F.col("id").alias("src"), F.col("root").alias("rs"))), "src").join(shuffled(roots.select(F.col("id").alias("dst"), F.col("root").alias("rd"))), "dst")
     alone = known.where("root IS NULL").select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("a"))
     matrix = a.select("src", "dst", (F.col("weight") / (F.col("rs") * F.col("rd"))).alias("a")).unionByName(alone)
     return cut_lineage(matrix), known.withColumn("root", F.coalesce("root", F.lit(1.0)))
@@ -65,12 +66,24 @@ def normalised(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
 def _times(matrix: DataFrame, block: DataFrame, m: int, factor: float, less: DataFrame | None = None) -> DataFrame:
     """factor * A * block - less, with one row (id, x0 ..) per node."""
     xs = [f"x{j}" for j in range(m)]
-    out = matrix.join(block.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), *((F.col("a") * F.col(x) * factor).alias(x) for x in xs))
+    out = matrix.join(shuffled(block.withColumnRenamed("id", "src")), "src").select(F.col("dst").alias("id"), *((F.col("a") * F.col(x) * factor).alias(x) for x in xs))
     if less is not None:
         out = out.unionByName(less.select("id", *((-F.col(x)).alias(x) for x in xs)))
     return cut_lineage(out.groupBy("id").agg(*(F.sum(x).alias(x) for x in xs)))
 
 
+def _side_by_side(known: DataFrame, blocks: list[DataFrame], xs: list[str]) -> DataFrame:
+    """(p, id, basis): the blocks' values of each node in one array; one shuffle for all products."""
+    tagged = [b.select("id", F.lit(j).alias("j"), F.array(*xs).alias("v")) for j, b in enumerate(blocks[1:])]
+    one = tagged[0]
+    for b in tagged[1:]:
+        one = one.unionByName(b)
+    products = one.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("b"))  # an entry per product
+    first = known.select("p", "id").join(shuffled(blocks[0].select("id", F.array(*xs).alias("v"))), "id")
+    rest = F.flatten(F.transform("b", lambda e: e["v"]))
+    return first.join(shuffled(products), "id").select("p", "id", F.concat("v", rest).alias("basis"))
+
+
 def _gram(basis: DataFrame, width: int) -> dict[int, np.ndarray]:
     """Per parent the Gram matrix of the basis columns; tasks emit one partial
     matrix per parent, which are added up in two steps of bounded groups."""
@@ -131,10 +144,7 @@ def embed(nodes: DataFrame, edges: DataFrame, k: int, tolerance: float = TOLERAN
         blocks = [x, _times(matrix, x, m, 1.0)]
         while len(blocks) < q + 2:
             blocks.append(_times(matrix, blocks[-1], m, 2.0, blocks[-2]))
-        basis = known.select("p", "id")
-        for j, b in enumerate(blocks):
-            basis = basis.join(b.select("id", F.array(*xs).alias(f"b{j}")), "id")
-        basis = cut_lineage(basis.select("p", "id", F.flatten(F.array(*(f"b{j}" for j in range(len(blocks))))).alias("basis")))
+        basis = cut_lineage(_side_by_side(known, blocks, xs))
         solved = {p: _ritz(g, m, len(blocks)) for p, g in _gram(basis, m * len(blocks)).items()}
         shared = spark.sparkContext.broadcast({p: c for p, (c, _, _) in solved.items()})
         n = m * (len(blocks) - 1)
@@ -152,7 +162,7 @@ def embed(nodes: DataFrame, edges: DataFrame, k: int, tolerance: float = TOLERAN
         worst = max((r[:k].max() for _, _, r in solved.values()), default=0.0)
         if worst <= tolerance:
             break
-    scaled = known.join(x, "id").select("p", "id", F.array(*(F.col(c) / F.col("root") for c in xs[:k])).alias("vec"))
+    scaled = known.join(shuffled(x), "id").select("p", "id", F.array(*(F.col(c) / F.col("root") for c in xs[:k])).alias("vec"))
     return Embedding(scaled, {p: t[:k] for p, (_, t, _) in solved.items()}, {p: r[:k] for p, (_, _, r) in solved.items()})
 
 
@@ -187,7 +197,7 @@ def split_level_spectral(rows: DataFrame, parents: list[str], out: str, k: int,
     edges = cut_lineage(S.knn_graph(active, "id", "vec", neighbours, within=["p"] if parents else ()))
     found = embed(active, edges, k, LOOSE)
     labelled = split_level(cut_lineage(found.rows.select("id", "vec", "p")), ["p"], out, k, iterations, first=_first_centers)
-    return rows.join(labelled.select("id", out), "id", "left")
+    return rows.join(shuffled(labelled.select("id", out)), "id", "left")
 
 
 def three_level_spectral(df: DataFrame, id_col: str, vec_col: str, ks=(12, 6, 3), neighbours: int = NEIGHBOURS) -> DataFrame:
@@ -213,5 +223,5 @@ def spectral_sweep(df: DataFrame, id_col: str, vec_col: str, k_range=range(2, 31
     found = cut_lineage(embed(rows, edges, max(ks), LOOSE).rows.select("id", "vec"))
     centers = sweep.fit(found, ks, dims=lambda k: k)
     labelled = sweep.labels(found, centers).select("id", "labels")
-    both = cut_lineage(rows.select("id", F.col("vec").alias("vec")).join(labelled, "id"))
+    both = cut_lineage(rows.select("id", F.col("vec").alias("vec")).join(shuffled(labelled), "id"))
     return both.select(F.col("id").alias(id_col), "labels"), sweep.scores(both, list(centers))
