@@ -22,9 +22,12 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffled
 from . import similarity as S
 
+#: Clusters up to which a round's tables may be broadcast; above, both sides of its joins are shuffled.
+BROADCAST_CLUSTERS = 4096
+
 
 class Tree(NamedTuple):
     """``leaves``: id, leaf (0 .. n-1). ``merges``: step (0 .. n-2), left,
@@ -63,21 +66,22 @@ def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree
     groups = cut_lineage(rows.groupBy("vec").agg(F.min("id").alias("c"), F.count("*").alias("n")))
     leaves = cut_lineage(numbered(groups.select("c"), ["c"], "leaf"))
     n = leaves.count()
-    clusters = cut_lineage(groups.join(leaves, "c").select("c", "n", F.col("vec").alias("mean"), F.lit(0.0).alias("height"), F.concat(F.lit("l"), F.col("leaf")).alias("node")))
+    clusters = cut_lineage(groups.join(shuffled(leaves), "c").select("c", "n", F.col("vec").alias("mean"), F.lit(0.0).alias("height"), F.concat(F.lit("l"), F.col("leaf")).alias("node")))
     merged: list[DataFrame] = []
     left, turn, links = n, 0, None
     while left > 1:
         if links is None or links.isEmpty():
             links = _graph(clusters, neighbours)
+        side = shuffled if left > BROADCAST_CLUSTERS else lambda d: d
         a, b = (clusters.select(F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "mean", "height", "node"))) for x in ("a", "b"))
         gap = F.aggregate(F.zip_with("mean_a", "mean_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
         far = F.sqrt(F.lit(2.0) * F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b")) * gap)
-        known = cut_lineage(links.join(a.select("a", "n_a", "mean_a"), "a").join(b.select("b", "n_b", "mean_b"), "b").select("a", "b", far.alias("d")))
+        known = cut_lineage(links.join(side(a.select("a", "n_a", "mean_a")), "a").join(side(b.select("b", "n_b", "mean_b")), "b").select("a", "b", far.alias("d")))
         key = F.struct("d", "a", "b").alias("key")
         ends = known.select(F.col("a").alias("c"), key).unionByName(known.select(F.col("b").alias("c"), key))
         best = ends.groupBy("c").agg(F.min("key").alias("key"))
         mutual = cut_lineage(best.groupBy("key").agg(F.count("*").alias("ends")).where("ends = 2").select("key.*"))
-        pairs = mutual.join(a, "a").join(b, "b")
+        pairs = mutual.join(side(a), "a").join(side(b), "b")
         size = F.col("n_a") + F.col("n_b")
         turned = cut_lineage(
             pairs.select(
@@ -90,15 +94,15 @@ def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree
         )
         merged.append(turned.select("node", "left", "right", F.col("height").alias("distance"), F.col("n").alias("size"), "turn"))
         gone = turned.select(F.col("a").alias("c")).unionByName(turned.select(F.col("b").alias("c")))
-        kept = clusters.join(gone, "c", "left_anti")
+        kept = clusters.join(side(gone), "c", "left_anti")
         clusters = cut_lineage(kept.unionByName(turned.select(F.col("a").alias("c"), "n", "mean", "height", "node")))
         name = turned.select(F.col("b").alias("old"), F.col("a").alias("new"))
         moved = links
         for x in ("a", "b"):
-            moved = moved.join(name.withColumnRenamed("old", x), x, "left").withColumn(x, F.coalesce("new", x)).drop("new")
+            moved = moved.join(side(name.withColumnRenamed("old", x)), x, "left").withColumn(x, F.coalesce("new", x)).drop("new")
         links = cut_lineage(moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         left, turn = clusters.count(), turn + 1
-    everything = rows.join(groups.join(leaves, "c").select("vec", "leaf"), "vec").select("id", "leaf")
+    everything = rows.join(shuffled(groups.join(shuffled(leaves), "c").select("vec", "leaf")), "vec").select("id", "leaf")
     empty = df.sparkSession.createDataFrame([], "step long, left long, right long, distance double, size long")
     if not merged:
         return Tree(everything, empty, n)
@@ -107,8 +111,8 @@ def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree
         table = table.unionByName(m)
     steps = cut_lineage(numbered(table, ["distance", "turn", "node"], "step"))
     number = steps.select("node", (F.lit(n) + F.col("step")).alias("number")).unionByName(leaves.select(F.concat(F.lit("l"), F.col("leaf")).alias("node"), F.col("leaf").alias("number")))
-    for side in ("left", "right"):
-        steps = steps.join(number.select(F.col("node").alias(side), F.col("number").alias(f"{side}_number")), side)
+    for end in ("left", "right"):
+        steps = steps.join(shuffled(number.select(F.col("node").alias(end), F.col("number").alias(f"{end}_number"))), end)
     merges = steps.select("step", F.least("left_number", "right_number").alias("left"), F.greatest("left_number", "right_number").alias("right"), "distance", "size")
     return Tree(everything, cut_lineage(merges), n)
 
@@ -132,10 +136,10 @@ def flat(tree: Tree, k: int, out: str = "label") -> DataFrame:
     up = cut_lineage(cut.select(F.explode(F.array("left", "right")).alias("node"), number.alias("top")))
     while True:  # pointer jumping: the distance to the top halves every round
         next_ = up.select(F.col("node").alias("top"), F.col("top").alias("above"))
-        jumped = cut_lineage(up.join(next_, "top", "left").select("node", F.coalesce("above", "top").alias("top"), F.col("above").isNotNull().alias("moved")))
+        jumped = cut_lineage(up.join(shuffled(next_), "top", "left").select("node", F.coalesce("above", "top").alias("top"), F.col("above").isNotNull().alias("moved")))
         up = jumped.select("node", "top")
         if jumped.where("moved").isEmpty():
             break
-    rows = tree.leaves.join(up.withColumnRenamed("node", "leaf"), "leaf", "left").select("id", "leaf", F.coalesce("top", "leaf").alias("top"))
+    rows = tree.leaves.join(shuffled(up.withColumnRenamed("node", "leaf")), "leaf", "left").select("id", "leaf", F.coalesce("top", "leaf").alias("top"))
     tops = numbered(rows.groupBy("top").agg(F.min("leaf").alias("first")), ["first"], out)  # k rows
     return rows.join(F.broadcast(tops.select("top", F.col(out).cast("int").alias(out))), "top").select("id", out)
