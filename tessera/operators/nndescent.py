@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffled
 from . import similarity as S
 from .skew import split_join
 
@@ -50,7 +50,7 @@ RATE = 0.6                        # share of the edges drawn in a round
 REVERSE = 1                       # rows naming a row that are listed, as a multiple of pool
 SETTLED = 0.002                   # share of changed edges that ends the rounds
 ROUNDS = 12
-HUB_BYTES = 32 << 20              # vectors of frequent nodes broadcast to their edges
+HUB_BYTES = 2 << 20               # vectors of frequent nodes broadcast to their edges
 
 
 def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -167,7 +167,7 @@ def _round(graph: DataFrame, nodes: DataFrame, mean: np.ndarray, pool: int, numb
     )
     full = F.count("distance") >= pool
     stats = ends.groupBy("u").agg(F.when(full, F.max("distance")).otherwise(float("inf")).alias("worst"), F.sum("named").alias("weight"))
-    known = cut_lineage(nodes.select(F.col("id").alias("u"), "vec").join(stats, "u"))
+    known = cut_lineage(nodes.select(F.col("id").alias("u"), "vec").join(shuffled(stats), "u"))
     lists = split_join(members, known, ["u"], "weight", max(1, HUB_BYTES // (8 * dim)))
     ready = lists.select("v", "u", "new", "worst", "vec").repartition("v").sortWithinPartitions("v")
 
@@ -253,12 +253,12 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, pool: int | None
     # the nodes' members: k + 1 of each are enough, as a row leaves out itself alone
     by_id = Window.partitionBy("key").orderBy("id")
     first = rows.select("key", "id").withColumn("r", F.row_number().over(by_id)).filter(F.col("r") <= k + 1)
-    ids = first.join(nodes.select("key", F.col("id").alias("node")), "key").groupBy("node").agg(F.collect_list("id").alias("ids"))
+    ids = first.join(shuffled(nodes.select("key", F.col("id").alias("node"))), "key").groupBy("node").agg(F.collect_list("id").alias("ids"))
     reached = graph.withColumnRenamed("dst", "node").unionByName(nodes.select(F.col("id").alias("src"), F.col("id").alias("node"), F.lit(0.0).alias("distance")))
-    members = cut_lineage(ids.join(reached.groupBy("node").agg(F.count("*").alias("weight")), "node"))
+    members = cut_lineage(ids.join(shuffled(reached.groupBy("node").agg(F.count("*").alias("weight"))), "node"))
     offered = split_join(reached, members, ["node"], "weight", max(1, HUB_BYTES // (8 * (k + 2)))).select("src", F.explode("ids").alias("dst"), "distance")
     best = _ranked(offered, k + 1).groupBy("src").agg(F.sort_array(F.collect_list(F.struct("distance", "dst"))).alias("near"))
-    keyed = nodes.join(best.withColumnRenamed("src", "id"), "id").select("key", "near", F.col("n").alias("weight"))
+    keyed = nodes.join(shuffled(best.withColumnRenamed("src", "id")), "id").select("key", "near", F.col("n").alias("weight"))
     rows_near = split_join(rows.select("key", "id"), cut_lineage(keyed), ["key"], "weight", max(1, HUB_BYTES // (16 * (k + 2))))
     others = F.slice(F.filter("near", lambda e: e["dst"] != F.col("id")), 1, k)
     found = rows_near.select(F.col("id").alias("src"), F.posexplode_outer(others).alias("p", "e"))
@@ -273,9 +273,9 @@ def _completed(rows: DataFrame, found: DataFrame, k: int) -> DataFrame:
     short = have.filter(F.col("n") < want).select(F.col("src").alias("id"), F.lit(True).alias("asked"))
     if want <= 0 or short.isEmpty():
         return found.filter("dst is not null")
-    asked = cut_lineage(rows.select("id", "vec").join(short, "id", "left").select("id", "vec", F.coalesce("asked", F.lit(False)).alias("asked")))
+    asked = cut_lineage(rows.select("id", "vec").join(shuffled(short), "id", "left").select("id", "vec", F.coalesce("asked", F.lit(False)).alias("asked")))
     exact = nearest_of(asked, "id", "vec", "asked", k)
-    return found.join(have.filter(F.col("n") >= want).select("src"), "src", "left_semi").unionByName(exact)
+    return found.join(shuffled(have.filter(F.col("n") >= want).select("src")), "src", "left_semi").unionByName(exact)
 
 
 def recall(df: DataFrame, id_col: str, vec_col: str, found: DataFrame, asked, k: int) -> DataFrame:
@@ -284,6 +284,6 @@ def recall(df: DataFrame, id_col: str, vec_col: str, found: DataFrame, asked, k:
     rows = clean(df, id_col, vec_col).select("id", "vec").withColumn("asked", asked)
     exact = nearest_of(cut_lineage(rows), "id", "vec", "asked", k)
     kth = exact.groupBy("src").agg(F.max("distance").alias("kth"), F.count("*").alias("wanted"))
-    near = found.join(kth, "src", "left").groupBy("src").agg(F.sum(F.when(F.col("distance") <= F.col("kth"), 1).otherwise(0)).alias("hits"))
-    per = kth.join(near, "src", "left")
+    near = found.join(shuffled(kth), "src", "left").groupBy("src").agg(F.sum(F.when(F.col("distance") <= F.col("kth"), 1).otherwise(0)).alias("hits"))
+    per = kth.join(shuffled(near), "src", "left")
     return per.agg(F.count("*").alias("asked"), F.coalesce(F.sum("wanted"), F.lit(0)).alias("wanted"), F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"))
