@@ -5,8 +5,8 @@ A character-trigram naive Bayes model:
 * text -> lower -> runs of non-letters become one space -> padded with a
   space on both sides -> every trigram of the whole text (JVM expressions);
 * trigrams are counted and scored inside the task that reads the document
-  (NumPy over code points), so neither texts nor (doc, trigram) pairs are
-  shuffled;
+  (NumPy over code points, a bounded piece of a batch at a time), so neither
+  texts nor (doc, trigram) pairs are shuffled;
 * fit: ``n(lang, g)`` by a partial + final aggregate; per language
   ``w(lang, g) = ln(n + 1)`` and ``base(lang) = -ln(total(lang) + V)``;
 * score(doc, lang) = sum_g c(doc, g) * w(lang, g) + N(doc) * base(lang),
@@ -44,6 +44,24 @@ _SPACE_CODE = (32 << 42) | (32 << 21) | 32
 
 MAX_WEIGHTS = 4_000_000
 
+#: Bytes of text whose trigrams are held at a time (a longer text is a piece of its own).
+PIECE_BYTES = 1 << 20
+
+
+def _pieces(text, limit: int | None = None):
+    """(first row, rows) of the pieces of an Arrow string column, each of whole
+    texts and at most ``limit`` bytes: an Arrow batch counts rows, and the arrays
+    of its trigrams take some hundred bytes a character."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    end = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, before = 0, 0
+    while at < len(end):
+        to = max(at + 1, int(np.searchsorted(end, before + (limit or PIECE_BYTES), "right")))
+        yield at, to - at
+        at, before = to, end[to - 1]
+
 
 def _batch_trigrams(text):
     """(row, trigram code) of every trigram of an Arrow string column but the all-space one."""
@@ -68,7 +86,7 @@ def _count_by_language(batches):
     import numpy as np
     import pyarrow as pa
 
-    for b in batches:
+    for b in (b.slice(*piece) for b in batches for piece in _pieces(b.column(1))):
         lang = b.column(0).dictionary_encode()
         row, tri = _batch_trigrams(b.column(1))
         code = lang.indices.to_numpy(zero_copy_only=False)[row]
@@ -82,7 +100,7 @@ def _count_by_row(batches):
     import numpy as np
     import pyarrow as pa
 
-    for b in batches:
+    for b in (b.slice(*piece) for b in batches for piece in _pieces(b.column(1))):
         row, tri = _batch_trigrams(b.column(1))
         order = np.lexsort((tri, row))
         row, tri = row[order], tri[order]
@@ -151,7 +169,7 @@ def with_language(df: DataFrame, id_col: str, text_col: str, model: LanguageMode
         import pyarrow as pa
 
         names, known, w, base = shared.value
-        for b in batches:
+        for b in (b.slice(*piece) for b in batches for piece in _pieces(b.column(b.num_columns - 1))):
             row, tri = _batch_trigrams(b.column(b.num_columns - 1))
             at = np.minimum(np.searchsorted(known, tri), len(known) - 1)
             at = np.where(known[at] == tri, at, len(known))

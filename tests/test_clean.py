@@ -113,3 +113,32 @@ def test_written_table_and_counts_from_one_job(spark, tmp_path):
         assert counts == {k: v or 0 for k, v in audit.items()}, name
         want = clean.clean_pipeline(rows, text_col="title", is_english=english, **how)
         assert sorted(map(repr, spark.read.parquet(str(tmp_path / name)).collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_trigrams_of_a_bounded_piece_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tessera.operators import language
+
+    texts = ["the cat sat on the mat " * 3, None, "", "der hund", "x" * 50, "the dog and the cat"]
+    column = pa.array(texts, pa.string())
+    assert list(language._pieces(column, 20)) == [(0, 1), (1, 3), (4, 1), (5, 1)]
+    assert list(language._pieces(column)) == [(0, 6)] and list(language._pieces(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(language, "PIECE_BYTES", 20)
+    held, inner = [], language._batch_trigrams
+    monkeypatch.setattr(language, "_batch_trigrams", lambda t: held.append(t.nbytes) or inner(t))
+    batch = pa.record_batch([pa.array(["en", None, "en", "de", "en", "en"]), column], names=["lang", "s"])
+    counts = {}
+    for b in language._count_by_language([batch]):
+        for r in b.to_pylist():
+            counts[r["lang"], r["gram"]] = counts.get((r["lang"], r["gram"]), 0) + r["c"]
+    want = {}
+    for lang, t in zip(["en", None, "en", "de", "en", "en"], texts):
+        for i in range(len(t or "") - 2):
+            if t[i : i + 3] != "   ":
+                key = lang, t[i : i + 3]
+                want[key] = want.get(key, 0) + 1
+    assert {(k, language.decode_gram(g)): c for (k, g), c in counts.items()} == want
+    assert len(held) == 4
+    rows = [r for b in language._count_by_row([pa.record_batch([pa.array(range(6)), column], names=["id", "s"])]) for r in b.to_pylist()]
+    assert sum(r["c"] for r in rows if r["gram"] == language.TOTAL_ROW) == sum(want.values())
