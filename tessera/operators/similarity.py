@@ -330,24 +330,41 @@ def label_distance_sums(df: DataFrame, id_col: str, vec_col: str, label_col: str
     from each row to every cluster, self excluded. Output is rows x labels."""
     shared = df.sparkSession.sparkContext.broadcast(np.array(mean_vector(df, vec_col)))
 
-    def sums(a, ida, la, b, idb, lb):
-        names, code = np.unique(lb, return_inverse=True)
-        size = np.bincount(code, minlength=len(names)).astype(np.int64)
-        for lo, hi in _tiles(len(a)):
-            n, total = hi - lo, np.zeros((hi - lo, len(names)))
-            for left, right in _tiles(len(b), TILE_COLUMNS):
-                d = np.sqrt(_sq_distances(a[lo:hi], b[left:right]))
-                d[ida[lo:hi, None] == idb[None, left:right]] = 0.0
-                np.add.at(total.T, code[left:right], d.T)
-            yield np.repeat(ida[lo:hi], len(names)), np.repeat(la[lo:hi], len(names)), np.tile(names, n), total.ravel(), np.tile(size, n)
+    def members(t):
+        """A block in the order of its labels: vectors, ids, labels, the distinct ones,
+        their rows, and of each tile where its labels begin."""
+        labels = t.column(label_col).to_numpy()
+        order = np.argsort(labels, kind="stable")
+        x, ids, labels = (matrix(t.column("vec")) - shared.value)[order], t.column("id").to_numpy()[order], labels[order]
+        names, code = np.unique(labels, return_inverse=True)
+        tiles = []
+        for lo, hi in _tiles(len(code), TILE_ROWS):
+            own = code[lo:hi]
+            at = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            tiles.append((lo, hi, at, own[at]))
+        return x, ids, labels, names, np.bincount(code, minlength=len(names)).astype(np.int64), tiles
+
+    def found(ids, labels, total, names, size):
+        n, k = total.shape
+        return np.repeat(ids, k), np.repeat(labels, k), np.tile(names, n), total.ravel(), np.tile(size, n)
 
     def kernel(lt, rt, same):
-        a, b = matrix(lt.column("vec")) - shared.value, matrix(rt.column("vec")) - shared.value
-        left = a, lt.column("id").to_numpy(), lt.column(label_col).to_numpy()
-        right = b, rt.column("id").to_numpy(), rt.column(label_col).to_numpy()
-        yield from sums(*left, *right)
+        a, ida, la, names_a, size_a, tiles_a = members(lt)
+        b, idb, lb, names_b, size_b, tiles_b = members(rt)
+        # a tile's distances are added up by rows and, of two blocks, by columns too
+        back = None if same else np.zeros((len(b), len(names_a)))
+        for lo, hi, at_a, of_a in tiles_a:
+            total = np.zeros((hi - lo, len(names_b)))
+            for left, right, at_b, of_b in tiles_b:
+                d = np.sqrt(_sq_distances(a[lo:hi], b[left:right]))
+                if same:  # blocks are hashes of the ids: equal ids share one
+                    d[ida[lo:hi, None] == idb[None, left:right]] = 0.0
+                else:
+                    back[left:right, of_a] += np.add.reduceat(d, at_a, axis=0).T
+                total[:, of_b] += np.add.reduceat(d, at_b, axis=1)
+            yield found(ida[lo:hi], la[lo:hi], total, names_b, size_b)
         if not same:
-            yield from sums(*right, *left)
+            yield found(idb, lb, back, names_a, size_a)
 
     schema = "id long, label int, other_label int, sum_dist double, n long"
     parts = _run_blocks(df, id_col, vec_col, [label_col], kernel, schema, nb)

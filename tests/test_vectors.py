@@ -193,3 +193,30 @@ def test_neighbours_within_groups(spark):
         own = [j for j in range(90) if j % 10 and g[j] == g[i] and j != i]
         want = sorted(own, key=lambda j: ((x[i] - x[j]) ** 2).sum())[:4]
         assert [d for _, d in sorted(got[i])] == want
+
+
+def test_label_distance_sums_take_each_block_pair_once(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import similarity as S
+
+    rng = np.random.default_rng(11)
+    x, label = rng.normal(size=(90, 4)), rng.integers(0, 5, 90)
+    df = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, label))], "id long, vec array<double>, c int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    monkeypatch.setattr(S, "TILE_ROWS", 7)
+    monkeypatch.setattr(S, "TILE_COLUMNS", 7)
+    got = {(r.id, r.other_label): (r.label, r.sum_dist, r.n) for r in S.label_distance_sums(df, "id", "vec", "c", 3).collect()}
+    assert len(got) == 90 * 5
+    for (i, c), (own, total, n) in got.items():
+        assert own == label[i] and n == (label == c).sum() and abs(total - d[i, label == c].sum()) < 1e-9
+    # every distance is taken once between two blocks
+    calls = []
+    inner = S._sq_distances
+    table = df.toArrow().rename_columns(["id", "vec", "c"])
+    kernel = {}
+    monkeypatch.setattr(S, "_run_blocks", lambda d, i, v, extra, k, schema, nb=None, within=(): kernel.setdefault("k", k) and d.selectExpr("id", "c label", "c other_label", "0d sum_dist", "1L n"))
+    S.label_distance_sums(df, "id", "vec", "c", 2)
+    monkeypatch.setattr(S, "_sq_distances", lambda a, b: calls.append(len(a) * len(b)) or inner(a, b))
+    list(kernel["k"](table.slice(0, 40), table.slice(40), False))
+    assert sum(calls) == 40 * 50
