@@ -682,17 +682,50 @@ def raw_records(spark, sf):
     return d.select("doc_id", F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications"))).alias("value"))
 
 
+def faulty_title():
+    """The title of a document's faulty record: its whole text, told from the whole record's."""
+    return F.concat("source", F.lit(": "), "text")
+
+
+def faulty_records(spark, sf):
+    """The same documents as a crawl with faults leaves them: (doc_id, value JSON).
+    Every seventh has no title, every fifth no year, every fourth no citations, every
+    third failed to load; a ninth of them are cut off and don't parse."""
+    d = table(spark, sf, "documents")
+    pub = F.struct(
+        F.struct(
+            F.when(F.col("doc_id") % 7 != 0, faulty_title()).alias("title"),
+            F.when(F.col("doc_id") % 5 != 0, (FIRST_YEAR + F.pmod(F.col("doc_id"), F.lit(YEAR_SPAN))).cast("string")).alias("pub_year"),
+            F.col("lang").alias("author"),
+        ).alias("bib"),
+        F.when(F.col("doc_id") % 4 != 0, F.col("n_chars")).alias("num_citations"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("timeout")).alias("error"),
+    )
+    one = F.to_json(F.struct(F.col("source").alias("name"), F.array(pub).alias("publications")))
+    return d.select("doc_id", one.alias("one")).select("doc_id", F.expr("if(doc_id % 9 <> 0, one, substring(one, 1, length(one) - 3))").alias("value"))
+
+
+def landed_records(spark, sf):
+    """Every document twice: whole, and with the faults of a crawl."""
+    return raw_records(spark, sf).unionByName(faulty_records(spark, sf))
+
+
 @register("flatten_records")
 def q_flatten_records(spark, sf):
-    return rec.flatten_records(raw_records(spark, sf), "value")
+    return rec.flatten_records(landed_records(spark, sf), "value")
 
 
 @register("build_snapshot")
 def q_build_snapshot(spark, sf):
-    # one lookup response per document, found by its whole text
+    # one lookup response per document and title; of the faulty ones' every fourth has a number for an abstract
     d = table(spark, sf, "documents")
-    response = F.concat(F.lit('{"data":['), F.to_json(F.struct(F.col("text").alias("abstract"))), F.lit("]}"))
-    return rec.build_snapshot(raw_records(spark, sf), "value", d.select(F.col("text").alias("title"), response.alias("response"), F.col("doc_id").alias("seq")))
+    number = F.when(F.col("doc_id") % 4 == 0, F.to_json(F.struct(F.col("n_chars").alias("abstract"))))
+    whole = F.to_json(F.struct(F.col("text").alias("abstract")))
+    lookups = [
+        d.select(title.alias("title"), F.concat(F.lit('{"data":['), candidate, F.lit("]}")).alias("response"), F.col("doc_id").alias("seq"))
+        for title, candidate in ((F.col("text"), whole), (faulty_title(), F.coalesce(number, whole)))
+    ]
+    return rec.build_snapshot(landed_records(spark, sf), "value", lookups[0].unionByName(lookups[1]))
 
 
 def _landing(spark, name: str) -> str:
@@ -712,11 +745,13 @@ def q_stream_ingest(spark, sf):
 
 @register("csv_round_trip")
 def q_csv_round_trip(spark, sf):
+    # whole texts, and beside them the column of which every seventh is written as a missing marker
     path = _landing(spark, "csv")
-    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    marked = F.when(F.col("doc_id") % 7 == 0, F.lit("N/A")).otherwise(F.col("text")).alias("marked")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", marked)
     fsrc.write_csv(d, path)
     back = fsrc.read_csv(spark, path, d.schema)
-    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "marked")
 
 
 @register("csv_split_round_trip")

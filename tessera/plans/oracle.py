@@ -590,21 +590,46 @@ SELECT CAST(k AS INTEGER) AS k, round(s, 6) AS silhouette_sq, round(ch, 6) AS ca
 
 # ---------------------------------------------------------------- ingest
 
-SQL["flatten_records"] = """
+WHOLE_RECORDS = """
 SELECT source AS professor, text AS title, CAST(1995 + doc_id % 7 AS VARCHAR) AS pub_year,
        coalesce(lang, 'No authors') AS authors, coalesce(CAST(n_chars AS VARCHAR), 'N/A') AS citations
 FROM documents WHERE text <> ''
 """
 
-SQL["stream_ingest"] = f"SELECT DISTINCT professor, title FROM ({SQL['flatten_records']})"
+FAULTY_TITLE = "source || ': ' || text"
+
+SQL["flatten_records"] = f"""
+{WHOLE_RECORDS}
+UNION ALL
+SELECT source AS professor,
+       CASE WHEN doc_id % 7 <> 0 THEN coalesce({FAULTY_TITLE}, 'No title') ELSE 'No title' END AS title,
+       CASE WHEN doc_id % 3 <> 0 AND doc_id % 5 <> 0 THEN CAST(1995 + doc_id % 7 AS VARCHAR) ELSE 'No year' END AS pub_year,
+       CASE WHEN doc_id % 3 <> 0 THEN coalesce(lang, 'No authors') ELSE 'No authors' END AS authors,
+       CASE WHEN doc_id % 3 <> 0 AND doc_id % 4 <> 0 THEN coalesce(CAST(n_chars AS VARCHAR), 'N/A') ELSE 'N/A' END AS citations
+FROM documents
+WHERE doc_id % 9 <> 0 AND (doc_id % 3 = 0 OR (doc_id % 7 <> 0 AND {FAULTY_TITLE} IS NOT NULL))
+"""
+
+SQL["stream_ingest"] = f"SELECT DISTINCT professor, title FROM ({WHOLE_RECORDS})"
 
 SQL["build_snapshot"] = f"""
-SELECT p.*, regexp_replace(title, '[^\\x20-\\x7E]+', '', 'g') AS abstract FROM ({SQL['flatten_records']}) p
+WITH pubs AS ({SQL['flatten_records']}),
+lookups AS (
+  SELECT text AS title, text AS abstract, doc_id FROM documents
+  UNION ALL
+  SELECT {FAULTY_TITLE}, CASE WHEN doc_id % 4 <> 0 THEN text END, doc_id FROM documents),
+last AS (
+  SELECT title, coalesce(regexp_replace(abstract, '[^\\x20-\\x7E]+', '', 'g'), 'N/A') AS abstract,
+         row_number() OVER (PARTITION BY title ORDER BY doc_id DESC) AS rn
+  FROM lookups)
+SELECT p.*, coalesce(l.abstract, 'N/A') AS abstract FROM pubs p LEFT JOIN last l ON p.title = l.title AND l.rn = 1
 """
 
-SQL["csv_round_trip"] = "SELECT doc_id, nullif(text, '') AS text FROM documents"
+SQL["csv_round_trip"] = """
+SELECT doc_id, nullif(text, '') AS text, CASE WHEN doc_id % 7 <> 0 THEN nullif(text, '') END AS marked FROM documents
+"""
 
-SQL["csv_split_round_trip"] = SQL["csv_round_trip"]
+SQL["csv_split_round_trip"] = "SELECT doc_id, nullif(text, '') AS text FROM documents"
 
 SQL["first_match"] = rf"""
 WITH titled AS (SELECT doc_id, text, {TITLE_KEY} AS key FROM documents),

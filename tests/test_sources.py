@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import files, records
@@ -137,3 +138,37 @@ def test_encoder_plugin_batches(spark):
     df = spark.createDataFrame([(i, "x" * i) for i in range(10)] + [(10, None)], "id long, text string")
     out = {r["id"]: r["vec"] for r in embed.encode_with(df, "id", "text", make, 2, prefix="Query: ", batch_rows=4).collect()}
     assert out[3] == [10.0, 1.0] and out[10] == [7.0, 1.0]
+
+
+@pytest.fixture
+def documents(spark, tmp_path):
+    rows = [(i, f"src{i % 2}", "en" if i % 4 else None, f"text {i} é", 7) for i in range(1, 127)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_registered_records_hold_whole_and_faulty_ones(spark, documents):
+    from tessera.plans import catalog
+
+    out = [tuple(r) for r in catalog.REGISTRY["flatten_records"](spark, documents).collect()]
+    assert {r[1] for r in out} >= {f"text {i} é" for i in range(1, 127)}  # every whole text
+    parsed = [i for i in range(1, 127) if i % 9]
+    assert sum(r[1] == "No title" for r in out) == sum(i % 7 == 0 and i % 3 == 0 for i in parsed)
+    assert sum(r[2] == "No year" for r in out) == sum(i % 3 == 0 or (i % 7 != 0 and i % 5 == 0) for i in parsed)
+    assert not any("text 9 é" in r[1] for r in out if r[1] != "text 9 é")  # cut off: does not parse
+    assert len(out) == 126 + sum(i % 3 == 0 or i % 7 != 0 for i in parsed)
+
+
+def test_registered_snapshot_meets_its_lookups(spark, documents):
+    from tessera.plans import catalog
+
+    out = {r["title"]: r["abstract"] for r in catalog.REGISTRY["build_snapshot"](spark, documents).collect()}
+    assert out["text 4 é"] == "text 4 " and out["src0: text 4 é"] == "N/A"  # a number is no abstract
+    assert out["src1: text 1 é"] == "text 1 " and out["No title"] == "N/A"
+
+
+def test_registered_csv_holds_missing_markers(spark, documents):
+    from tessera.plans import catalog
+
+    out = {r["doc_id"]: (r["text"], r["marked"]) for r in catalog.REGISTRY["csv_round_trip"](spark, documents).collect()}
+    assert out == {i: (f"text {i} é", None if i % 7 == 0 else f"text {i} é") for i in range(1, 127)}
