@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.stopwords import EXPLORE_STOP_WORDS, stop_word_frame
+from ..functions.stopwords import EXPLORE_STOP_WORDS
 from ..session import cut_lineage
 
 # Token pattern, collocation threshold, number of words.
@@ -42,22 +42,20 @@ EPS = 1e-10
 def _tokens(df: DataFrame, text_col: str) -> DataFrame:
     """(arr): cleaned token array per document (whole text)."""
     raw = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0)
-    stripped = F.transform(F.coalesce(raw, F.array().cast("array<string>")), lambda t: F.regexp_replace(t, "'s$", ""))
+    stripped = F.transform(F.coalesce(raw, F.array().cast("array<string>")), lambda t: F.when(t.endswith("'s"), F.substring(t, F.lit(1), F.length(t) - 2)).otherwise(t))
     kept = F.filter(stripped, lambda t: ~t.rlike(DIGITS_ONLY))
     return df.select(kept.alias("arr"))
 
 
 def _fold_plurals(counts: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:
     """(folded counts (key, n), standard form map (key -> std))."""
-    keys = counts.select(F.col(key).alias("_sing"))
-    cand = counts.select(
-        F.col(key),
-        F.when(F.col(key).endswith("s") & ~F.col(key).endswith("ss"), F.expr(f"substring({key}, 1, length({key}) - 1)")).alias("_sing"),
-    )
-    std = cand.join(keys, "_sing", "left_semi").select(F.col(key), F.col("_sing").alias("std"))
-    mapping = counts.select(key).join(std, key, "left").select(key, F.coalesce("std", F.col(key)).alias("std"))
-    folded = counts.join(mapping, key).groupBy(F.col("std").alias(key)).agg(F.sum("n").alias("n"))
-    return folded, mapping
+    plural = F.col(key).endswith("s") & ~F.col(key).endswith("ss")
+    cand = counts.where(plural).select(key, "n", F.expr(f"substring({key}, 1, length({key}) - 1)").alias("_sing"))
+    keys = counts.select(F.col(key).alias("_sing"), F.lit(True).alias("_known"))
+    # only keys that may be plurals look for another one
+    found = cand.join(keys, "_sing", "left").select(key, F.when(F.col("_known"), F.col("_sing")).otherwise(F.col(key)).alias("std"), "n")
+    named = counts.where(~plural).select(key, F.col(key).alias("std"), "n").unionByName(found)
+    return named.groupBy(F.col("std").alias(key)).agg(F.sum("n").alias("n")), named.select(key, "std")
 
 
 def _ll(k, n, x):
@@ -66,39 +64,34 @@ def _ll(k, n, x):
 
 def wordcloud_weights(df: DataFrame, text_col: str, stop_words: list[str] = EXPLORE_STOP_WORDS, max_words: int = MAX_WORDS) -> DataFrame:
     """(word, count, weight) for the top ``max_words`` entries (words and collocations)."""
-    spark = df.sparkSession
-    stop = F.broadcast(stop_word_frame(spark, stop_words, "w"))
     toks = _tokens(df, text_col)
 
-    uni = toks.select(F.explode("arr").alias("w")).join(stop, "w", "left_anti")
+    # every token with the next one, or none behind the last (zip_with fills up
+    # with NULL; its lambda only sees its own arguments, as an outer column inside
+    # a lambda is re-evaluated per element)
+    after = F.slice("arr", F.lit(2), F.size("arr"))
+    both = toks.select(F.explode(F.zip_with("arr", after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p")).select("p.a", "p.b")
+    stop = list(stop_words)
+    both = both.where(~F.col("a").isin(stop)).select("a", F.when(~F.col("b").isin(stop), F.col("b")).alias("b"))
+    # texts are tokenized once: the counts of pairs hold those of the words, too
+    counts = cut_lineage(both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
     # both vocabularies are read several times below: written once each
-    uni_counts = cut_lineage(uni.groupBy(F.col("w").alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    uni_counts = cut_lineage(counts.groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n")))
     n_words = uni_counts.agg(F.sum("n")).collect()[0][0] or 0  # one scalar
+    bi_counts = counts.where("b IS NOT NULL").select(F.concat_ws(" ", "a", "b").alias("key"), "n")
 
-    # consecutive pairs via zip_with over two shifted slices: the lambda only
-    # sees its own arguments (an outer column inside a lambda is re-evaluated
-    # per element)
-    n = F.size("arr") - 1
-    pairs = toks.select(
-        F.explode(
-            F.when(n >= 1, F.zip_with(F.slice("arr", 1, n), F.slice("arr", 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-        ).alias("p")
-    ).select("p.a", "p.b")
-    pairs = pairs.join(stop.withColumnRenamed("w", "a"), "a", "left_anti").join(stop.withColumnRenamed("w", "b"), "b", "left_anti")
-    bi_counts = cut_lineage(pairs.groupBy(F.concat_ws(" ", "a", "b").alias("key")).agg(F.count(F.lit(1)).alias("n")))
-
-    uni_f, uni_std = (cut_lineage(x) for x in _fold_plurals(uni_counts))
+    uni_f, uni_std = _fold_plurals(uni_counts)
+    uni_f = cut_lineage(uni_f)
     bi_f, _ = _fold_plurals(bi_counts)
 
     # score each (folded) bigram against the folded unigram counts of its words
     bi_s = bi_f.select(
         F.col("key"), F.col("n").alias("c12"), F.split_part("key", F.lit(" "), F.lit(1)).alias("w1"), F.split_part("key", F.lit(" "), F.lit(2)).alias("w2")
     )
-    std1 = uni_std.select(F.col("key").alias("w1"), F.col("std").alias("s1"))
-    std2 = uni_std.select(F.col("key").alias("w2"), F.col("std").alias("s2"))
-    c1 = uni_f.select(F.col("key").alias("s1"), F.col("n").alias("c1"))
-    c2 = uni_f.select(F.col("key").alias("s2"), F.col("n").alias("c2"))
-    scored = bi_s.join(std1, "w1").join(std2, "w2").join(c1, "s1").join(c2, "s2")
+    words = cut_lineage(uni_std.join(uni_f.select(F.col("key").alias("std"), "n"), "std"))
+    first = words.select(F.col("key").alias("w1"), F.col("std").alias("s1"), F.col("n").alias("c1"))
+    second = words.select(F.col("key").alias("w2"), F.col("std").alias("s2"), F.col("n").alias("c2"))
+    scored = bi_s.join(first, "w1").join(second, "w2")
     N, k12, k1, k2 = F.lit(float(n_words)), F.col("c12").cast("double"), F.col("c1").cast("double"), F.col("c2").cast("double")
     p = k2 / N
     p1 = k12 / k1
