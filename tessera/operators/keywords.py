@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 from ..session import cut_lineage
-from .skew import FREQUENT_ROWS, split_join
+from .skew import FREQUENT_ROWS, split_join, text_tasks
 
 MAX_FEATURES = 1000
 SCORE_DIGITS = 6
@@ -55,14 +55,18 @@ def text_node_scores(df: DataFrame, id_col: str, text_col: str, level_cols: list
     small table that says which nodes lie above a leaf. A term that stands in
     every document is no key of a shuffle: it meets its rows by broadcast, as one
     of at most ``frequent_rows`` frequent (leaf, term) pairs, and its scores are
-    summed in each task first. Ids are unique.
+    summed in each task first. Ids are unique. The texts are shuffled by id, a bounded
+    number of bytes to a task, and their terms counted there: that task's memory does not
+    grow with the table, and no (id, term) row is shuffled to be counted.
     """
+    tasks = text_tasks(df, text_col)
     leaf = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in level_cols])
     base = df.select(F.col(id_col).alias("id"), leaf.alias("leaf"), _path_items(level_cols).alias("paths"), F.col(text_col).alias("_text"))
     above = base.select("leaf", F.explode("paths").alias("p")).groupBy("leaf", "p.level", "p.path").agg(F.count(F.lit(1)).alias("n"))
     n_docs = above.groupBy("level", "path").agg(F.sum("n").alias("N"))
     above = above.select("leaf", "level", "path")
-    toks = base.where(F.size("paths") > 0).select("id", "leaf", F.explode(tx.word_tokens("_text")).alias("term"))
+    texts = base.where(F.size("paths") > 0).select("id", "leaf", "_text").repartition(tasks, "id")
+    toks = texts.select("id", "leaf", F.explode(tx.word_tokens("_text")).alias("term"))
     toks = toks.join(F.broadcast(stop_word_frame(df.sparkSession, stop_words, "term")), "term", "left_anti")
     # read by the statistics and by the weights: written once, so texts are tokenized once
     tf = cut_lineage(toks.groupBy("id", "leaf", "term").agg(F.count(F.lit(1)).alias("tf")))

@@ -9,12 +9,25 @@ this table alone, both parts are exact, and the broadcast is bounded in rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of the frequent part; wide keys should come with fewer.
 FREQUENT_ROWS = 200_000
 
+#: Bytes of text whose tokens one task counts.
+TASK_BYTES = 4 << 20
+
+
+def text_tasks(df: DataFrame, text_col: str, task_bytes: int | None = None) -> int:
+    """How many tasks take at most ``task_bytes`` of the texts each, on average: a
+    scan of the texts' lengths, one number to the driver."""
+    total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(total / (task_bytes or TASK_BYTES)), min(cores, math.ceil(total / (1 << 18))))
+
 
 def frequent_cut(keys: DataFrame, weight: str, rows: int = FREQUENT_ROWS) -> int | None:
     """The least power of two such that at most ``rows`` keys have a ``weight``

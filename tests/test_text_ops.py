@@ -120,3 +120,20 @@ def test_a_common_term_is_no_shuffle_key(spark):
         plan = got._jdf.queryExecution().executedPlan().toString()
         # the frequent keys by broadcast, the rest without them by shuffle
         assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_terms_are_counted_in_tasks_of_bounded_text(spark, monkeypatch):
+    from tessera.operators import embed, skew
+    from tessera.operators import keywords as K
+
+    monkeypatch.setattr(skew, "TASK_BYTES", 1000)
+    df = spark.createDataFrame([(i, f"alpha beta w{i} " * 20, 0) for i in range(40)] + [(40, None, 0)], "id long, text string, a int")
+    total = sum(len(f"alpha beta w{i} " * 20) for i in range(40))
+    assert skew.text_tasks(df, "text") == -(-total // 1000)
+    plan = embed.doc_tokens(df, "id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan  # texts by id, and no (id, term) row after them
+    plans, inner = [], K.cut_lineage
+    monkeypatch.setattr(K, "cut_lineage", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or inner(d))
+    scores = {r["term"]: r["score"] for r in K.text_node_scores(df, "id", "text", ["a"]).collect()}
+    assert set(scores) == {"alpha", "beta", *(f"w{i}" for i in range(40))}
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plans[0]
