@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 from ..functions import text as tx
 from ..functions.stopwords import KEYWORD_STOP_WORDS, stop_word_frame
 from ..session import cut_lineage
-from .skew import FREQUENT_ROWS, split_join
+from .skew import FREQUENT_ROWS, split_join, text_tasks
 
 DIM = 256
 SAMPLE_SIZE = 512
@@ -46,8 +46,10 @@ KEYPHRASES = 5
 
 
 def doc_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, tok, tf) over the whole text."""
-    t = df.select(F.col(id_col).alias("id"), F.explode(tx.word_tokens(text_col)).alias("tok"))
+    """(id, tok, tf) over the whole text, counted where the texts are after a shuffle
+    by id that gives every task a bounded number of their bytes."""
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).repartition(text_tasks(df, text_col), "id")
+    t = texts.select("id", F.explode(tx.word_tokens("_text")).alias("tok"))
     return t.groupBy("id", "tok").agg(F.count(F.lit(1)).alias("tf"))
 
 
