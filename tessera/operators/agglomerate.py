@@ -9,7 +9,8 @@ only merges with linked ones. When no links are left, the remaining clusters get
 a new graph over their means, so the tree always ends in one root.
 
 A round is joins and sums over the tables of clusters and links; nothing is
-gathered. Ties are ordered by (distance, smaller id, larger id), a total order
+gathered. A link keeps its distance until one of its ends merges, so a round
+fetches the means of merged clusters and those linked to them only. Ties are ordered by (distance, smaller id, larger id), a total order
 on links, so every round merges at least the least link. Equal vectors are one
 leaf with their number as weight (Ward merges them first, at distance 0), so a
 large group of copies is no hub that merges one row a round.
@@ -60,6 +61,19 @@ def _graph(clusters: DataFrame, neighbours: int) -> DataFrame:
     return cut_lineage(near.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct())
 
 
+def _ends(clusters: DataFrame, columns: tuple[str, ...]) -> list[DataFrame]:
+    """The clusters as the a and as the b of a link, with ``columns`` of either."""
+    return [clusters.select(F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in columns)) for x in ("a", "b")]
+
+
+def _measured(links: DataFrame, clusters: DataFrame, side) -> DataFrame:
+    """Links (a, b) with Ward's distance d of their ends."""
+    a, b = _ends(clusters, ("n", "mean"))
+    gap = F.aggregate(F.zip_with("mean_a", "mean_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    far = F.sqrt(F.lit(2.0) * F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b")) * gap)
+    return links.join(side(a), "a").join(side(b), "b").select("a", "b", far.alias("d"))
+
+
 def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree:
     """The merge tree of all rows with a vector."""
     rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast("double") + F.lit(0.0)).alias("vec"))
@@ -70,17 +84,13 @@ def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree
     merged: list[DataFrame] = []
     left, turn, links = n, 0, None
     while left > 1:
-        if links is None or links.isEmpty():
-            links = _graph(clusters, neighbours)
         side = shuffled if left > BROADCAST_CLUSTERS else lambda d: d
-        a, b = (clusters.select(F.col("c").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "mean", "height", "node"))) for x in ("a", "b"))
-        gap = F.aggregate(F.zip_with("mean_a", "mean_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-        far = F.sqrt(F.lit(2.0) * F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b")) * gap)
-        known = cut_lineage(links.join(side(a.select("a", "n_a", "mean_a")), "a").join(side(b.select("b", "n_b", "mean_b")), "b").select("a", "b", far.alias("d")))
+        if links is None or links.isEmpty():
+            links = cut_lineage(_measured(_graph(clusters, neighbours), clusters, side))
+        a, b = _ends(clusters, ("n", "mean", "height", "node"))
         key = F.struct("d", "a", "b").alias("key")
-        ends = known.select(F.col("a").alias("c"), key).unionByName(known.select(F.col("b").alias("c"), key))
-        best = ends.groupBy("c").agg(F.min("key").alias("key"))
-        mutual = cut_lineage(best.groupBy("key").agg(F.count("*").alias("ends")).where("ends = 2").select("key.*"))
+        best = links.select(key, F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.min("key").alias("key"))
+        mutual = best.groupBy("key").agg(F.count("*").alias("ends")).where("ends = 2").select("key.*")
         pairs = mutual.join(side(a), "a").join(side(b), "b")
         size = F.col("n_a") + F.col("n_b")
         turned = cut_lineage(
@@ -93,14 +103,17 @@ def ward(df: DataFrame, id_col: str, vec_col: str, neighbours: int = 10) -> Tree
             )
         )
         merged.append(turned.select("node", "left", "right", F.col("height").alias("distance"), F.col("n").alias("size"), "turn"))
-        gone = turned.select(F.col("a").alias("c")).unionByName(turned.select(F.col("b").alias("c")))
-        kept = clusters.join(side(gone), "c", "left_anti")
+        name = turned.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"))
+        kept = clusters.join(side(name.select(F.col("old").alias("c"))), "c", "left_anti")
         clusters = cut_lineage(kept.unionByName(turned.select(F.col("a").alias("c"), "n", "mean", "height", "node")))
-        name = turned.select(F.col("b").alias("old"), F.col("a").alias("new"))
-        moved = links
+        # only links of a merged cluster have a new distance
+        still, moved = links, links.drop("d")
         for x in ("a", "b"):
-            moved = moved.join(side(name.withColumnRenamed("old", x)), x, "left").withColumn(x, F.coalesce("new", x)).drop("new")
-        links = cut_lineage(moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            renamed = side(name.select(F.col("old").alias(x), F.col("new").alias(f"new_{x}")))
+            still, moved = still.join(renamed, x, "left_anti"), moved.join(renamed, x, "left")
+        moved = moved.where("new_a IS NOT NULL OR new_b IS NOT NULL").select(F.coalesce("new_a", "a").alias("a"), F.coalesce("new_b", "b").alias("b"))
+        moved = moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = cut_lineage(still.select("a", "b", "d").unionByName(_measured(moved, clusters, side)))
         left, turn = clusters.count(), turn + 1
     everything = rows.join(shuffled(groups.join(shuffled(leaves), "c").select("vec", "leaf")), "vec").select("id", "leaf")
     empty = df.sparkSession.createDataFrame([], "step long, left long, right long, distance double, size long")

@@ -236,36 +236,62 @@ def _sq_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(an[:, None] + bn[None, :] - 2.0 * (a @ b.T), 0.0)
 
 
+def _bound_factors(x: np.ndarray, s: np.ndarray, scale: float, slack: float, left: bool) -> np.ndarray:
+    """Single-precision rows whose products are lower bounds of the squared distances:
+    the squared norms enter smaller by ``slack``, more than such a product can be off."""
+    own, one = ((1 - slack) * s / scale**2)[:, None], np.ones((len(s), 1))
+    return np.hstack([-2.0 * x / scale, own, one] if left else [x / scale, one, own]).astype(np.float32)
+
+
 def _nearest(a, ida, b, idb, k: int, include_self: bool):
     """For each row of a its k nearest of b: (src, dst, distance), by exact
     differences. Tiles on both sides: memory is that of a tile, whatever the
-    blocks' size or dimension."""
-    sb = np.einsum("ij,ij->i", b, b)
-    for lo, hi in _tiles(len(a)):
-        x, ix = a[lo:hi], ida[lo:hi]
-        sx = np.einsum("ij,ij->i", x, x)
-        best = np.zeros(0, np.int64), np.zeros(0, idb.dtype), np.zeros(0)
-        for left, right in _tiles(len(b), TILE_COLUMNS):
-            d = _sq_distances(x, b[left:right])
-            if not include_self:
-                d[ix[:, None] == idb[None, left:right]] = np.inf
-            kk = min(k, right - left)
-            cut = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-            # the product form is off by some rounding of the squared norms: a shortlist with that slack
-            slack = 1e-12 * (sx + sb[left:right].max()) + 2e-8 * np.sqrt(np.where(np.isfinite(cut), cut, 0)) + 1e-15
-            r, c = np.nonzero((d <= (cut + slack)[:, None]) & np.isfinite(d))
-            c += left
-            exact = np.empty(len(r))
-            step = max(1, (TILE_ROWS * TILE_COLUMNS) // max(1, x.shape[1]))
-            for s, e in _tiles(len(r), step):
-                diff = x[r[s:e]] - b[c[s:e]]
-                exact[s:e] = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIST_DIGITS)
-            r, i, exact = np.concatenate([best[0], r]), np.concatenate([best[1], idb[c]]), np.concatenate([best[2], exact])
-            order = np.lexsort((i, exact, r))
-            r, i, exact = r[order], i[order], exact[order]
-            keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-            best = r[keep], i[keep], exact[keep]
-        yield ix[best[0]], best[1], best[2]
+    blocks' size or dimension. A tile's shortlist are the pairs whose lower bound
+    is within the k-th distance found so far, or k-th upper bound of the tile
+    for rows with fewer than k."""
+    sa, sb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    scale = np.sqrt(max((s[np.isfinite(s)].max(initial=0.0) for s in (sa, sb)), default=0.0)) or 1.0
+    off = (a.shape[1] + 8) * 2.0**-23
+    with np.errstate(over="ignore", invalid="ignore"):
+        fb = _bound_factors(b, sb, scale, off, left=False)
+        for lo, hi in _tiles(len(a)):
+            x, ix = a[lo:hi], ida[lo:hi]
+            fx, sx = _bound_factors(x, sa[lo:hi], scale, off, left=True), sa[lo:hi] / scale**2
+            best = np.zeros(0, np.int64), np.zeros(0, idb.dtype), np.zeros(0)
+            reach = np.full(hi - lo, np.inf)  # the k-th distance so far
+            fresh, n_fresh = [best], 0
+            for left, right in _tiles(len(b), TILE_COLUMNS):
+                low = fx @ fb[left:right].T
+                if not include_self:
+                    low[ix[:, None] == idb[None, left:right]] = np.inf
+                # distances equal after rounding are ties
+                limit = (reach + 2.0**-26) ** 2 / scale**2
+                some = np.flatnonzero(np.isinf(reach))
+                if len(some):
+                    kk = min(k, right - left)
+                    most = np.fmax.reduce(sb[left:right]) / scale**2
+                    limit[some] = np.partition(low[some], kk - 1, axis=1)[:, kk - 1] + 2 * off * (sx[some] + most) + 2.0**-26
+                    limit[some] = (np.sqrt(np.maximum(limit[some], 0)) + 2.0**-25 / scale) ** 2
+                r, c = np.nonzero(low <= (limit * (1 + 1e-6) + 1e-30).astype(np.float32)[:, None])
+                r, c = (y[np.isfinite(low[r, c])] for y in (r, c))
+                c += left
+                exact = np.empty(len(r))
+                step = max(1, (TILE_ROWS * TILE_COLUMNS) // max(1, x.shape[1]))
+                for s, e in _tiles(len(r), step):
+                    diff = x[r[s:e]] - b[c[s:e]]
+                    exact[s:e] = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIST_DIGITS)
+                near = exact <= reach[r]
+                fresh.append((r[near], idb[c[near]], exact[near]))
+                n_fresh += int(near.sum())
+                if len(some) or n_fresh > k * (hi - lo) or right == len(b):
+                    r, i, exact = (np.concatenate(y) for y in zip(*fresh))
+                    order = np.lexsort((i, exact, r))
+                    r, i, exact = r[order], i[order], exact[order]
+                    place = np.arange(len(r)) - np.searchsorted(r, r)
+                    best = r[place < k], i[place < k], exact[place < k]
+                    reach[r[place == k - 1]] = exact[place == k - 1]
+                    fresh, n_fresh = [best], 0
+            yield ix[best[0]], best[1], best[2]
 
 
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, include_self: bool = True, nb: int | None = None, within=()) -> DataFrame:

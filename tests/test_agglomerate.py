@@ -83,6 +83,18 @@ def test_empty_and_single(spark):
     assert one.n == 1 and one.merges.count() == 0 and [r.label for r in agglomerate.flat(one, 3).collect()] == [0, 0, 0]
 
 
+def test_a_round_measures_only_links_of_merged_clusters(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(16, 3))
+    asked, inner = [], agglomerate._measured
+    monkeypatch.setattr(agglomerate, "_measured", lambda links, clusters, side: asked.append((links.count(), clusters.count())) or inner(links, clusters, side))
+    got = table(agglomerate.ward(frame(spark, x), "id", "vec", neighbours=15))
+    assert np.allclose([r[2] for r in got], [r[2] for r in brute_ward(x)])
+    assert asked[0] == (16 * 15 / 2, 16)
+    for (_, before), (links, left) in zip(asked, asked[1:]):
+        same = left - (before - left)  # clusters that did not merge
+        assert links == left * (left - 1) / 2 - same * (same - 1) / 2
+
+
 def test_numbered(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert all(r.v == r.at for r in agglomerate.numbered(df, ["v"], "at").collect())

@@ -220,3 +220,23 @@ def test_label_distance_sums_take_each_block_pair_once(spark, monkeypatch):
     monkeypatch.setattr(S, "_sq_distances", lambda a, b: calls.append(len(a) * len(b)) or inner(a, b))
     list(kernel["k"](table.slice(0, 40), table.slice(40), False))
     assert sum(calls) == 40 * 50
+
+
+def test_nearest_partitions_a_tile_only_until_rows_are_full(monkeypatch):
+    from tessera.operators import similarity as S
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(640, 6))
+    x[300:330] = x[7]  # ties
+    x[11] *= 1e6  # an outlier
+    ids = rng.permutation(640)
+    monkeypatch.setattr(S, "TILE_ROWS", 64)
+    monkeypatch.setattr(S, "TILE_COLUMNS", 64)
+    calls, inner = [], np.partition
+    monkeypatch.setattr(S.np, "partition", lambda *a, **k: calls.append(1) or inner(*a, **k))
+    got = [np.concatenate(y) for y in zip(*S._nearest(x, ids, x, ids, 5, False))]
+    exact = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), S.DIST_DIGITS)
+    exact[np.arange(640), np.arange(640)] = np.inf
+    order = np.lexsort((np.broadcast_to(ids, exact.shape), exact))[:, :5]
+    assert {s: [] for s in ids} | {s: [d for q, d in zip(got[0], got[1]) if q == s] for s in ids} == {ids[r]: list(ids[order[r]]) for r in range(640)}
+    assert len(calls) <= 2 * 10  # 100 tiles
