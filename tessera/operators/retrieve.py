@@ -24,6 +24,8 @@ from . import similarity as S
 
 COARSE_K = 500
 FINE_K = 5
+#: Candidates of all questions (three numbers each) up to which they are broadcast; above, the join is shuffled.
+BROADCAST_CANDIDATES = 250_000
 
 
 def coarse(corpus: DataFrame, id_col: str, vec_col: str, query_vec, k: int = COARSE_K) -> DataFrame:
@@ -72,7 +74,9 @@ def batch_two_stage(
     from ..functions import vectors as V
 
     c = S.batch_topk(corpus, id_col, coarse_col, questions, qid_col, q_coarse_col, k1, out="coarse_similarity")
-    cand = c.join(corpus.select(F.col(id_col).cast("long").alias(id_col), F.col(fine_col)), id_col)
+    # the candidates go to the stored vectors, not all vectors to the candidates, as long as they are few
+    few = questions.count() * k1 <= BROADCAST_CANDIDATES
+    cand = (F.broadcast(c) if few else c).join(corpus.select(F.col(id_col).cast("long").alias(id_col), F.col(fine_col)), id_col)
     qf = questions.select(F.col(qid_col).cast("long").alias("qid"), F.col(q_fine_col).alias("_qf"))
     scored = cand.join(qf, "qid").select(
         "qid", id_col, "coarse_similarity", (F.round(V.cosine(fine_col, "_qf"), 6) + 0.0).alias("similarity")

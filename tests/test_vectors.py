@@ -240,3 +240,25 @@ def test_nearest_partitions_a_tile_only_until_rows_are_full(monkeypatch):
     order = np.lexsort((np.broadcast_to(ids, exact.shape), exact))[:, :5]
     assert {s: [] for s in ids} | {s: [d for q, d in zip(got[0], got[1]) if q == s] for s in ids} == {ids[r]: list(ids[order[r]]) for r in range(640)}
     assert len(calls) <= 2 * 10  # 100 tiles
+
+
+def test_batch_sends_few_candidates_to_the_stored_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in a], [float(v) for v in b]) for i, (a, b) in enumerate(zip(rng.normal(size=(80, 4)), rng.normal(size=(80, 4))))]
+    corpus = spark.createDataFrame(rows, "id long, kw array<double>, doc array<double>").repartition(3)
+    asked = spark.createDataFrame(rows[:6], "qid long, coarse array<double>, fine array<double>")
+
+    def batch():
+        return retrieve.batch_two_stage(corpus, "id", "kw", "doc", asked, "qid", "coarse", "fine", k1=20, k2=4)
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = batch()
+        assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(retrieve, "BROADCAST_CANDIDATES", 20 * 6 - 1)
+        many = batch()
+        assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 6 * 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
