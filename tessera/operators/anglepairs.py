@@ -179,7 +179,7 @@ def threshold_pairs(
     # each side has columns of its own, as both come from one table
     left, right = (placed.withColumnRenamed("block", side).join(meetings, side).select(*(F.col(c).alias(c) for c in ("id", "vec", "bi", "bj"))) for side in ("bi", "bj"))
     pairs = left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInArrow(run, "id_a long, id_b long, similarity double")
-    return pairs, members, report
+    return cut_lineage(pairs), members, report  # links reads them twice
 
 
 def links(pairs: DataFrame, members: DataFrame) -> DataFrame:
