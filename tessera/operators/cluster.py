@@ -121,7 +121,7 @@ def split_level(rows: DataFrame, parents: list[str], out: str, k: int, iteration
     base = rows.filter(known)
     if parents:
         sizes = base.groupBy(*parents).agg(F.count("*").alias("_n"))
-        base = base.join(sizes.filter(F.col("_n") >= k).drop("_n"), parents, "left_semi")
+        base = cut_lineage(base.join(sizes.filter(F.col("_n") >= k).drop("_n"), parents, "left_semi"))  # read in every iteration
     elif base.limit(k).count() < k:
         return rows.withColumn(out, F.lit(None).cast("int"))
     centers = first(base, parents, k)

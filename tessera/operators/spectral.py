@@ -4,26 +4,32 @@ The normalised adjacency matrix A = D^-1/2 W D^-1/2 of the graph is an edge
 table; the spectral embedding is its leading eigenvectors, scaled by D^-1/2. They
 are found by a block Krylov method with restarts:
 
-* a block of m vectors is a table with a row per node; A times it is a join on
-  the edge's source and a sum by its target (shuffled on both sides: a block is
-  never gathered on the driver to be broadcast);
+* nodes are dealt into parts by a hash of their ids, as many as keep a part's
+  share of a cycle's blocks below ``PART_BYTES``. A part has its nodes' outgoing
+  edges, laid out once, and its rows of a block of m vectors. A times a block is
+  one exchange: a part sends each other part the sums over its own edges, one row
+  per target (a block is never gathered on the driver to be broadcast);
 * a cycle builds the Chebyshev blocks T_0 X .. T_q+1 X (T_j+1 = 2 A T_j - T_j-1)
-  and adds up their Gram matrix. As A T_j is half of T_j+1 + T_j-1, that matrix
-  alone gives the Rayleigh-Ritz problem and the residuals |A v - theta v|;
+  and adds up their Gram matrix, in one job. As A T_j is half of T_j+1 + T_j-1,
+  that matrix alone gives the Rayleigh-Ritz problem and the residuals |A v - theta v|;
 * the driver solves it (numbers: parents x (m (q + 2))^2) and tasks combine the
-  blocks to the next X, row by row, until the residuals are small.
+  blocks to the next X, row by row, until the residuals are small. X is written.
 
 Edges only join rows of one parent, so all parents of a level are one
 block-diagonal matrix: a level costs the same number of jobs whatever its number
-of parents, and no parent is gathered anywhere.
+of parents, and no parent is gathered anywhere. A repeated id is one node; rows with
+a NULL id are none.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +45,8 @@ SPARE = 4         # vectors of a block beyond those asked for
 TOLERANCE = 1e-5  # of a residual
 LOOSE = 1e-3      # of one whose vectors are only grouped
 CYCLES = 12
+PART_BYTES = 32 << 20  # of a part's rows of all blocks of a cycle
+LEAST_NODES = 4096     # of a part, on average
 
 
 class Embedding(NamedTuple):
@@ -50,61 +58,118 @@ class Embedding(NamedTuple):
     residuals: dict[int, np.ndarray]
 
 
-def normalised(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(src, dst, a) without self-loops and (p, id, root): the root of a node's
-    degree. A node without edges is a component of its own."""
-    w = edges.where("src <> dst")
-    degree = w.groupBy(F.col("src").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root"))
-    known = cut_lineage(nodes.select("p", "id").join(shuffled(degree), "id", "left"))
-    roots = known.where("root IS NOT NULL")
-    a = w.join(shuffled(roots.select(F.col("id").alias("src"), F.col("root").alias("rs"))), "src").join(shuffled(roots.select(F.col("id").alias("dst"), F.col("root").alias("rd"))), "dst")
-    alone = known.where("root IS NULL").select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("a"))
-    matrix = a.select("src", "dst", (F.col("weight") / (F.col("rs") * F.col("rd"))).alias("a")).unionByName(alone)
-    return cut_lineage(matrix), known.withColumn("root", F.coalesce("root", F.lit(1.0)))
-
-
-def _times(matrix: DataFrame, block: DataFrame, m: int, factor: float, less: DataFrame | None = None) -> DataFrame:
-    """factor * A * block - less, with one row (id, x0 ..) per node."""
-    xs = [f"x{j}" for j in range(m)]
-    out = matrix.join(shuffled(block.withColumnRenamed("id", "src")), "src").select(F.col("dst").alias("id"), *((F.col("a") * F.col(x) * factor).alias(x) for x in xs))
-    if less is not None:
-        out = out.unionByName(less.select("id", *((-F.col(x)).alias(x) for x in xs)))
-    return cut_lineage(out.groupBy("id").agg(*(F.sum(x).alias(x) for x in xs)))
-
-
-def _side_by_side(known: DataFrame, blocks: list[DataFrame], xs: list[str]) -> DataFrame:
-    """(p, id, basis): the blocks' values of each node in one array; one shuffle for all products."""
-    tagged = [b.select("id", F.lit(j).alias("j"), F.array(*xs).alias("v")) for j, b in enumerate(blocks[1:])]
-    one = tagged[0]
-    for b in tagged[1:]:
-        one = one.unionByName(b)
-    products = one.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("b"))  # an entry per product
-    first = known.select("p", "id").join(shuffled(blocks[0].select("id", F.array(*xs).alias("v"))), "id")
-    rest = F.flatten(F.transform("b", lambda e: e["v"]))
-    return first.join(shuffled(products), "id").select("p", "id", F.concat("v", rest).alias("basis"))
-
-
-def _gram(basis: DataFrame, width: int) -> dict[int, np.ndarray]:
-    """Per parent the Gram matrix of the basis columns; tasks emit one partial
-    matrix per parent, which are added up in two steps of bounded groups."""
-
-    def partial(batches):
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            p, x = b.column(0).to_numpy(zero_copy_only=False), S.matrix(b.column(1))
+class Part(NamedTuple):
+    """The nodes of a part and the edges that leave them, ordered by the part and id
+    of their target. A node without edges is a component of its own (``alone``)."""
+
+    ids: np.ndarray      # ascending
+    p: np.ndarray
+    root: np.ndarray     # of a node's degree
+    alone: np.ndarray
+    source: np.ndarray   # of each edge, its place in ids
+    weight: np.ndarray   # of each edge, over its source's root
+    begins: np.ndarray   # first edge of each target
+    targets: np.ndarray
+    to: list[tuple]      # (part, its first and last edge, its first and last target)
+
+
+def _laid_out(nodes: DataFrame, edges: DataFrame, m: int, parts: int) -> DataFrame:
+    """(part, graph, x), written: of each part its pickled ``Part`` and its rows of the first block."""
+
+    def place(c):
+        return F.pmod(F.xxhash64(c, F.lit(11)), F.lit(parts)).cast("int")
+
+    first = F.array(*(F.xxhash64("id", F.lit(j)) / F.lit(2.0**63) for j in range(m)))
+    own = nodes.where("id IS NOT NULL").select(place("id").alias("part"), F.col("p").cast("int").alias("p"), "id", first.alias("x"))
+    out = edges.where("src <> dst").select(place("src").alias("part"), place("dst").alias("to"), "src", "dst", F.col("weight").cast("double").alias("weight"))
+
+    def pack(own: pa.Table, out: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            return pa.table({"part": pa.array([], pa.int32()), "graph": pa.array([], pa.binary()), "x": pa.array([], pa.binary())})
+        ids, at = np.unique(own.column("id").to_numpy(), return_index=True)
+        src, dst, to, weight = (out.column(c).to_numpy() for c in ("src", "dst", "to", "weight"))
+        source = np.minimum(np.searchsorted(ids, src), len(ids) - 1)
+        order = np.lexsort((dst, to))
+        order = order[ids[source[order]] == src[order]]
+        source, dst, to, weight = source[order], dst[order], to[order], weight[order]
+        degree = np.bincount(source, weight, len(ids))
+        root = np.sqrt(np.where(degree > 0, degree, 1.0))
+        begins = np.flatnonzero(np.r_[True, (dst[1:] != dst[:-1]) | (to[1:] != to[:-1])]) if len(dst) else np.zeros(0, np.int64)
+        places, edge = np.unique(to, return_index=True)
+        edge = np.r_[edge, len(to)]
+        target = np.searchsorted(begins, edge)
+        spans = [(int(q), *(int(v) for v in (edge[i], edge[i + 1], target[i], target[i + 1]))) for i, q in enumerate(places)]
+        graph = Part(ids, own.column("p").to_numpy()[at], root, degree == 0, source, weight / root[source], begins, dst[begins], spans)
+        x = S.matrix(own.column("x"))[at]
+        return pa.table({"part": own.column("part")[:1], "graph": pa.array([pickle.dumps(tuple(graph))], pa.binary()), "x": pa.array([x.tobytes()], pa.binary())})
+
+    return cut_lineage(own.groupBy("part").cogroup(out.groupBy("part")).applyInArrow(pack, "part int, graph binary, x binary"))
+
+
+def _same_place(part: int) -> int:
+    return part
+
+
+def _dealt(table: DataFrame, col: str, key, parts: int) -> RDD:
+    """(part, (key, blob)), part by part in the partition of its number."""
+    return table.select("part", col).rdd.map(lambda r: (r[0], (key, bytes(r[1])))).partitionBy(parts, _same_place)
+
+
+def _by_part(elements):
+    """(part, {key: value}, received sums by the part they come from) of one partition's elements; ``graph`` and blocks as arrays."""
+    held: dict[int, dict] = {}
+    for part, (key, *value) in elements:
+        own = held.setdefault(part, {"sums": {}})
+        if key == "sums":
+            own["sums"][value[0]] = value[1:]
+        else:
+            own[key] = Part(*pickle.loads(value[0])) if key == "graph" else value[0]
+    for part, own in held.items():
+        if "graph" in own:  # a part without nodes has none
+            n = len(own["graph"].ids)
+            yield part, {k: np.frombuffer(v, np.float64).reshape(n, -1) if isinstance(k, int) else v for k, v in own.items()}
+
+
+def _times(graph: RDD, block: RDD, j: int, factor: float, parts: int, less: RDD | None = None) -> RDD:
+    """Block j + 1: factor * A * block j - block j - 1, kept on the executors' disks."""
+
+    first_two = less is None
+
+    def send(elements):
+        for part, own in _by_part(elements):
+            g, x = own["graph"], own[j]
+            for q, lo, hi, first, last in g.to:
+                sums = np.add.reduceat(x[g.source[lo:hi]] * g.weight[lo:hi, None], g.begins[first:last] - lo, axis=0)
+                yield q, ("sums", part, g.targets[first:last], sums)
+
+    def receive(elements):
+        for part, own in _by_part(elements):
+            g, x = own["graph"], own[j]
+            out = np.zeros_like(x)
+            for _, (ids, sums) in sorted(own["sums"].items()):
+                at = np.minimum(np.searchsorted(g.ids, ids), len(g.ids) - 1)
+                known = g.ids[at] == ids
+                out[at[known]] += sums[known]
+            out = factor * (out / g.root[:, None] + g.alone[:, None] * x)
+            yield part, (j + 1, (out if first_two else out - own[j - 1]).tobytes())
+
+    sc = graph.context
+    sent = sc.union([graph, block]).mapPartitions(send).partitionBy(parts, _same_place)
+    return sc.union([graph, block, sent] if first_two else [graph, block, less, sent]).mapPartitions(receive, preservesPartitioning=True).persist(StorageLevel.DISK_ONLY)
+
+
+def _gram(graph: RDD, blocks: list[RDD], parts: int) -> dict[int, np.ndarray]:
+    """Per parent the Gram matrix of the blocks' columns; a part emits one partial matrix per parent."""
+    count = len(blocks)
+
+    def partial(elements):
+        for _, own in _by_part(elements):
+            basis, p = np.hstack([own[j] for j in range(count)]), own["graph"].p
             for v in np.unique(p).tolist():
-                own = x[p == v]
-                total[v] = total.get(v, 0) + own.T @ own
-        if total:
-            yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array([g.tobytes() for g in total.values()], pa.binary())], names=["p", "g"])
-
-    def add(table: pa.Table) -> pa.Table:
-        g = sum(np.frombuffer(v, np.float64) for v in table.column("g").to_pylist())
-        return pa.table({"p": table.column("p")[:1], "g": pa.array([g.tobytes()], pa.binary())})
+                rows = basis[p == v]
+                yield v, rows.T @ rows
 
-    parts = basis.select("p", "basis").mapInArrow(partial, "p int, g binary").withColumn("part", F.spark_partition_id() % 64)
-    halves = parts.groupBy("p", "part").applyInArrow(add, "p int, g binary")
-    return {r["p"]: np.frombuffer(r["g"], np.float64).reshape(width, width) for r in halves.groupBy("p").applyInArrow(add, "p int, g binary").collect()}
+    return dict(graph.context.union([graph, *blocks]).mapPartitions(partial).reduceByKey(lambda a, b: a + b, parts).collect())
 
 
 def _ritz(gram: np.ndarray, m: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,35 +199,46 @@ def embed(nodes: DataFrame, edges: DataFrame, k: int, tolerance: float = TOLERAN
     """The k leading vectors of every parent's graph. ``nodes``: (p, id), each
     parent of k rows at least; ``edges``: (src, dst, weight), symmetric, within
     parents."""
-    matrix, known = normalised(nodes, edges)
     m = k + SPARE
     q = min(max(GRAM // m - 2, DEGREES[0]), DEGREES[1])
-    x = cut_lineage(known.select("id", *((F.xxhash64("id", F.lit(j)) / F.lit(2.0**63)).alias(f"x{j}") for j in range(m))))
-    xs = [f"x{j}" for j in range(m)]
-    spark = nodes.sparkSession
+    count = q + 2
+    spark, n = nodes.sparkSession, nodes.count()
+    parts = max(1, math.ceil(8 * n * m * count / PART_BYTES), min(spark.sparkContext.defaultParallelism, n // LEAST_NODES))
+    table = _laid_out(nodes, edges, m, parts)
+    graph, x, solved = _dealt(table, "graph", "graph", parts), table.select("part", "x"), {}
     for _ in range(cycles):
-        blocks = [x, _times(matrix, x, m, 1.0)]
-        while len(blocks) < q + 2:
-            blocks.append(_times(matrix, blocks[-1], m, 2.0, blocks[-2]))
-        basis = cut_lineage(_side_by_side(known, blocks, xs))
-        solved = {p: _ritz(g, m, len(blocks)) for p, g in _gram(basis, m * len(blocks)).items()}
+        blocks = [_dealt(x, "x", 0, parts)]
+        while len(blocks) < count:
+            j = len(blocks) - 1
+            blocks.append(_times(graph, blocks[j], j, 2.0 if j else 1.0, parts, *blocks[j - 1 : j]))
+        solved = {p: _ritz(g, m, count) for p, g in _gram(graph, blocks, parts).items()}
         shared = spark.sparkContext.broadcast({p: c for p, (c, _, _) in solved.items()})
-        n = m * (len(blocks) - 1)
 
-        def combine(batches, shared=shared, n=n):
-            for b in batches:
-                p, whole = b.column(0).to_numpy(zero_copy_only=False), S.matrix(b.column(2))
+        def combine(elements, shared=shared):
+            for part, own in _by_part(elements):
+                whole, p = np.hstack([own[j] for j in range(count - 1)]), own["graph"].p
                 out = np.zeros((len(p), m))
                 for v in np.unique(p).tolist():
                     c = shared.value[v]
-                    out[p == v, : c.shape[1]] = whole[p == v][:, :n] @ c
-                yield pa.record_batch([b.column(1), *(pa.array(out[:, j].copy()) for j in range(m))], names=["id", *xs])
+                    out[p == v, : c.shape[1]] = whole[p == v] @ c
+                yield part, out.tobytes()
 
-        x = cut_lineage(basis.mapInArrow(combine, ", ".join(["id long", *(f"{c} double" for c in xs)])))
+        x = cut_lineage(spark.createDataFrame(spark.sparkContext.union([graph, *blocks[:-1]]).mapPartitions(combine), "part int, x binary"))
+        for b in blocks[1:]:
+            b.unpersist()
         worst = max((r[:k].max() for _, _, r in solved.values()), default=0.0)
         if worst <= tolerance:
             break
-    scaled = known.join(shuffled(x), "id").select("p", "id", F.array(*(F.col(c) / F.col("root") for c in xs[:k])).alias("vec"))
+
+    def rows(batches):
+        for b in batches:
+            for graph, x in zip(b.column(0), b.column(1)):
+                g = Part(*pickle.loads(graph.as_py()))
+                vec = np.ascontiguousarray(np.frombuffer(x.as_py(), np.float64).reshape(len(g.ids), m)[:, :k]) / g.root[:, None]
+                offsets = pa.array(np.arange(len(g.ids) + 1, dtype=np.int32) * k)
+                yield pa.record_batch([pa.array(g.p), pa.array(g.ids), pa.ListArray.from_arrays(offsets, pa.array(vec.ravel()))], names=["p", "id", "vec"])
+
+    scaled = table.select("part", "graph").join(shuffled(x), "part").select("graph", "x").mapInArrow(rows, "p int, id long, vec array<double>")
     return Embedding(scaled, {p: t[:k] for p, (_, t, _) in solved.items()}, {p: r[:k] for p, (_, _, r) in solved.items()})
 
 

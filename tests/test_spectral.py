@@ -79,6 +79,51 @@ def test_no_group_holds_a_parent(spark, monkeypatch):
     assert len(seen) == spectral.DEGREES[1] + 1  # a cycle's products, one job each
 
 
+def test_a_cycle_is_few_jobs(spark):
+    nodes = frame(spark, np.random.default_rng(4).normal(size=(300, 3))).withColumn("p", F.lit(0))
+    edges = spark.createDataFrame(S.knn_graph(nodes, "id", "vec", 5).collect())
+    sc = spark.sparkContext
+    for cycles in (1, 2):  # as many more jobs as the second cycle has
+        sc.setJobGroup(f"cycles-{cycles}", "embed")
+        spectral.embed(nodes, edges, 3, 0.0, cycles)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    one, two = (len(sc.statusTracker().getJobIdsForGroup(f"cycles-{c}")) for c in (1, 2))
+    assert two - one <= 6  # not one a product or more
+
+
+def test_parts_exchange_their_sums(spark, monkeypatch):
+    monkeypatch.setattr(spectral, "PART_BYTES", 1 << 17)  # several parts
+    x = np.random.default_rng(8).normal(size=(240, 4))
+    nodes = spark.createDataFrame([(i % 2, i, v.tolist()) for i, v in enumerate(x)], "p int, id long, vec array<double>")
+    edges = S.knn_graph(nodes, "id", "vec", 6, within=["p"])
+    dealt = []
+    inner = spectral._laid_out
+    monkeypatch.setattr(spectral, "_laid_out", lambda *a: dealt.append(inner(*a)) or dealt[-1])
+    found = spectral.embed(nodes, edges, 4)
+    assert dealt[0].count() > 2
+    a, root = dense(edges, len(x))
+    got = {r.id: r.vec for r in found.rows.collect()}
+    for p in range(2):
+        at = np.arange(p, len(x), 2)
+        own = a[np.ix_(at, at)]
+        v = np.array([got[i] for i in at]) * root[at][:, None]
+        assert np.allclose(found.values[p], np.linalg.eigvalsh(own)[::-1][:4], atol=1e-8)
+        assert np.linalg.norm(own @ v - v * found.values[p], axis=0).max() < 2e-5
+
+
+def test_repeated_and_missing_ids(spark):
+    x = rings(np.random.default_rng(1), 80, [1, 3])
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame([*rows, *rows[:20], *rows[:5]], "id long, vec array<double>")
+    out = spectral.split_level_spectral(df, [], "c", 2).select("id", "c").collect()
+    assert len(out) == 185  # a row for each row
+    labels = dict(out)
+    assert len({labels[i] for i in range(20, 80)}) == 1 and len({labels[i] for i in range(80, 160)}) == 1
+    nodes = spark.createDataFrame([(0, i) for i in range(6)] + [(0, None)], "p int, id long")
+    edges = spark.createDataFrame([(i, (i + d) % 6, 1.0) for i in range(6) for d in (1, 5)], "src long, dst long, weight double")
+    assert sorted(r.id for r in spectral.embed(nodes, edges, 2).rows.collect()) == list(range(6))
+
+
 def test_empty_and_tiny(spark):
     empty = spark.createDataFrame([], "id long, vec array<double>")
     assert spectral.three_level_spectral(empty, "id", "vec").count() == 0
