@@ -51,12 +51,16 @@ REVERSE = 1                       # rows naming a row that are listed, as a mult
 SETTLED = 0.002                   # share of changed edges that ends the rounds
 ROUNDS = 12
 HUB_BYTES = 2 << 20               # vectors of frequent nodes broadcast to their edges
+MEETING = 4096                    # pairs whose exact distances are taken at a time
 
 
 def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec, key): one row per id with a usable vector; ``key`` names the vector."""
+    """(id, vec, key): one row per id with a usable vector, of floats if the column has
+    floats, else of doubles; ``key`` names the vector."""
+    kind = df.schema[vec_col].dataType.elementType.simpleString()
+    kind = "float" if kind == "float" else "double"
     finite = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf")))  # Spark orders NaN above infinity
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast("double")).alias("vec"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast(kind)).alias("vec"))
     rows = rows.filter(F.col("id").isNotNull() & (F.size("vec") > 0)).filter(finite)
     one = rows.groupBy("id").agg(F.min("vec").alias("vec"))
 
@@ -65,26 +69,26 @@ def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             keys = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in S.matrix(b.column(1)) + 0.0]  # no negative zero
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=["id", "vec", "key"])
 
-    return one.mapInArrow(name, "id long, vec array<double>, key binary")
+    return one.mapInArrow(name, f"id long, vec array<{kind}>, key binary")
 
 
-def _runs(batches, key: int):
-    """The rows of sorted batches as tables of one value of column ``key``."""
+def _whole_lists(batches):
+    """Batches sorted by their first column, cut where its value changes: the
+    columns as arrays (of vectors a matrix), each list whole."""
     held = []
     for b in batches:
         if not b.num_rows:
             continue
-        v = b.column(key).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.nonzero(v[1:] != v[:-1])[0] + 1), len(v)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if lo == 0 and held and held[-1].column(key)[-1].as_py() == v[0]:
-                held.append(b.slice(lo, hi - lo))
-                continue
-            if held:
-                yield pa.Table.from_batches(held)
-            held = [b.slice(lo, hi - lo)]
+        cols = [S.matrix(c) if pa.types.is_list(c.type) else c.to_numpy() for c in b.columns]
+        cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
+        if held and cut == 0 and cols[0][0] == held[-1][0][0]:
+            held.append(cols)
+            continue
+        if held or cut:
+            yield [np.concatenate(x) for x in zip(*held, [c[:cut] for c in cols])]
+        held = [[c[cut:] for c in cols]]
     if held:
-        yield pa.Table.from_batches(held)
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _best(src, dst, d, pool: int):
@@ -119,7 +123,7 @@ def _start(nodes: DataFrame, n: int, dim: int, mean: np.ndarray, pool: int, seed
     total = n * ORDERS
     cores = nodes.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(total // (8 * CHUNK), max(2 * cores, total // 100_000)))
-    placed = nodes.select("id", "vec").mapInArrow(place, "o int, at double, id long, vec array<double>")
+    placed = nodes.select("id", "vec").mapInArrow(place, f"o int, at double, id long, vec {nodes.schema['vec'].dataType.simpleString()}")
     mixed = F.xxhash64("id", F.lit(seed))
     ordered = placed.repartitionByRange(parts, "o", "at", mixed, "id").sortWithinPartitions("o", "at", mixed, "id")
 
@@ -149,8 +153,9 @@ def _start(nodes: DataFrame, n: int, dim: int, mean: np.ndarray, pool: int, seed
 
 
 def _nearest_of_each(edges: DataFrame, pool: int) -> DataFrame:
-    """The ``pool`` nearest of each src; an edge of the graph before keeps its marks."""
-    one = edges.groupBy("src", "dst").agg(F.min("distance").alias("distance"), F.min("new").alias("new"), F.min("fresh").alias("fresh"))
+    """The ``pool`` nearest of each src; an edge of the graph before keeps its marks.
+    The edges are shuffled once, by src, for both steps."""
+    one = edges.repartition("src").groupBy("src", "dst").agg(F.min("distance").alias("distance"), F.min("new").alias("new"), F.min("fresh").alias("fresh"))
     w = Window.partitionBy("src").orderBy("distance", "dst")
     return one.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= pool).drop("r")
 
@@ -173,32 +178,40 @@ def _round(graph: DataFrame, nodes: DataFrame, mean: np.ndarray, pool: int, numb
 
     def meet(batches):
         parts, held = [], 0
-        for t in _runs(batches, 0):
-            u, new, worst = (t.column(c).to_numpy() for c in ("u", "new", "worst"))
-            order = np.lexsort((-new, u))
+        for v, u, new, worst, m in _whole_lists(batches):
+            order = np.lexsort((-new, u, v))
             first = np.ones(len(u), bool)
-            first[1:] = u[order][1:] != u[order][:-1]
+            first[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
             at = order[first]  # a member named both ways is new if either edge is
-            u, new, worst = u[at], new[at], worst[at]
-            if not new.any() or len(u) < 2:
-                continue
-            m = S.matrix(t.column("vec"))[at] - mean
-            d2 = S._sq_distances(m, m)
+            v, u, new, worst, m = v[at], u[at], new[at] > 0, worst[at], m[at] - mean
             sq = np.einsum("ij,ij->i", m, m)
-            reach = worst**2 * (1 + 1e-6) + 1e-10 * (sq + sq.max()) + 1e-12
-            ok = (d2 <= reach[:, None]) & ((new[:, None] + new[None, :]) > 0)
-            np.fill_diagonal(ok, False)
-            r, c = np.nonzero(ok)
-            if not len(r):
+            cuts = [0, *(np.flatnonzero(v[1:] != v[:-1]) + 1), len(v)]
+            pairs = []  # each pair once, as places of the batch
+            for lo, hi in zip(cuts, cuts[1:]):
+                n = hi - lo
+                x, s2, fresh = m[lo:hi], sq[lo:hi], new[lo:hi]
+                at = np.flatnonzero(fresh)
+                if n < 2 or not len(at):
+                    continue
+                reach = worst[lo:hi] ** 2 * (1 + 1e-6) + 1e-10 * (s2 + s2.max()) + 1e-12
+                ok = (s2[at, None] + s2 - 2.0 * (x[at] @ x.T)) <= np.maximum(reach[at, None], reach)
+                ok &= ~fresh | (np.arange(n) > at[:, None])  # of two new members the first one meets the other
+                row, col = np.divmod(np.flatnonzero(ok), n)
+                pairs.append((at[row] + lo, col + lo))
+            if not pairs:
                 continue
-            diff = m[r] - m[c]
-            d = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), S.DIST_DIGITS)
-            near = d <= worst[r]
-            parts.append((u[r[near]], u[c[near]], d[near]))
-            held += int(near.sum())
-            if held > 200_000:
-                yield _edges(parts, pool)
-                parts, held = [], 0
+            r, c = (np.concatenate(x) for x in zip(*pairs))
+            for lo in range(0, len(r), MEETING):
+                i, j = r[lo : lo + MEETING], c[lo : lo + MEETING]
+                diff = m[i] - m[j]
+                d = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), S.DIST_DIGITS)
+                for one, other in ((i, j), (j, i)):
+                    near = d <= worst[one]
+                    parts.append((u[one[near]], u[other[near]], d[near]))
+                    held += int(near.sum())
+                if held > 200_000:
+                    yield _edges(parts, pool)
+                    parts, held = [], 0
         if parts:
             yield _edges(parts, pool)
 
@@ -283,7 +296,7 @@ def recall(df: DataFrame, id_col: str, vec_col: str, found: DataFrame, asked, k:
     ``asked`` holds are in ``found``; one as near as the k-th counts as a hit."""
     rows = clean(df, id_col, vec_col).select("id", "vec").withColumn("asked", asked)
     exact = nearest_of(cut_lineage(rows), "id", "vec", "asked", k)
-    kth = exact.groupBy("src").agg(F.max("distance").alias("kth"), F.count("*").alias("wanted"))
+    kth = cut_lineage(exact.groupBy("src").agg(F.max("distance").alias("kth"), F.count("*").alias("wanted")))  # read twice
     near = found.join(shuffled(kth), "src", "left").groupBy("src").agg(F.sum(F.when(F.col("distance") <= F.col("kth"), 1).otherwise(0)).alias("hits"))
     per = kth.join(shuffled(near), "src", "left")
     return per.agg(F.count("*").alias("asked"), F.coalesce(F.sum("wanted"), F.lit(0)).alias("wanted"), F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"))

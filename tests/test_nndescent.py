@@ -79,6 +79,47 @@ def test_rows_without_neighbours_are_completed(spark):
     assert found == brute([(i, [float(i)]) for i in range(12)], 3)
 
 
+def test_recall_takes_the_exact_neighbours_once(spark):
+    df = frame(spark, np.random.default_rng(12).normal(size=(80, 3)))
+    found = spark.createDataFrame([(i, j, d, r) for i, near in brute([(i, v["vec"]) for i, v in enumerate(df.orderBy("id").collect())], 4).items() for r, (d, j) in enumerate(near, 1)], "src long, dst long, distance double, rank int")
+    seen = nndescent.recall(df, "id", "vec", found, F.col("id") % 5 == 0, 4)
+    assert "InArrow" not in seen._jdf.queryExecution().executedPlan().toString()  # they are stored when they are asked for
+    assert seen.first().asDict() == {"asked": 16, "wanted": 64, "hits": 64}
+
+
+def test_edges_are_shuffled_once_a_round(spark):
+    rows = [(i, j, float(i * 7 % 5 + j), 1, 1) for i in range(20) for j in range(8)] * 2 + [(0, 3, 3.0, 0, 0)]
+    edges = spark.createDataFrame(rows, "src long, dst long, distance double, new int, fresh int")
+    best = nndescent._nearest_of_each(edges, 4)
+    assert best._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r.src, r.dst): (r.distance, r.new, r.fresh) for r in best.collect()}
+    assert got == {(i, j): (float(i * 7 % 5 + j), 0 if (i, j) == (0, 3) else 1, 0 if (i, j) == (0, 3) else 1) for i in range(20) for j in range(4)}
+
+
+def test_lists_are_whole_across_batches():
+    import pyarrow as pa
+
+    v = np.repeat([3, 5, 8, 9], [4, 1, 11, 2])
+    t = pa.table({"v": v, "vec": pa.array([[float(i), 1.0] for i in range(len(v))], pa.list_(pa.float32()))})
+    for rows in (1, 3, 5, 40):
+        found = list(nndescent._whole_lists(t.to_batches(max_chunksize=rows)))
+        assert np.concatenate([c[0] for c in found]).tolist() == v.tolist()
+        assert np.concatenate([c[1] for c in found])[:, 0].tolist() == list(range(len(v)))
+        assert all(len({*c[0]} & {*d[0]}) == 0 for i, c in enumerate(found) for d in found[:i])
+    assert list(nndescent._whole_lists(t[:0].to_batches())) == []
+
+
+def test_floats_stay_floats_with_the_same_result(spark):
+    m = np.random.default_rng(11).normal(size=(700, 6)).astype(np.float32)
+    m[5] = m[4]
+    doubles = frame(spark, m)
+    floats = doubles.select("id", F.col("vec").cast("array<float>").alias("vec"))
+    assert dict(nndescent.clean(floats, "id", "vec").dtypes)["vec"] == "array<float>"
+    assert dict(nndescent.clean(doubles, "id", "vec").dtypes)["vec"] == "array<double>"
+    found, same = (got(nndescent.knn(df, "id", "vec", 3)) for df in (floats, doubles))
+    assert found == same and len(found) == 700
+
+
 def test_edges(spark):
     bad = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (2, [9.0, 9.0]), (2, [1.0, 0.0]), (3, None), (None, [0.0, 1.0]), (4, [float("nan"), 0.0]),
            (5, [float("inf"), 0.0]), (6, [None, 0.0]), (7, []), (8, [-0.0, 0.0]), (9, [0.0, 3.0])]
