@@ -54,11 +54,10 @@ HUB_BYTES = 2 << 20               # vectors of frequent nodes broadcast to their
 MEETING = 4096                    # pairs whose exact distances are taken at a time
 
 
-def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec, key): one row per id with a usable vector, of floats if the column has
-    floats, else of doubles; ``key`` names the vector."""
-    kind = df.schema[vec_col].dataType.elementType.simpleString()
-    kind = "float" if kind == "float" else "double"
+def clean(df: DataFrame, id_col: str, vec_col: str, keep_floats: bool = False) -> DataFrame:
+    """(id, vec, key): one row per id with a usable vector, of doubles (of floats if the
+    column has floats and they are to be kept); ``key`` names the vector."""
+    kind = "float" if keep_floats and df.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
     finite = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf")))  # Spark orders NaN above infinity
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast(kind)).alias("vec"))
     rows = rows.filter(F.col("id").isNotNull() & (F.size("vec") > 0)).filter(finite)
@@ -256,7 +255,7 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 10, pool: int | None
     """(src, dst, distance, rank), the k nearest other rows by Euclidean
     distance, approximately; distances themselves are exact (rounded to 8 places)."""
     pool = max(pool or max(POOL * k, LEAST_POOL), k)
-    rows = cut_lineage(clean(df, id_col, vec_col))
+    rows = cut_lineage(clean(df, id_col, vec_col, True))
     nodes = cut_lineage(rows.groupBy("key").agg(F.min("id").alias("id"), F.any_value("vec").alias("vec"), F.count("*").alias("n")))
     n = nodes.count()
     if n == 0:
@@ -294,7 +293,7 @@ def _completed(rows: DataFrame, found: DataFrame, k: int) -> DataFrame:
 def recall(df: DataFrame, id_col: str, vec_col: str, found: DataFrame, asked, k: int) -> DataFrame:
     """One row (asked, wanted, hits): how many of the exact k nearest of the rows for which
     ``asked`` holds are in ``found``; one as near as the k-th counts as a hit."""
-    rows = clean(df, id_col, vec_col).select("id", "vec").withColumn("asked", asked)
+    rows = clean(df, id_col, vec_col, True).select("id", "vec").withColumn("asked", asked)
     exact = nearest_of(cut_lineage(rows), "id", "vec", "asked", k)
     kth = cut_lineage(exact.groupBy("src").agg(F.max("distance").alias("kth"), F.count("*").alias("wanted")))  # read twice
     near = found.join(shuffled(kth), "src", "left").groupBy("src").agg(F.sum(F.when(F.col("distance") <= F.col("kth"), 1).otherwise(0)).alias("hits"))

@@ -114,8 +114,9 @@ def test_floats_stay_floats_with_the_same_result(spark):
     m[5] = m[4]
     doubles = frame(spark, m)
     floats = doubles.select("id", F.col("vec").cast("array<float>").alias("vec"))
-    assert dict(nndescent.clean(floats, "id", "vec").dtypes)["vec"] == "array<float>"
-    assert dict(nndescent.clean(doubles, "id", "vec").dtypes)["vec"] == "array<double>"
+    assert dict(nndescent.clean(floats, "id", "vec", True).dtypes)["vec"] == "array<float>"
+    assert dict(nndescent.clean(floats, "id", "vec").dtypes)["vec"] == "array<double>"  # as others read it
+    assert dict(nndescent.clean(doubles, "id", "vec", True).dtypes)["vec"] == "array<double>"
     found, same = (got(nndescent.knn(df, "id", "vec", 3)) for df in (floats, doubles))
     assert found == same and len(found) == 700
 
